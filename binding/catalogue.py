@@ -1,4 +1,4 @@
 """All bound queries."""
 
-from binding import prices  # noqa: F401
+from binding import insurance, prices  # noqa: F401
 from binding.registry import QUERIES, SQL  # noqa: F401
