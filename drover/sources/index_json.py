@@ -25,10 +25,10 @@ def raw_points(payloads: DataFrame, body: str = "value") -> DataFrame:
     )
 
 
-def index_table(points: DataFrame, vintage: Column) -> DataFrame:
+def index_table(points: DataFrame, vintage: Column | str) -> DataFrame:
     """Monthly index; aggregates over months and non-numeric values are dropped."""
     return monthly(points).filter(F.col("cpi_u").isNotNull()).select(
-        "period", "cpi_u", vintage.cast("date").alias("vintage"), F.lit(0).alias("revision_count")
+        "period", "cpi_u", F.lit(vintage).cast("date").alias("vintage"), F.lit(0).alias("revision_count")
     )
 
 

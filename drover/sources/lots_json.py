@@ -46,18 +46,18 @@ def _weights() -> list[Column]:
     return [number(c).alias(c) for c in ("avg_weight", "avg_weight_min", "avg_weight_max")]
 
 
-def _prices_and_tail(vintage: Column) -> list[Column]:
+def _prices_and_tail(vintage: Column | str) -> list[Column]:
     return [
         integer("head_count").alias("head_count"),
         number("avg_price_min").alias("price_low"),
         number("avg_price_max").alias("price_high"),
         number("avg_price").alias("price_avg"),
         integer("receipts").alias("receipts"),
-        vintage.cast("date").alias("vintage"),
+        F.lit(vintage).cast("date").alias("vintage"),
     ]
 
 
-def feeder_lots(raw: DataFrame, vintage: Column) -> DataFrame:
+def feeder_lots(raw: DataFrame, vintage: Column | str) -> DataFrame:
     """Typed feeder lots; rows with an unknown date or an implausible price are dropped."""
     return _kept(raw, C.FEEDER, C.FEEDER_CLASSES).select(
         "auction_date", "commodity", "class", "frame", "muscle_grade",
@@ -67,7 +67,7 @@ def feeder_lots(raw: DataFrame, vintage: Column) -> DataFrame:
     )
 
 
-def slaughter_lots(raw: DataFrame, vintage: Column) -> DataFrame:
+def slaughter_lots(raw: DataFrame, vintage: Column | str) -> DataFrame:
     """Typed slaughter lots: no weight bin, but quality grade and dressing."""
     return _kept(raw, C.SLAUGHTER, C.SLAUGHTER_CLASSES).select(
         "auction_date", "commodity", "class", "quality_grade_name", "dressing", "lot_desc",

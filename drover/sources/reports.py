@@ -51,7 +51,7 @@ def _range_edge(token: Column, last: bool) -> Column:
 
 
 def parse_reports(
-    reports: DataFrame, vintage: Column, text: str = "value", file_name: str | None = None, keep: tuple[str, ...] = ()
+    reports: DataFrame, vintage: Column | str, text: str = "value", file_name: str | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Lots of every report. A report with no date at all fails the job."""
     body = F.regexp_replace(F.col(text), LINE_BREAK, "\n")
@@ -99,13 +99,13 @@ def parse_reports(
         _range_edge(cell(4), True).alias("price_high"),
         cell(5).cast("double").alias("price_avg"),
         "receipts",
-        vintage.cast("date").alias("vintage"),
+        F.lit(vintage).cast("date").alias("vintage"),
         "breed",
         F.trim(cell(6)).alias("annotation"),
     )
 
 
-def read_reports(spark: SparkSession, path: str, vintage: Column) -> DataFrame:
+def read_reports(spark: SparkSession, path: str, vintage: Column | str) -> DataFrame:
     """Lots of all report files under ``path``, one row per file before parsing."""
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), "value")
     return parse_reports(files, vintage, file_name="file_name", keep=("file_name",))
