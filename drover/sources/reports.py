@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from drover.config import FEEDER
 
 # The wording of the reports.
-LINE_BREAK = r"\r\n|[\r\x0b\x0c\x1c\x1d\x1e\u0085\u2028\u2029]"
+LINE_BREAK = r"[\r\x0b\x0c\x1c\x1d\x1e\u0085\u2028\u2029]"
 SALE_DATE = r"Feeder Cattle Weighted Average\s+(?:Report\s+)?for\s+(\d{1,2})/(\d{1,2})/(\d{2,4})"
 FILE_DATE = r"(?i)CV_LS750(\d{4})(\d{2})(\d{2})"
 RECEIPTS = r"(?m)^\s*Receipts:\s*([\d,]+)"
@@ -54,7 +54,8 @@ def parse_reports(
     reports: DataFrame, vintage: Column | str, text: str = "value", file_name: str | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Lots of every report. A report with no date at all fails the job."""
-    body = F.regexp_replace(F.col(text), LINE_BREAK, "\n")
+    body = F.replace(F.col(text), F.lit("\r\n"), F.lit("\n"))
+    body = F.when(body.rlike(LINE_BREAK), F.regexp_replace(body, LINE_BREAK, "\n")).otherwise(body)
     name = F.col(file_name) if file_name else None
     undated = F.raise_error(F.lit("report has no sale date")).cast("date")
     feeders = F.split(F.col("_text"), END_OF_FEEDERS, 2)[0]
@@ -66,23 +67,30 @@ def parse_reports(
             "_feeders": feeders,
         })
     )
-    headers = F.regexp_extract_all(F.col("_feeders"), F.lit(HEADER), F.lit(0))
-    bodies = F.split(F.col("_feeders"), HEADER)
-    blocks = cut.select(
-        *keep, "auction_date", "receipts",
-        F.inline(F.transform(headers, lambda h, i: F.struct(h.alias("_header"), F.get(bodies, i + 1).alias("_body")))),
+    parted = cut.withColumns({
+        "_headers": F.regexp_extract_all(F.col("_feeders"), F.lit(HEADER), F.lit(0)),
+        # The text before the first header is no block.
+        "_bodies": F.slice(F.split("_feeders", HEADER), 2, 2**31 - 1),
+    })
+    # Zipped inside the generator: exploding a plain column would make the planner test
+    # its size in a filter below and run all the expressions above a second time.
+    blocks = parted.select(
+        *keep, "auction_date", "receipts", F.inline(F.arrays_zip("_headers", "_bodies")).alias("_header", "_body")
     )
-    lines = F.split(F.regexp_replace("_body", AFTER_HEADER, ""), "\n")
-    stop = F.array_position(F.transform(lines, lambda x: x.rlike(DATA_LINE)), False)
-    live = F.when(stop == 0, lines).otherwise(F.slice(lines, 1, F.greatest(stop.cast("int") - 1, F.lit(0))))
     head = lambda i: F.regexp_extract("_header", HEADER, i)
-    rows = blocks.select(
+    # Staged so that each block is split once and each header is read once per block.
+    staged = blocks.select(
         *keep, "auction_date", "receipts",
         head(2).alias("class"), head(3).alias("frame"), head(4).alias("muscle_grade"),
         F.when(head(1) != "", "Holstein").otherwise("Beef").alias("breed"),
-        F.explode(live).alias("_line"),
+        F.split(F.regexp_replace("_body", AFTER_HEADER, ""), "\n").alias("_lines"),
+    ).withColumn("_stop", F.array_position(F.transform("_lines", lambda x: x.rlike(DATA_LINE)), False))
+    live = F.when(F.col("_stop") == 0, F.col("_lines")).otherwise(
+        F.slice("_lines", 1, F.greatest(F.col("_stop").cast("int") - 1, F.lit(0)))
     )
-    cell = lambda i: F.regexp_extract("_line", DATA_LINE, i)
+    rows = staged.withColumn("_line", F.explode(live)).withColumn("_f", F.split(F.ltrim("_line"), r"\s+", 5))
+    cell = lambda i: F.get("_f", i - 1)
+    tail = lambda i: F.regexp_extract(cell(5), r"^(\d+\.\d+)\s*(.*)$", i)
     nothing = F.lit(None).cast("double")
     return rows.select(
         *keep,
@@ -97,11 +105,11 @@ def parse_reports(
         cell(1).cast("int").alias("head_count"),
         _range_edge(cell(4), False).alias("price_low"),
         _range_edge(cell(4), True).alias("price_high"),
-        cell(5).cast("double").alias("price_avg"),
+        tail(1).cast("double").alias("price_avg"),
         "receipts",
         F.lit(vintage).cast("date").alias("vintage"),
         "breed",
-        F.trim(cell(6)).alias("annotation"),
+        F.trim(tail(2)).alias("annotation"),
     )
 
 
