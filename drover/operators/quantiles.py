@@ -54,7 +54,9 @@ def exact_percentile(
     stats = materialize(stats, f"{name}-bracket")
 
     span = F.col("_hi") - F.col("_lo")
-    part = F.when(span > 0, F.floor((F.col("_v") - F.col("_lo")) / span * buckets)).otherwise(0)
+    # Held inside the enclosure, because the planner may compute this before the filter.
+    held = F.least(F.greatest("_v", "_lo"), "_hi")
+    part = F.when(span > 0, F.floor((held - F.col("_lo")) / span * buckets)).otherwise(0)
     histogram = (
         rows.join(stats, list(keys))
         .filter(F.col("_v") <= F.col("_hi"))
@@ -63,7 +65,7 @@ def exact_percentile(
             F.col("_n"),
             # Slice -1 collects everything below the enclosure under one value.
             F.when(F.col("_v") < F.col("_lo"), F.lit(-1)).otherwise(part).cast("int").alias("_part"),
-            F.greatest("_v", "_lo").alias("_v"),
+            held.alias("_v"),
         )
         .groupBy(*keys, "_n", "_part", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
