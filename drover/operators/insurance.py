@@ -366,20 +366,19 @@ def by_coverage_everywhere(policies: DataFrame) -> DataFrame:
     """Back-test statistics for every (window, state or nation, coverage bin).
 
     Counts, means and deviations are first reduced to (year, state, bin) cells; windows
-    and areas multiply only those cells. The exact medians need the rows themselves, so
-    there each row is compared with the enclosures of the (at most eight) slices it
-    belongs to, and only rows inside an enclosure are shuffled.
+    and areas multiply only those cells, and so do the bucket counts behind the medians.
+    Rows meet the (at most eight) slices they belong to only in the last step of the
+    median, where all but those near the wanted rank drop out before the shuffle.
     """
     core = policies.filter(is_core())
     first, last = year_bounds(core)
     windows = F.explode(year_windows_of(YEAR, first, last, YEAR_WINDOWS))
     keys = ("window", "area", "coverage_level_pct")
     rows = _coverage_rows(core).filter(F.col(YEAR).isNotNull())
-    cells = rows.groupBy(YEAR, "state_abbr", "coverage_level_pct").agg(*_backtest_parts())
+    base = (YEAR, "state_abbr", "coverage_level_pct")
     fan = lambda df: df.withColumn("window", windows).withColumn("area", F.explode(_areas()))
-    stats = _merge_backtest(fan(cells), keys)
-    narrow = rows.select(YEAR, "state_abbr", "coverage_level_pct", "advantage_per_cwt")
-    median = exact_percentile(fan(narrow), keys, "advantage_per_cwt", 0.5, "median_advantage_per_cwt")
+    stats = _merge_backtest(fan(rows.groupBy(*base).agg(*_backtest_parts())), keys)
+    median = exact_percentile(rows, keys, "advantage_per_cwt", 0.5, "median_advantage_per_cwt", base, fan)
     return stats.join(median, list(keys), "left").select("window", "area", *COVERAGE_COLUMNS)
 
 

@@ -2,99 +2,105 @@
 
 The built-in ``percentile`` keeps every distinct value of a group in one task. Where a
 group is bounded (thirteen neighbours, one value per year) that is the right tool.
-For groups that grow with the data, :func:`exact_percentile` finds the same number
-from a narrow bracket around the wanted rank.
+For groups that grow with the data, :func:`exact_percentile` finds the same number by
+counting first and looking at values only near the wanted rank.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from drover.session import materialize
 
+RATIO = 1.1  # a bucket spans values within 10 % of each other
+SHIFT = 8000  # more than ln(smallest double) / ln(RATIO), so positive values get positive buckets
+
+
+def magnitude(v: Column) -> Column:
+    """Order-preserving bucket number: logarithmic in both directions from zero, so no
+    outlier stretches it, and at most some hundred buckets occur in practice."""
+    step = lambda x: (F.floor(F.least(F.ln(x), F.lit(710.0)) / math.log(RATIO)) + SHIFT).cast("int")
+    return F.when(v > 0, step(v)).when(v < 0, -step(-v)).otherwise(0)
+
 
 def exact_percentile(
     df: DataFrame,
     keys: tuple[str, ...],
-    value: Column | str,
+    value: str,
     p: float,
     name: str,
-    accuracy: int = 10_000,
-    buckets: int = 64,
+    base: tuple[str, ...] | None = None,
+    fan: Callable[[DataFrame], DataFrame] | None = None,
+    slices: int = 64,
 ) -> DataFrame:
     """Percentile ``p`` per group with linear interpolation, as ``keys + (name,)``.
 
-    1. One pass with a bounded sketch per group gives the row count and two values that
-       enclose the wanted rank. The result is written, so the planner knows its size and
-       broadcasts it only if it is small.
-    2. A second pass counts distinct values inside the enclosure; all smaller values of
-       a group fold into one counter before the shuffle. About ``8 / accuracy`` of a
-       group's rows travel, split further over ``buckets`` slices, and no task ever
-       holds a whole group.
-    3. Running counts over slices, then inside slices, locate the two ranks.
+    1. Rows are counted per (group, magnitude bucket), partial counts first, so a group
+       that holds a third of all rows costs one row per bucket and task. Running counts
+       over the buckets show which bucket holds the wanted rank, and how many rows lie
+       below it. The answer, one row per group, is written; the planner then knows its
+       size and broadcasts it only if it is small.
+    2. Only rows inside that bucket travel: they are counted by value, in ``slices`` equal
+       parts of the bucket, and running counts over parts, then inside a part, find the
+       two neighbouring values. No task ever holds a whole group.
 
-    The sketch only steers how much is shuffled. A rank outside the enclosure raises.
-    Keys must not be null.
+    ``fan`` maps rows keyed by ``base`` to the groups they belong to, when groups overlap.
+    It is applied to the bucket counts in step 1. Keys must not be null.
     """
-    rows = df.select(*keys, (F.col(value) if isinstance(value, str) else value).cast("double").alias("_v"))
-    rows = rows.filter(F.col("_v").isNotNull())
-    margin = 4.0 / accuracy
-    edges = F.percentile_approx("_v", [max(p - margin, 0.0), min(p + margin, 1.0)], accuracy)
-    stats = rows.groupBy(*keys).agg(
-        F.count("_v").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), edges.alias("_e")
+    base = base or keys
+    fan = fan or (lambda d: d)
+    v = F.col("_v")
+    rows = df.select(*base, F.col(value).cast("double").alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
+
+    counted = rows.groupBy(*base, magnitude(v).alias("_b")).agg(
+        F.count(v).alias("_c"), F.min(v).alias("_min"), F.max(v).alias("_max")
     )
-    small = F.col("_n") <= accuracy
-    stats = stats.select(
-        *keys,
-        "_n",
-        F.when(small | F.lit(p <= margin), F.col("_min")).otherwise(F.col("_e")[0]).alias("_lo"),
-        F.when(small | F.lit(p >= 1 - margin), F.col("_max")).otherwise(F.col("_e")[1]).alias("_hi"),
+    by_bucket = fan(counted).groupBy(*keys, "_b").agg(
+        F.sum("_c").alias("_c"), F.min("_min").alias("_min"), F.max("_max").alias("_max")
     )
-    stats = materialize(stats, f"{name}-bracket")
+    along = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = by_bucket.withColumns({
+        "_upto": F.sum("_c").over(along),
+        "_n": F.sum("_c").over(Window.partitionBy(*keys)),
+    })
+    rank = F.lit(p) * (F.col("_n") - 1)
+    first, second = F.floor(rank), F.ceil(rank)
+    holds = (F.col("_upto") - F.col("_c") <= second) & (F.col("_upto") > first)
+    targets = ranked.filter(holds).groupBy(*keys, "_n").agg(
+        F.min("_min").alias("_lo"), F.max("_max").alias("_hi"), F.min(F.col("_upto") - F.col("_c")).alias("_below")
+    )
+    targets = materialize(targets, f"{name}-rank")
 
     span = F.col("_hi") - F.col("_lo")
-    # Held inside the enclosure, because the planner may compute this before the filter.
+    # Held inside the bucket, because the planner may compute this before the filter.
     held = F.least(F.greatest("_v", "_lo"), "_hi")
-    part = F.when(span > 0, F.floor((held - F.col("_lo")) / span * buckets)).otherwise(0)
-    histogram = (
-        rows.join(stats, list(keys))
-        .filter(F.col("_v") <= F.col("_hi"))
-        .select(
-            *keys,
-            F.col("_n"),
-            # Slice -1 collects everything below the enclosure under one value.
-            F.when(F.col("_v") < F.col("_lo"), F.lit(-1)).otherwise(part).cast("int").alias("_part"),
-            held.alias("_v"),
-        )
-        .groupBy(*keys, "_n", "_part", "_v")
+    part = F.when(span > 0, F.floor((held - F.col("_lo")) / span * slices)).otherwise(0).cast("int")
+    near = (
+        fan(rows).join(targets, list(keys))
+        .filter(v.between(F.col("_lo"), F.col("_hi")))
+        .groupBy(*keys, "_n", "_below", part.alias("_part"), held.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (
-        histogram.groupBy(*keys, "_part")
-        .agg(F.sum("_c").alias("_total"))
-        .withColumn("_before", F.coalesce(F.sum("_total").over(before), F.lit(0)))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        near.groupBy(*keys, "_part").agg(F.sum("_c").alias("_total"))
+        .withColumn("_skip", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
     )
-    rank = F.lit(p) * (F.col("_n") - 1)
-    first, second = F.floor(rank), F.ceil(rank)
-    holds = (F.col("_before") <= second) & (F.col("_before") + F.col("_total") > first)
     inside = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    start = F.col("_below") + F.col("_skip")
     located = (
-        histogram.join(slices, [*keys, "_part"])
-        .filter(holds)
-        .withColumn("_upto", F.col("_before") + F.sum("_c").over(inside))
+        near.join(parts, [*keys, "_part"])
+        .filter((start <= second) & (start + F.col("_total") > first))
+        .withColumn("_upto", start + F.sum("_c").over(inside))
     )
-    missed = F.raise_error(F.lit("percentile enclosure missed its rank")).cast("double")
     found = located.groupBy(*keys, "_n").agg(
-        F.min("_part").alias("_part"),
-        F.min(F.when(F.col("_upto") > first, F.col("_v"))).alias("_a"),
-        F.min(F.when(F.col("_upto") > second, F.col("_v"))).alias("_b"),
+        F.min(F.when(F.col("_upto") > first, v)).alias("_left"),
+        F.min(F.when(F.col("_upto") > second, v)).alias("_right"),
     )
     return found.select(
-        *keys,
-        F.when(
-            (F.col("_part") >= 0) & F.col("_b").isNotNull(),
-            F.col("_a") + (F.col("_b") - F.col("_a")) * (rank - first),
-        ).otherwise(missed).alias(name),
+        *keys, (F.col("_left") + (F.col("_right") - F.col("_left")) * (rank - first)).alias(name)
     )

@@ -83,7 +83,8 @@ def price_slide(contracts: DataFrame) -> DataFrame:
     )
 
 
-def _channel_struct(ch: Channel, position: int) -> Column:
+def _channel_columns(ch: Channel) -> dict[str, Column]:
+    """Money lines of one channel from the lot's own columns."""
     c = F.col
     gross_cwt = c("lot_size") * c("avg_weight") / 100
     pay_cwt = c("lot_size") * c("avg_weight") * (1 - ch.shrink_pct / 100) / 100
@@ -95,46 +96,49 @@ def _channel_struct(ch: Channel, position: int) -> Column:
         commission + c("lot_size") * ch.yardage + c("lot_size") * ch.inspection + c("lot_size") * ch.fees + hauling
     )
     net = gross_pay - deductions
-    return F.struct(
-        F.lit(position).alias("position"),
-        F.lit(ch.name).alias("channel"),
-        gross_pay.alias("gross_at_pay_weight"),
-        commission.alias("commission"),
-        hauling.alias("hauling"),
-        ((gross_cwt - pay_cwt) * c("base_price")).alias("shrink_loss"),
-        deductions.alias("total_deductions"),
-        net.alias("net_revenue"),
-        (net / gross_cwt).alias("net_per_cwt_gross"),
-        (net / pay_cwt).alias("net_per_cwt_pay"),
-        (net / c("lot_size")).alias("net_per_head"),
-    )
-
-
-def _channel_array(channels: tuple[Channel, ...]) -> Column:
-    return F.array(*[_channel_struct(ch, i) for i, ch in enumerate(channels)])
+    return {
+        "gross_at_pay_weight": gross_pay,
+        "commission": commission,
+        "hauling": hauling,
+        "shrink_loss": (gross_cwt - pay_cwt) * c("base_price"),
+        "total_deductions": deductions,
+        "net_revenue": net,
+        "net_per_cwt_gross": net / gross_cwt,
+        "net_per_cwt_pay": net / pay_cwt,
+        "net_per_head": net / c("lot_size"),
+    }
 
 
 def channel_net(lots: DataFrame, channels: tuple[Channel, ...] = CHANNELS) -> DataFrame:
     """Net revenue of every lot in every channel: a narrow fan-out, no join."""
-    return lots.select("*", F.inline(_channel_array(channels))).drop("position")
+    lines = [
+        F.struct(F.lit(ch.name).alias("channel"), *[e.alias(n) for n, e in _channel_columns(ch).items()])
+        for ch in channels
+    ]
+    return lots.select("*", F.inline(F.array(*lines)))
 
 
 def channel_spread(lots: DataFrame, channels: tuple[Channel, ...] = CHANNELS) -> DataFrame:
     """Lowest and highest net price per lot and how wide the spread is. The comparison
     stays inside the row, so nothing is shuffled. The first channel wins a tie."""
-    nets = _channel_array(channels)
-    lows = F.transform(nets, lambda x: F.struct(x["net_per_cwt_gross"].alias("v"), x["position"].alias("p"), x["channel"].alias("n")))
-    highs = F.transform(nets, lambda x: F.struct(x["net_per_cwt_gross"].alias("v"), (-x["position"]).alias("p"), x["channel"].alias("n")))
-    spread = F.col("_hi.v") - F.col("_lo.v")
-    return lots.withColumns({"_lo": F.array_min(lows), "_hi": F.array_max(highs)}).select(
-        *lots.columns,
-        F.col("_lo.v").alias("net_min"),
-        F.col("_lo.n").alias("channel_min"),
-        F.col("_hi.v").alias("net_max"),
-        F.col("_hi.n").alias("channel_max"),
-        spread.alias("spread"),
+    nets = {f"_net{i}": _channel_columns(ch)["net_per_cwt_gross"] for i, ch in enumerate(channels)}
+    extremes = lots.withColumns(nets).withColumns({
+        "net_min": F.least(*nets) if len(nets) > 1 else F.col("_net0"),
+        "net_max": F.greatest(*nets) if len(nets) > 1 else F.col("_net0"),
+    })
+    named = lambda edge: F.coalesce(*[
+        F.when(F.col(f"_net{i}") == F.col(edge), ch.name) for i, ch in enumerate(channels)
+    ])
+    spread = F.col("spread")
+    return (
+        extremes.withColumns({
+            "channel_min": named("net_min"),
+            "channel_max": named("net_max"),
+            "spread": F.col("net_max") - F.col("net_min"),
+        })
         # Spread classes in $ per cwt.
-        F.when(spread < 3, "small").when(spread < 8, "moderate").otherwise("wide").alias("spread_class"),
+        .withColumn("spread_class", F.when(spread < 3, "small").when(spread < 8, "moderate").otherwise("wide"))
+        .drop(*nets)
     )
 
 
@@ -207,16 +211,24 @@ def break_even(derived: DataFrame, shortest: float = 0.01, longest: float = 20.0
     lo0, hi0 = F.lit(shortest), F.lit(longest)
 
     def halve(state: Column, _: Column) -> Column:
+        # A one-element array binds the midpoint and its margin, so each step works the
+        # margin out once. The sign at the left end is carried along.
         mid = (state["lo"] + state["hi"]) / 2
-        left = margin(state["lo"]) * margin(mid) < 0
-        return F.struct(
-            F.when(left, state["lo"]).otherwise(mid).alias("lo"),
-            F.when(left, mid).otherwise(state["hi"]).alias("hi"),
-        )
+        point = F.transform(F.array(mid), lambda m: F.struct(m.alias("t"), margin(m).alias("d")))
+
+        def narrow(at: Column) -> Column:
+            left = state["d"] * at["d"] < 0
+            return F.struct(
+                F.when(left, state["lo"]).otherwise(at["t"]).alias("lo"),
+                F.when(left, at["t"]).otherwise(state["hi"]).alias("hi"),
+                F.when(left, state["d"]).otherwise(at["d"]).alias("d"),
+            )
+
+        return F.transform(point, narrow)[0]
 
     root = F.aggregate(
         F.sequence(F.lit(1), F.lit(halvings)),
-        F.struct(lo0.alias("lo"), hi0.alias("hi")),
+        F.struct(lo0.alias("lo"), hi0.alias("hi"), margin(lo0).alias("d")),
         halve,
         lambda s: (s["lo"] + s["hi"]) / 2,
     )

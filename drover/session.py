@@ -57,3 +57,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy row work at least one split per core.
+
+    A few large unsplittable inputs (one archive, one row group) would otherwise keep
+    most cores idle. With as many splits as cores, the usual case on a cluster, this
+    does nothing. ``df`` should be a plain scan; no job is run.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
