@@ -23,7 +23,7 @@ from drover.functions.bins import coverage_bin, coverage_label
 from drover.functions.columns import county_id, positive_ratio, safe_ratio, sum0
 from drover.functions.dates import year_window_start, year_windows_of
 from drover.functions.weighted import ZERO_IF_MISSING, from_parts, merge_parts, parts
-from drover.operators.quantiles import exact_percentile
+from drover.operators.quantiles import counts_and_percentile
 
 YEAR = "reinsurance_year"
 COUNTS = (
@@ -48,10 +48,9 @@ def is_core(types: tuple[str, ...] = BACKTEST_TYPES) -> Column:
 
 
 def year_bounds(df: DataFrame) -> tuple[Column, Column]:
-    """First and last year of ``df`` as scalar subqueries (0 and 0 when empty)."""
-    return tuple(
-        F.coalesce(df.agg(f(YEAR)).scalar().cast("int"), F.lit(0)) for f in (F.min, F.max)
-    )
+    """First and last year of ``df`` from one scalar subquery (0 and 0 when empty)."""
+    both = df.agg(F.struct(F.min(YEAR).alias("first"), F.max(YEAR).alias("last"))).scalar()
+    return tuple(F.coalesce(both[end].cast("int"), F.lit(0)) for end in ("first", "last"))
 
 
 def apply_year_window(df: DataFrame, window: str, bounds_of: DataFrame | None = None) -> DataFrame:
@@ -355,11 +354,16 @@ def _coverage_rows(sub: DataFrame) -> DataFrame:
 
 def by_coverage(policies: DataFrame, state: str | None = None, window: str = "all") -> DataFrame:
     """Back-test statistics per coverage bin of one slice."""
-    rows = _coverage_rows(backtest_subset(policies, state, window))
-    keys = ("coverage_level_pct",)
-    stats = _merge_backtest(rows.groupBy(*keys).agg(*_backtest_parts()), keys)
-    median = exact_percentile(rows, keys, "advantage_per_cwt", 0.5, "median_advantage_per_cwt")
-    return stats.join(median, list(keys), "left").select(*COVERAGE_COLUMNS)
+    return _with_medians(_coverage_rows(backtest_subset(policies, state, window)), ("coverage_level_pct",)).select(*COVERAGE_COLUMNS)
+
+
+def _with_medians(rows: DataFrame, keys: tuple[str, ...], base: tuple[str, ...] | None = None, fan=None) -> DataFrame:
+    """Merged back-test statistics and the exact median per group."""
+    cells, median = counts_and_percentile(
+        rows, keys, "advantage_per_cwt", 0.5, "median_advantage_per_cwt", _backtest_parts(), base, fan
+    )
+    stats = _merge_backtest(fan(cells) if fan else cells, keys)
+    return stats.join(median, list(keys), "left")
 
 
 def by_coverage_everywhere(policies: DataFrame) -> DataFrame:
@@ -377,22 +381,14 @@ def by_coverage_everywhere(policies: DataFrame) -> DataFrame:
     rows = _coverage_rows(core).filter(F.col(YEAR).isNotNull())
     base = (YEAR, "state_abbr", "coverage_level_pct")
     fan = lambda df: df.withColumn("window", windows).withColumn("area", F.explode(_areas()))
-    stats = _merge_backtest(fan(rows.groupBy(*base).agg(*_backtest_parts())), keys)
-    median = exact_percentile(rows, keys, "advantage_per_cwt", 0.5, "median_advantage_per_cwt", base, fan)
-    return stats.join(median, list(keys), "left").select("window", "area", *COVERAGE_COLUMNS)
+    return _with_medians(rows, keys, base, fan).select("window", "area", *COVERAGE_COLUMNS)
 
 
 def by_year(policies: DataFrame, state: str | None = None, window: str = "all") -> DataFrame:
     """Count, mean, median and indemnified share per year of one slice."""
     rows = with_advantage(backtest_subset(policies, state, window))
-    stats = rows.groupBy(YEAR).agg(
-        F.count(F.lit(1)).alias("n_endorsements"),
-        F.avg("advantage_per_cwt").alias("mean_advantage_per_cwt"),
-        F.count_if(F.col("indemnity_amount") > 0).alias("n_indemnified"),
-    )
-    median = exact_percentile(rows, (YEAR,), "advantage_per_cwt", 0.5, "median_advantage_per_cwt")
-    return stats.join(median, [YEAR], "left").withColumn(
-        "indemnified_share", F.col("n_indemnified") / F.col("n_endorsements")
+    return _with_medians(rows, (YEAR,)).select(
+        YEAR, "n_endorsements", "mean_advantage_per_cwt", "median_advantage_per_cwt", "n_indemnified", "indemnified_share"
     )
 
 

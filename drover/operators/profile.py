@@ -11,7 +11,7 @@ from drover.config import FEEDER_CLASSES, LIVE_FLOOR, ROW_CAPS, UNATTRIBUTED_STA
 from drover.functions.bins import bin_floor
 from drover.operators.lots import core_lots
 from drover.config import LotScope
-from drover.operators.quantiles import exact_percentile
+from drover.operators.quantiles import counts_and_percentile
 
 
 def weeks_per_year(df: DataFrame, day: str = "auction_date") -> DataFrame:
@@ -48,9 +48,10 @@ CELL = ("year", "class", "weight_break_low", "weight_break_high")
 def annual_medians(prices: DataFrame, day: str = "auction_date") -> DataFrame:
     """Exact median price and row count per (year, class, bin)."""
     rows = prices.withColumn("year", F.year(day)).dropna(subset=list(CELL))
-    counts = rows.groupBy(*CELL).agg(F.count(F.lit(1)).alias("n_obs"))
-    medians = exact_percentile(rows, CELL, "price_avg", 0.5, "price_median")
-    return counts.join(medians, list(CELL), "left")
+    counts, medians = counts_and_percentile(
+        rows, CELL, "price_avg", 0.5, "price_median", [F.count(F.lit(1)).alias("n_obs")]
+    )
+    return counts.groupBy(*CELL).agg(F.sum("n_obs").alias("n_obs")).join(medians, list(CELL), "left")
 
 
 def load_breakdown(policies: DataFrame, watched_state: str = "NM") -> DataFrame:
@@ -77,10 +78,10 @@ def load_breakdown(policies: DataFrame, watched_state: str = "NM") -> DataFrame:
 def basis_ranges_by_contract(basis: DataFrame) -> DataFrame:
     """Min, max, median basis and rows per contract."""
     rows = basis.filter(F.col("basis").isNotNull() & F.col("contract_month").isNotNull())
-    stats = rows.groupBy("contract_month").agg(
-        F.min("basis").alias("basis_min"), F.max("basis").alias("basis_max"), F.count("basis").alias("n")
+    counts, medians = counts_and_percentile(rows, ("contract_month",), "basis", 0.5, "basis_median")
+    stats = counts.groupBy("contract_month").agg(
+        F.min("_min").alias("basis_min"), F.max("_max").alias("basis_max"), F.sum("_c").alias("n")
     )
-    medians = exact_percentile(rows, ("contract_month",), "basis", 0.5, "basis_median")
     return stats.join(medians, "contract_month")
 
 
@@ -100,21 +101,30 @@ def top_values(df: DataFrame, columns: tuple[str, ...], top: int = 10) -> DataFr
 
 def policy_profile(policies: DataFrame) -> DataFrame:
     """One-row profile: ranges, distinct states, median coverage price, paid endorsements."""
-    one = policies.withColumn("_all", F.lit(1))
-    stats = one.groupBy("_all").agg(
+    parts = [
         F.count(F.lit(1)).alias("rows"),
         # States and years are short lists; a set of them avoids expanding every row.
-        F.size(F.collect_set("state_abbr")).cast("long").alias("n_states"),
-        F.size(F.collect_set("reinsurance_year")).cast("long").alias("n_years"),
-        F.min("effective_date").alias("effective_min"),
-        F.max("effective_date").alias("effective_max"),
-        F.min("end_date").alias("end_min"),
-        F.max("end_date").alias("end_max"),
-        F.min("coverage_price").alias("coverage_price_min"),
-        F.max("coverage_price").alias("coverage_price_max"),
+        F.collect_set("state_abbr").alias("states"),
+        F.collect_set("reinsurance_year").alias("years"),
+        *[f(c).alias(f"{c}_{n}") for c in ("effective_date", "end_date") for n, f in (("min", F.min), ("max", F.max))],
         F.count_if(F.col("indemnity_amount") != 0).alias("n_nonzero_indemnity"),
+    ]
+    counts, median = counts_and_percentile(
+        policies.withColumn("_all", F.lit(1)), ("_all",), "coverage_price", 0.5, "coverage_price_median", parts
+    )
+    distinct = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long")
+    stats = counts.groupBy("_all").agg(
+        F.sum("rows").alias("rows"),
+        distinct("states").alias("n_states"),
+        distinct("years").alias("n_years"),
+        F.min("effective_date_min").alias("effective_min"),
+        F.max("effective_date_max").alias("effective_max"),
+        F.min("end_date_min").alias("end_min"),
+        F.max("end_date_max").alias("end_max"),
+        F.min("_min").alias("coverage_price_min"),
+        F.max("_max").alias("coverage_price_max"),
+        F.sum("n_nonzero_indemnity").alias("n_nonzero_indemnity"),
     )
-    median = exact_percentile(one, ("_all",), "coverage_price", 0.5, "coverage_price_median")
     return stats.join(median, "_all").drop("_all")
 
 

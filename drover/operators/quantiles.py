@@ -27,39 +27,48 @@ def magnitude(v: Column) -> Column:
     return F.when(v > 0, step(v)).when(v < 0, -step(-v)).otherwise(0)
 
 
-def exact_percentile(
+def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, p: float, name: str, slices: int = 64) -> DataFrame:
+    """Percentile ``p`` per group with linear interpolation, as ``keys + (name,)``."""
+    return counts_and_percentile(df, keys, value, p, name, slices=slices)[1]
+
+
+def counts_and_percentile(
     df: DataFrame,
     keys: tuple[str, ...],
     value: str,
     p: float,
     name: str,
+    parts: list[Column] | None = None,
     base: tuple[str, ...] | None = None,
     fan: Callable[[DataFrame], DataFrame] | None = None,
     slices: int = 64,
-) -> DataFrame:
-    """Percentile ``p`` per group with linear interpolation, as ``keys + (name,)``.
+) -> tuple[DataFrame, DataFrame]:
+    """(counts, percentiles). Counts hold the mergeable aggregates ``parts`` per (base,
+    magnitude bucket), so other statistics of the same groups need no scan of their own.
 
-    1. Rows are counted per (group, magnitude bucket), partial counts first, so a group
+    1. Rows are counted per (base, magnitude bucket), partial counts first, so a group
        that holds a third of all rows costs one row per bucket and task. Running counts
        over the buckets show which bucket holds the wanted rank, and how many rows lie
-       below it. The answer, one row per group, is written; the planner then knows its
-       size and broadcasts it only if it is small.
+       below it. Both results are written; the planner then knows the size of the
+       per-group ranks and broadcasts them only if they are small.
     2. Only rows inside that bucket travel: they are counted by value, in ``slices`` equal
        parts of the bucket, and running counts over parts, then inside a part, find the
        two neighbouring values. No task ever holds a whole group.
 
     ``fan`` maps rows keyed by ``base`` to the groups they belong to, when groups overlap.
-    It is applied to the bucket counts in step 1. Keys must not be null.
+    In step 1 it multiplies the counts, not the rows. Keys must not be null.
     """
     base = base or keys
     fan = fan or (lambda d: d)
     v = F.col("_v")
-    rows = df.select(*base, F.col(value).cast("double").alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
-
-    counted = rows.groupBy(*base, magnitude(v).alias("_b")).agg(
-        F.count(v).alias("_c"), F.min(v).alias("_min"), F.max(v).alias("_max")
+    present = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
+    valued = df.withColumn("_v", present)
+    counted = valued.groupBy(*base, F.when(v.isNotNull(), magnitude(v)).alias("_b")).agg(
+        F.count(v).alias("_c"), F.min(v).alias("_min"), F.max(v).alias("_max"), *(parts or [])
     )
-    by_bucket = fan(counted).groupBy(*keys, "_b").agg(
+    counted = materialize(counted, f"{name}-counts")
+    rows = valued.select(*base, "_v").filter(v.isNotNull())
+    by_bucket = fan(counted.filter(F.col("_b").isNotNull())).groupBy(*keys, "_b").agg(
         F.sum("_c").alias("_c"), F.min("_min").alias("_min"), F.max("_max").alias("_max")
     )
     along = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
@@ -101,6 +110,7 @@ def exact_percentile(
         F.min(F.when(F.col("_upto") > first, v)).alias("_left"),
         F.min(F.when(F.col("_upto") > second, v)).alias("_right"),
     )
-    return found.select(
+    percentiles = found.select(
         *keys, (F.col("_left") + (F.col("_right") - F.col("_left")) * (rank - first)).alias(name)
     )
+    return counted, percentiles

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from drover.operators.quantiles import exact_percentile
+from drover.operators.quantiles import counts_and_percentile, exact_percentile
 
 
 def expected(groups, p):
@@ -49,7 +49,7 @@ def test_overlapping_groups(spark):
     data = [(rng.randint(0, 5), rng.gauss(5, 20)) for _ in range(1500)]
     df = spark.createDataFrame(data, "b int, x double")
     fan = lambda d: d.withColumn("k", F.explode(F.when(F.col("b") % 2 == 0, F.array(F.lit("even"), F.lit("all"))).otherwise(F.array(F.lit("all")))))
-    got = {r.k: r.m for r in exact_percentile(df, ("k",), "x", 0.5, "m", ("b",), fan).collect()}
+    got = {r.k: r.m for r in counts_and_percentile(df, ("k",), "x", 0.5, "m", base=("b",), fan=fan)[1].collect()}
     assert got["all"] == pytest.approx(np.median([x for _, x in data]))
     assert got["even"] == pytest.approx(np.median([x for b, x in data if b % 2 == 0]))
 
