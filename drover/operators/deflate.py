@@ -16,7 +16,7 @@ def index_by_month(cpi: DataFrame) -> DataFrame:
     input size. That bound is what allows the broadcast in the joins below."""
     pick = F.max_by("cpi_u", F.struct("vintage", "cpi_u")) if "vintage" in cpi.columns else F.max("cpi_u")
     return (
-        cpi.filter(F.col("period").isNotNull() & F.col("cpi_u").isNotNull())
+        cpi.filter(month_start("period").isNotNull() & F.col("cpi_u").isNotNull())
         .groupBy(month_start("period").alias("period"))
         .agg(pick.alias("cpi_u"))
     )

@@ -52,22 +52,25 @@ def weekly_cells(
 ) -> DataFrame:
     """One head-weighted price per (date, class, weight class).
 
-    A single hash aggregation: partial sums are combined before the shuffle, so a
-    class that holds a third of all lots costs one row per map task. ``extra_keys``
-    (a market, say) extend the cell key.
+    Sums are hash-aggregated per source first, partial sums before the shuffle, so a class
+    that holds a third of all lots costs one row per map task. The set of sources is
+    collected afterwards, over one row per cell and source: collecting it from the lots
+    would turn the large aggregation into a sort. ``extra_keys`` (a market, say) extend
+    the cell key.
     """
     binned = (
         core_lots(lots, scope)
         .withColumn("weight_class", ladder_label(bin_floor("weight_break_low", "avg_weight")))
         .filter(F.col("weight_class").isNotNull() & priced() & F.col("auction_date").isNotNull())
     )
-    heads = F.sum(effective_weight("head_count", ONE_HEAD_FLOOR))
-    return binned.groupBy(
-        *extra_keys, "auction_date", F.col("class").alias("sex"), "weight_class"
-    ).agg(
-        F.bround(heads).cast("long").alias("head_count"),
-        F.count(F.lit(1)).cast("int").alias("n_pens"),
-        weighted_mean("price_avg", "head_count", ONE_HEAD_FLOOR).alias("price_nominal"),
+    keys = (*extra_keys, "auction_date", "sex", "weight_class")
+    by_source = binned.withColumnRenamed("class", "sex").groupBy(*keys, source).agg(
+        *parts("price_avg", "head_count", ONE_HEAD_FLOOR, "p"), F.count(F.lit(1)).alias("_pens")
+    )
+    return by_source.groupBy(*keys).agg(
+        F.bround(F.sum("p_w")).cast("long").alias("head_count"),
+        F.sum("_pens").cast("int").alias("n_pens"),
+        F.try_divide(F.sum("p_wx"), F.sum("p_w")).alias("price_nominal"),
         F.array_join(F.sort_array(F.collect_set(source)), ",").alias("source_eras"),
     )
 

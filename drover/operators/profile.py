@@ -58,11 +58,13 @@ def load_breakdown(policies: DataFrame, watched_state: str = "NM") -> DataFrame:
     """Per year: rows, attributed states, unattributed rows, rows of one watched state,
     and a map of type code to rows."""
     state = F.col("state_abbr")
-    by_type = policies.groupBy("reinsurance_year", "type_code").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count_if(state == UNATTRIBUTED_STATE).alias("_xx"),
-        F.count_if(state == watched_state).alias("_watched"),
-        # At most one entry per state code, combined before the shuffle.
+    # One row per (year, type, state) first; sets and lists are collected from those.
+    small = policies.groupBy("reinsurance_year", "type_code", "state_abbr").agg(F.count(F.lit(1)).alias("_n"))
+    count_of = lambda code: F.coalesce(F.sum(F.when(state == code, F.col("_n"))), F.lit(0))
+    by_type = small.groupBy("reinsurance_year", "type_code").agg(
+        F.sum("_n").alias("_n"),
+        count_of(UNATTRIBUTED_STATE).alias("_xx"),
+        count_of(watched_state).alias("_watched"),
         F.collect_set(F.when(state != UNATTRIBUTED_STATE, state)).alias("_states"),
     )
     pair = F.when(F.col("type_code").isNotNull(), F.struct("type_code", "_n"))
@@ -103,20 +105,17 @@ def policy_profile(policies: DataFrame) -> DataFrame:
     """One-row profile: ranges, distinct states, median coverage price, paid endorsements."""
     parts = [
         F.count(F.lit(1)).alias("rows"),
-        # States and years are short lists; a set of them avoids expanding every row.
-        F.collect_set("state_abbr").alias("states"),
-        F.collect_set("reinsurance_year").alias("years"),
         *[f(c).alias(f"{c}_{n}") for c in ("effective_date", "end_date") for n, f in (("min", F.min), ("max", F.max))],
         F.count_if(F.col("indemnity_amount") != 0).alias("n_nonzero_indemnity"),
     ]
     counts, median = counts_and_percentile(
-        policies.withColumn("_all", F.lit(1)), ("_all",), "coverage_price", 0.5, "coverage_price_median", parts
+        policies, ("_all",), "coverage_price", 0.5, "coverage_price_median", parts,
+        base=("state_abbr", "reinsurance_year"), fan=lambda d: d.withColumn("_all", F.lit(1)),
     )
-    distinct = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c)))).cast("long")
-    stats = counts.groupBy("_all").agg(
+    stats = counts.withColumn("_all", F.lit(1)).groupBy("_all").agg(
         F.sum("rows").alias("rows"),
-        distinct("states").alias("n_states"),
-        distinct("years").alias("n_years"),
+        F.countDistinct("state_abbr").alias("n_states"),
+        F.countDistinct("reinsurance_year").alias("n_years"),
         F.min("effective_date_min").alias("effective_min"),
         F.max("effective_date_max").alias("effective_max"),
         F.min("end_date_min").alias("end_min"),
@@ -172,8 +171,10 @@ def volume_dip(df: DataFrame, year: int, neighbours: tuple[int, ...], day: str =
 
 
 def sample_per_year(df: DataFrame, day: str = "auction_date") -> DataFrame:
-    """First row of each year, ties broken by the remaining columns."""
-    order = F.struct(day, *[c for c in df.columns if c != day])
-    return df.groupBy(F.year(day).alias("year")).agg(
+    """First row of each year, ties broken by the remaining columns. The first date of
+    each year (one row per calendar year) narrows the rows before any is compared."""
+    starts = df.filter(F.col(day).isNotNull()).groupBy(F.year(day).alias("year")).agg(F.min(day).alias(day))
+    order = F.struct(*[c for c in df.columns if c != day])
+    return df.join(F.broadcast(starts), day).groupBy("year").agg(
         F.min_by(F.struct(*df.columns), order).alias("_r")
     ).select("year", "_r.*")

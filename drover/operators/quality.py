@@ -77,8 +77,8 @@ def key_signature(df: DataFrame, body: str, row_path: str | None = None) -> Data
     if row_path:
         inner = names(F.get_json_object(body, row_path))
         shape = F.concat(shape, F.coalesce(F.concat(F.lit("|row:"), inner), F.lit("")))
-    return df.groupBy(F.sha2(shape, 256).alias("signature")).agg(
-        F.min(shape).alias("shape"), F.count(F.lit(1)).alias("n_rows")
+    return df.groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+        "signature", F.sha2("shape", 256)
     )
 
 
