@@ -124,6 +124,11 @@ def endorsement_lines(spark, d):
             shown = F.lit("")
         fields.append(F.coalesce(shown, F.lit("")))
     edition = F.when(F.col("liability_amount") % 2 == 0, "2026-04-27").otherwise("2025-04-27")
+    # Written first, as raw files would be, so that parsing starts from text at rest.
+    return materialize(spread_lines(p, fields, edition), "lines")
+
+
+def spread_lines(p, fields, edition):
     return p.select(
         F.concat(F.lit("lrp_"), F.col("reinsurance_year").cast("string"), F.lit("_"), edition, F.lit(".txt")).alias("file_name"),
         F.concat_ws("|", *fields).alias("value"),
@@ -140,6 +145,16 @@ def _(spark, d):
     return rounded(out, "coverage_level_pct", "total_weight_cwt")
 
 
+@query("a4_endorsement_files", f"""WITH {POLICIES} SELECT reinsurance_year, type_code, count(*) AS n, count(end_date) FILTER (length_weeks <> 13) AS n_end, CAST(sum(n_head) AS BIGINT) AS n_head, CAST(sum(indemnity_amount) AS BIGINT) AS indemnity
+ FROM policies GROUP BY 1, 2""")
+def _(spark, d):
+    path = f"{_root(spark)}/lines"
+    endorsement_lines(spark, d).select("value").write.text(path)
+    return endorsements.read_text(spark, path).groupBy("reinsurance_year", "type_code").agg(
+        F.count("*").alias("n"), F.count("end_date").alias("n_end"), F.sum("n_head").alias("n_head"), F.sum("indemnity_amount").alias("indemnity")
+    )
+
+
 @query("a5_endorsement_corpus", f"""WITH {POLICIES} SELECT reinsurance_year, DATE '2026-04-27' AS vintage, count(*) AS n, CAST(sum(liability_amount) AS BIGINT) AS liability FROM policies
  WHERE liability_amount % 2 = 0 AND commodity_code = '0801' AND plan_code = '81' GROUP BY 1""")
 def _(spark, d):

@@ -62,17 +62,37 @@ def _typed(raw: Column, kind: str) -> Column:
     return integer(present, kind)
 
 
+def typed(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Text columns to typed columns: empty text is null, and so are numbers and dates
+    that do not parse."""
+    return raw.select(*keep, *[_typed(F.col(name), kind).alias(name) for _, name, kind in COLUMNS])
+
+
 def parse_lines(lines: DataFrame, line: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed endorsements from text lines. No quoting; empty text is null; numbers and
-    dates that do not parse are null. A line of the wrong width fails the job."""
+    """Typed endorsements from text lines, without quoting. A line of the wrong width
+    fails the job."""
     fields = F.split(F.col(line), r"\|", -1)
     wrong = F.raise_error(F.concat(F.lit(f"expected {len(COLUMNS)} fields: "), F.col(line))).cast("array<string>")
     checked = lines.filter(F.col(line) != "").select(
         *keep, F.when(F.size(fields) == len(COLUMNS), fields).otherwise(wrong).alias("_f")
     )
-    return checked.select(
-        *keep, *[_typed(F.col("_f")[i], kind).alias(name) for i, (_, name, kind) in enumerate(COLUMNS)]
+    return typed(checked.select(*keep, *[F.col("_f")[i].alias(name) for i, (_, name, _) in enumerate(COLUMNS)]), keep)
+
+
+def read_text(spark: SparkSession, path: str) -> DataFrame:
+    """Typed endorsements of plain text files with their ``file_name``. The delimited-file
+    reader splits large files across tasks and skips columns nobody asks for. A line of
+    the wrong width fails the job."""
+    schema = ", ".join(f"{name} string" for _, name, _ in COLUMNS) + ", _bad string"
+    raw = (
+        spark.read.schema(schema)
+        .options(sep="|", quote="", mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
+        .csv(path)
+        .select("*", F.col("_metadata.file_name").alias("file_name"))
     )
+    wrong = F.raise_error(F.concat(F.lit(f"expected {len(COLUMNS)} fields: "), F.col("_bad"))).cast("boolean")
+    # A filter, so that the width is tested whichever columns are used later.
+    return typed(raw.filter(F.when(F.col("_bad").isNull(), True).otherwise(wrong)), ("file_name",))
 
 
 def feeder_policies(policies: DataFrame) -> DataFrame:
@@ -122,6 +142,12 @@ def zipped_lines(spark: SparkSession, path: str, batch: int = 20_000) -> DataFra
 
 
 def corpus(lines: DataFrame, vintage: str) -> DataFrame:
-    """All yearly files of one vintage as one filtered, typed table."""
+    """All yearly files of one vintage as one filtered, typed table, from their lines."""
     tagged = with_file_tags(lines).filter(F.col("vintage") == F.lit(vintage).cast("date"))
     return feeder_policies(parse_lines(tagged, keep=("file_year", "vintage")))
+
+
+def read_corpus(spark: SparkSession, path: str, vintage: str) -> DataFrame:
+    """:func:`corpus` for a folder of plain text files."""
+    tagged = with_file_tags(read_text(spark, path)).filter(F.col("vintage") == F.lit(vintage).cast("date"))
+    return feeder_policies(tagged).drop("file_name")

@@ -148,6 +148,16 @@ def test_zip_with_two_members_fails(spark, tmp_path):
 def test_text_files(spark, tmp_path):
     (tmp_path / "lrp_2024_2026-04-27.txt").write_text(line() + "\n" + line() + "\n")
     assert endorsements.corpus(endorsements.text_lines(spark, str(tmp_path)), "2026-04-27").count() == 2
+    a = endorsements.read_corpus(spark, str(tmp_path), "2026-04-27").drop("file_year", "vintage").collect()
+    b = endorsements.corpus(endorsements.text_lines(spark, str(tmp_path)), "2026-04-27").drop("file_year", "vintage").collect()
+    assert [r.asDict() for r in a] == [r.asDict() for r in b] and a[0].type_name == 'Steers "1"'
+
+
+@pytest.mark.parametrize("text", ["a|b", line() + "|extra"])
+def test_text_file_of_wrong_width_fails(spark, tmp_path, text):
+    (tmp_path / "lrp_2024_2026-04-27.txt").write_text(text + "\n")
+    with pytest.raises(PySparkException, match="expected 31 fields"):
+        endorsements.read_corpus(spark, str(tmp_path), "2026-04-27").collect()
 
 
 def test_settle_sheet(spark):
