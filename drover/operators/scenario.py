@@ -83,45 +83,54 @@ def price_slide(contracts: DataFrame) -> DataFrame:
     )
 
 
-def _channel_columns(ch: Channel) -> dict[str, Column]:
-    """Money lines of one channel from the lot's own columns."""
+def _net_per_cwt(ch: Channel) -> Column:
+    """Net price per hundredweight of gross weight in one channel."""
     c = F.col
     gross_cwt = c("lot_size") * c("avg_weight") / 100
-    pay_cwt = c("lot_size") * c("avg_weight") * (1 - ch.shrink_pct / 100) / 100
-    gross_pay = c("base_price") * pay_cwt
+    gross_pay = c("base_price") * (c("lot_size") * c("avg_weight") * (1 - ch.shrink_pct / 100) / 100)
     distance = {"local": c("distance_local"), "video": c("distance_video")}.get(ch.haul, F.lit(0.0))
-    commission = gross_pay * (ch.commission_pct / 100)
-    hauling = distance * c("hauling_rate")
-    deductions = (
-        commission + c("lot_size") * ch.yardage + c("lot_size") * ch.inspection + c("lot_size") * ch.fees + hauling
-    )
-    net = gross_pay - deductions
-    return {
-        "gross_at_pay_weight": gross_pay,
-        "commission": commission,
-        "hauling": hauling,
-        "shrink_loss": (gross_cwt - pay_cwt) * c("base_price"),
-        "total_deductions": deductions,
-        "net_revenue": net,
-        "net_per_cwt_gross": net / gross_cwt,
-        "net_per_cwt_pay": net / pay_cwt,
-        "net_per_head": net / c("lot_size"),
-    }
+    kept = gross_pay * (1 - ch.commission_pct / 100)
+    return (kept - c("lot_size") * (ch.yardage + ch.inspection + ch.fees) - distance * c("hauling_rate")) / gross_cwt
 
 
 def channel_net(lots: DataFrame, channels: tuple[Channel, ...] = CHANNELS) -> DataFrame:
-    """Net revenue of every lot in every channel: a narrow fan-out, no join."""
-    lines = [
-        F.struct(F.lit(ch.name).alias("channel"), *[e.alias(n) for n, e in _channel_columns(ch).items()])
+    """Net revenue of every lot in every channel: a narrow fan-out over the constant cost
+    table, then one set of expressions for all channels, and no join."""
+    c = F.col
+    costs = F.array(*[
+        F.struct(
+            F.lit(ch.name).alias("channel"), F.lit(ch.commission_pct).alias("_commission"), F.lit(ch.yardage).alias("_yardage"),
+            F.lit(ch.inspection).alias("_inspection"), F.lit(ch.fees).alias("_fees"), F.lit(ch.shrink_pct).alias("_shrink"),
+            F.lit(ch.haul).alias("_haul"),
+        )
         for ch in channels
-    ]
-    return lots.select("*", F.inline(F.array(*lines)))
+    ])
+    distance = F.when(c("_haul") == "local", c("distance_local")).when(c("_haul") == "video", c("distance_video")).otherwise(0.0)
+    fanned = lots.select("*", F.inline(costs))
+    weighed = fanned.withColumns({
+        "_gross_cwt": c("lot_size") * c("avg_weight") / 100,
+        "_pay_cwt": c("lot_size") * c("avg_weight") * (1 - c("_shrink") / 100) / 100,
+        "hauling": distance * c("hauling_rate"),
+    })
+    priced = weighed.withColumn("gross_at_pay_weight", c("base_price") * c("_pay_cwt")).withColumns({
+        "commission": c("gross_at_pay_weight") * (c("_commission") / 100),
+        "shrink_loss": (c("_gross_cwt") - c("_pay_cwt")) * c("base_price"),
+    })
+    per_head = c("lot_size") * c("_yardage") + c("lot_size") * c("_inspection") + c("lot_size") * c("_fees")
+    netted = priced.withColumn("total_deductions", c("commission") + per_head + c("hauling")).withColumn(
+        "net_revenue", c("gross_at_pay_weight") - c("total_deductions")
+    )
+    return netted.withColumns({
+        "net_per_cwt_gross": c("net_revenue") / c("_gross_cwt"),
+        "net_per_cwt_pay": c("net_revenue") / c("_pay_cwt"),
+        "net_per_head": c("net_revenue") / c("lot_size"),
+    }).drop("_commission", "_yardage", "_inspection", "_fees", "_shrink", "_haul", "_gross_cwt", "_pay_cwt")
 
 
 def channel_spread(lots: DataFrame, channels: tuple[Channel, ...] = CHANNELS) -> DataFrame:
     """Lowest and highest net price per lot and how wide the spread is. The comparison
     stays inside the row, so nothing is shuffled. The first channel wins a tie."""
-    nets = {f"_net{i}": _channel_columns(ch)["net_per_cwt_gross"] for i, ch in enumerate(channels)}
+    nets = {f"_net{i}": _net_per_cwt(ch) for i, ch in enumerate(channels)}
     extremes = lots.withColumns(nets).withColumns({
         "net_min": F.least(*nets) if len(nets) > 1 else F.col("_net0"),
         "net_max": F.greatest(*nets) if len(nets) > 1 else F.col("_net0"),

@@ -54,8 +54,8 @@ def test_spread(spark):
     lot = spark.createDataFrame([(10.0, 500.0, 200.0, 0.0, 0.0, 0.0)], OFFER)
     r = S.channel_spread(lot).first()
     nets = {x.channel: x.net_per_cwt_gross for x in S.channel_net(lot).collect()}
-    assert (r.net_min, r.net_max) == (min(nets.values()), max(nets.values()))
-    assert nets[r.channel_max] == r.net_max and r.spread_class == "wide"
+    assert (r.net_min, r.net_max) == pytest.approx((min(nets.values()), max(nets.values())))
+    assert nets[r.channel_max] == pytest.approx(r.net_max) and r.spread_class == "wide"
     same = tuple(Channel(n, 1.0, 0.0, 0.0, 0.0, 0.0, "none") for n in ("first", "second"))
     tie = S.channel_spread(lot, same).first()
     assert (tie.channel_min, tie.channel_max, tie.spread_class) == ("first", "first", "small")
