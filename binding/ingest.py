@@ -125,14 +125,11 @@ def endorsement_lines(spark, d):
         fields.append(F.coalesce(shown, F.lit("")))
     edition = F.when(F.col("liability_amount") % 2 == 0, "2026-04-27").otherwise("2025-04-27")
     # Written first, as raw files would be, so that parsing starts from text at rest.
-    return materialize(spread_lines(p, fields, edition), "lines")
-
-
-def spread_lines(p, fields, edition):
-    return p.select(
+    lines = p.select(
         F.concat(F.lit("lrp_"), F.col("reinsurance_year").cast("string"), F.lit("_"), edition, F.lit(".txt")).alias("file_name"),
         F.concat_ws("|", *fields).alias("value"),
     )
+    return materialize(lines, "lines")
 
 
 @query("a4_endorsement_lines", f"""WITH {POLICIES} SELECT reinsurance_year, CAST(NULL AS SMALLINT) AS commodity_year, state_abbr, coalesce(county_name, '') AS county_name, type_code, effective_date,
