@@ -94,6 +94,9 @@ def counts_and_percentile(
         .groupBy(*keys, "_n", "_below", part.alias("_part"), held.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    # Read twice below. Written, because the planner prunes the two uses differently and
+    # would scan all rows once for each.
+    near = materialize(near, f"{name}-near")
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
         near.groupBy(*keys, "_part").agg(F.sum("_c").alias("_total"))
