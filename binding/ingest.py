@@ -12,7 +12,7 @@ from drover import config as C
 from drover.functions.columns import integer, marker_to_null, number, parsed_date
 from drover.functions.bins import bin_floor
 from drover.operators import vintage as V
-from drover.session import materialize, shared_dir, spread
+from drover.session import fresh_path, materialize
 from drover.sources import endorsements, index_json, lots_json, reports, sheets, tables as T
 
 VINTAGE = "2002-01-07"
@@ -51,7 +51,7 @@ def payloads(spark, d):
     )
     as_list = F.concat(F.lit("["), F.to_json(feeder), F.lit(","), F.to_json(slaughter), F.lit("]"))
     even = c("l_orderkey") % 2 == 0
-    return spread(table(spark, d, "lineitem")).select(
+    return table(spark, d, "lineitem").select(
         F.when(even, F.concat(F.lit('{"results":'), as_list, F.lit("}"))).otherwise(as_list).alias("value")
     )
 
@@ -236,7 +236,7 @@ def report_texts(spark, d):
         F.lit(" Feeder Bulls Medium and Large 1"),
         F.lit("  97   500   500   100.00   100.00"),
     ]
-    return spread(table(spark, d, "lineitem")).select(
+    return table(spark, d, "lineitem").select(
         F.concat(F.lit("CV_LS750"), F.date_format(day, "yyyyMMdd"), F.lit(".TXT")).alias("file_name"),
         F.concat_ws("\r\n", *lines).alias("value"),
     )
@@ -367,9 +367,7 @@ def _(spark, d):
 
 
 def _root(spark):
-    import uuid
-
-    return f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
+    return fresh_path(spark, "published")
 
 
 def _published(spark, d):

@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from binding.registry import q, query, rounded
 from binding.tables import LOTS, lots, table
 from drover.config import LOT_KEY
 from drover.operators import quality as Q
-from drover.session import shared_dir
+from drover.session import fresh_path
 from drover.streaming import refresh as R
 
 
 def _stream(spark, d):
     schema = table(spark, d, "events").schema
-    return R.file_stream(spark, d, schema, "events.parquet"), f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    return R.file_stream(spark, d, schema, "events.parquet"), fresh_path(spark, "stream")
 
 
 @query("s1_gated_refresh", f"SELECT event_type, count(*) AS n, {q('sum(value)', 2)} AS total FROM events GROUP BY 1")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,10 @@ SETTINGS = {
 }
 
 
+# Intermediate tables of this driver that release() has yet to delete.
+_written: list[str] = []
+
+
 def builder(app: str = "drover") -> SparkSession.Builder:
     b = SparkSession.builder.appName(app)
     for key, value in SETTINGS.items():
@@ -32,39 +35,46 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables.
+    """The folder for intermediate tables, which every executor must reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local master may fall
-    back to a temporary folder, because executors elsewhere could not read it.
+    ``spark.checkpoint.dir`` names it. Where that is unset, as in tests, it becomes a
+    folder in the warehouse, which is shared by definition. The rule is the same for
+    every master.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="drover-")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_drover"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in :func:`shared_dir`, noted so that :func:`release` removes it."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of it.
 
     Cuts lineage durably (a lost executor re-reads a file), and gives the planner the
     true size of the table, so it broadcasts it only below its own threshold and
     shuffles it otherwise. Used for aggregates that feed more than one consumer.
+    The table stays until :func:`release`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row work at least one split per core.
+def release(spark: SparkSession) -> None:
+    """Delete what :func:`materialize` has written so far.
 
-    A few large unsplittable inputs (one archive, one row group) would otherwise keep
-    most cores idle. With as many splits as cores, the usual case on a cluster, this
-    does nothing. ``df`` should be a plain scan; no job is run.
+    Call it once the results built from it have been consumed; a frame that still
+    reads an intermediate table fails afterwards.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
