@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm import language, mixing, packing, quality, sharding
+from drover.llm import language, mixing, neardup, packing, quality, sharding
 from drover.llm.base import QUERIES, SQL, query, table, words_in
 
 __all__ = ["QUERIES", "SQL"]
@@ -94,3 +94,8 @@ def _(spark, d) -> DataFrame:
 @query("op7_pack_bounded_space")
 def _(spark, d) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_minhash_one_permutation")
+def _(spark, d) -> DataFrame:
+    return neardup.near_duplicates(table(spark, d, "documents"), "doc_id", "text", width=3, percent=85)
