@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm import language, mixing, neardup, packing, quality, sharding
+from drover.llm import language, mixing, neardup, packing, quality, sharding, topk
 from drover.llm.base import QUERIES, SQL, query, table, words_in
 
 __all__ = ["QUERIES", "SQL"]
@@ -96,6 +96,18 @@ def _(spark, d) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+OP9_SQL = """WITH v AS (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
+@query("op9_top_k_branch_and_bound", OP9_SQL)
+def _(spark, d) -> DataFrame:
+    return topk.top_k(table(spark, d, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20)
+
+
 @query("op10_minhash_one_permutation")
 def _(spark, d) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"), "doc_id", "text", width=3, percent=85)
