@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm import language, mixing, neardup, packing, quality, sharding, topk
+from drover.llm import html, language, mixing, neardup, packing, quality, sharding, topk
 from drover.llm.base import QUERIES, SQL, query, table, words_in
 
 __all__ = ["QUERIES", "SQL"]
@@ -37,6 +37,11 @@ def _(spark, d) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_extract_tree_scoring")
+def _(spark, d) -> DataFrame:
+    return html.extract(table(spark, d, "pages"), ["page_id", "url"])
+
+
 OP4_SQL = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
 p AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM w),
