@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm import html, language, mixing, neardup, packing, quality, sharding, topk
+from drover.llm import html, language, mixing, neardup, packing, pii, quality, sharding, topk
 from drover.llm.base import QUERIES, SQL, query, table, words_in
 
 __all__ = ["QUERIES", "SQL"]
@@ -96,6 +96,19 @@ def _(spark, d) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op6_pii_conditional_random_field")
+def _(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    found = pii.find(docs, pii.train(docs), ["doc_id"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+    name = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    listed = lambda spans: F.array_join(F.transform(spans, name), ",")
+    base = listed(F.filter("spans", lambda s: s["base"]))
+    return found.select(
+        "doc_id", *(count(k) for k in pii.KINDS), F.sha2(base.cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
+
+
 @query("op7_pack_bounded_space")
 def _(spark, d) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
