@@ -7,10 +7,10 @@ predecessor kept, written as Parquet and read again.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from drover.llm import language, mixing, packing
+from drover.llm import language, mixing, neardup, packing, pii
 from drover.llm.base import WORD, ship, table, words_in
 from drover.session import materialize
 
@@ -26,6 +26,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter((F.col("lang_pred") != language.UND) & (F.col("score") >= LANGUAGE_SCORE)).select(*COLUMNS)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles: the one
+    with the least doc_id. Rows that repeat a document under its own id count as copies."""
+    found = neardup.near_duplicates(docs.select("doc_id", "text"), width=5, percent=80)
+    kept = found.filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    again = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang", "n_chars")
+    return left.withColumn("_copy", F.row_number().over(again)).filter("_copy = 1 OR doc_id IS NULL").select(*COLUMNS)
+
+
+def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data give way to the name of their kind."""
+    masked = pii.redacted(docs.select(*COLUMNS), pii.train(docs))
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """As many copies of each document as the mix takes. The one document of a source that
     the budget cuts gives its first words, joined by single blanks."""
@@ -44,7 +60,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("language_id", language_id), ("mix_sources", mix_sources), ("pack", pack)]
+STAGES = [
+    ("language_id", language_id), ("near_dedup", near_dedup), ("mask_pii", mask_pii), ("mix_sources", mix_sources), ("pack", pack),
+]
 
 ORACLE_SQL = None
 

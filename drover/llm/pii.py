@@ -329,6 +329,16 @@ def _spans(text: str, run: list[tuple[int, int]], tags: np.ndarray, cover: _Cove
             yield a, b, kind
 
 
+def _all_spans(field: Field, texts: Iterable[str]) -> Iterator[list[dict]]:
+    """Per text its spans, the patterns' and the field's, by start and kind."""
+    order = {k: i for i, k in enumerate(KINDS)}
+    for part in _bounded(texts):
+        base = [base_spans(t) if _HIT.search(t) else [] for t in part]
+        for a, b in zip(added_spans(field, part, base), base, strict=True):
+            both = sorted([(*s, True) for s in b] + [(*s, False) for s in a], key=lambda s: (s[0], order[s[2]]))
+            yield [{"kind": k, "start": x, "end": y, "base": f} for x, y, k, f in both]
+
+
 def find(df: DataFrame, field: Field, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns and ``spans``: (kind, start, end, base) by start and kind, in code
     points, end exclusive. ``base`` marks a pattern's span. Null and empty texts have none."""
@@ -337,19 +347,29 @@ def find(df: DataFrame, field: Field, keep: list[str], text: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Field(*shared.value)
-        order = {k: i for i, k in enumerate(KINDS)}
         for batch in batches:
-            spans = []
-            for part in _bounded(t.as_py() or "" for t in batch.column(read)):
-                base = [base_spans(t) if _HIT.search(t) else [] for t in part]
-                added = added_spans(own, part, base)
-                held = [sorted([(*s, True) for s in b] + [(*s, False) for s in a], key=lambda s: (s[0], order[s[2]])) for a, b in zip(added, base, strict=True)]
-                spans += [[{"kind": k, "start": a, "end": b, "base": f} for a, b, k, f in x] for x in held]
+            spans = list(_all_spans(own, (t.as_py() or "" for t in batch.column(read))))
             yield extended(batch, keep, spans=pa.array(spans, _SPAN))
 
     return thin.mapInArrow(run, schema_of(thin, keep, f"spans {SPAN}"))
 
 
+def redacted(df: DataFrame, field: Field, text: str = "text") -> DataFrame:
+    """All columns, with every span of :func:`find` in ``text`` masked by its kind."""
+    shared = df.sparkSession.sparkContext.broadcast((field.index, field.emit, field.move))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Field(*shared.value)
+        for batch in batches:
+            column = batch.column(text)
+            spans = _all_spans(own, (t.as_py() or "" for t in column))
+            masked = [redact(t.as_py(), s) for t, s in zip(column, spans, strict=True)]
+            at = batch.schema.get_field_index(text)
+            yield batch.set_column(at, batch.schema.field(at), pa.array(masked, column.type))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _bounded(texts: Iterable[str], limit: int = 1 << 22) -> Iterator[list[str]]:
     held, size = [], 0
     for t in texts:
@@ -376,10 +396,3 @@ def redact(text: str | None, spans: list) -> str | None:
         out += [text[at:a], f"<{kind.upper()}>"]
         at = b
     return "".join([*out, text[at:]])
-
-
-def redacted(df: DataFrame, text: str = "text") -> DataFrame:
-    """``text`` with the spans of :func:`find` masked; rows without spans stay in the JVM."""
-
-    mask = F.udf(redact, "string")
-    return df.withColumn(text, F.when(F.size("spans") > 0, mask(F.col(text), F.col("spans"))).otherwise(F.col(text)))

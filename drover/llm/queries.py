@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm import html, language, mixing, neardup, packing, pii, quality, sharding, topk
+from drover.llm import html, language, mixing, neardup, packing, pii, quality, repeats, sharding, topk
 from drover.llm.base import QUERIES, SQL, query, table, words_in
 
 __all__ = ["QUERIES", "SQL"]
@@ -129,3 +129,9 @@ def _(spark, d) -> DataFrame:
 @query("op10_minhash_one_permutation")
 def _(spark, d) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"), "doc_id", "text", width=3, percent=85)
+
+
+@query("op8_repeats_logarithmic_index")
+def _(spark, d) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, d, "documents"), "doc_id", "text", length=50, with_text=False)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
