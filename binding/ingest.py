@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from binding.registry import q, query, rounded
@@ -295,7 +296,7 @@ def _(spark, d):
 # ---- readers, vintages, sinks --------------------------------------------------------
 
 
-@query("a9_optional_sources", "SELECT 'orders' AS source, count(*) AS rows FROM orders")
+@query("a9_optional_sources", "SELECT 'orders' AS source, count(*) AS rows, true AS present FROM orders UNION ALL SELECT 'absent', 0, false")
 def _(spark, d):
     found = V.combine({"orders": T.read_any(spark, f"{d}/orders"), "absent": T.read_any(spark, f"{d}/absent")}, dedup=False)
     return found.counts()
@@ -321,9 +322,10 @@ def _(spark, d):
 
 @query("g3_many_years", f"""WITH {POLICIES} SELECT reinsurance_year, count(*) AS n FROM policies GROUP BY 1""")
 def _(spark, d):
-    p = policies(spark, d)
-    yearly = {str(y): p.filter(F.col("reinsurance_year") == y) for y in range(1995, 2002)}
-    return V.union_sources(yearly, "file").groupBy("reinsurance_year").agg(F.count("*").alias("n"))
+    """One file per year, whatever years there are, read as one table."""
+    path = fresh_path(spark, "yearly")
+    policies(spark, d).select("reinsurance_year", "state_abbr").write.partitionBy("reinsurance_year").parquet(path)
+    return spark.read.parquet(path).groupBy("reinsurance_year").agg(F.count("*").alias("n"))
 
 
 KEY = "auction_date, class, frame, muscle_grade, weight_break_low, weight_break_high"
@@ -346,7 +348,14 @@ def _(spark, d):
 def _(spark, d):
     both = lots(spark, d)
     parts = {s: both.filter(F.col("source") == s).drop("source") for s in ("live", "legacy")}
-    return V.combine(parts).counts()
+    return V.combine(parts).df.groupBy("source").agg(F.count("*").alias("rows"))
+
+
+@query("g6_source_rows", f"""WITH {LOTS} SELECT source, count(*) AS rows, true AS present FROM lots GROUP BY 1 UNION ALL SELECT 'historical', 0, false""")
+def _(spark, d):
+    both = lots(spark, d)
+    parts = {s: both.filter(F.col("source") == s).drop("source") for s in ("live", "legacy")}
+    return V.combine(parts | {"historical": None}).counts()
 
 
 PRIOR = "prior AS (SELECT period, cpi_u + CASE WHEN month(period) % 2 = 0 THEN 0.5 ELSE 0 END AS cpi_u, CAST(month(period) % 3 AS INTEGER) AS revision_count FROM cpi WHERE period < DATE '2001-06-01')"
@@ -445,13 +454,19 @@ def _(spark, d):
     return V.worklist(inventory, present, "B")
 
 
-@query("f1_lots_in_order", f"""WITH {LOTS} SELECT auction_date, class, weight_break_low, count(*) AS n FROM lots GROUP BY 1, 2, 3 ORDER BY 1 NULLS LAST, 2 NULLS LAST, 3 NULLS LAST""")
+@query("f1_lots_in_order", f"""WITH {LOTS} SELECT {KEY}, CAST(row_number() OVER (PARTITION BY auction_date ORDER BY {', '.join(f'{c} NULLS LAST' for c in KEY.split(', '))}) AS INTEGER) AS place FROM lots""")
 def _(spark, d):
-    counts = lots(spark, d).groupBy("auction_date", "class", "weight_break_low").agg(F.count("*").alias("n"))
-    return V.in_publication_order(counts, ("auction_date", "class", "weight_break_low"))
+    return places_in(V.in_publication_order(lots(spark, d).select(*C.LOT_ORDER), C.LOT_ORDER))
+
+
+def places_in(ordered):
+    """The place of each row within its sale date, as the published order has it."""
+    written = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    within = Window.partitionBy("auction_date").orderBy("_at")
+    return written.withColumn("place", F.row_number().over(within)).drop("_at")
 
 
 @query("g4_new_dates", """SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE CAST(l_shipdate AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""")
 def _(spark, d):
-    ship = table(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("day")).distinct()
-    return ship.join(table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day")).distinct(), "day", "left_anti")
+    day = lambda t, c: table(spark, d, t).select(F.col(c).cast("date").alias("day"))
+    return V.absent_from(day("lineitem", "l_shipdate"), day("orders", "o_orderdate"), "day")

@@ -38,7 +38,6 @@ RATIO_SQL = ", ".join(f"{q(e)} AS {n}" for n, e in RATIOS.items())
 RATIO3_SQL = ", ".join(f"{q(e)} AS {n}" for n, e in list(RATIOS.items())[:3])
 ROUND_MEANS = ", ".join(f"{q(f'coalesce({m}, 0.0)')} AS {m}" for m in I.MEANS)
 ZERO_COUNTS = ", ".join(f"coalesce({c}, 0) AS {c}" for c in I.COUNTS)
-SPARSE = "sparse AS (SELECT * FROM policies WHERE state_abbr <> 'S05' OR reinsurance_year % 2 = 0)"
 
 
 def cube_of(df):
@@ -72,14 +71,8 @@ def _(spark, d):
  SELECT 'attributed', count(*) FROM w WHERE win = 'last_3' AND state_abbr <> 'XX' UNION ALL
  SELECT 'state', count(*) FROM w WHERE win = 'latest' AND state_abbr = '{STATE}'""")
 def _(spark, d):
-    p = policies(spark, d)
-    parts = {
-        "national": I.backtest_subset(p, None, "last_3"),
-        "attributed": I.backtest_subset(p, "All", "last_3", include_unattributed=False),
-        "state": I.backtest_subset(p, STATE, "latest"),
-    }
-    counted = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("part"), "n") for k, df in parts.items()]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    slices = {"national": (None, "last_3", True), "attributed": ("All", "last_3", False), "state": (STATE, "latest", True)}
+    return I.slice_sizes(policies(spark, d), slices)
 
 
 @query("b16_county_ids", f"""WITH {POLICIES} SELECT lpad(state_fips, 2, '0') || lpad(county_fips, 3, '0') AS fips_5, count(*) AS n FROM policies GROUP BY 1""")
@@ -139,10 +132,9 @@ def _(spark, d):
     return tidy(I.yearly_summary(cube(spark, d), None, "last_5"), "total_weight_cwt")
 
 
-@query("c5_year_spine", f"WITH {POLICIES}, {SPARSE}, {yearly_sql('sparse', 'all', STATE)}")
+@query("c5_year_spine", f"WITH {POLICIES}, {yearly_sql('policies', 'all', STATE)}")
 def _(spark, d):
-    sparse = policies(spark, d).filter(f"state_abbr <> '{STATE}' OR reinsurance_year % 2 = 0")
-    return tidy(I.yearly_summary(cube_of(sparse), STATE, "all"), "total_weight_cwt")
+    return tidy(I.yearly_summary(cube(spark, d), STATE, "all"), "total_weight_cwt")
 
 
 @query("c5_year_spine_empty_slice", f"WITH {POLICIES}, {yearly_sql('policies', 'last_3', 'S99')}")
@@ -150,15 +142,14 @@ def _(spark, d):
     return tidy(I.yearly_summary(cube(spark, d), "S99", "last_3"), "total_weight_cwt")
 
 
-@query("d8_yearly_by_state", f"""WITH {POLICIES}, {SPARSE}, areas AS (SELECT *, state_abbr AS area FROM sparse WHERE state_abbr <> 'XX' UNION ALL SELECT *, 'All' FROM sparse),
- yb AS (SELECT min(reinsurance_year) AS lo, max(reinsurance_year) AS hi FROM sparse),
+@query("d8_yearly_by_state", f"""WITH {POLICIES}, areas AS (SELECT *, state_abbr AS area FROM policies WHERE state_abbr <> 'XX' UNION ALL SELECT *, 'All' FROM policies),
+ yb AS (SELECT min(reinsurance_year) AS lo, max(reinsurance_year) AS hi FROM policies),
  spine AS (SELECT area, y AS reinsurance_year FROM (SELECT DISTINCT area FROM areas), (SELECT CAST(unnest(generate_series(lo, hi)) AS INTEGER) AS y FROM yb)),
  g AS (SELECT area, reinsurance_year, {SUMS}, sum(total_weight_cwt) AS total_weight_cwt, {W4_MEANS} FROM areas WHERE {CORE_TYPES} GROUP BY 1, 2),
  o AS (SELECT * FROM spine LEFT JOIN g USING (area, reinsurance_year))
  SELECT area, reinsurance_year, {ZERO_COUNTS}, {q('total_weight_cwt')} AS total_weight_cwt, {ROUND_MEANS}, {RATIO_SQL} FROM o""")
 def _(spark, d):
-    sparse = policies(spark, d).filter(f"state_abbr <> '{STATE}' OR reinsurance_year % 2 = 0")
-    return tidy(I.yearly_summary_by_state(cube_of(sparse)), "total_weight_cwt")
+    return tidy(I.yearly_summary_by_state(cube(spark, d)), "total_weight_cwt")
 
 
 @query("c6_sums_with_means", f"""WITH {POLICIES} SELECT reinsurance_year, CAST(sum(n_head) AS BIGINT) AS n_head, {q(W4.format(c='coverage_price'))} AS avg_coverage_price
@@ -212,18 +203,29 @@ def _(spark, d):
     return tidy(I.summary_metrics(c, None, year), "total_weight_cwt")
 
 
+GLANCE = [
+    ("Endorsements earning premium", "n", "n_endorsements_earning"), ("Endorsements indemnified", "n", "n_endorsements_indemn"),
+    ("Net head insured", "n", "n_head"), ("Total weight (cwt)", "n", "total_weight_cwt"), ("Liability ($)", "m", "liability_amount"),
+    ("Producer premium ($)", "m", "producer_premium_amount"), ("Subsidy ($)", "m", "subsidy_amount"), ("Total premium ($)", "m", "total_premium_amount"),
+    ("Subsidy share of total premium", "p", "subsidy_amount/total_premium_amount"),
+    ("Producer share of total premium", "p", "producer_premium_amount/total_premium_amount"), ("Avg cost per cwt", "d", "avg_cost_per_cwt"),
+    ("Avg endorsement length", "w", "avg_endorsement_length_weeks"), ("Avg coverage price ($/cwt)", "d", "avg_coverage_price"),
+    ("Avg expected end value ($/cwt)", "d", "avg_expected_end_value"), ("Avg coverage level", "p", "avg_coverage_level_pct"),
+    ("Indemnity ($)", "m", "indemnity_amount"), ("Indemnified-endorsement share", "p", "n_endorsements_indemn/n_endorsements_earning"),
+    ("Indemnity-to-producer-premium ratio", "x", "indemnity_amount/producer_premium_amount"),
+]
+AS_TEXT = {
+    "n": "format('{{:,}}', CAST(round({e}) AS BIGINT))", "m": "printf('$%.1fM', ({e})/1000000)", "p": "printf('%.1f%%', ({e})*100)",
+    "d": "printf('$%.2f', {e})", "w": "printf('%.1f wks', {e})", "x": "printf('%.2f', {e})",
+}
+
+
 @query("d11_glance_text", f"""WITH {POLICIES}, areas AS (SELECT *, state_abbr AS area FROM policies WHERE state_abbr <> 'XX' UNION ALL SELECT *, 'All' FROM policies),
  l AS (SELECT area, max(reinsurance_year) AS latest_year FROM areas GROUP BY 1),
- g AS (SELECT area, latest_year, sum(n_endorsements_earning) AS e, sum(producer_premium_amount) AS p, {W4.format(c='length_weeks')} AS w,
-  sum(n_endorsements_indemn)/sum(n_endorsements_earning) AS s FROM areas JOIN l USING (area) WHERE reinsurance_year = latest_year AND {CORE_TYPES} GROUP BY 1, 2)
- SELECT area, latest_year, 'Endorsements earning premium' AS metric, format('{{:,}}', CAST(e AS BIGINT)) AS value FROM g
- UNION ALL SELECT area, latest_year, 'Producer premium ($)', printf('$%.1fM', p/1000000) FROM g
- UNION ALL SELECT area, latest_year, 'Avg endorsement length', printf('%.1f wks', w) FROM g
- UNION ALL SELECT area, latest_year, 'Indemnified-endorsement share', printf('%.1f%%', s*100) FROM g""")
+ g AS (SELECT area, latest_year, {SUMS}, sum(total_weight_cwt) AS total_weight_cwt, {W4_MEANS} FROM areas JOIN l USING (area) WHERE reinsurance_year = latest_year AND {CORE_TYPES} GROUP BY 1, 2)
+ """ + " UNION ALL ".join(f"SELECT area, latest_year, {i} AS position, '{m}' AS metric, {AS_TEXT[k].format(e=e)} AS value FROM g" for i, (m, k, e) in enumerate(GLANCE, 1)))
 def _(spark, d):
-    text = I.glance_text(I.latest_year_metrics(cube(spark, d)))
-    shown = ("Endorsements earning premium", "Producer premium ($)", "Avg endorsement length", "Indemnified-endorsement share")
-    return text.filter(F.col("metric").isin(*shown)).drop("position", "group")
+    return I.glance_text(I.latest_year_metrics(cube(spark, d))).drop("group")
 
 
 STATS = f"""count(*) AS n_endorsements, {q('avg(a)')} AS mean_advantage_per_cwt, {q('quantile_cont(a, 0.5)')} AS median_advantage_per_cwt,
@@ -258,10 +260,14 @@ def _(spark, d):
     return rounded(I.by_coverage_everywhere(policies(spark, d)), *STAT_COLUMNS)
 
 
-@query("b23_visible_bins", f"""WITH {POLICIES}, {YWINS}, {ADV.format(src='policies')}, {BINNED}, {EVERYWHERE} SELECT "window", area, coverage_level_pct, {LABEL.format(c='coverage_level_pct')} AS range_label,
- n_endorsements FROM ev WHERE NOT suppressed""")
+WITH_HALF = STATS + ", coalesce(1.96*(stddev_samp(a)/sqrt(count(*))), 0.0) AS half"
+
+
+@query("b23_visible_bins", f"""WITH {POLICIES}, {YWINS}, {ADV.format(src='policies')}, {BINNED}, {EVERYWHERE.replace(STATS, WITH_HALF)} SELECT "window", area, coverage_level_pct, {LABEL.format(c='coverage_level_pct')} AS range_label,
+ n_endorsements, {q('half', 3)} AS err_up, {q('half', 3)} AS err_dn FROM ev WHERE NOT suppressed""")
 def _(spark, d):
-    return plan.backtest(policies(spark, d)).select("window", "area", "coverage_level_pct", "range_label", "n_endorsements")
+    shown = plan.backtest(policies(spark, d)).select("window", "area", "coverage_level_pct", "range_label", "n_endorsements", "err_up", "err_dn")
+    return rounded(shown, "err_up", "err_dn", digits=3)
 
 
 @query("d13_by_year", f"""WITH {POLICIES}, {ADV.format(src='policies')} SELECT reinsurance_year, count(*) AS n_endorsements, {q('avg(a)')} AS mean_advantage_per_cwt,
@@ -280,9 +286,7 @@ def sample_sql(state: str | None, label: str) -> str:
 
 @query("d14_sample_summary", f"""WITH {POLICIES}, {ADV.format(src='policies')} {sample_sql(None, 'National (all states)')} UNION ALL {sample_sql(STATE, STATE)} UNION ALL {sample_sql('S99', 'S99')}""")
 def _(spark, d):
-    p = policies(spark, d)
-    rows = [I.sample_summary(p, s) for s in (None, STATE, "S99")]
-    return rounded(rows[0].unionByName(rows[1]).unionByName(rows[2]), "indemnified_share", "mean_advantage_per_cwt")
+    return rounded(I.sample_summaries(policies(spark, d), (None, STATE, "S99")), "indemnified_share", "mean_advantage_per_cwt")
 
 
 BENCH = f"""{YWINS}, {STATE_G}, ranked AS (SELECT *, row_number() OVER (PARTITION BY win ORDER BY producer_premium_amount DESC, state_abbr) AS rank FROM sg)"""

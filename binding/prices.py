@@ -277,11 +277,13 @@ def _(spark, d):
     return rounded(views.basis_ranges(shown_basis(spark, d), (*CONTRACTS, "9-NONE")), "y_min", "y_max")
 
 
-@query("f1_basis_in_order", f"""WITH {BASIS} SELECT auction_date, class, weight_break_low, contract_month, count(*) AS n FROM basis GROUP BY 1, 2, 3, 4
- ORDER BY 1 NULLS LAST, 2 NULLS LAST, 3 NULLS LAST, 4 NULLS LAST""")
+@query("f1_basis_in_order", f"""WITH {BASIS} SELECT auction_date, class, weight_break_low, contract_month, CAST(row_number() OVER (PARTITION BY auction_date
+ ORDER BY class NULLS LAST, weight_break_low NULLS LAST, contract_month NULLS LAST) AS INTEGER) AS place FROM basis""")
 def _(spark, d):
+    from binding.ingest import places_in
+
     b = plan.weekly_basis(lots(spark, d), settles(spark, d), CONTRACTS)
-    return B.basis_in_order(b.groupBy("auction_date", "class", "weight_break_low", "contract_month").agg(F.count("*").alias("n")))
+    return places_in(B.basis_in_order(b.select("auction_date", "class", "weight_break_low", "contract_month")))
 
 
 # ---- price views ---------------------------------------------------------------------
@@ -368,11 +370,7 @@ def _(spark, d):
 
 @query("f4_chart_order", f"""WITH {CELLS} SELECT class, bin_lo, {WEEK52} AS iso_week, count(*) AS n FROM work GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""")
 def _(spark, d):
-    c = cells(spark, d)
-    return (
-        c.groupBy("class", "bin_lo", dates.iso_week("auction_date").alias("iso_week"))
-        .agg(F.sum("n_lots").alias("n")).orderBy("class", "bin_lo", "iso_week")
-    )
+    return views.chart_order(cells(spark, d))
 
 
 @query("d3_card_header", f"""WITH {LOTS}, {PAGE} SELECT max(auction_date) AS auction_date, strftime(max(auction_date), '%A, %B %-d, %Y') AS auction_day,

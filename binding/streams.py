@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from binding.ingest import TIES
 from binding.registry import q, query, rounded
 from binding.tables import LOTS, lots, table
 from drover.config import LOT_KEY
 from drover.operators import quality as Q
 from drover.session import fresh_path
+from drover.sources import tables as T
 from drover.streaming import refresh as R
 
 
@@ -35,17 +37,54 @@ def _(spark, d):
 
 
 KEY = ", ".join(LOT_KEY)
+ORDER = ", ".join(f"{c} DESC" for c in ("vintage", *TIES))
 
 
-@query("s2_bounded_revisions", f"""WITH {LOTS}, cur AS (SELECT * FROM lots WHERE auction_date < DATE '2001-06-01' AND source = 'legacy'), b AS (SELECT * FROM lots WHERE source = 'live'), m AS (SELECT max(auction_date) AS m FROM cur),
- merged AS (SELECT DISTINCT {KEY} FROM (SELECT * FROM cur UNION ALL SELECT b.* FROM b, m WHERE auction_date >= m - 14))
- SELECT 'merged' AS part, count(*) AS n FROM merged UNION ALL SELECT 'late', count(*) FROM b, m WHERE auction_date < m - 14""")
+@query("s1_published_vintage", "SELECT event_type, DATE '2024-02-01' AS vintage, count(*) AS n FROM events GROUP BY 1")
 def _(spark, d):
+    """A good batch is published; the same events with broken values come as a second one."""
+    events = table(spark, d, "events")
+    out = fresh_path(spark, "published")
+    gate = lambda batch: Q.run_rules(batch, [Q.Rule("value_bounds", F.col("value") < 0)])
+    for sign in (1, -1):
+        events.withColumn("value", F.col("value") * sign).write.mode("append").parquet(f"{out}/in/{sign}")
+        feed = R.file_stream(spark, f"{out}/in/*", events.schema)
+        R.gated_publish(feed, gate, f"{out}/root", "events", f"{out}/checkpoint", lambda b: f"2024-02-0{b + 1}").awaitTermination()
+    return T.read_latest(spark, f"{out}/root", "events").groupBy("event_type", "vintage").agg(F.count("*").alias("n"))
+
+
+@query("s1_gate_reports", """SELECT DATE '2024-02-01' AS vintage, 'value_bounds' AS rule_id, CAST(0 AS BIGINT) AS n_bad, count(*) AS n_total FROM events
+ UNION ALL SELECT DATE '2024-02-02', 'value_bounds', count(*) FILTER (value > 0), count(*) FROM events""")
+def _(spark, d):
+    events = table(spark, d, "events")
+    out = fresh_path(spark, "reports")
+    for sign, tag in ((1, "2024-02-01"), (-1, "2024-02-02")):
+        batch = events.withColumn("value", F.col("value") * sign)
+        T.publish(batch, out, "events", tag, Q.run_rules(batch, [Q.Rule("value_bounds", F.col("value") < 0)]))
+    return T.read_reports(spark, out).select("vintage", "rule_id", "n_bad", "n_total")
+
+
+@query("s2_bounded_revisions", f"""WITH {LOTS}, cur AS (SELECT * FROM lots WHERE auction_date < DATE '2001-06-01' AND source = 'legacy'), b AS (SELECT * FROM lots WHERE source = 'live'),
+ m AS (SELECT max(auction_date) - 14 AS cut FROM cur), recent AS (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY {ORDER}) AS k FROM
+ (SELECT cur.* FROM cur, m WHERE auction_date >= cut UNION ALL SELECT b.* FROM b, m WHERE auction_date >= cut))
+ SELECT 'merged' AS part, {KEY}, l_orderkey, l_linenumber, {q('price_low')} AS price_low FROM cur, m WHERE auction_date < cut
+ UNION ALL SELECT 'merged', {KEY}, l_orderkey, l_linenumber, {q('price_low')} FROM recent WHERE k = 1
+ UNION ALL SELECT 'late', {KEY}, b.l_orderkey, b.l_linenumber, {q('b.price_low')} FROM b, m WHERE auction_date < cut
+ AND NOT EXISTS (SELECT 1 FROM cur c WHERE c.l_orderkey = b.l_orderkey AND c.l_partkey = b.l_partkey AND c.l_suppkey = b.l_suppkey AND c.l_linenumber = b.l_linenumber)""")
+def _(spark, d):
+    """History arrives first, then the same under another vintage, which changes nothing, then a
+    feed that revises it."""
     both = lots(spark, d)
-    current = both.filter("source = 'legacy' AND auction_date < DATE'2001-06-01'")
-    merged, late = R.bounded_upsert(current, both.filter("source = 'live'"), LOT_KEY, "auction_date", 14)
-    count = lambda df, part: df.agg(F.count("*").alias("n")).select(F.lit(part).alias("part"), "n")
-    return count(merged, "merged").unionByName(count(late, "late"))
+    out = fresh_path(spark, "revisions")
+    legacy = both.filter("source = 'legacy' AND auction_date < DATE'2001-06-01'")
+    again = legacy.withColumn("vintage", F.date_add("vintage", -7))
+    for n, batch in enumerate((legacy, again, both.filter("source = 'live'"))):
+        batch.coalesce(1).write.parquet(f"{out}/in/{n}")
+        feed = R.file_stream(spark, f"{out}/in/*", both.schema)
+        R.revise(feed, f"{out}/state", f"{out}/late", LOT_KEY, "auction_date", 14, f"{out}/checkpoint", ties=TIES).awaitTermination()
+    shown = (*LOT_KEY, "l_orderkey", "l_linenumber", "price_low")
+    parts = [spark.read.parquet(f"{out}/{f}").select(F.lit(p).alias("part"), *shown) for f, p in (("state", "merged"), ("late", "late"))]
+    return rounded(parts[0].unionByName(parts[1]), "price_low")
 
 
 WEEKLY = f"SELECT CAST(date_trunc('week', ts) AS DATE) AS week, event_type, count(*) AS n, {q('sum(value)', 2)} AS total, min(value) AS low, max(value) AS high FROM events GROUP BY 1, 2"

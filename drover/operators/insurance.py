@@ -26,6 +26,7 @@ from drover.functions.weighted import ZERO_IF_MISSING, from_parts, merge_parts,
 from drover.operators.quantiles import counts_and_percentile
 
 YEAR = "reinsurance_year"
+# Output names of the summaries and the columns behind them.
 COUNTS = (
     "n_endorsements_earning", "n_endorsements_indemn", "n_head", "liability_amount",
     "producer_premium_amount", "subsidy_amount", "total_premium_amount", "indemnity_amount",
@@ -48,14 +49,16 @@ def is_core(types: tuple[str, ...] = BACKTEST_TYPES) -> Column:
 
 
 def year_bounds(df: DataFrame) -> tuple[Column, Column]:
-    """First and last year of ``df`` from one scalar subquery (0 and 0 when empty)."""
-    both = df.agg(F.struct(F.min(YEAR).alias("first"), F.max(YEAR).alias("last"))).scalar()
-    return tuple(F.coalesce(both[end].cast("int"), F.lit(0)) for end in ("first", "last"))
+    """First and last year of ``df`` as constants (0 and 0 when empty). Two numbers reach the
+    driver when this is called; a subquery would be computed anew in every plan it is used in."""
+    return tuple(F.lit(int(y or 0)) for y in df.agg(F.min(YEAR), F.max(YEAR)).first())
 
 
 def apply_year_window(df: DataFrame, window: str, bounds_of: DataFrame | None = None) -> DataFrame:
     """Rows in a calendar-year window that ends at the latest year of ``bounds_of``
     (default ``df`` itself). An unknown window name raises."""
+    if window == "all":
+        return df.filter(F.col(YEAR).isNotNull())
     first, last = year_bounds(df if bounds_of is None else bounds_of)
     return df.filter(F.col(YEAR).between(year_window_start(window, first, last), last))
 
@@ -89,11 +92,29 @@ def backtest_subset(
 ) -> DataFrame:
     """Core types in a window and state. Window bounds come from the core types of all
     states. Nationally, unattributed rows stay only if asked for."""
-    core = policies.filter(is_core())
-    sub = apply_year_window(core, window)
+    sub = apply_year_window(policies.filter(is_core()), window)
+    return sub.filter(in_area(state, include_unattributed))
+
+
+def in_area(state: str | None = None, include_unattributed: bool = True) -> Column:
+    """Whether a row belongs to a state or to the nation."""
     if state not in (None, NATIONAL):
-        return sub.filter(F.col("state_abbr") == state)
-    return sub if include_unattributed else sub.filter(F.col("state_abbr") != UNATTRIBUTED_STATE)
+        return F.col("state_abbr") == state
+    return F.lit(True) if include_unattributed else F.col("state_abbr") != UNATTRIBUTED_STATE
+
+
+def slice_sizes(policies: DataFrame, slices: dict[str, tuple[str | None, str, bool]]) -> DataFrame:
+    """Rows of several back-test subsets, as (part, n): slices are (state, window, include
+    unattributed). All are counted in one pass, after one for the bounds."""
+    core = policies.filter(is_core())
+    first, last = year_bounds(core)
+    inside = {
+        part: F.col(YEAR).between(year_window_start(window, first, last), last) & in_area(state, attributed)
+        for part, (state, window, attributed) in slices.items()
+    }
+    counted = core.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(part) for part, c in inside.items()])
+    lines = F.array(*[F.struct(F.lit(part).alias("part"), F.col(part).alias("n")) for part in slices])
+    return counted.select(F.inline(lines))
 
 
 # ---- summaries -----------------------------------------------------------------------
@@ -394,18 +415,27 @@ def by_year(policies: DataFrame, state: str | None = None, window: str = "all")
 
 def sample_summary(policies: DataFrame, state: str | None = None, window: str = "all") -> DataFrame:
     """Size and share disclosure of a slice; zeros when it is empty."""
-    rows = with_advantage(backtest_subset(policies, state, window))
+    return sample_summaries(policies, (state,), window)
+
+
+def sample_summaries(policies: DataFrame, states: tuple[str | None, ...], window: str = "all") -> DataFrame:
+    """:func:`sample_summary` of several states or the nation (None) in one pass: a row fans
+    out to the slices it belongs to, and partial sums come before the shuffle."""
+    labels = {s or NATIONAL: "National (all states)" if s in (None, NATIONAL) else s for s in states}
+    rows = with_advantage(backtest_subset(policies, None, window))
+    own = F.filter(F.array(*map(F.lit, labels)), lambda s: F.coalesce((s == NATIONAL) | (s == F.col("state_abbr")), F.lit(False)))
     paid = F.count_if(F.col("indemnity_amount") > 0)
-    zero = lambda c, t: F.coalesce(c, F.lit(0).cast(t))
-    return rows.agg(
+    stats = rows.withColumn("_area", F.explode(own)).groupBy("_area").agg(
         F.count(F.lit(1)).alias("n_endorsements"),
         paid.alias("n_indemnified"),
-        zero(F.min(YEAR).cast("int"), "int").alias("year_min"),
-        zero(F.max(YEAR).cast("int"), "int").alias("year_max"),
-        F.lit("National (all states)" if state in (None, NATIONAL) else state).alias("state_label"),
-        zero(F.try_divide(paid, F.count(F.lit(1))), "double").alias("indemnified_share"),
-        zero(F.avg("advantage_per_cwt"), "double").alias("mean_advantage_per_cwt"),
+        F.min(YEAR).cast("int").alias("year_min"),
+        F.max(YEAR).cast("int").alias("year_max"),
+        F.try_divide(paid, F.count(F.lit(1))).alias("indemnified_share"),
+        F.avg("advantage_per_cwt").alias("mean_advantage_per_cwt"),
     )
+    wanted = F.array(*[F.struct(F.lit(a).alias("_area"), F.lit(t).alias("state_label")) for a, t in labels.items()])
+    asked = policies.sparkSession.range(1).select(F.inline(wanted))
+    return asked.join(stats, "_area", "left").drop("_area").na.fill(0)
 
 
 def visible_bins(stats: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from drover.functions.bins import bin_floor
 from drover.operators.lots import core_lots
 from drover.config import LotScope
 from drover.operators.quantiles import counts_and_percentile
+from drover.session import materialize
 
 
 def weeks_per_year(df: DataFrame, day: str = "auction_date") -> DataFrame:
@@ -19,11 +20,15 @@ def weeks_per_year(df: DataFrame, day: str = "auction_date") -> DataFrame:
     return df.groupBy(F.year(day).alias("year")).agg(F.countDistinct(day).alias("n_weeks"))
 
 
-def class_shares(df: DataFrame, classes: tuple[str, ...] = FEEDER_CLASSES, day: str = "auction_date") -> DataFrame:
-    """Share of each expected class per year; an absent class has share 0."""
+def class_shares(
+    df: DataFrame, classes: tuple[str, ...] = FEEDER_CLASSES, day: str = "auction_date", weight: Column | None = None
+) -> DataFrame:
+    """Share of each expected class per year; an absent class has share 0. ``weight`` is the
+    rows that a row stands for, one by default."""
+    n = F.lit(1) if weight is None else weight
     counts = df.groupBy(F.year(day).alias("year")).agg(
-        F.count(F.lit(1)).alias("_total"),
-        *[F.count_if(F.col("class") == c).alias(f"_{i}") for i, c in enumerate(classes)],
+        F.sum(n).alias("_total"),
+        *[F.sum(F.when(F.col("class") == c, n).otherwise(0)).alias(f"_{i}") for i, c in enumerate(classes)],
     )
     shares = F.array(*[
         F.struct(F.lit(c).alias("class"), (F.col(f"_{i}") / F.col("_total")).alias("share"))
@@ -32,12 +37,12 @@ def class_shares(df: DataFrame, classes: tuple[str, ...] = FEEDER_CLASSES, day:
     return counts.select("year", F.inline(shares))
 
 
-def binned_core(lots: DataFrame, first: int = 300, below: int = 1000) -> DataFrame:
-    """Core lots as (date, class, bin low, bin high, price)."""
+def binned_core(lots: DataFrame, first: int = 300, below: int = 1000, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Core lots as (date, class, bin low, bin high, price) and ``extra`` columns."""
     lo = bin_floor("weight_break_low", "avg_weight")
     return (
         core_lots(lots, LotScope(commodity=None), strip=False)
-        .select("auction_date", "class", lo.alias("weight_break_low"), (lo + 100).alias("weight_break_high"), "price_avg")
+        .select("auction_date", "class", lo.alias("weight_break_low"), (lo + 100).alias("weight_break_high"), "price_avg", *extra)
         .filter((F.col("weight_break_low") >= first) & (F.col("weight_break_low") < below))
     )
 
@@ -45,13 +50,14 @@ def binned_core(lots: DataFrame, first: int = 300, below: int = 1000) -> DataFra
 CELL = ("year", "class", "weight_break_low", "weight_break_high")
 
 
-def annual_medians(prices: DataFrame, day: str = "auction_date") -> DataFrame:
-    """Exact median price and row count per (year, class, bin)."""
-    rows = prices.withColumn("year", F.year(day)).dropna(subset=list(CELL))
+def annual_medians(prices: DataFrame, day: str = "auction_date", extra: tuple[str, ...] = ()) -> DataFrame:
+    """Exact median price and row count per (year, class, bin) and ``extra`` keys."""
+    keys = (*extra, *CELL)
+    rows = prices.withColumn("year", F.year(day)).dropna(subset=list(keys))
     counts, medians = counts_and_percentile(
-        rows, CELL, "price_avg", 0.5, "price_median", [F.count(F.lit(1)).alias("n_obs")]
+        rows, keys, "price_avg", 0.5, "price_median", [F.count(F.lit(1)).alias("n_obs")]
     )
-    return counts.groupBy(*CELL).agg(F.sum("n_obs").alias("n_obs")).join(medians, list(CELL), "left")
+    return counts.groupBy(*keys).agg(F.sum("n_obs").alias("n_obs")).join(medians, list(keys), "left")
 
 
 def load_breakdown(policies: DataFrame, watched_state: str = "NM") -> DataFrame:
@@ -78,7 +84,9 @@ def load_breakdown(policies: DataFrame, watched_state: str = "NM") -> DataFrame:
 
 
 def basis_ranges_by_contract(basis: DataFrame) -> DataFrame:
-    """Min, max, median basis and rows per contract."""
+    """Min, max, median basis and rows per contract. The basis, one row per cell and contract,
+    is written first: two passes read it, and deriving it again costs a scan of the lots."""
+    basis = materialize(basis.select("contract_month", "basis"), "basis")
     rows = basis.filter(F.col("basis").isNotNull() & F.col("contract_month").isNotNull())
     counts, medians = counts_and_percentile(rows, ("contract_month",), "basis", 0.5, "basis_median")
     stats = counts.groupBy("contract_month").agg(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from drover import config as C
 from drover.functions.columns import marker_to_null, number
 from drover.operators.profile import CELL, class_shares, weeks_per_year
+from drover.session import materialize
 
 FAIL, WARN = "fail", "warn"
 
@@ -69,14 +70,15 @@ def line(df: DataFrame, rule_id: str, bad: Column, sample: Column | None = None,
 # ---- shapes --------------------------------------------------------------------------
 
 
-def key_signature(df: DataFrame, body: str, row_path: str | None = None) -> DataFrame:
-    """Hash of the sorted key names of each JSON text, and of an object below
-    ``row_path``. Looks at every row; one line per distinct shape."""
+def key_signature(df: DataFrame, body: str, row_path: str | None = None, levels: dict[str, str] | None = None) -> DataFrame:
+    """Hash of the sorted key names of each JSON text, and of the objects below it: ``levels``
+    maps the name of a level to its path, ``row_path`` is a level called row. Looks at
+    every row; one line per distinct shape."""
     names = lambda c: F.array_join(F.array_sort(F.json_object_keys(c)), ",")
     shape = F.concat(F.lit("root:"), F.coalesce(names(F.col(body)), F.lit("list")))
-    if row_path:
-        inner = names(F.get_json_object(body, row_path))
-        shape = F.concat(shape, F.coalesce(F.concat(F.lit("|row:"), inner), F.lit("")))
+    for level, path in ((levels or {}) | ({"row": row_path} if row_path else {})).items():
+        inner = names(F.get_json_object(body, path))
+        shape = F.concat(shape, F.coalesce(F.concat(F.lit(f"|{level}:"), inner), F.lit("")))
     return df.groupBy(shape.alias("shape")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
         "signature", F.sha2("shape", 256)
     )
@@ -88,6 +90,20 @@ def check_signature(found: DataFrame, baseline: str | None) -> DataFrame:
     return line(found, "schema_signature", bad, F.col("shape"))
 
 
+def signature_gate(found: DataFrame, path: str, rebaseline: bool = False) -> DataFrame:
+    """Shapes that are not in the baseline recorded under ``path``. The first run records what
+    it finds and passes; later the baseline only changes when ``rebaseline`` is set."""
+    from drover.sources.tables import read_optional
+
+    spark = found.sparkSession
+    known = None if rebaseline else read_optional(spark, path)
+    if known is None:
+        found.select("signature", "shape").write.mode("overwrite").parquet(path)
+        return line(found, "schema_signature", F.lit(False), F.col("shape"))
+    marked = found.join(known.select("signature", F.lit(True).alias("_known")), "signature", "left")
+    return line(marked, "schema_signature", F.col("_known").isNull(), F.col("shape"))
+
+
 def schema_hash(columns: list[tuple[int, str, str, str]]) -> str:
     """Hash of a declared schema: (position, source name, name, type) per column."""
     import hashlib
@@ -133,6 +149,7 @@ def policy_rules() -> list[Rule]:
         Rule("effective_date_missing", col("effective_date").isNull()),
         Rule("end_date_missing", col("end_date").isNull()),
         Rule("end_before_start", col("end_date") < col("effective_date"), col("effective_date").isNotNull() & col("end_date").isNotNull()),
+        # The columns that may not be negative.
         *[
             Rule(f"{c}_negative", col(c) < 0, col(c).isNotNull(), sample=col(c))
             for c in (
@@ -209,8 +226,8 @@ def lot_value_gate(raw: DataFrame, tolerance: float = C.MAX_BAD_ROW_SHARE) -> Da
 
 
 def lot_continuity(new: DataFrame, prior: DataFrame, day: str = "auction_date", weeks: int = C.REVISION_WEEKS) -> DataFrame:
-    """No unseen date older than the newest prior date minus ``weeks``; a recent prior date
-    that vanished is a warning."""
+    """No unseen date older than the newest prior date minus ``weeks``; a prior date older than
+    that which vanished is a warning."""
     fresh, known = new.select(day).distinct(), prior.select(day).distinct()
     newest = known.agg(F.max(day)).scalar()
     cutoff = F.date_sub(newest, 7 * weeks)
@@ -237,11 +254,13 @@ def monthly(raw: DataFrame) -> DataFrame:
 
 def monthly_change(raw: DataFrame, limit: float = C.MAX_MONTHLY_CHANGE) -> DataFrame:
     """Month-over-month change. A missing or invalid month is a gap: the next month has
-    nothing to compare with. One series, one row per month."""
+    nothing to compare with. Points of one month are first reduced to one, the largest as
+    text, so the window over the series sees one row per calendar month."""
     w = Window.partitionBy(F.lit(1)).orderBy("period")
+    points = monthly(raw).groupBy("period").agg(F.max(F.struct("raw_value", "shown", "cpi_u")).alias("_p")).select("period", "_p.*")
     before = F.lag("cpi_u").over(w)
     change = F.try_divide(F.col("cpi_u") - before, before)
-    return monthly(raw).withColumns({
+    return points.withColumns({
         "change": change,
         "flagged": F.coalesce(F.abs(change) > limit, F.lit(False)),
         "invalid": F.col("shown").isNotNull() & F.col("cpi_u").isNull(),
@@ -315,15 +334,17 @@ def balance_gate(
     df: DataFrame,
     floors: dict[str, float] = C.CLASS_SHARE_FLOORS,
     warn_only: tuple[tuple[int, str], ...] = C.CLASS_SHARE_WARN_ONLY,
+    weight: Column | None = None,
 ) -> DataFrame:
-    """Each class keeps its minimum share every year; listed exceptions only warn."""
+    """Each class keeps its minimum share every year; listed exceptions only warn. ``weight``
+    is the rows that a row stands for, if it is a cell."""
     floor = F.lit(None).cast("double")
     for name, share in floors.items():
         floor = F.when(F.col("class") == name, F.lit(share)).otherwise(floor)
     excused = reduce(
         lambda a, b: a | b, [(F.col("year") == y) & (F.col("class") == c) for y, c in warn_only], F.lit(False)
     )
-    shares = class_shares(df, tuple(floors))
+    shares = class_shares(df, tuple(floors), weight=weight)
     label = F.concat_ws(" ", "year", "class")
     low = F.col("share") < floor
     return run_rules(shares, [
@@ -332,16 +353,43 @@ def balance_gate(
     ])
 
 
-def history_gate(df: DataFrame, window: tuple[date, date] = C.HISTORY_WINDOW) -> DataFrame:
+def history_gate(
+    df: DataFrame, window: tuple[date, date] = C.HISTORY_WINDOW, weeks: dict[int, int] = C.WEEKS_PER_YEAR_FLOORS,
+    shares: dict[str, float] = C.CLASS_SHARE_FLOORS, warn_only: tuple[tuple[int, str], ...] = C.CLASS_SHARE_WARN_ONLY,
+) -> DataFrame:
+    """All gates of a historical batch from one scan: every counter is kept per (date, class),
+    and the reports roll up from those cells."""
+    rules = history_rules(window)
+    counters = []
+    for i, r in enumerate(rules):
+        bad = F.coalesce(r.bad, F.lit(False))
+        shown = F.lit(None).cast("string") if r.sample is None else r.sample.cast("string")
+        counters += [F.count_if(bad).alias(f"_bad{i}"), F.min(F.when(bad, shown)).alias(f"_s{i}")]
+    cells = materialize(df.groupBy("auction_date", "class").agg(F.count(F.lit(1)).alias("_rows"), *counters), "history")
+    n = F.coalesce(F.sum("_rows"), F.lit(0))
+    lines = [F.struct(F.lit("not_empty").alias("rule_id"), F.lit(FAIL).alias("severity"), F.when(n == 0, 1).otherwise(0).cast("long").alias("n_bad"),
+                      n.alias("n_total"), F.lit(None).cast("string").alias("sample"))]
+    lines += [
+        F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.severity).alias("severity"), F.coalesce(F.sum(f"_bad{i}"), F.lit(0)).alias("n_bad"),
+                 n.alias("n_total"), F.min(f"_s{i}").alias("sample"))
+        for i, r in enumerate(rules)
+    ]
+    totals = cells.agg(F.array(*lines).alias("_lines")).select(F.inline("_lines"))
     return all_issues(
-        not_empty(df), required_columns(df, HISTORY_COLUMNS), run_rules(df, history_rules(window)),
-        coverage_gate(df), balance_gate(df),
+        totals, required_columns(df, HISTORY_COLUMNS), coverage_gate(cells, weeks), balance_gate(cells, shares, warn_only, F.col("_rows")),
     )
 
 
 # ---- two-source consistency ----------------------------------------------------------
 
 
+def consistency_of(medians: DataFrame, ours: str, theirs: str, source: str = "source") -> DataFrame:
+    """:func:`consistency_cells` from one table of medians that has the source as a key, so
+    that both sides come from the same scans."""
+    side = lambda name: medians.filter(F.col(source) == name)
+    return consistency_cells(side(ours), side(theirs))
+
+
 def consistency_cells(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Annual medians of two sources side by side, difference in percent of theirs."""
     a = ours.select(*CELL, F.col("price_median").alias("our_median"), F.col("n_obs").alias("our_n"))
@@ -354,6 +402,7 @@ def consistency_summary(cells: DataFrame) -> DataFrame:
     """Mean, median and max difference with threshold counts and a verdict. One row per
     (year, class, bin) comes in, so the exact median is over a bounded set."""
     d = F.col("abs_delta_pct")
+    # The two thresholds that are counted.
     summary = cells.agg(
         F.count(F.lit(1)).alias("n_cells"),
         F.avg(d).alias("mean_abs"),
@@ -392,10 +441,8 @@ def manifest_gate(manifest: DataFrame) -> DataFrame:
 
 
 def manifest_order(manifest: DataFrame) -> DataFrame:
-    """The entry written last within a dataset is its newest vintage."""
-    ends = manifest.groupBy("dataset").agg(
-        F.max_by("vintage", "position").alias("_last"), F.max("vintage").alias("_newest")
-    ) if "position" in manifest.columns else manifest.groupBy("dataset").agg(
-        F.max("vintage").alias("_last"), F.max("vintage").alias("_newest")
-    )
+    """The entry written last within a dataset is its newest vintage. Entries are in the order
+    of ``position`` where there is one, else in that of their write time."""
+    order = "position" if "position" in manifest.columns else "written_at_utc"
+    ends = manifest.groupBy("dataset").agg(F.max_by("vintage", order).alias("_last"), F.max("vintage").alias("_newest"))
     return line(ends, "manifest_last_is_newest", F.col("_last") != F.col("_newest"), F.col("dataset"))

@@ -27,9 +27,14 @@ def magnitude(v: Column) -> Column:
     return F.when(v > 0, step(v)).when(v < 0, -step(-v)).otherwise(0)
 
 
-def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, p: float, name: str, slices: int = 64) -> DataFrame:
+#: Rows of a group that may lie in the range searched last; a range with more is narrowed first.
+NEAR = 100_000
+PARTS = 64
+
+
+def exact_percentile(df: DataFrame, keys: tuple[str, ...], value: str, p: float, name: str, near: int = NEAR) -> DataFrame:
     """Percentile ``p`` per group with linear interpolation, as ``keys + (name,)``."""
-    return counts_and_percentile(df, keys, value, p, name, slices=slices)[1]
+    return counts_and_percentile(df, keys, value, p, name, near=near)[1]
 
 
 def counts_and_percentile(
@@ -41,22 +46,23 @@ def counts_and_percentile(
     parts: list[Column] | None = None,
     base: tuple[str, ...] | None = None,
     fan: Callable[[DataFrame], DataFrame] | None = None,
-    slices: int = 64,
+    near: int = NEAR,
 ) -> tuple[DataFrame, DataFrame]:
     """(counts, percentiles). Counts hold the mergeable aggregates ``parts`` per (base,
     magnitude bucket), so other statistics of the same groups need no scan of their own.
 
     1. Rows are counted per (base, magnitude bucket), partial counts first, so a group
        that holds a third of all rows costs one row per bucket and task. Running counts
-       over the buckets show which bucket holds the wanted rank, and how many rows lie
-       below it. Both results are written; the planner then knows the size of the
-       per-group ranks and broadcasts them only if they are small.
-    2. Only rows inside that bucket travel: they are counted by value, in ``slices`` equal
-       parts of the bucket, and running counts over parts, then inside a part, find the
-       two neighbouring values. No task ever holds a whole group.
+       show which bucket holds each of the two neighbouring ranks.
+    2. While a range around a rank holds more than ``near`` rows of different values, the
+       rows in it are counted again, in :data:`PARTS` equal parts of the range, and the
+       part with the rank becomes the range. Only counts move.
+    3. The rows in the last ranges are counted by value, and running counts give the value
+       at each rank. A window sees at most ``near`` rows, or one value.
 
     ``fan`` maps rows keyed by ``base`` to the groups they belong to, when groups overlap.
-    In step 1 it multiplies the counts, not the rows. Keys must not be null.
+    In step 1 it multiplies the counts, not the rows. Keys must not be null. The counting
+    jobs run when this is called, not when the result is used.
     """
     base = base or keys
     fan = fan or (lambda d: d)
@@ -72,46 +78,43 @@ def counts_and_percentile(
         F.sum("_c").alias("_c"), F.min("_min").alias("_min"), F.max("_max").alias("_max")
     )
     along = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.lit(p) * (F.col("_n") - 1)
+    first, second = F.floor(rank), F.ceil(rank)
     ranked = by_bucket.withColumns({
         "_upto": F.sum("_c").over(along),
         "_n": F.sum("_c").over(Window.partitionBy(*keys)),
-    })
-    rank = F.lit(p) * (F.col("_n") - 1)
-    first, second = F.floor(rank), F.ceil(rank)
-    holds = (F.col("_upto") - F.col("_c") <= second) & (F.col("_upto") > first)
-    targets = ranked.filter(holds).groupBy(*keys, "_n").agg(
-        F.min("_min").alias("_lo"), F.max("_max").alias("_hi"), F.min(F.col("_upto") - F.col("_c")).alias("_below")
-    )
-    targets = materialize(targets, f"{name}-rank")
-
-    span = F.col("_hi") - F.col("_lo")
-    # Held inside the bucket, because the planner may compute this before the filter.
-    held = F.least(F.greatest("_v", "_lo"), "_hi")
-    part = F.when(span > 0, F.floor((held - F.col("_lo")) / span * slices)).otherwise(0).cast("int")
-    near = (
-        fan(rows).join(targets, list(keys))
-        .filter(v.between(F.col("_lo"), F.col("_hi")))
-        .groupBy(*keys, "_n", "_below", part.alias("_part"), held.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    # Read twice below. Written, because the planner prunes the two uses differently and
-    # would scan all rows once for each.
-    near = materialize(near, f"{name}-near")
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        near.groupBy(*keys, "_part").agg(F.sum("_c").alias("_total"))
-        .withColumn("_skip", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
-    )
-    inside = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.col("_below") + F.col("_skip")
-    located = (
-        near.join(parts, [*keys, "_part"])
-        .filter((start <= second) & (start + F.col("_total") > first))
-        .withColumn("_upto", start + F.sum("_c").over(inside))
-    )
-    found = located.groupBy(*keys, "_n").agg(
-        F.min(F.when(F.col("_upto") > first, v)).alias("_left"),
-        F.min(F.when(F.col("_upto") > second, v)).alias("_right"),
+    }).withColumn("_rank", F.explode(F.array_distinct(F.array(first, second))))
+    target = ("_n", "_rank")
+
+    def holding(runs: DataFrame) -> DataFrame:
+        """The run of rows that holds the rank: its range, and the rows before and in it."""
+        holds = (F.col("_upto") - F.col("_c") <= F.col("_rank")) & (F.col("_upto") > F.col("_rank"))
+        return runs.filter(holds).select(
+            *keys, *target, F.col("_min").alias("_lo"), F.col("_max").alias("_hi"),
+            (F.col("_upto") - F.col("_c")).alias("_below"), F.col("_c").alias("_in"),
+        )
+
+    def inside(targets: DataFrame) -> DataFrame:
+        return fan(rows).join(targets, list(keys)).filter(v.between(F.col("_lo"), F.col("_hi")))
+
+    # Written, so that the planner knows the size of the per-group ranks and broadcasts them only if small.
+    targets = materialize(holding(ranked), f"{name}-rank")
+    while (targets.filter("_hi > _lo").agg(F.max("_in")).first()[0] or 0) > near:
+        span = F.col("_hi") - F.col("_lo")
+        part = F.when(span > 0, F.least(F.floor((v - F.col("_lo")) / span * PARTS), F.lit(PARTS - 1))).otherwise(0).cast("int")
+        split = inside(targets).groupBy(*keys, *target, "_below", part.alias("_part")).agg(
+            F.count(F.lit(1)).alias("_c"), F.min(v).alias("_min"), F.max(v).alias("_max")
+        )
+        so_far = Window.partitionBy(*keys, "_rank").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+        split = split.withColumn("_upto", F.col("_below") + F.sum("_c").over(so_far))
+        targets = materialize(holding(split), f"{name}-rank")
+
+    by_value = inside(targets).groupBy(*keys, *target, "_below", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    upward = Window.partitionBy(*keys, "_rank").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    reached = by_value.withColumn("_upto", F.col("_below") + F.sum("_c").over(upward)).filter("_upto > _rank")
+    found = reached.groupBy(*keys, "_n").agg(
+        F.min(F.when(F.col("_rank") == first, v)).alias("_left"),
+        F.min(F.when(F.col("_rank") == second, v)).alias("_right"),
     )
     percentiles = found.select(
         *keys, (F.col("_left") + (F.col("_right") - F.col("_left")) * (rank - first)).alias(name)

@@ -17,6 +17,7 @@ def range_errors(limits: dict[str, tuple[str, float, float]]) -> Column:
         v = F.col(name).cast("double")
         finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))
         show = lambda x: f"{x:g}"
+        # Wording of the messages.
         tests.append(
             F.when(~finite, F.lit(f"{label} must be a number."))
             .when(v < lo, F.lit(f"{label} must be at least {show(lo)}."))

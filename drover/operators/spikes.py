@@ -71,17 +71,17 @@ CLEANED = (
 )
 
 
-def cleaned_rows(screened: DataFrame) -> DataFrame:
+def cleaned_rows(screened: DataFrame, markets: tuple[str, ...] = ()) -> DataFrame:
     """The published series."""
     extra = [c for c in ("vintage",) if c in screened.columns]
-    return screened.select(*CLEANED, *extra)
+    return screened.select(*markets, *CLEANED, *extra)
 
 
-def spike_log(screened: DataFrame) -> DataFrame:
+def spike_log(screened: DataFrame, markets: tuple[str, ...] = ()) -> DataFrame:
     """One audit row per replacement, before and after, four decimals."""
     r4 = lambda c: F.round(c, 4)
     return screened.filter("spike_replaced").select(
-        "auction_date", "sex", "weight_class", "direction",
+        *markets, "auction_date", "sex", "weight_class", "direction",
         r4("price_real_orig").alias("price_real_orig"),
         r4("price_real").alias("price_real_replaced"),
         r4("price_nominal_orig").alias("price_nominal_orig"),

@@ -230,6 +230,12 @@ def basis_ranges(basis: DataFrame, contracts: tuple[str, ...], strict: tuple[str
     )
 
 
+def chart_order(cells: DataFrame) -> DataFrame:
+    """Lots per class, bin and ISO week in the order charts draw them."""
+    weekly = cells.groupBy("class", "bin_lo", iso_week("auction_date").alias("iso_week")).agg(F.sum("n_lots").alias("n"))
+    return weekly.orderBy("class", "bin_lo", "iso_week")
+
+
 def caption(df: DataFrame, day: str = "auction_date") -> DataFrame:
     """First and last date, distinct dates, distinct years and rows. Reduced to one row per
     date first, so the distinct counts see calendar days, not lots."""

@@ -48,9 +48,19 @@ class Combined:
     df: DataFrame
     label: str
     present: tuple[str, ...]
+    sources: dict[str, DataFrame | None]
 
     def counts(self, tag: str = "source") -> DataFrame:
-        return self.df.groupBy(tag).agg(F.count(F.lit(1)).alias("rows"))
+        """Rows of every source as it was read, before duplicates are resolved, and whether
+        it was there at all."""
+        any_df = self.df.sparkSession.range(1)
+        lines = []
+        for name, df in self.sources.items():
+            rows = F.lit(0).cast("long") if df is None else F.count(F.lit(1))
+            one = any_df if df is None else df
+            lines.append((one.select(rows.alias("rows")) if df is None else one.agg(rows.alias("rows"))).select(
+                F.lit(name).alias(tag), "rows", F.lit(df is not None).alias("present")))
+        return reduce(DataFrame.unionByName, lines)
 
 
 def combine(sources: dict[str, DataFrame | None], dedup: bool = True, key: tuple[str, ...] = LOT_KEY) -> Combined | None:
@@ -63,7 +73,7 @@ def combine(sources: dict[str, DataFrame | None], dedup: bool = True, key: tuple
     if dedup and len(found) > 1:
         df = latest_vintage_wins(df, key)
     names = tuple(found)
-    return Combined(df, ("combined: " if len(names) > 1 else "") + " + ".join(names), names)
+    return Combined(df, ("combined: " if len(names) > 1 else "") + " + ".join(names), names, dict(sources))
 
 
 def revision_counts(new: DataFrame, prior: DataFrame | None, tolerance: float = 1e-6) -> DataFrame:
@@ -140,6 +150,11 @@ def latest_entries(manifest: DataFrame) -> DataFrame:
     ).select("dataset", "_r.*", "n_vintages")
 
 
+def absent_from(wanted: DataFrame, have: DataFrame, name: str) -> DataFrame:
+    """Distinct values of ``name`` that are wanted and not there: missing years, new dates."""
+    return wanted.select(name).distinct().join(have.select(name).distinct(), name, "left_anti")
+
+
 def describe(df: DataFrame, dataset: str, day: str) -> DataFrame:
     """Catalog line: rows, columns, first and last date."""
     return df.agg(

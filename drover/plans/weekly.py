@@ -16,21 +16,24 @@ from drover.session import materialize
 def screened_weekly(
     pens: DataFrame, cpi: DataFrame, base: date = C.BASE_MONTH,
     scope: C.LotScope = C.LotScope(), rule: C.SpikeRule = C.SpikeRule(), source: str = "source",
+    markets: tuple[str, ...] = (),
 ) -> DataFrame:
     """Weekly head-weighted prices in constant money with spikes replaced; the original
-    values stay on the row for the audit log.
+    values stay on the row for the audit log. ``markets`` names the columns that tell
+    markets apart; each market is a series of its own.
 
     Plan: one scan of the lots, one hash aggregation (shuffle of partial sums), one
     broadcast of the monthly index, one small shuffle for the per-series windows.
     """
-    weekly = lots.weekly_cells(pens, scope, source=source)
-    return spikes.replace_spikes(deflate.deflate_strict(weekly, cpi, base), rule)
+    weekly = lots.weekly_cells(pens, scope, markets, source)
+    return spikes.replace_spikes(deflate.deflate_strict(weekly, cpi, base), rule, (*markets, *spikes.SERIES))
 
 
 def clean_weekly(pens: DataFrame, cpi: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """(cleaned series, spike log). The screened table is written once and read twice."""
     screened = materialize(screened_weekly(pens, cpi, **options), "screened")
-    return spikes.cleaned_rows(screened), spikes.spike_log(screened)
+    markets = options.get("markets", ())
+    return spikes.cleaned_rows(screened, markets), spikes.spike_log(screened, markets)
 
 
 def weekly_basis(

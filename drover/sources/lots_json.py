@@ -30,8 +30,14 @@ def raw_rows(payloads: DataFrame, body: str = "value") -> DataFrame:
 
 
 def read_raw_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of every payload file under ``path``; files are parsed in parallel."""
-    return raw_rows(spark.read.text(path, wholetext=True))
+    """Rows of every payload file under ``path``. The JSON reader takes each file as a stream,
+    so no file has to fit in one text value: an envelope is one record with its rows in
+    ``results``, a bare list gives its rows one by one."""
+    both = T.StructType([*ENVELOPE.fields, *ROW.fields])
+    found = spark.read.schema(both).json(path, multiLine=True)
+    own = F.array(F.struct(*RAW_FIELDS))
+    bare = F.coalesce(*[F.col(f) for f in RAW_FIELDS]).isNotNull()
+    return found.select(F.inline(F.when(F.col("results").isNotNull(), F.col("results")).when(bare, own)))
 
 
 def _kept(raw: DataFrame, commodity: str, classes: tuple[str, ...]) -> DataFrame:

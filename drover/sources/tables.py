@@ -95,13 +95,26 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def record_report(report: DataFrame, root: str, dataset: str, vintage: str) -> DataFrame:
+    """Write the gate report of a vintage, replacing an earlier one, and return it as written."""
+    path = f"{root}/_gates/dataset={dataset}/vintage={vintage}"
+    report.withColumn("checked_at_utc", F.current_timestamp()).write.mode("overwrite").parquet(path)
+    return report.sparkSession.read.parquet(path)
+
+
+def read_reports(spark: SparkSession, root: str) -> DataFrame:
+    """Gate reports of every vintage that was tried."""
+    return spark.read.parquet(f"{root}/_gates")
+
+
 def publish(
     df: DataFrame, root: str, dataset: str, vintage: str, report: DataFrame,
     allow_fail: bool = False, extras: dict[str, Column] | None = None,
 ) -> bool:
     """Write a vintage, and move the published pointer only if no gate failed. Otherwise
-    readers keep the last good vintage."""
-    if not allow_fail and not quality.failures(report).isEmpty():
+    readers keep the last good vintage. The gate report is kept either way."""
+    kept = record_report(report, root, dataset, vintage)
+    if not allow_fail and not quality.failures(kept).isEmpty():
         return False
     write_vintage(df, root, dataset, vintage)
     spark = df.sparkSession

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from drover.operators import quality
 from drover.operators.vintage import latest_vintage_wins
+from drover.session import materialize
+from drover.sources import tables
 
 
 def file_stream(spark: SparkSession, path: str, schema, pattern: str = "*.parquet", per_batch: int = 1000) -> DataFrame:
@@ -47,15 +51,94 @@ def gated_append(
     )
 
 
-def bounded_upsert(current: DataFrame, batch: DataFrame, key: tuple[str, ...], day: str, depth_days: int) -> tuple[DataFrame, DataFrame]:
-    """(merged, late): rows not older than the newest known day minus ``depth_days`` may
-    replace known rows of the same key; older ones that are not already known are late.
-    A batch with late rows should fail its gate, not lose them."""
-    newest = current.agg(F.max(day)).scalar()
-    old = F.coalesce(F.col(day) < F.date_sub(newest, depth_days), F.lit(False))
-    late = batch.filter(old).join(current.select(*current.columns), current.columns, "left_anti")
-    merged = latest_vintage_wins(current.unionByName(batch.filter(~old)), key)
-    return merged, late
+def gated_publish(
+    stream: DataFrame, gate: Callable[[DataFrame], DataFrame], root: str, dataset: str, checkpoint: str,
+    vintage_of: Callable[[int], str],
+) -> StreamingQuery:
+    """Every micro-batch becomes a vintage: gate, vintage, manifest row and pointer. A batch
+    that fails its gate leaves the last good vintage published; its report is kept. A batch
+    that is replayed replaces its own vintage."""
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            tables.publish(batch, root, dataset, vintage_of(batch_id), gate(batch))
+        finally:
+            batch.unpersist()
+
+    return (
+        stream.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _cutoff(current: DataFrame, day: str, depth_days: int) -> date | None:
+    newest = current.agg(F.max(day)).first()[0]
+    return None if newest is None else newest - timedelta(days=depth_days)
+
+
+def late_rows(current: DataFrame, batch: DataFrame, cutoff: date, day: str, vintage: str = "vintage") -> DataFrame:
+    """Rows of the batch older than the cutoff that are not known. Known means equal in every
+    column but the vintage, nulls included, so that a republished old row is not late."""
+    old = F.coalesce(F.col(day) < F.lit(cutoff), F.lit(False))
+    columns = [c for c in current.columns if c != vintage]
+    known = current.filter(old).select(*[F.col(c).alias(f"_{c}") for c in columns])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
+    return batch.filter(old).join(known, same, "left_anti")
+
+
+def bounded_upsert(
+    current: DataFrame, batch: DataFrame, key: tuple[str, ...], day: str, depth_days: int,
+    vintage: str = "vintage", ties: tuple[str, ...] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """(merged, late). Rows not older than the newest known day minus ``depth_days`` replace
+    known rows of the same key; older known rows pass through as they are. Older rows that
+    are not known are late: a batch that has some should fail its gate, not lose them."""
+    cutoff = _cutoff(current, day, depth_days)
+    if cutoff is None:
+        return latest_vintage_wins(batch, key, vintage, ties), batch.limit(0)
+    old = F.coalesce(F.col(day) < F.lit(cutoff), F.lit(False))
+    recent = latest_vintage_wins(current.filter(~old).unionByName(batch.filter(~old)), key, vintage, ties)
+    return current.filter(old).unionByName(recent), late_rows(current, batch, cutoff, day, vintage)
+
+
+MONTH = "_month"
+
+
+def revise(
+    stream: DataFrame, state: str, late: str, key: tuple[str, ...], day: str, depth_days: int, checkpoint: str,
+    vintage: str = "vintage", ties: tuple[str, ...] = (),
+) -> StreamingQuery:
+    """:func:`bounded_upsert` as a stream. The state is partitioned by month, and a batch reads
+    and rewrites only the months that may change; late rows land under ``late`` by batch.
+    The first batch is the state. A replayed batch finds its own rows and changes nothing."""
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        month = F.trunc(F.col(day), "month")
+        current = tables.read_optional(spark, state)
+        if current is None:
+            batch.withColumn(MONTH, month).write.partitionBy(MONTH).parquet(state)
+            return
+        cutoff = _cutoff(current, day, depth_days)
+        first = F.trunc(F.lit(cutoff), "month")
+        touched = current.filter(F.col(MONTH).isNull() | (F.col(MONTH) >= first)).drop(MONTH)
+        merged, _ = bounded_upsert(touched, batch, key, day, depth_days, vintage, ties)
+        missed = late_rows(current.drop(MONTH), batch, cutoff, day, vintage)
+        missed.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(late)
+        # Written aside first: a table cannot be read and overwritten in one job.
+        aside = materialize(merged.withColumn(MONTH, month), "revised")
+        aside.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(state)
+
+    return (
+        stream.writeStream.foreachBatch(land)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def weekly_totals(events: DataFrame, keys: tuple[str, ...], ts: str = "ts", value: str = "value", delay: str | None = "14 days") -> DataFrame:
