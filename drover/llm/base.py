@@ -62,7 +62,10 @@ def text_column(df: DataFrame, keep: list[str], text: str) -> tuple[str, DataFra
     """The columns an Arrow function needs, with the text once: its name there, and the frame."""
     if text in keep:
         return text, df.select(*keep)
-    return "_text", df.select(*keep, F.col(text).cast("string").alias("_text"))
+    name = "_text"
+    while name in keep:
+        name += "_"
+    return name, df.select(*keep, F.col(text).cast("string").alias(name))
 
 
 def schema_of(df: DataFrame, keep: list[str], more: str) -> str:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from drover.session import materialize
 
+INTERNAL = ("_key", "_source", "_slices", "_range", "_s", "_r", "_start", "_before")
 #: Rows that a range of keys holds on average. It sets the grain of the work, not the result.
 RANGE_ROWS = 2048
 
@@ -63,9 +64,9 @@ def mix(df: DataFrame, size: Column, key: Column, source: str = "source", weight
     is used up; the row on the edge gives the part that is left. Rows with an equal key are
     ordered by ``ties``; rows equal in these too are alike but for their columns. A null
     size is 0, a null source is a source of its own, an empty table gives no rows.
-    New columns replace those of the same name.
+    New columns replace those of the same name; those of :data:`INTERNAL` are not passed on.
     """
-    thin = df.drop("source_size", "target", "taken").withColumns({"size": F.coalesce(size, F.lit(0)).cast("long"), "_key": key})
+    thin = df.drop("source_size", "target", "taken", *INTERNAL).withColumns({"size": F.coalesce(size, F.lit(0)).cast("long"), "_key": key})
     thin = materialize(thin, "mix")
     sums = thin.groupBy(F.col(source).alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("_n"))
     targets = source_targets(sums, weights, share, most)
@@ -89,6 +90,4 @@ def mix(df: DataFrame, size: Column, key: Column, source: str = "source", weight
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     left = budget - epochs * F.col("source_size")
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - (F.col("_start") + F.col("_before"))))
-    return out.withColumn("taken", (epochs * F.col("size") + part).cast("long")).drop(
-        "_key", "_source", "_slices", "_range", "_s", "_r", "_start", "_before"
-    )
+    return out.withColumn("taken", (epochs * F.col("size") + part).cast("long")).drop(*INTERNAL)

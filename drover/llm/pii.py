@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
-from itertools import accumulate
+from itertools import accumulate, groupby
 
 import numpy as np
 import pandas as pd
@@ -301,9 +301,11 @@ def added_spans(field: Field, texts: list[str], base: list[list[tuple[int, int,
     cover = [_Cover(b) for b in base]
     for i, text in enumerate(texts):
         for run in runs(text) if text else ():
-            if all(cover[i].meets(a, b) for a, b in run):
-                continue  # every word is part of a pattern's span already
-            groups.setdefault(len(run), []).append((i, run))
+            # Words in a pattern's span are settled; what is left of a run on either side is decoded.
+            for taken, part in groupby(run, lambda w: cover[i].meets(*w)):  # noqa: B023
+                if not taken:
+                    part = list(part)
+                    groups.setdefault(len(part), []).append((i, part))
     for length, found in groups.items():
         size = max(1, 20_000 // length)
         for k in range(0, len(found), size):

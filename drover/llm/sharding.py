@@ -11,7 +11,7 @@ import heapq
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from drover.session import fresh_path, materialize
@@ -148,10 +148,11 @@ def reshard(df: DataFrame, old_shard: Column, size: Column, key: list[str], n_ol
     ``old_shard`` is a number from 0 to ``n_old - 1``; null counts as 0. ``size`` is in bytes;
     null counts as 0. Rows are told apart by ``key``; rows that agree in all of it are
     placed together and their slots follow in any order, which leaves the same set of
-    (row, slot). New columns replace those of the same name. An empty table gives no rows.
+    (row, slot). New columns replace those of the same name, and ``_block``, ``_at`` and
+    ``_first`` are not passed on. An empty table gives no rows.
     """
     spark = df.sparkSession
-    thin = df.withColumns({
+    thin = df.drop("shard", "slot", "_block", "_at", "_first").withColumns({
         "old_shard": F.coalesce(old_shard, F.lit(0)).cast("int"),
         "size": F.coalesce(size, F.lit(0)).cast("long"),
     }).withColumn("_block", F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int"))
@@ -163,21 +164,15 @@ def reshard(df: DataFrame, old_shard: Column, size: Column, key: list[str], n_ol
         [(i, b, j, s) for (i, b), (j, s) in made.blocks.items()],
         "old_shard int, _block int, shard int, _first long",
     )
-    within = F.row_number().over(_within(key)) - 1
+    within = F.row_number().over(Window.partitionBy("old_shard", "_block").orderBy(*key, "size")) - 1
     out = (
-        thin.withColumn("_at", within).drop("shard", "slot")
+        thin.withColumn("_at", within)
         .join(F.broadcast(moves), ["old_shard", "_block"])  # at most n_old x blocks rows
         .withColumn("slot", F.col("_first") + F.col("_at")).drop("_first", "_at", "_block")
     )
     return out, made
 
 
-def _within(key: list[str]):
-    from pyspark.sql import Window
-
-    return Window.partitionBy("old_shard", "_block").orderBy(*key, "size")
-
-
 def rewrite(assigned: DataFrame, made: Plan, root: str | None = None) -> DataFrame:
     """Write the shards that change, each to its own new folder, and return the manifest
     (shard, folder). Shards that keep their rows are not read or written: their folder
