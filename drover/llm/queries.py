@@ -126,12 +126,35 @@ def _(spark, d) -> DataFrame:
     return topk.top_k(table(spark, d, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k=20)
 
 
-@query("op10_minhash_one_permutation")
+OP10_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.c),
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM m LEFT JOIN n USING (doc_id)"""
+
+
+@query("op10_minhash_one_permutation", OP10_SQL)
 def _(spark, d) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"), "doc_id", "text", width=3, percent=85)
 
 
-@query("op8_repeats_logarithmic_index")
+OP8_SQL = """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+v AS (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM d), w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS w FROM v),
+f AS (SELECT w, min(doc_id) AS m FROM w GROUP BY 1 HAVING min(doc_id) < max(doc_id)), c AS (SELECT doc_id, p FROM w JOIN f USING (w) WHERE m < doc_id),
+g AS (SELECT *, sum(CASE WHEN p <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM (SELECT *, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM c)),
+s AS (SELECT doc_id, k, min(p) AS a, max(p) + 50 AS b FROM g GROUP BY 1, 2),
+x AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM s UNION ALL SELECT doc_id, n, coalesce(b, 0) FROM d LEFT JOIN (SELECT doc_id, max(b) AS b FROM s GROUP BY 1) USING (doc_id)),
+t AS (SELECT doc_id, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY z, a) AS h FROM x JOIN d USING (doc_id) GROUP BY 1),
+r AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS spans FROM s GROUP BY 1)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(t.h)) AS kept_sha256
+ FROM d JOIN t USING (doc_id) LEFT JOIN r USING (doc_id)"""
+
+
+@query("op8_repeats_logarithmic_index", OP8_SQL)
 def _(spark, d) -> DataFrame:
     out = repeats.remove_repeats(table(spark, d, "documents"), "doc_id", "text", length=50, with_text=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
