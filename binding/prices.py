@@ -15,7 +15,6 @@ from drover.operators import basis as B
 from drover.operators import deflate, spikes, views
 from drover.operators import lots as L
 from drover.plans import weekly as plan
-from drover.session import materialize
 
 # ---- SQL building blocks -------------------------------------------------------------
 

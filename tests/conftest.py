@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from drover.session import builder  # noqa: E402
+from drover.session import builder, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,6 +19,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 
