@@ -34,8 +34,10 @@ LENGTH = 50
 #: Bytes of a suffix that its key covers. A window has LENGTH - KEY + 1 positions to pick from.
 KEY = 16
 #: Bytes of text of a block, and of all text for each shard. They set the grain, not the result.
-BLOCK, SHARD = 8 << 20, 32 << 20
+BLOCK, SHARD = 8 << 20, 8 << 20
 LEAST_SHARDS = 32
+#: Suffixes of one shard whose windows are sorted at a time; those of one key stay together.
+SORTED = 1 << 15
 #: Bytes that are hashed at a time.
 PIECE = 1 << 19
 NO_ID = np.iinfo(np.int64).max
@@ -299,7 +301,7 @@ def _expanded(length: int, bits: int):
         for a, b in zip(cuts, cuts[1:], strict=False):
             s = keep[a:b]
             rows.append((int(shard[s[0]]), block, code[s].tobytes(), own[s].tobytes(), row[s].astype(np.int32).tobytes(),
-                         lo[s].astype(np.int64).tobytes(), count[s].astype(np.uint8).tobytes(), content[s].tobytes(), b""))
+                         lo[s].astype(np.int64).tobytes(), count[s].astype(np.uint8).tobytes(), pa.compress(content[s].tobytes(), codec="zstd", asbytes=True), b""))
         return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
     return run
@@ -312,47 +314,62 @@ def _resolved(length: int):
     inverse = np.uint64(pow(int(_ODD), -1, 1 << 64))
     unpower = np.cumprod(np.concatenate(([np.uint64(1)], np.full(width, inverse))), dtype=np.uint64)
 
+    def windows(content: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, suffix, place) of every window."""
+        prefix = np.zeros((len(content), width + 1), np.uint64)
+        np.cumsum(_SALT[content] * power[:width], axis=1, out=prefix[:, 1:])
+        hashes, entry, place = [], [], []
+        for i in range(int(counts.max())):
+            has = np.flatnonzero(counts > i)
+            hashes.append((prefix[has, i + length] - prefix[has, i]) * unpower[i])
+            entry.append(has)
+            place.append(np.full(len(has), i))
+        return mix64(np.concatenate(hashes)), np.concatenate(entry), np.concatenate(place)
+
+    def covered(key, ids, counts, content) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(suffix, first place, last place) of neighbouring windows that a smaller id has too."""
+        hashes, entry, place = windows(content, counts)
+        order = np.lexsort((key[entry], hashes))
+        # Equal hash and equal key: 64 bits of the window and 32 and more of the suffix in it.
+        new = np.flatnonzero(np.concatenate(([True], (np.diff(hashes[order]) != 0) | (np.diff(key[entry[order]]) != 0))))
+        own = ids[entry[order]]
+        least = np.repeat(np.minimum.reduceat(own, new), np.diff(np.append(new, len(order))))
+        found = order[own > least]
+        found = found[np.lexsort((place[found], entry[found]))]
+        e, i = entry[found], place[found]
+        if not len(e):
+            return e, i, i
+        begin = np.flatnonzero(np.concatenate(([True], (e[1:] != e[:-1]) | (i[1:] != i[:-1] + 1))))
+        return e[begin], i[begin], i[np.append(begin[1:], len(e)) - 1]
+
     def run(table: pa.Table) -> pa.Table:
         blocks = table.column("block").to_pylist()
         out = [(b, s) for b, s in zip(blocks, table.column("spans").to_pylist(), strict=True) if s]
         load = lambda name, kind: [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-        key, ids, starts, counts = (load(n, t) for n, t in (("keys", np.uint64), ("ids", np.int64), ("starts", np.int64), ("counts", np.uint8)))
-        sizes = [len(k) for k in key]
-        if sum(sizes):
-            source = np.repeat(np.arange(len(sizes)), sizes)
-            key, ids, starts, counts = (np.concatenate(x) for x in (key, ids, starts, counts))
-            rows = np.concatenate(load("rows", np.int32))
-            content = np.concatenate(load("bytes", np.uint8)).reshape(-1, width)
-            hashes, entry, place = [], [], []
-            for a in range(0, len(key), 1 << 15):
-                part = content[a : a + (1 << 15)]
-                prefix = np.zeros((len(part), width + 1), np.uint64)
-                np.cumsum(_SALT[part] * power[:width], axis=1, out=prefix[:, 1:])
-                n = counts[a : a + (1 << 15)]
-                for i in range(int(n.max())):
-                    has = np.flatnonzero(n > i)
-                    hashes.append((prefix[has, i + length] - prefix[has, i]) * unpower[i])
-                    entry.append((has + a).astype(np.int32))
-                    place.append(np.full(len(has), i, np.uint8))
-            hashes, entry, place = mix64(np.concatenate(hashes)), np.concatenate(entry), np.concatenate(place)
-            order = np.argsort(hashes, kind="stable")
-            # Equal hash and equal key: 64 bits of the window and 32 and more of the suffix in it.
-            sorted_hash, sorted_key = hashes[order], key[entry[order]]
-            new = np.concatenate(([True], (sorted_hash[1:] != sorted_hash[:-1]) | (sorted_key[1:] != sorted_key[:-1])))
-            first = np.flatnonzero(new)
-            own = ids[entry[order]]
-            least = np.repeat(np.minimum.reduceat(own, first), np.diff(np.append(first, len(order))))
-            covered = order[own > least]
-            # Neighbouring windows of one suffix make one span.
-            covered = covered[np.lexsort((place[covered], entry[covered]))]
-            e, i = entry[covered], place[covered].astype(np.int64)
-            if len(e):
-                begin = np.flatnonzero(np.concatenate(([True], (e[1:] != e[:-1]) | (i[1:] != i[:-1] + 1))))
-                end = np.append(begin[1:], len(e)) - 1
-                who = e[begin]
-                spans = np.stack([rows[who], starts[who] + i[begin], starts[who] + i[end] + length], axis=1).astype(np.int64)
-                for s in np.unique(source[who]):
-                    out.append((blocks[s], spans[source[who] == s].tobytes()))
+        parts = load("keys", np.uint64)
+        source = np.repeat(np.arange(len(parts)), [len(k) for k in parts])
+        if len(source):
+            key = np.concatenate(parts)
+            ids, rows, starts, counts = (
+                np.concatenate(load(n, t)) for n, t in (("ids", np.int64), ("rows", np.int32), ("starts", np.int64), ("counts", np.uint8)))
+            content = np.concatenate([
+                np.frombuffer(pa.decompress(c, len(k) * width, codec="zstd"), np.uint8).reshape(-1, width)
+                for c, k in zip(table.column("bytes").to_pylist(), parts, strict=True) if len(k)])
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0)))
+            ends = np.append(first[1:], len(order))
+            found, at = [], 0
+            while at < len(order):
+                stop = int(ends[min(np.searchsorted(ends, at + SORTED), len(ends) - 1)])
+                part = order[at:stop]
+                e, low, high = covered(key[part], ids[part], counts[part], content[part])
+                found.append((part[e], low, high))
+                at = stop
+            who, low, high = (np.concatenate(x) for x in zip(*found, strict=True))
+            spans = np.stack([rows[who], starts[who] + low, starts[who] + high + length], axis=1).astype(np.int64)
+            where = source[who]
+            for s in np.unique(where):
+                out.append((blocks[s], spans[where == s].tobytes()))
         return pa.table({"block": pa.array([r[0] for r in out], pa.int64()), "spans": pa.array([r[1] for r in out], pa.binary())})
 
     return run
@@ -416,7 +433,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     name = f"drover_blocks_{uuid.uuid4().hex}"
     cut = thin.mapInArrow(_cut, "block long, at long, doc_id long, text string")
     # Bucketed by block: the two steps that bring findings back to the texts move only the findings.
-    cut.write.bucketBy(buckets, "block").sortBy("block").option("path", fresh_path(spark, "blocks")).saveAsTable(name)
+    cut.write.bucketBy(buckets, "block").sortBy("block").option("path", fresh_path(spark, "blocks")).option("compression", "zstd").saveAsTable(name)
     blocks = spark.table(name)
     runs = blocks.mapInArrow(_runs(length, bits), RUN)
     told = runs.groupBy("shard").applyInArrow(_told, "block long, shard long, keys binary")
