@@ -6,6 +6,8 @@ predecessor kept, written as Parquet and read again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from drover.llm import language, mixing, neardup, packing, pii
 from drover.llm.base import WORD, ship, table, words_in
 from drover.session import materialize
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document goes if no language is more likely than this.
 LANGUAGE_SCORE = 0.5
@@ -60,8 +63,12 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _shipped(stage: Stage) -> Stage:
+    return lambda spark, docs, sf_dir: stage(ship(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("language_id", language_id), ("near_dedup", near_dedup), ("mask_pii", mask_pii), ("mix_sources", mix_sources), ("pack", pack),
+    (stage.__name__, _shipped(stage)) for stage in (language_id, near_dedup, mask_pii, mix_sources, pack)
 ]
 
 ORACLE_SQL = None
