@@ -24,11 +24,10 @@ from drover.session import materialize
 #: into chunks whose centres meet again, a larger star repeats its centre.
 CHUNK = 4096
 STAR = 512
-#: Agreement of two signatures that a linked pair of sets this large cannot miss in practice
-#: (seven standard deviations below 0.85, six below 0.8). Smaller sets are always confirmed.
-SURE_SIZE, UNLIKELY = 200, 0.55
-#: Agreement from which a member belongs to a centre's surroundings.
-NEAR = 0.7
+#: Sets of this size at least are judged by their signatures first: where these agree in less
+#: than the wanted similarity minus the margin, five standard deviations, a link is out of the
+#: question. Smaller sets are always confirmed.
+SURE_SIZE, MARGIN = 96, 0.22
 
 
 def _signed(df: DataFrame, keep: list[str], text: str, width: int) -> DataFrame:
@@ -68,40 +67,43 @@ def _centre(sigs: np.ndarray) -> int:
 
 
 def stars(nodes: np.ndarray, sizes: np.ndarray, sigs: np.ndarray, percent: int) -> tuple[list[tuple[int, int]], int]:
-    """Candidate edges of the members of a bucket and the first centre.
+    """Candidate edges of the members of a bucket, less than two per member, and the first centre.
 
-    Members far from the centre form the next star. Such a member is also paired with the
-    member nearest to it among those already placed, so that a group that reaches beyond
-    its centre stays whole.
+    Members that cannot be linked with the centre form the next star. A member that is
+    probably not linked with its centre is also paired with the member nearest to it, so
+    that a group that reaches beyond its centre stays whole.
     """
+    wanted, least = percent / 100, percent / 100 - MARGIN
     edges, first = [], None
     order = np.argsort(nodes)
     nodes, sizes, sigs = nodes[order], sizes[order], sigs[order]
-    active, placed = np.arange(len(nodes)), np.zeros(0, np.int64)
+    active, apart = np.arange(len(nodes)), []
 
-    def offer(a: int, others: np.ndarray) -> np.ndarray:
-        agree = (sigs[others] == sigs[a]).mean(axis=1)
-        fit = 100 * np.minimum(sizes[others], sizes[a]) >= percent * np.maximum(sizes[others], sizes[a])
-        fit &= (agree >= UNLIKELY) | (np.minimum(sizes[others], sizes[a]) < SURE_SIZE)
-        edges.extend((int(nodes[a]), int(nodes[b])) for b in others[fit])
-        return agree
+    def plausible(a: int, others: np.ndarray, agree: np.ndarray) -> np.ndarray:
+        small, large = np.minimum(sizes[others], sizes[a]), np.maximum(sizes[others], sizes[a])
+        return (100 * small >= percent * large) & ((agree >= least) | (small < SURE_SIZE))
 
     while len(active):
         centre = int(active[_centre(sigs[active])]) if len(active) > 2 else int(active[0])
         first = int(nodes[centre]) if first is None else first
         others = active[active != centre]
-        far = others[offer(centre, others) < NEAR] if len(others) else others
-        near = np.append(np.setdiff1d(others, far), centre)
-        if len(placed):
-            for x in near if len(near) < 8 else near[-8:]:
-                closest = placed[(sigs[placed] == sigs[x]).mean(axis=1).argmax()]
-                offer(int(x), np.array([closest]))
-        for x in far:
-            if len(near) > 1:
-                closest = near[(sigs[near] == sigs[x]).mean(axis=1).argmax()]
-                offer(int(x), np.array([closest]))
-        placed = np.append(placed, near)
-        active = far
+        agree = (sigs[others] == sigs[centre]).mean(axis=1)
+        near = plausible(centre, others, agree)
+        edges += [(int(nodes[centre]), int(nodes[b])) for b in others[near]]
+        apart += others[near & (agree < wanted)].tolist()
+        if not near.any():  # an outlier, or nobody has company here
+            apart.append(centre)
+        active = others[~near]
+        if len(active) and near.sum() * 8 < len(active):
+            apart += active.tolist()  # many strangers: each looks for its nearest
+            break
+    for x in apart if len(nodes) > 2 else ():
+        others = np.flatnonzero(np.arange(len(nodes)) != x)
+        agree = (sigs[others] == sigs[x]).mean(axis=1)
+        agree[~plausible(x, others, agree)] = -1
+        best = int(agree.argmax())
+        if agree[best] >= 0:
+            edges.append((int(nodes[x]), int(nodes[others[best]])))
     return edges, first
 
 
