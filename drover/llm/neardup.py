@@ -3,7 +3,8 @@
 Equal shingle sets are one node. Signatures come from one permutation with optimal
 densification; bands of them are buckets; each bucket contributes a star of candidate
 edges around the member that agrees best with the bucket as a whole, so candidates grow
-linearly with the members. Every candidate is confirmed on the full sets.
+linearly with the members. Every candidate is confirmed on the full sets, and groups that
+the candidates hold together but the links do not are compared in full.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from drover.session import materialize
 #: into chunks whose centres meet again, a larger star repeats its centre.
 CHUNK = 4096
 STAR = 512
+#: Members of a group whose texts are compared at a time when components in it may still be linked.
+CROSS = 512
 #: Sets of this size at least are judged by their signatures first: where these agree in less
 #: than the wanted similarity minus the margin, five standard deviations, a link is out of the
 #: question. Smaller sets are always confirmed.
@@ -192,7 +195,7 @@ def _confirmed(width: int, percent: int):
     return run
 
 
-def confirm(edges: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+def confirm(edges: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The edges whose full sets are similar enough. The end of an edge that occurs in more
     edges is its centre; each star of up to :data:`STAR` members brings its texts together."""
     degree = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
@@ -207,13 +210,99 @@ def confirm(edges: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text: s
         "hub", F.pmod(F.xxhash64("node"), F.col("chunks")).alias("chunk"), F.lit(1).alias("role"), "node")
     centres = counts.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
                             F.lit(0).alias("role"), F.col("hub").alias("node"))
-    asked = members.unionByName(centres).join(nodes.select("node", F.col("rep").alias("_rep")), "node")
-    texts = df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text"))
-    rows = asked.join(texts, F.col("_rep").eqNullSafe(F.col("_key"))).select("hub", "chunk", "role", "node", "text")
+    rows = members.unionByName(centres).join(texts, "node").select("hub", "chunk", "role", "node", "text")
     rows = rows.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk", "role")
     return rows.mapInArrow(_confirmed(width, percent), "a long, b long")
 
 
+def _linked(nodes: list[int], labels: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between members with different labels, by an inverted index over their shingles;
+    of the links between two labels, the first that joins what is not joined yet."""
+    size = np.array([len(x) for x in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    label = np.array(labels)
+    values, counts = np.unique(label, return_counts=True)
+    most = values[counts.argmax()]
+    root = {v: v for v in values.tolist()}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i in np.flatnonzero(label != most).tolist():  # every link across labels has an end outside the largest
+        begin, end = np.searchsorted(flat, sets[i], "left"), np.searchsorted(flat, sets[i], "right")
+        both = np.zeros(len(sets), np.int64)
+        np.add.at(both, np.concatenate([owner[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]), 1)
+        for j in np.flatnonzero((100 * both >= percent * (size[i] + size - both)) & (label != label[i])).tolist():
+            x, y = find(labels[i]), find(labels[j])
+            if x != y:
+                root[x] = y
+                out.append((nodes[i], nodes[j]))
+    return out
+
+
+def _crossed(width: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, {}
+
+        def close() -> list[tuple[int, int]]:
+            if len({x[0] for x in held.values()}) < 2:
+                return []
+            return _linked(list(held), [x[0] for x in held.values()], [x[1] for x in held.values()], percent)
+
+        def batch_of(out: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            out = []
+            columns = [batch.column(n).to_pylist() for n in ("part", "low", "high", "node", "label")]
+            for k, (part, low, high, node, label) in enumerate(zip(*columns, strict=True)):
+                if (part, low, high) != key:
+                    out += close()
+                    held.clear()
+                    key = (part, low, high)
+                if node not in held:
+                    found = S.shingles(batch.column("text")[k].as_py(), width)
+                    if int.from_bytes(S.digest(found)[:8], "little", signed=True) == node:
+                        held[node] = (label, found)
+            if out:
+                yield batch_of(out)
+        if out := close():
+            yield batch_of(out)
+
+    return run
+
+
+def across(edges: DataFrame, links: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links that no star has offered. A group is what the candidates hold together; where
+    the confirmed links leave several components in one, its members are compared in full,
+    :data:`CROSS` with as many others at a time. Only links that join components come out."""
+    groups = components(edges).select("node", F.col("root").alias("part"))
+    labels = components(links).select("node", F.col("root").alias("label"))
+    members = groups.join(labels, "node", "left").select("part", "node", F.coalesce("label", "node").alias("label"))
+    members = materialize(members, "members")
+    mixed = members.groupBy("part").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
+    mixed = mixed.select("part", F.ceil(F.col("n") / F.lit(CROSS)).cast("long").alias("chunks"))
+    dealt = members.join(mixed, "part").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    dealt = dealt.withColumn("other", other).select(
+        "part", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "label")
+    rows = dealt.join(texts, "node").repartition("part", "low", "high").sortWithinPartitions("part", "low", "high")
+    return rows.mapInArrow(_crossed(width, percent), "a long, b long")
+
+
+def texts_of(edges: DataFrame, nodes: DataFrame, df: DataFrame, key: str, text: str) -> DataFrame:
+    """(node, text) of every end of an edge, written once, so that all texts are shuffled once only."""
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = ends.join(nodes.select("node", F.col("rep").alias("_rep")), "node")
+    own = df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("text"))
+    return materialize(wanted.join(own, F.col("_rep").eqNullSafe(F.col("_key"))).select("node", "text"), "texts")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, percent: int = 85) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row.
 
@@ -227,9 +316,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", widt
     sets = signed.filter("node IS NOT NULL")
     nodes = sets.groupBy("node").agg(F.min(key).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
     nodes = materialize(nodes.withColumn("sig8", _low_bytes("sig")), "nodes")
-    edges = candidates(nodes, percent)
-    links = materialize(confirm(edges, nodes, df, key, text, width, percent), "links")
-    roots = components(links)
+    edges = materialize(candidates(nodes, percent), "candidates")
+    texts = texts_of(edges, nodes, df, key, text)
+    links = materialize(confirm(edges, texts, width, percent), "links")
+    roots = components(links.unionByName(across(edges, links, texts, width, percent)))
     reps = nodes.select("node", "rep")
     grouped = roots.join(reps, "node").groupBy("root").agg(F.min("rep").alias("_least"))
     of_node = roots.join(grouped, "root").select("node", "_least")
