@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from drover.session import materialize
 
-INTERNAL = ("_key", "_source", "_slices", "_range", "_s", "_r", "_start", "_before")
+INTERNAL = ("_key", "_source", "_sid", "_slices", "_range", "_start", "_before")
 #: Rows that a range of keys holds on average. It sets the grain of the work, not the result.
 RANGE_ROWS = 2048
 
@@ -26,7 +26,7 @@ def random_key(name: str) -> Column:
 
 
 def source_targets(sources: DataFrame, weights: Sequence[int], share: float, most: float) -> DataFrame:
-    """Target of each source from (source, source_size): weights by code-point order of
+    """Target of each source from (source, source_size), with its rank: weights by code-point order of
     the sources, null last, repeating; together ``share`` times all sizes; none above
     ``most`` times its own size, the excess shared again by weight.
 
@@ -52,7 +52,7 @@ def source_targets(sources: DataFrame, weights: Sequence[int], share: float, mos
         fixed, level = n, (share * total - most * full) / weight
     level = float(level or 0.0)
     target = F.least(F.col("source_size") * F.lit(float(most)), F.col("weight") * F.lit(level))
-    return ranked.withColumn("target", target).drop("_rank")
+    return ranked.withColumn("target", target)
 
 
 def mix(df: DataFrame, size: Column, key: Column, source: str = "source", weights: Sequence[int] = (3, 1, 2),
@@ -72,20 +72,16 @@ def mix(df: DataFrame, size: Column, key: Column, source: str = "source", weight
     targets = source_targets(sums, weights, share, most)
     # Keys are uniform, so equal slices of the key space hold about equally many rows.
     slices = F.ceil(F.col("_n") / F.lit(RANGE_ROWS)).cast("long")
-    looked_up = targets.select(F.col("source").alias("_source"), "source_size", "target", slices.alias("_slices"))
+    looked_up = targets.select(F.col("source").alias("_source"), F.col("_rank").alias("_sid"), "source_size", "target", slices.alias("_slices"))
+    # From here on a source is its rank, which is never null, so that one shuffle serves the sum and the join.
     placed = thin.join(looked_up, F.col(source).eqNullSafe(F.col("_source")))
     head = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long")
     placed = placed.withColumn("_range", F.floor(head * F.col("_slices") / F.lit(1 << 32)).cast("long"))
-    ranges = placed.groupBy("_source", "_range").agg(F.sum("size").alias("_sum"))
-    earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.select(
-        F.col("_source").alias("_s"), F.col("_range").alias("_r"),
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"),
-    )
-    inside = Window.partitionBy("_source", "_range").orderBy("_key", *ties, "size").rowsBetween(Window.unboundedPreceding, -1)
-    out = placed.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(
-        starts, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r"))
-    )
+    ranges = placed.groupBy("_sid", "_range").agg(F.sum("size").alias("_sum"))
+    earlier = Window.partitionBy("_sid").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("_sid", "_range", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_sid", "_range").orderBy("_key", *ties, "size").rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["_sid", "_range"])
     budget = F.floor(F.col("target") + 0.5).cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     left = budget - epochs * F.col("source_size")
