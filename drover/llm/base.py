@@ -18,6 +18,9 @@ import drover
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
+#: Rows in an Arrow batch. It bounds what a Python worker holds of the texts at a time.
+ROWS_PER_BATCH = "500"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -26,7 +29,9 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Give the executors this package, as ``--py-files`` would; once per application."""
+    """Give the executors this package, as ``--py-files`` would; once per application. Rows
+    here are whole texts, so Arrow batches are held to fewer of them."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(drover.__file__).parent

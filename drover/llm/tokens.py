@@ -17,8 +17,8 @@ import numpy as np
 from drover.llm.base import mix64
 
 #: Characters handled at a time, and different pieces remembered between chunks.
-CHUNK = 1 << 22
-REMEMBER = 2_000_000
+CHUNK = 1 << 21
+REMEMBER = 1_000_000
 
 # The classes of characters that the tokenizer's pattern tells apart.
 _SPACE, _LETTER, _NUMBER, _OTHER, _BREAK = range(5)
