@@ -1,10 +1,11 @@
 """Near-duplicate groups by one-permutation MinHash.
 
 Equal shingle sets are one node. Signatures come from one permutation with optimal
-densification; bands of them are buckets; each bucket contributes a star of candidate
-edges around the member that agrees best with the bucket as a whole, so candidates grow
-linearly with the members. Every candidate is confirmed on the full sets, and groups that
-the candidates hold together but the links do not are compared in full.
+densification; bands of them are buckets; each bucket contributes stars of candidate
+edges around the members that agree best with the rest, and joins the stars between which
+a link is possible, so candidates grow linearly with the members and hold together all
+that may be linked. Every candidate is confirmed on the full sets, and groups that the
+candidates hold together but the links do not are compared in full.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from drover.llm.components import components
 from drover.session import materialize
 
 #: Members of a bucket, or of a star, that one task takes at a time; a larger bucket is cut
-#: into chunks whose centres meet again, a larger star repeats its centre.
+#: into chunks, each held together as a whole, whose centres meet again; a larger star
+#: repeats its centre.
 CHUNK = 4096
 STAR = 512
 #: Members of a group whose texts are compared at a time when components in it may still be linked.
@@ -69,12 +71,13 @@ def _centre(sigs: np.ndarray) -> int:
     return int(agree.argmax())
 
 
-def stars(nodes: np.ndarray, sizes: np.ndarray, sigs: np.ndarray, percent: int) -> tuple[list[tuple[int, int]], int]:
+def stars(nodes: np.ndarray, sizes: np.ndarray, sigs: np.ndarray, percent: int, whole: bool = False) -> tuple[list[tuple[int, int]], int]:
     """Candidate edges of the members of a bucket, less than two per member, and the first centre.
 
     Members that cannot be linked with the centre form the next star. A member that is
-    probably not linked with its centre is also paired with the member nearest to it, so
-    that a group that reaches beyond its centre stays whole.
+    probably not linked with its centre is also paired with the member nearest to it. What
+    the edges then leave apart is joined wherever two members may be linked; ``whole``
+    joins it in any case.
     """
     wanted, least = percent / 100, percent / 100 - MARGIN
     edges, first = [], None
@@ -107,10 +110,47 @@ def stars(nodes: np.ndarray, sizes: np.ndarray, sigs: np.ndarray, percent: int)
         best = int(agree.argmax())
         if agree[best] >= 0:
             edges.append((int(nodes[x]), int(nodes[others[best]])))
-    return edges, first
+    return edges + _joins(nodes, edges, sigs, plausible, whole), first
 
 
-def _starred(percent: int):
+def _joins(nodes: np.ndarray, edges: list[tuple[int, int]], sigs: np.ndarray, plausible, whole: bool) -> list[tuple[int, int]]:
+    """Edges between members that may be linked and that ``edges`` leave apart: the likeliest
+    of each pair of parts, one less in all than the parts. Every such pair has an end outside
+    the largest part, so only members outside it look around."""
+    ends = np.searchsorted(nodes, np.array(edges, np.int64).reshape(-1, 2))
+    root = list(range(len(nodes)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in ends.tolist():
+        root[find(a)] = find(b)
+    part = np.array([find(x) for x in range(len(nodes))], np.int64)
+    if len(np.unique(part)) < 2:
+        return []
+    out = []
+    largest = np.bincount(part).argmax()
+    for x in np.flatnonzero(part != largest).tolist():
+        others = np.flatnonzero(part != part[x])
+        agree = (sigs[others] == sigs[x]).mean(axis=1)
+        may = plausible(x, others, agree)
+        others, agree = others[may], agree[may]
+        for b in others[np.argsort(-agree, kind="stable")].tolist():
+            if part[b] != part[x]:
+                out.append((int(nodes[x]), int(nodes[b])))
+                part[part == part[b]] = part[x]
+    if whole:
+        first = [int(np.flatnonzero(part == p)[0]) for p in np.unique(part)]
+        out += [(int(nodes[first[0]]), int(nodes[b])) for b in first[1:]]
+    return out
+
+
+def _starred(percent: int, again: bool):
+    """``again``: the members are the centres of chunks of one bucket."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # rows of the group that the last batch ended in
         key = None
@@ -119,7 +159,7 @@ def _starred(percent: int):
             if len(held) > 1 or (held and held[0][4] > 1):
                 nodes = np.array([r[2] for r in held], np.int64)
                 sigs = np.frombuffer(b"".join(r[5] for r in held), np.uint8).reshape(len(held), -1)
-                edges, first = stars(nodes, np.array([r[3] for r in held]), sigs, percent)
+                edges, first = stars(nodes, np.array([r[3] for r in held]), sigs, percent, again or held[0][4] > 1)
                 out.extend((a, b, None) for a, b in edges)
                 if held[0][4] > 1:  # one of several chunks: its centre meets the others
                     out.append((first, None, held[0][0]))
@@ -160,7 +200,7 @@ def candidates(nodes: DataFrame, percent: int) -> DataFrame:
         dealt = joined.withColumn("chunk", F.pmod(F.xxhash64("node", "bucket"), F.col("chunks")))
         dealt = dealt.select("bucket", "chunk", "node", "n_shingles", "chunks", "sig8")
         dealt = dealt.repartition("bucket", "chunk").sortWithinPartitions("bucket", "chunk")
-        out = materialize(dealt.mapInArrow(_starred(percent), "a long, b long, bucket long"), "stars")
+        out = materialize(dealt.mapInArrow(_starred(percent, bool(found)), "a long, b long, bucket long"), "stars")
         found.append(out.filter("b IS NOT NULL").select("a", "b"))
         centres = out.filter("bucket IS NOT NULL").select("bucket", F.col("a").alias("node"))
         if centres.isEmpty():

@@ -68,6 +68,39 @@ def test_near_duplicates_against_brute_force(docs, monkeypatch, width, percent,
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def bridged(tag):
+    """A text, 50 longer copies and 5 shorter ones: the shorter ones are linked with the text only,
+    and the copies are the centre of nearly every bucket that holds it."""
+    base = [f"{tag}a{k}" for k in range(201)]
+    longer = [" ".join([*base, f"{tag}x", f"{tag}y", f"{tag}z", f"{tag}own{i}"]) for i in range(50)]
+    return [" ".join(base), *longer, *(" ".join([*base[:172], f"{tag}end{i}"]) for i in range(5))]
+
+
+@pytest.mark.parametrize("chunk", [4096, 8])
+def test_near_duplicates_linked_between_two_stars(docs, monkeypatch, chunk):
+    monkeypatch.setattr(neardup, "CHUNK", chunk)
+    rows = list(enumerate(t for tag in "pqrs" for t in bridged(tag)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(docs(rows)).collect()}
+    assert got == brute_components(rows, 3, 85)
+    assert len({c for _, c in got.values()}) == 4
+
+
+def test_stars_hold_together_what_may_be_linked():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 256, 96)
+    sigs = np.array([np.where(rng.random(96) < rng.choice([0.02, 0.2, 0.5]), rng.integers(0, 256, 96), base) for _ in range(120)], np.uint8)
+    sizes = rng.integers(100, 260, 120)
+    edges, _ = neardup.stars(np.arange(120), sizes, sigs, 85)
+    assert len(edges) < 2 * 120
+    root = list(range(120))
+    for a, b in edges:
+        root = [root[a] if r == root[b] else r for r in root]
+    for a in range(120):
+        for b in range(a):
+            if 100 * min(sizes[a], sizes[b]) >= 85 * max(sizes[a], sizes[b]) and (sigs[a] == sigs[b]).mean() >= 0.85 - neardup.MARGIN:
+                assert root[a] == root[b]
+
+
 def test_near_duplicates_odd_keys(docs):
     long = " ".join(VOCABULARY)
     rows = [(None, long), (3, long), (3, long), (2, None), (None, None), (9, "alone here now"), (9, "another text altogether")]
