@@ -18,13 +18,15 @@ OLD_SHARDS, NEW_SHARDS = 16, 24
 @query("op1_reshard_min_cost_flow")
 def _(spark, d) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = table(spark, d, "documents").select(
-        "doc_id", "source", F.octet_length(text).cast("long").alias("n_bytes"), F.crc32(text).alias("text_crc32")
-    )
+    size = F.octet_length(text).cast("long") + 8
+    docs = table(spark, d, "documents").withColumn("text_crc32", F.crc32(text))
     old = F.pmod(F.crc32(F.coalesce(F.col("source"), F.lit(""))), F.lit(OLD_SHARDS))
-    out, _ = sharding.reshard(docs, old, F.col("n_bytes") + 8, ["doc_id", "text_crc32"], OLD_SHARDS, NEW_SHARDS)
-    return out.select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
+    out, made = sharding.reshard(docs, old, size, ["doc_id", "text_crc32"], OLD_SHARDS, NEW_SHARDS)
+    out = out.drop("size", "text_crc32")
+    found = sharding.contents(out, made, sharding.rewrite(out, made))
+    return found.select(
+        "doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), old.cast("int").alias("old_shard"),
     )
 
 

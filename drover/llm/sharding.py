@@ -2,7 +2,8 @@
 
 A block is the set of rows of one old shard that share a hash of their key. Block sizes
 are summed on the cluster; the driver sees at most ``old shards x blocks`` numbers,
-solves the flow between shards and fills it with blocks. Rows then look up their block.
+solves the flow between shards and fills it with blocks. Rows then look up their block,
+and the shards that change are written anew.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from drover.session import fresh_path, materialize
+from drover.session import fresh_path
 
 #: Blocks per old shard. The bound on what the driver holds is this times the old shards.
 BLOCKS = 2048
+#: Parts of a new shard that tasks take and write on their own.
+PARTS = 64
 
 
 def min_cost_flow(
@@ -148,29 +151,27 @@ def reshard(df: DataFrame, old_shard: Column, size: Column, key: list[str], n_ol
     ``old_shard`` is a number from 0 to ``n_old - 1``; null counts as 0. ``size`` is in bytes;
     null counts as 0. Rows are told apart by ``key``; rows that agree in all of it are
     placed together and their slots follow in any order, which leaves the same set of
-    (row, slot). New columns replace those of the same name, and ``_block``, ``_at`` and
-    ``_first`` are not passed on. An empty table gives no rows.
+    (row, slot). New columns replace those of the same name, and ``_block``, ``_part``, ``_at``
+    and ``_first`` are not passed on. An empty table gives no rows. ``df`` is read once for the
+    plan and once for the rows, which move in one shuffle, by parts of their new shard.
     """
     spark = df.sparkSession
-    thin = df.drop("shard", "slot", "_block", "_at", "_first").withColumns({
+    own = df.drop("shard", "slot", "_block", "_part", "_at", "_first").withColumns({
         "old_shard": F.coalesce(old_shard, F.lit(0)).cast("int"),
         "size": F.coalesce(size, F.lit(0)).cast("long"),
     }).withColumn("_block", F.pmod(F.xxhash64(*key), F.lit(blocks)).cast("int"))
-    thin = materialize(thin, "reshard")
-    sums = thin.groupBy("old_shard", "_block").agg(F.sum("size").alias("s"), F.count("*").alias("n"))
+    sums = own.groupBy("old_shard", "_block").agg(F.sum("size").alias("s"), F.count("*").alias("n"))
     found = [(r[0], r[1], r[2], r[3]) for r in sums.collect()]  # at most n_old x blocks rows
     made = plan(found, n_old, n_new, cost, capacity)
     moves = spark.createDataFrame(
         [(i, b, j, s) for (i, b), (j, s) in made.blocks.items()],
         "old_shard int, _block int, shard int, _first long",
     )
-    within = F.row_number().over(Window.partitionBy("old_shard", "_block").orderBy(*key, "size")) - 1
-    out = (
-        thin.withColumn("_at", within)
-        .join(F.broadcast(moves), ["old_shard", "_block"])  # at most n_old x blocks rows
-        .withColumn("slot", F.col("_first") + F.col("_at")).drop("_first", "_at", "_block")
-    )
-    return out, made
+    placed = own.join(F.broadcast(moves), ["old_shard", "_block"])  # at most n_old x blocks rows
+    dealt = placed.withColumn("_part", F.pmod("_block", F.lit(PARTS))).repartition("shard", "_part")
+    within = F.row_number().over(Window.partitionBy("shard", "_part", "old_shard", "_block").orderBy(*key, "size")) - 1
+    out = dealt.withColumn("_at", within).withColumn("slot", F.col("_first") + F.col("_at"))
+    return out.drop("_first", "_at", "_block", "_part"), made
 
 
 def rewrite(assigned: DataFrame, made: Plan, root: str | None = None) -> DataFrame:
@@ -181,10 +182,22 @@ def rewrite(assigned: DataFrame, made: Plan, root: str | None = None) -> DataFra
     spark = assigned.sparkSession
     root = root or fresh_path(spark, "shards")
     touched = sorted(made.affected)
-    (
-        assigned.filter(F.col("shard").isin(touched)).drop("old_shard")
-        .repartition(max(1, len(touched)) * 4, "shard", F.pmod("slot", F.lit(16)))
-        .write.partitionBy("shard").parquet(root)
-    )
+    # reshard() has dealt the rows by parts of their shard.
+    assigned.filter(F.col("shard").isin(touched)).drop("old_shard").write.partitionBy("shard").parquet(root)
     rows = [(j, f"{root}/shard={j}" if j in touched else None) for j in range(len(made.sizes))]
     return spark.createDataFrame(rows, "shard int, folder string")
+
+
+def contents(assigned: DataFrame, made: Plan, manifest: DataFrame) -> DataFrame:
+    """All rows as they lie after :func:`rewrite`, without ``old_shard``: those of the shards that
+    changed from the manifest's files, those of the others from ``assigned``."""
+    spark = assigned.sparkSession
+    filled = {j for j, _ in made.blocks.values()}  # a shard that lost all its rows has no files
+    folders = [r.folder for r in manifest.collect() if r.folder and r.shard in filled]  # one row per shard
+    same = assigned.drop("old_shard")
+    if not folders:
+        return same
+    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in same.schema)
+    found = spark.read.schema(names).option("basePath", folders[0].rpartition("/")[0]).parquet(*folders)
+    kept = sorted(filled - made.affected)
+    return found.unionByName(same.filter(F.col("shard").isin(kept))) if kept else found

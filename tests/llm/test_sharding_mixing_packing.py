@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 from drover.llm import mixing, packing, sharding
 from drover.llm.base import words_in
+from drover.llm.queries import QUERIES
 from drover.llm.tokens import Encoder, encoded
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +79,33 @@ def test_reshard(spark, docs, tmp_path):
             assert all(r.old_shard == j for r in by[j])
 
 
+def test_contents_come_from_the_files_of_changed_shards(spark, docs, tmp_path):
+    rows = [(i, f"{i} " + "x" * 20, "en", "a") for i in range(400)]
+    out, made = sharding.reshard(docs(rows), F.when(F.col("doc_id") < 100, 0).when(F.col("doc_id") < 300, 1).otherwise(2),
+                                 F.lit(1), ["doc_id"], 3, 3, capacity=[100, 300, 0], blocks=64)
+    assert made.affected == {1, 2}
+    manifest = sharding.rewrite(out, made, str(tmp_path / "new"))
+    got = sharding.contents(out, made, manifest)
+    assert sorted((r.doc_id, r.text, r.shard) for r in got.collect()) == [(r[0], r[1], int(r[0] >= 100)) for r in rows]
+    assert sorted(r.slot for r in got.filter("shard = 1").collect()) == list(range(300))
+    assert {f.rsplit("/", 2)[-2] for f in got.inputFiles()} == {"shard=1"}
+
+
+def test_resharding_query_reads_the_rewritten_texts(spark, docs, tmp_path):
+    rows = [(i, f"{i} é " + "x" * (i % 50), "en", f"s{i % 5}") for i in range(300)] + [(300, None), (None, "n"), (5, "again")]
+    docs(rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    out = QUERIES["op1_reshard_min_cost_flow"](spark, str(tmp_path))
+    got = out.collect()
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in got), key=str) == sorted(
+        ((r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in rows), key=str)
+    for j in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == j) == list(range(sum(r.shard == j for r in got)))
+    files = [f for f in out.inputFiles() if "/shard=" in f]
+    assert files and "documents.parquet" not in " ".join(files)
+    written = spark.read.parquet(*files).select("doc_id", "text", "lang", "source", "n_chars", "slot")
+    assert sorted(((r.doc_id, r.text) for r in written.collect()), key=str) == sorted(((r[0], r[1]) for r in rows), key=str)
+
+
 def test_reshard_again_moves_nothing(docs):
     df = docs([(i, "x" * 20) for i in range(240)])
     out, made = sharding.reshard(df, F.pmod("doc_id", F.lit(4)), F.length("text"), ["doc_id"], 4, 4)
