@@ -319,17 +319,26 @@ def _crossed(width: int, percent: int):
 
 def across(edges: DataFrame, links: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links that no star has offered. A group is what the candidates hold together; where
-    the confirmed links leave several components in one, its members are compared in full,
-    :data:`CROSS` with as many others at a time. Only links that join components come out."""
+    the confirmed links leave several components in one, the members outside the largest
+    are compared with each other and with those of the largest, :data:`CROSS` with as many
+    others at a time. Only links that join components come out."""
     groups = components(edges).select("node", F.col("root").alias("part"))
     labels = components(links).select("node", F.col("root").alias("label"))
     members = groups.join(labels, "node", "left").select("part", "node", F.coalesce("label", "node").alias("label"))
     members = materialize(members, "members")
-    mixed = members.groupBy("part").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
-    mixed = mixed.select("part", F.ceil(F.col("n") / F.lit(CROSS)).cast("long").alias("chunks"))
-    dealt = members.join(mixed, "part").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
-    dealt = dealt.withColumn("other", other).select(
+    sizes = members.groupBy("part", "label").agg(F.count("*").alias("n"))
+    sums = sizes.groupBy("part").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
+    mixed = sums.filter("n > most.n").select(
+        "part", F.col("most.label").alias("most"), F.ceil((F.col("n") - F.col("most.n")) / F.lit(CROSS)).cast("long").alias("strays"),
+        F.ceil(F.col("most.n") / F.lit(CROSS)).cast("long").alias("others"))
+    dealt = members.join(mixed, "part").withColumn("stray", F.col("label") != F.col("most"))
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("node"), F.when(F.col("stray"), F.col("strays")).otherwise(F.col("others"))))
+    # Chunks of strays are numbered from 0, those of the largest component from -1 down. A stray
+    # meets both, a member of the largest component the strays only.
+    strays = F.sequence(F.lit(0).cast("long"), F.col("strays") - 1)
+    other = F.when(F.col("stray"), F.concat(strays, F.sequence(-F.col("others"), F.lit(-1).cast("long")))).otherwise(strays)
+    own = F.when(F.col("stray"), F.col("chunk")).otherwise(-1 - F.col("chunk"))
+    dealt = dealt.select("part", own.alias("chunk"), F.explode(other).alias("other"), "node", "label").select(
         "part", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "node", "label")
     rows = dealt.join(texts, "node").repartition("part", "low", "high").sortWithinPartitions("part", "low", "high")
     return rows.mapInArrow(_crossed(width, percent), "a long, b long")

@@ -85,6 +85,30 @@ def test_near_duplicates_linked_between_two_stars(docs, monkeypatch, chunk):
     assert len({c for _, c in got.values()}) == 4
 
 
+def test_one_stray_does_not_send_all_texts_to_each_other(spark, docs, monkeypatch):
+    docs([])
+    monkeypatch.setattr(neardup, "CROSS", 10)
+    texts = [" ".join(f"w{k}" for k in range(100))[: 380 - i] for i in range(60)] + [" ".join(f"w{k}" for k in range(50))]
+    node = [int.from_bytes(shingles.digest(shingles.shingles(t, 3))[:8], "little", signed=True) for t in texts]
+    node, texts = zip(*{n: t for n, t in zip(node, texts, strict=True)}.items(), strict=True)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(width, percent):
+        def run(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch.select(["node", "label"]).rename_columns(["a", "b"]).slice(0, 0)
+        return run
+
+    monkeypatch.setattr(neardup, "_crossed", counted)
+    edges = spark.createDataFrame([(node[0], x) for x in node[1:]], "a long, b long")
+    links = spark.createDataFrame([(node[0], x) for x in node[1:-1]], "a long, b long")
+    frame = spark.createDataFrame(list(zip(node, texts, strict=True)), "node long, text string")
+    neardup.across(edges, links, frame, 3, 85).collect()
+    blocks = -(-(len(node) - 1) // 10)
+    assert seen.value == len(node) + blocks  # the others once, the stray once a block and once for strays
+
+
 def test_stars_hold_together_what_may_be_linked():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 256, 96)
