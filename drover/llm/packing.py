@@ -123,7 +123,7 @@ def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
 
         names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "leftover", "ids"]
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer)
+            encoder = encoder or Encoder(tokenizer, added=True)
             key_type = batch.column(0).type
             full: list[list] = []
             texts = (t.as_py() or "" for t in batch.column(1))

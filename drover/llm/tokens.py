@@ -3,13 +3,16 @@
 A text is cut into pieces (letters, digits, other characters, white space) in numpy, equal
 pieces of a chunk are found by hash, and the tokenizer encodes each different piece once.
 The ids equal those of the tokenizer on the whole text, because it never merges across
-pieces.
+pieces. Added tokens such as <|endoftext|> are found in a text with ``added`` only, as the
+tokenizer does by default; without it they are text like any other (``encode_special_tokens``).
 """
 
 from __future__ import annotations
 
 import itertools
+import re
 import unicodedata
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -71,13 +74,15 @@ def piece_starts(codes: np.ndarray, cls: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of texts by a ``tokenizers`` file with a byte-level BPE model."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
         # The file's vocabulary as ranks: in a byte-level BPE vocabulary ids follow the merges.
         spelled = {c: b for b, c in enumerate(_byte_letters())}
-        special = {t.content for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()}
+        special = {t.content: i for i, t in Tokenizer.from_file(path).get_added_tokens_decoder().items()}
+        self.added = special if added else {}
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
         ranks = {bytes(spelled[c] for c in token): i for token, i in vocabulary.items() if token not in special}
         self.piece = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
@@ -180,6 +185,27 @@ def _cut(text: str, limit: int) -> int | None:
 
 def encoded(encoder: Encoder, texts: Iterable[str]) -> Iterator[np.ndarray]:
     """The ids of each text in turn."""
+    if not encoder.added:
+        yield from _plain(encoder, texts)
+        return
+    between: deque[list[int]] = deque()  # ids of the added tokens in each text that is under way
+
+    def segments() -> Iterator[str]:
+        for text in texts:
+            parts = encoder.split.split(text)
+            between.append([encoder.added[x] for x in parts[1::2]])
+            yield from parts[::2]
+
+    each = _plain(encoder, segments())
+    for first in each:
+        out = [first]
+        for i in between.popleft():
+            out += [np.array([i], np.uint32), next(each)]
+        yield first if len(out) == 1 else np.concatenate(out)
+
+
+def _plain(encoder: Encoder, texts: Iterable[str]) -> Iterator[np.ndarray]:
+    """The ids of each text in turn, added tokens being ordinary text."""
     part: list[np.ndarray] = []
     for held, more in chunks(texts):
         ids, sizes = encoder.encode(held)

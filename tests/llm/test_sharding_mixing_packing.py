@@ -189,6 +189,16 @@ def test_long_texts_are_cut_where_a_piece_begins(tokenizer, monkeypatch):
     assert list(next(encoded(Encoder(PATH), [text]))) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_have_their_own_ids(docs):
+    own = Tokenizer.from_file(PATH)
+    texts = [*ODD, "<|endoftext|>", "a <|endoftext|><|endoftext|> 's\n", "<|endoftext", "it'<|endoftext|>s", "x <|endoftext|>"]
+    want = [own.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [list(x) for x in encoded(Encoder(PATH, added=True), texts)] == want
+    got = packing.pack(docs([(0, "<|endoftext|> x"), (1, "y")]), PATH).collect()
+    tokens = {r.doc_id: r.doc_tokens for r in got}
+    assert tokens[0] - tokens[1] == 1  # two ids against one
+
+
 def test_pack_round_trip(docs, tokenizer):
     rng = random.Random(7)
     rows = [(i, " ".join(rng.choice(["alpha", "béta", "c", "12", "\n"]) for _ in range(rng.choice([0, 3, 40, 700, 3000])))) for i in range(60)]
