@@ -64,6 +64,12 @@ def _(spark, d):
     return T.read_reports(spark, out).select("vintage", "rule_id", "n_bad", "n_total")
 
 
+def _landed(batch, path):
+    """Write a feed in its own partitions; how many files a micro-batch must take to hold all of it."""
+    batch.write.parquet(path)
+    return max(1000, len(batch.sparkSession.read.schema(batch.schema).parquet(path).inputFiles()))
+
+
 @query("s2_bounded_revisions", f"""WITH {LOTS}, cur AS (SELECT * FROM lots WHERE auction_date < DATE '2001-06-01' AND source = 'legacy'), b AS (SELECT * FROM lots WHERE source = 'live'),
  m AS (SELECT max(auction_date) - 14 AS cut FROM cur), recent AS (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY {ORDER}) AS k FROM
  (SELECT cur.* FROM cur, m WHERE auction_date >= cut UNION ALL SELECT b.* FROM b, m WHERE auction_date >= cut))
@@ -79,8 +85,7 @@ def _(spark, d):
     legacy = both.filter("source = 'legacy' AND auction_date < DATE'2001-06-01'")
     again = legacy.withColumn("vintage", F.date_add("vintage", -7))
     for n, batch in enumerate((legacy, again, both.filter("source = 'live'"))):
-        batch.coalesce(1).write.parquet(f"{out}/in/{n}")
-        feed = R.file_stream(spark, f"{out}/in/*", both.schema)
+        feed = R.file_stream(spark, f"{out}/in/*", both.schema, per_batch=_landed(batch, f"{out}/in/{n}"))
         R.revise(feed, f"{out}/state", f"{out}/late", LOT_KEY, "auction_date", 14, f"{out}/checkpoint", ties=TIES).awaitTermination()
     shown = (*LOT_KEY, "l_orderkey", "l_linenumber", "price_low")
     parts = [spark.read.parquet(f"{out}/{f}").select(F.lit(p).alias("part"), *shown) for f, p in (("state", "merged"), ("late", "late"))]

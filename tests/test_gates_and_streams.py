@@ -165,3 +165,11 @@ def test_release_deletes_what_was_written(spark):
     session.release(spark)
     session._written[:] = kept
     assert not os.path.exists(local)
+
+
+def test_a_feed_is_written_in_its_own_partitions(spark, tmp_path):
+    from binding import streams
+
+    batch = spark.range(90).repartition(3)
+    assert streams._landed(batch, str(tmp_path / "feed")) == 1000
+    assert len(list((tmp_path / "feed").glob("part-*"))) == 3 and spark.read.parquet(str(tmp_path / "feed")).count() == 90
