@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm import html, language, mixing, neardup, packing, pii, quality, repeats, sharding, topk
+from drover.llm import html, language, merkle, mixing, neardup, packing, pii, quality, repeats, sharding, topk
 from drover.llm.base import QUERIES, SQL, query, table, words_in
 
 __all__ = ["QUERIES", "SQL"]
@@ -160,3 +160,69 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(removed, 0) AS n_removed,
 def _(spark, d) -> DataFrame:
     out = repeats.remove_repeats(table(spark, d, "documents"), "doc_id", "text", length=50, with_text=False)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def _crc32_sql(codes: str) -> str:
+    """Unsigned crc32 of a list of byte values, as DuckDB SQL."""
+    step = "lambda y, z: xor(y >> 1, (y & 1) * 3988292384)"
+    byte = f"lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), {step})"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), {byte}), 4294967295)"
+
+
+#: The fields of a leaf, in order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _op11_sql(levels: int = 9, tops: int = 4) -> str:
+    """Trees of at most 8 ** levels leaves and 8 ** tops groups, level by level."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+    plain = lambda text: " || ".join(field(text if c == "text" else c) for c in LEAF)
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = _crc32_sql("[ord(c)::BIGINT FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]")
+    depth = lambda n: " + ".join(f"CAST({n} > {8 ** d} AS INT)" for d in range(levels))
+    beside = "string_agg(h, '') OVER (PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN {})"
+    parts = [
+        f"l AS (SELECT doc_id, lang AS g, sha256({plain('text')}) AS h, CASE WHEN {crc} % 3 = 0 THEN sha256({plain(low)}) ELSE sha256({plain('text')}) END AS t FROM documents)",
+        f"a0 AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS i, {depth('count(*) OVER (PARTITION BY g)')} AS d FROM l)",
+    ]
+
+    def climb(name: str, most: int) -> None:
+        for k in range(most):
+            parts.append(
+                f"{name}s{k} AS (SELECT g, i, coalesce({beside.format('UNBOUNDED PRECEDING AND 1 PRECEDING')}, '') AS b, "
+                f"coalesce({beside.format('1 FOLLOWING AND UNBOUNDED FOLLOWING')}, '') AS f FROM {name}{k} WHERE d > {k})"
+            )
+            parts.append(
+                f"{name}{k + 1} AS (SELECT g, i // 8 AS i, any_value(d) AS d, CASE WHEN any_value(d) > {k} THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h FROM {name}{k} GROUP BY 1, 2)"
+            )
+
+    climb("a", levels)
+    parts.append(f"b0 AS (SELECT 0 AS g, g AS lang, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, {depth('count(*) OVER ()')} AS d FROM a{levels})")
+    climb("b", tops)
+    parts.append(
+        f"p0 AS (SELECT a0.doc_id, a0.g, a0.h, b0.h AS sub, b0.i AS j, a0.i AS i, r.h AS root, '' AS proof, a0.t AS fold FROM a0 JOIN b0 ON a0.g IS NOT DISTINCT FROM b0.lang, b{tops} r)"
+    )
+    k = 0
+    for name, most, place in (("a", levels, "p.i"), ("b", tops, "p.j")):
+        for n in range(most):
+            group = "s.g IS NOT DISTINCT FROM p.g AND" if name == "a" else ""
+            parts.append(
+                f"p{k + 1} AS (SELECT p.doc_id, p.g, p.h, p.sub, p.j, p.i, p.root, CASE WHEN s.i IS NULL THEN p.proof ELSE p.proof || s.b || s.f END AS proof, "
+                f"CASE WHEN s.i IS NULL THEN p.fold ELSE sha256(s.b || p.fold || s.f) END AS fold FROM p{k} p LEFT JOIN {name}s{n} s ON {group} s.i = {place} // {8 ** n})"
+            )
+            k += 1
+    return (
+        f"WITH {', '.join(parts)} SELECT doc_id, h AS leaf, sub AS subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, "
+        f"fold = root AS verified FROM p{k}"
+    )
+
+
+@query("op11_merkle_nested_rollup", _op11_sql())
+def _(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf([low if c == "text" else F.col(c) for c in LEAF]))
+    out = merkle.manifest(docs, LEAF, carry={"tampered": tampered})
+    fold = merkle.folded(F.coalesce("tampered", "leaf"), F.col("steps"))
+    out = out.withColumn("folded_root", fold).withColumn("proof_sha256", merkle.digest(merkle.proof(F.col("steps"))))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
