@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm import html, language, merkle, mixing, neardup, packing, pii, quality, repeats, sharding, topk
+from drover.llm import html, language, merkle, mixing, neardup, packing, pii, quality, repeats, sharding, spelling, topk
 from drover.llm.base import QUERIES, SQL, query, table, words_in
 
 __all__ = ["QUERIES", "SQL"]
@@ -226,3 +226,21 @@ def _(spark, d) -> DataFrame:
     fold = merkle.folded(F.coalesce("tampered", "leaf"), F.col("steps"))
     out = out.withColumn("folded_root", fold).withColumn("proof_sha256", merkle.digest(merkle.proof(F.col("steps"))))
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+_BYTES = "flatten([CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, (ord(c) - 64)::BIGINT] END FOR c IN string_split(doc_id || ':' || run, '')])"
+OP13_SQL = rf"""WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+e AS (SELECT doc_id, run, count(*) AS k FROM r GROUP BY 1, 2), h AS (SELECT run, k, {_crc32_sql(_BYTES)} AS h FROM e),
+w AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, CAST(sum(k) AS BIGINT) AS n FROM h GROUP BY 1 HAVING length(word) >= 6 AND sum(k) >= 5),
+x AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT a.word, b.word AS other FROM x a JOIN x b ON a.less = b.less AND a.i = b.i AND a.word <> b.word UNION SELECT word, less FROM x WHERE less IN (SELECT word FROM w) UNION SELECT less, word FROM x WHERE less IN (SELECT word FROM w)),
+b AS (SELECT p.word, count(*) AS n_near, arg_min(o.word, {{'n': -o.n, 'word': o.word}}) AS best, max(o.n) AS best_n FROM p JOIN w o ON o.word = other GROUP BY 1),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form, CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n FROM w LEFT JOIN b USING (word)),
+c AS (SELECT word, word AS here, 0 AS hop FROM f UNION ALL SELECT c.word, f.form, hop + 1 FROM c JOIN f ON f.word = c.here AND f.form IS NOT NULL),
+t AS (SELECT word, arg_max(here, hop) AS root FROM c GROUP BY 1)
+SELECT word, n, n_near, form, form_n, root FROM f JOIN t USING (word)"""
+
+
+@query("op13_spelling_fm_index", OP13_SQL)
+def _(spark, d) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, d, "documents")))
