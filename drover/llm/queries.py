@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drover.llm import html, language, merkle, mixing, neardup, packing, pii, quality, repeats, sharding, spelling, topk
+from drover.llm import factorization, html, language, merkle, mixing, neardup, packing, pii, quality, repeats, sharding, spelling, topk
 from drover.llm.base import QUERIES, SQL, query, table, words_in
 
 __all__ = ["QUERIES", "SQL"]
@@ -244,3 +244,13 @@ SELECT word, n, n_near, form, form_n, root FROM f JOIN t USING (word)"""
 @query("op13_spelling_fm_index", OP13_SQL)
 def _(spark, d) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, d, "documents")))
+
+
+@query("op12_quality_factorization_machine")
+def _(spark, d) -> DataFrame:
+    docs = table(spark, d, "documents")
+    held = factorization.held_out(F.col("doc_id"))
+    labels = table(spark, d, "labels").filter(~held).select("doc_id", F.col("quality").alias("label"))
+    machine = factorization.train(docs.filter(~held), labels)
+    out = factorization.predict(docs, machine, ["doc_id"])
+    return out.select("doc_id", held.alias("held_out"), "score", "predicted")
