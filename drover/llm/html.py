@@ -9,6 +9,7 @@ that are menus, adverts, forms, comments and the like.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -57,6 +58,50 @@ ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"
 INVISIBLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+class _Open:
+    """Open elements, outermost first, with the depths at which each name and any block stands, so
+    that no end tag has to walk through them."""
+
+    def __init__(self):
+        self.elements, self.names = [0], ["#root"]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.semantic = 0
+
+    def last(self, name: str) -> int:
+        """Depth of the innermost open element of a name, or 0."""
+        found = self.depths.get(name)
+        return found[-1] if found else 0
+
+    def first_below(self, name: str, depth: int) -> int | None:
+        """The least depth beyond ``depth`` at which the name stands."""
+        found = self.depths.get(name, ())
+        k = bisect_right(found, depth)
+        return found[k] if k < len(found) else None
+
+    @property
+    def last_block(self) -> int:
+        return self.blocks[-1] if self.blocks else 0
+
+    def push(self, element: int, name: str) -> None:
+        self.depths.setdefault(name, []).append(len(self.elements))
+        if name in BLOCK:
+            self.blocks.append(len(self.elements))
+        self.semantic += name in SEMANTIC
+        self.elements.append(element)
+        self.names.append(name)
+
+    def cut(self, depth: int) -> None:
+        """Close the element at ``depth`` and all inside it."""
+        while len(self.elements) > depth:
+            self.elements.pop()
+            name = self.names.pop()
+            self.depths[name].pop()
+            if name in BLOCK:
+                self.blocks.pop()
+            self.semantic -= name in SEMANTIC
+
+
 class Page:
     """A page as parallel lists over elements, in page order, and its pieces of text."""
 
@@ -65,13 +110,13 @@ class Page:
         self.pieces: list[tuple[int, int, str]] = []  # (element, block, text)
         self.doubtful: set[int] = set()
         self.block = 0
-        open_: list[int] = [0]
+        open_ = _Open()
         at = 0
         while True:
             m = TAG.search(html, at)
             text = html[at : m.start()] if m else html[at:]
             if text:
-                self.pieces.append((open_[-1], self.block, unescape(text)))
+                self.pieces.append((open_.elements[-1], self.block, unescape(text)))
             if not m:
                 break
             at = m.end()
@@ -89,38 +134,32 @@ class Page:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(html, at)
                 at = end.end() if end else len(html)
             elif name == "br":
-                self.pieces.append((open_[-1], self.block, " "))
+                self.pieces.append((open_.elements[-1], self.block, " "))
 
-    def _begin(self, open_: list[int], name: str, attrs: str) -> None:
-        if name in CLOSES_P:
-            for k in range(len(open_) - 1, 0, -1):
-                if self.tag[open_[k]] == "p":
-                    del open_[k:]
-                    break
-                if self.tag[open_[k]] in BLOCK:
-                    break
+    def _begin(self, open_: _Open, name: str, attrs: str) -> None:
+        if name in CLOSES_P and (p := open_.last("p")) and p >= open_.last_block:
+            open_.cut(p)
         if name in ENDS:
             ended, border = ENDS[name]
-            for k in range(len(open_) - 1, 0, -1):
-                if self.tag[open_[k]] in border:
-                    break
-                if self.tag[open_[k]] in ended:
-                    del open_[k:]
+            outer = max((open_.last(x) for x in border), default=0)
+            inner = [d for x in ended if x not in border and (d := open_.first_below(x, outer))]
+            if inner:
+                open_.cut(min(inner))
         if name in BLOCK:
             self.block += 1
         if name in VOID or name in RAW:
             return
         self.tag.append(name)
-        self.parent.append(open_[-1])
+        self.parent.append(open_.elements[-1])
         self.out.append(self._boilerplate(name, attrs, open_))
         if not attrs.rstrip(">").endswith("/") or name in BLOCK:
-            open_.append(len(self.tag) - 1)
+            open_.push(len(self.tag) - 1, name)
 
-    def _boilerplate(self, name: str, attrs: str, open_: list[int]) -> bool:
+    def _boilerplate(self, name: str, attrs: str, open_: _Open) -> bool:
         if name in NEVER:
             return True
         if name in OUTSIDE:
-            return not any(self.tag[k] in SEMANTIC for k in open_)
+            return not open_.semantic
         if name in ("html", "body", "article", "main") or "=" not in attrs and "hidden" not in attrs.lower():
             return False
         marks = []
@@ -136,15 +175,13 @@ class Page:
             return True
         return False
 
-    def _end(self, open_: list[int], name: str) -> None:
+    def _end(self, open_: _Open, name: str) -> None:
         if name in BLOCK:
             self.block += 1
-        for k in range(len(open_) - 1, 0, -1):
-            if self.tag[open_[k]] == name:
-                del open_[k:]
-                return
-            if name not in BLOCK and self.tag[open_[k]] in BLOCK:
-                return  # an inline end tag does not close a block
+        depth = open_.last(name)
+        # An inline end tag does not close a block.
+        if depth and (name in BLOCK or depth > open_.last_block):
+            open_.cut(depth)
 
     def _settle(self) -> None:
         """Take back the marks of doubtful elements that hold more than half of the text."""
