@@ -3,8 +3,8 @@
 The field tags words by their shape and that of their neighbours. Words without a digit or
 an at sign can only bear the tag "outside" (its tag dictionary), so a text falls into
 short runs of other words that are decoded apart and exactly, by Viterbi in numpy over
-batches of runs of one length. It is trained on a small table of runs that the patterns
-label in a bounded sample of documents.
+batches of runs of one length. It is trained on a small table: runs that the patterns
+label in a bounded sample of documents, and a few labelled by hand that the patterns miss.
 """
 
 from __future__ import annotations
@@ -32,6 +32,21 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Documents that the labelled table is drawn from, on average, and the runs it holds at most.
 TRAIN_DOCS, TRAIN_RUNS = 4_000, 2_000
+#: Words of a run, and characters of its words, beyond which it is not taken into the labelled table.
+RUN_WORDS, RUN_CHARS = 32, 2_000
+#: Times that each of the hand-labelled runs counts.
+HAND_WEIGHT = 8
+# Runs labelled by hand, in forms that the patterns do not know, and numbers that are none of the kinds.
+HAND = (
+    ("phone", "555-123-4567"), ("phone", "(555) 123-4567"), ("phone", "555 123 4567"), ("phone", "555.123.4567"), ("phone", "1-555-123-4567"),
+    ("phone", "0171 5551234"), ("phone", "030 1234567"), ("phone", "0171/5551234"), ("phone", "01 42 68 53 00"), ("phone", "0049 171 5551234"),
+    ("phone", "(030) 123 4567"), ("phone", "1 (743) 555-3824"), ("card", "4465.7583.8288.9437"), ("card", "4465/7583/8288/9437"),
+    ("card", "4465_7583_8288_9437"), (None, "2024-03-05"), (None, "05/03/2024"), (None, "5.3.2024"), (None, "05-03-2024"), (None, "10:30"),
+    (None, "2024-03-05 10:30:00"), (None, "2024-03-05T10:30:00Z"), (None, "1.2.3"), (None, "v2.10.1"), (None, "12,500"), (None, "3.14159"),
+    (None, "300"), (None, "1999"), (None, "1999-2004"), (None, "978-3-16-148410-0"), (None, "12%"), (None, "$1,200.50"), (None, "1200000"),
+    (None, "12345678"), (None, "100 200 300"), (None, "10 000 000"), (None, "1234567890"), (None, "20240305"), (None, "3:4"), (None, "10-12"),
+    (None, "1/2"), (None, "A4"), (None, "4th"), (None, "1,234,567.89"), (None, "10.1000/182"), (None, "12345-6789"), (None, "7 8 9 10 11 12"),
+)
 EPOCHS, RATE, DECAY = 120, 0.2, 1e-3
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"
 _SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
@@ -111,10 +126,8 @@ def runs(text: str) -> Iterator[list[tuple[int, int]]]:
 
 
 def shape(word: str) -> str:
-    """Digits as their number, letters as x, the rest as it is; long words end in a mark."""
-    head = word[:80]
-    s = _LETTERS.sub("x", _DIGITS.sub(lambda m: f"{{{min(len(m[0]), 20)}}}", head))
-    return s if len(word) <= 80 else s + "~"
+    """Digits as their number, letters as x, the rest as it is."""
+    return _LETTERS.sub("x", _DIGITS.sub(lambda m: f"{{{min(len(m[0]), 20)}}}", word))
 
 
 def features(words: list[str]) -> list[list[str]]:
@@ -123,7 +136,7 @@ def features(words: list[str]) -> list[list[str]]:
     coarse = [re.sub(r"\{\d+\}", "9", s) for s in shapes]
     out = []
     for i, w in enumerate(words):
-        d = _digits(w) if len(w) <= 200 else ""
+        d = _digits(w)
         own = [f"s={shapes[i]}", f"c={coarse[i]}", f"n={min(len(d), 20)}", f"first={coarse[i][:1]}", f"dots={min(w.count('.'), 4)}"]
         own.append(f"prev={coarse[i - 1] if i else '^'}")
         own.append(f"next={coarse[i + 1] if i + 1 < len(words) else '$'}")
@@ -249,14 +262,17 @@ def _labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for i, text in zip(pdf["id"], pdf["text"], strict=True):
             spans = base_spans(text)
             for n, run in enumerate(runs(text)):
-                rows.append((i, n, [text[a:b][:200] for a, b in run][:32], label(run, spans)[:32]))
+                words = [text[a:b] for a, b in run]
+                if len(words) <= RUN_WORDS and sum(map(len, words)) <= RUN_CHARS:
+                    rows.append((i, n, words, label(run, spans)))
         yield pd.DataFrame(rows, columns=["id", "n", "words", "tags"])
 
 
 def train(df: DataFrame, key: str = "doc_id", text: str = "text", docs: int = TRAIN_DOCS, most: int = TRAIN_RUNS) -> Field:
     """Fit on runs from about ``docs`` documents, chosen by a hash of their key. Of the runs,
-    those with a label come first; ``most`` reach the driver. Without any the field adds
-    nothing. Null texts are left out."""
+    those with a label come first; ``most`` reach the driver, each of at most ``RUN_WORDS``
+    words and ``RUN_CHARS`` characters. The runs of :data:`HAND` join them. Without any that a
+    pattern labels the field adds nothing. Null texts are left out."""
     rows = df.filter(F.col(text).isNotNull()).select(F.coalesce(F.xxhash64(F.col(key)), F.lit(0)).alias("id"), F.col(text).cast("string").alias("text"))
     n = df.count()
     unit = F.pmod("id", F.lit(1 << 20))
@@ -264,7 +280,18 @@ def train(df: DataFrame, key: str = "doc_id", text: str = "text", docs: int = TR
     table = sample.mapInPandas(_labelled, "id long, n long, words array<string>, tags array<long>")
     first = F.when(F.array_max("tags") > 0, 0).otherwise(1)
     chosen = table.orderBy(first, F.xxhash64("id", "n"), "id", "n").limit(most).collect()  # a bounded, labelled table
-    return fit([(features(r["words"]), r["tags"]) for r in chosen if r["tags"]])
+    rows = [(features(r["words"]), r["tags"]) for r in chosen if r["tags"]]
+    return fit(rows + by_hand() * HAND_WEIGHT if any(max(t) > 0 for _, t in rows) else rows)
+
+
+def by_hand() -> list[tuple[list[list[str]], list[int]]]:
+    """The hand-labelled runs, as :func:`fit` takes them."""
+    out = []
+    for kind, text in HAND:
+        words = [text[a:b] for run in runs(text) for a, b in run]
+        tags = [TAGS.index(f"{'I' if k else 'B'}-{kind}") if kind else 0 for k in range(len(words))]
+        out.append((features(words), tags))
+    return out
 
 
 def _plausible(kind: str, s: str) -> bool:
