@@ -91,3 +91,38 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(27))
     x = x * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+class PieceHash:
+    """64-bit hashes of pieces of a sequence of symbols: a polynomial modulo each of two primes.
+
+    Modulo a power of two some long words, such as those of Thue and Morse, share their hash for
+    any base; modulo a prime no such family is known ahead. The primes are below 2 ** 32, so
+    that every product is exact.
+    """
+
+    PRIMES = (np.uint64(4294967291), np.uint64(4294967279))
+    BASES = (0x9E3779B1, 0x85EBCA6B)
+
+    def __init__(self, symbols: int):
+        salts = mix64(np.arange(1, 2 * symbols + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(2, symbols)
+        self.salts = [s % (p - np.uint64(1)) + np.uint64(1) for s, p in zip(salts, self.PRIMES, strict=True)]
+        self.powers = [np.ones(1, np.uint64) for _ in self.PRIMES]
+        self.inverse = [np.ones(1, np.uint64) for _ in self.PRIMES]
+
+    def _reach(self, n: int) -> None:
+        for k, (p, base) in enumerate(zip(self.PRIMES, self.BASES, strict=True)):
+            for tables, step in ((self.powers, base), (self.inverse, pow(base, -1, int(p)))):
+                while len(tables[k]) < n:
+                    ahead = np.uint64(pow(step, len(tables[k]), int(p)))
+                    tables[k] = np.concatenate((tables[k], tables[k] * ahead % p))
+
+    def __call__(self, codes: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """The hash of codes[start:stop] for each pair."""
+        self._reach(len(codes))
+        out = []
+        for p, salt, power, inverse in zip(self.PRIMES, self.salts, self.powers, self.inverse, strict=True):
+            terms = salt[codes] * power[: len(codes)] % p
+            sums = np.concatenate(([np.uint64(0)], np.cumsum(terms, dtype=np.uint64)))  # below 2 ** 64 for 2 ** 32 symbols
+            out.append((sums[stops] - sums[starts]) % p * inverse[starts] % p)
+        return out[0] << np.uint64(32) | out[1]

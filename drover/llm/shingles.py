@@ -6,41 +6,26 @@ import hashlib
 
 import numpy as np
 
-from drover.llm.base import mix64
+from drover.llm.base import PieceHash, mix64
 
 BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
 
-_ODD = 0xD1342543DE82EF95
-_SALT = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _STEP = np.uint64(0x9FB21C651E98DF25)
-_powers: list[np.ndarray] = []
-
-
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 18)
-        _powers[:] = [
-            np.cumprod(np.full(size, _ODD, np.uint64), dtype=np.uint64),
-            np.cumprod(np.full(size, pow(_ODD, -1, 1 << 64), np.uint64), dtype=np.uint64),
-        ]
-    return _powers[0], _powers[1]
+_hash = PieceHash(256)
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """One 64-bit hash per word of a whole text, A-Z in lower case, from prefix sums of a
-    polynomial over the bytes."""
+    """One 64-bit hash per word of a whole text, A-Z in lower case."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), np.uint8)
     inside = np.concatenate(([False], ~_BLANK[raw], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, stops = edges[::2], edges[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64)
-    power, unpower = _power(len(raw))
-    prefix = np.concatenate(([np.uint64(0)], np.cumsum(_SALT[raw] * power[: len(raw)], dtype=np.uint64)))
-    return mix64((prefix[stops] - prefix[starts]) * unpower[starts])
+    return mix64(_hash(raw, starts, stops))
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:

@@ -3,7 +3,7 @@
 A text is cut into pieces (letters, digits, other characters, white space) in numpy, equal
 pieces of a chunk are found by hash, and the tokenizer encodes each different piece once.
 The ids equal those of the tokenizer on the whole text, because it never merges across
-pieces. Added tokens such as <|endoftext|> are found in a text with ``added`` only, as the
+pieces, as long as no two different pieces of a task share a 64-bit hash. Added tokens such as <|endoftext|> are found in a text with ``added`` only, as the
 tokenizer does by default; without it they are text like any other (``encode_special_tokens``).
 """
 
@@ -17,7 +17,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-from drover.llm.base import mix64
+from drover.llm.base import PieceHash
 
 #: Characters handled at a time, and different pieces remembered between chunks.
 CHUNK = 1 << 21
@@ -87,10 +87,7 @@ class Encoder:
         ranks = {bytes(spelled[c] for c in token): i for token, i in vocabulary.items() if token not in special}
         self.piece = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         self.classes = _classes()
-        self.salt = mix64(np.arange(_SEPARATOR + 1, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-        odd = 0xD1342543DE82EF95
-        self.power = np.cumprod(np.full(CHUNK + 2, odd, np.uint64), dtype=np.uint64)
-        self.unpower = np.cumprod(np.full(CHUNK + 2, pow(odd, -1, 1 << 64), np.uint64), dtype=np.uint64)
+        self.hash = PieceHash(_SEPARATOR + 1)
         self.known = np.zeros(0, np.uint64)
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
@@ -119,13 +116,9 @@ class Encoder:
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).copy()
         ends = np.cumsum([len(t) + 1 for t in texts]) - 1
         codes[ends] = _SEPARATOR
-        if len(codes) > len(self.power):
-            self.power = np.cumprod(np.full(len(codes), self.power[0], np.uint64), dtype=np.uint64)
-            self.unpower = np.cumprod(np.full(len(codes), self.unpower[0], np.uint64), dtype=np.uint64)
         starts = piece_starts(codes, self.classes[codes])
-        prefix = np.concatenate(([np.uint64(0)], np.cumsum(self.salt[codes] * self.power[: len(codes)], dtype=np.uint64)))
         stops = np.append(starts[1:], len(codes))
-        hashes = (prefix[stops] - prefix[starts]) * self.unpower[starts]
+        hashes = self.hash(codes, starts, stops)
         breaks = np.searchsorted(starts, ends)  # each separator is a piece of its own
         own, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > REMEMBER:
