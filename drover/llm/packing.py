@@ -13,7 +13,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -109,6 +108,7 @@ def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
     """
     kind = df.schema[key].dataType
     schema = f"`{key}` {kind.simpleString()}, {PIECE}, leftover boolean, ids binary"
+    names = [key, *(c.split()[0] for c in PIECE.split(", ")), "leftover", "ids"]
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, windows, n = None, Windows(length, most), TaskContext.get().partitionId() << 36
@@ -121,7 +121,6 @@ def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
             arrays = [pa.array(cols[0], key_type), *(pa.array(c, pa.int64()) for c in cols[1:7]), flags, blobs]
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "leftover", "ids"]
         for batch in batches:
             encoder = encoder or Encoder(tokenizer, added=True)
             key_type = batch.column(0).type
@@ -148,16 +147,16 @@ def pack(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text",
     pieces = materialize(thin.mapInArrow(packed, schema), "pieces")
     group = F.floor(F.shiftright("sequence_id", 36) / MERGE).cast("long")
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = (1 << 62) + (int(pdf["_group"].iloc[0]) << 36)
-        pdf = pdf.sort_values(["sequence_id", "offset"])
-        at = [(k if k is not None and k == k else None, s, np.frombuffer(i, "<u4"), t) for k, s, i, t in
-              zip(pdf[key].astype(object), pdf["start"], pdf["ids"], pdf["doc_tokens"], strict=True)]
-        full, rest = merged(at, length)
-        rows = list(_rows([*full, rest] if rest else full, first))
-        out = pd.DataFrame([r[:7] for r in rows], columns=[key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-        return out.assign(leftover=True, ids=None)
+    def merge(table: pa.Table) -> pa.Table:
+        first = (1 << 62) + (table.column("_group")[0].as_py() << 36)
+        table = table.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
+        columns = (table.column(c).to_pylist() for c in (key, "start", "ids", "doc_tokens"))
+        full, rest = merged([(k, s, np.frombuffer(i, "<u4"), t) for k, s, i, t in zip(*columns, strict=True)], length)
+        cols = list(zip(*_rows([*full, rest] if rest else full, first), strict=True))
+        out = {key: pa.array(cols[0], table.column(key).type)}
+        out |= {n: pa.array(c, pa.int64()) for n, c in zip(names[1:7], cols[1:7], strict=True)}
+        return pa.table(out | {"leftover": pa.array([True] * len(cols[0])), "ids": pa.nulls(len(cols[0]), pa.binary())})
 
     rest = pieces.filter("leftover").withColumn("_group", group)
-    closed = rest.groupBy("_group").applyInPandas(merge, schema)
+    closed = rest.groupBy("_group").applyInArrow(merge, schema)
     return pieces.filter("NOT leftover").unionByName(closed).drop("ids", "leftover")
