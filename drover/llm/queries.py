@@ -19,10 +19,12 @@ OLD_SHARDS, NEW_SHARDS = 16, 24
 def _(spark, d) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.octet_length(text).cast("long") + 8
-    docs = table(spark, d, "documents").withColumn("text_crc32", F.crc32(text))
+    # Where a row lies tells it from its equals, so that any number of them is spread.
+    lies = {"_in_file": F.xxhash64("_metadata.file_path"), "_in_row": F.col("_metadata.row_index")}
+    docs = table(spark, d, "documents").withColumns({"text_crc32": F.crc32(text), **lies})
     old = F.pmod(F.crc32(F.coalesce(F.col("source"), F.lit(""))), F.lit(OLD_SHARDS))
-    out, made = sharding.reshard(docs, old, size, ["doc_id", "text_crc32"], OLD_SHARDS, NEW_SHARDS)
-    out = out.drop("size", "text_crc32")
+    out, made = sharding.reshard(docs, old, size, ["doc_id", "text_crc32", *lies], OLD_SHARDS, NEW_SHARDS)
+    out = out.drop("size", "text_crc32", *lies)
     found = sharding.contents(out, made, sharding.rewrite(out, made))
     return found.select(
         "doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",

@@ -151,7 +151,7 @@ def reshard(df: DataFrame, old_shard: Column, size: Column, key: list[str], n_ol
     ``old_shard`` is a number from 0 to ``n_old - 1``; null counts as 0. ``size`` is in bytes;
     null counts as 0. Rows are told apart by ``key``; rows that agree in all of it are
     placed together and their slots follow in any order, which leaves the same set of
-    (row, slot). New columns replace those of the same name, and ``_block``, ``_part``, ``_at``
+    (row, slot). Where many may agree, the key should hold where a row lies in its file. New columns replace those of the same name, and ``_block``, ``_part``, ``_at``
     and ``_first`` are not passed on. An empty table gives no rows. ``df`` is read once for the
     plan and once for the rows, which move in one shuffle, by parts of their new shard.
     """
