@@ -285,3 +285,12 @@ def test_pipeline_stages(spark, docs):
 def test_pipeline_stages_on_empty_tables(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs([]), None).count() == 0
+
+
+def test_words_with_equal_sums_stay_apart():
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    hashes = shingles.word_hashes(f"{word} {other} {word}")
+    assert hashes[0] != hashes[1] and hashes[0] == hashes[2]

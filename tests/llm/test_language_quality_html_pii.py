@@ -1,7 +1,9 @@
 import random
 import re
+import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,3 +193,64 @@ def test_field_without_labels(docs):
 def test_redact_merges_overlaps():
     spans = [{"kind": "ip", "start": 2, "end": 9, "base": True}, {"kind": "card", "start": 4, "end": 12, "base": True}]
     assert pii.redact("x 1.2.3.45678901 y", spans) == "x <IP>8901 y" and pii.redact(None, []) is None
+
+
+def test_field_finds_forms_that_no_pattern_knows(docs):
+    field = pii.train(docs(labelled_docs()))
+    texts = [
+        "555-123-4567", "call 0171 5551234 now", "(555) 123-4567", "tel 212-555-0199, or 030 7654321", "4465.7583.8288.9437",
+        "on 2024-03-05 at 10:30", "in 1999 and 2004", "isbn 978-3-16-148410-0", "about 1,200,000 of 12%", "page 10-12 of 300", "v1.2.3 (12/31/1999)",
+    ]
+    base = [pii.base_spans(t) for t in texts]
+    found = [[(t[a:b], k) for a, b, k in x] for t, x in zip(texts, pii.added_spans(field, texts, base), strict=True)]
+    assert found == [
+        [("555-123-4567", "phone")], [("0171 5551234", "phone")], [("(555) 123-4567", "phone")], [("212-555-0199", "phone"), ("030 7654321", "phone")],
+        [("4465.7583.8288.9437", "card")], [], [], [], [], [], [],
+    ]
+
+
+def test_features_cover_whole_words():
+    long_word = "x" * 300 + "4465758382889437" + "-" * 100
+    own = pii.features([long_word, "12"])[0]
+    assert "luhn" in own and "n=16" in own and f"s=x{{16}}{'-' * 100}" in own
+    rows = list(pii._labelled(iter([pd.DataFrame({"id": [1], "text": [f"a {'1' * 5000} b 12 c " + "7 " * 40]})])))[0]
+    assert rows["words"].tolist() == [["12"]]  # runs beyond the bounds are no part of the table; none is cut
+
+
+def test_fit_climbs_the_likelihood():
+    rng = np.random.default_rng(4)
+    rows = [(pii.features([str(w) for w in rng.integers(1, 10**6, n)]), [0] * n) for n in (1, 2, 2, 3)]
+    rows.append((pii.features(["+1", "(555)", "555-1234"]), [7, 8, 8]))
+
+    def likelihood(field):
+        from itertools import product
+
+        total, k = 0.0, len(pii.TAGS)
+        move = np.where(pii._FORBIDDEN, -1e6, field.move)
+        for feats, tags in rows:
+            s = field.scores(feats)
+            value = lambda p: move[-1][p[0]] + s[0][p[0]] + sum(move[p[t - 1]][p[t]] + s[t][p[t]] for t in range(1, len(p)))  # noqa: B023, E731
+            every = np.array([value(p) for p in product(range(k), repeat=len(tags))])
+            total += value(tags) - (every.max() + np.log(np.exp(every - every.max()).sum()))
+        return total - pii.DECAY / 2 * ((field.emit**2).sum() + (field.move**2).sum())
+
+    field = pii.fit(rows)
+    best = likelihood(field)
+    empty = pii.Field(field.index, np.zeros_like(field.emit), np.zeros_like(field.move))
+    assert likelihood(empty) < best
+    for table in (field.emit, field.move):  # no single weight can be moved to gain much
+        for at in [tuple(rng.integers(0, n) for n in table.shape) for _ in range(12)]:
+            for step in (0.3, -0.3):
+                table[at] += step
+                assert likelihood(field) < best + 0.02
+                table[at] -= step
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 100_000 + "</i>" * 100_000, "<div>" * 100_000 + "</section>" * 100_000, "<header>" * 100_000 + "x", "<p><li>" * 50_000,
+    "<b>" * 50_000 + "<p></b>" * 50_000, "<ul>" * 1000 + "<li>x" * 60_000,
+])
+def test_unclosed_tags_stay_linear(page):
+    began = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - began < 5

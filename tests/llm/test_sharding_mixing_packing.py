@@ -234,3 +234,37 @@ def test_full_windows_are_emitted_and_few_stay_open():
     assert all(sum(len(x[2]) for x in p) == 10 for p in full) and len(w.open) <= 3
     more, rest = w.close()
     assert sum(len(x[2]) for p in [*full, *more, rest] for x in p) == 57
+
+
+def thue_morse(n, a, b):
+    word = a
+    while len(word) < n:
+        word += word.translate(str.maketrans(a + b, b + a))
+    return word
+
+
+def test_pieces_with_equal_sums_keep_their_ids(tokenizer):
+    """Modulo a power of two these words and their complements have one hash for any base."""
+    texts = [thue_morse(n, a, b) for n in (1024, 2048, 4096) for a, b in ("ab", "ba")]
+    for got, text in zip(encoded(Encoder(PATH), texts), texts, strict=True):
+        assert got.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_leftovers_keep_large_keys_beside_a_null(spark, docs):
+    keys = [9007199254740993, None, 9007199254740995, 2**62 + 1, -(2**62) - 1, 3]
+    df = docs([(k, f"text number {i} of a few words") for i, k in enumerate(keys)]).repartition(len(keys))
+    out = packing.pack(df, PATH).collect()
+    assert sorted((r.doc_id for r in out), key=str) == sorted(keys, key=str)
+    assert len({r.sequence_id for r in out}) == 1 and len({r.offset for r in out}) == len(keys)
+
+
+def test_equal_rows_are_spread_over_the_shards(spark, docs, tmp_path):
+    docs([(1, "the same text, twice the same") for _ in range(200)] + [(None, None)] * 60 + [(2, "x" * 3000)] * 5).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op1_reshard_min_cost_flow"](spark, str(tmp_path)).collect()
+    sizes = [sum(r.size for r in rows if r.shard == k) for k in range(24)]
+    whole = sum(sizes)
+    assert len(rows) == 265 and max(sizes) - min(sizes) <= 3008 and max(s for s in sizes) <= whole / 24 + 3008
+    small = [s for k, s in enumerate(sizes) if not any(r.shard == k and r.size > 3000 for r in rows)]
+    assert max(small) - min(small) <= 2 * 37
+    for k in range(24):
+        assert sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows)))
