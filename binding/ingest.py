@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from binding import rendered
 from binding.registry import q, query, rounded
 from binding.tables import BIN, LOTS, POLICIES, cpi, CPI, lots, policies, table
 from drover import config as C
@@ -14,6 +15,7 @@ from drover.functions.columns import integer, marker_to_null, number, parsed_dat
 from drover.functions.bins import bin_floor
 from drover.operators import vintage as V
 from drover.session import fresh_path, materialize
+from drover.sources.long_reports import read_long_reports
 from drover.sources import endorsements, index_json, lots_json, reports, sheets, tables as T
 
 VINTAGE = "2002-01-07"
@@ -21,16 +23,15 @@ VINTAGE = "2002-01-07"
 # ---- auction report JSON -------------------------------------------------------------
 
 
-def payloads(spark, d):
-    """One payload text per lineitem row with a feeder and a slaughter entry: an envelope
-    for even orders, a bare list for odd ones."""
+def _entries():
+    """A feeder and a slaughter entry of a lineitem row."""
     c = F.col
     price = c("l_extendedprice") / 100
     shared = lambda commodity: [
         F.lit(commodity).alias("commodity") if commodity else F.when(c("l_linenumber") % 4 == 0, "Replacement Cattle").otherwise(C.FEEDER).alias("commodity"),
         F.when(c("l_linenumber") == 5, "Per Head").otherwise(C.PER_CWT).alias("price_unit"),
         F.when(c("l_discount") < 0.005, "13/45/2001").otherwise(F.date_format(c("l_shipdate"), "MM/dd/yyyy")).alias("report_date"),
-        (c("l_quantity") * 20).alias("avg_weight"),
+        (c("l_quantity") * 20).alias("avg_weight"), (c("l_quantity") * 20 - 5).alias("avg_weight_min"), (c("l_quantity") * 20 + 5).alias("avg_weight_max"),
         c("l_linenumber").alias("head_count"),
         F.when(c("l_tax") < 0.005, "N/A").otherwise(price.cast("string")).alias("avg_price"),
         (price - 1).alias("avg_price_min"),
@@ -50,11 +51,29 @@ def payloads(spark, d):
         F.when(flag == "A", "Cows").when(flag == "N", "Dairy Cows").otherwise("Calves").alias("class"),
         F.lit("Boner 80-85%").alias("quality_grade_name"), F.lit("Average").alias("dressing"), F.lit("None").alias("lot_desc"),
     )
+    return feeder, slaughter
+
+
+def payloads(spark, d):
+    """One payload text per lineitem row with both entries: an envelope for even orders, a bare
+    list for odd ones."""
+    feeder, slaughter = _entries()
     as_list = F.concat(F.lit("["), F.to_json(feeder), F.lit(","), F.to_json(slaughter), F.lit("]"))
-    even = c("l_orderkey") % 2 == 0
-    return table(spark, d, "lineitem").select(
-        F.when(even, F.concat(F.lit('{"results":'), as_list, F.lit("}"))).otherwise(as_list).alias("value")
-    )
+    value = F.when(F.col("l_orderkey") % 2 == 0, F.concat(F.lit('{"results":'), as_list, F.lit("}"))).otherwise(as_list)
+    return rendered.texts(spark, d, "payloads", lambda: table(spark, d, "lineitem").repartition(rendered.PARTS).select(value.alias("value")))
+
+
+def one_envelope(spark, d):
+    """A folder with one file, whose one envelope holds the feeder entries of all rows. An empty
+    object closes the list."""
+
+    def write(path):
+        feeder, _ = _entries()
+        rows = table(spark, d, "lineitem").repartition(rendered.PARTS).select(F.lit(1).alias("at"), F.concat(F.to_json(feeder), F.lit(",")).alias("value"))
+        ends = spark.createDataFrame([(0, '{"stats": {"returned": 1}, "results": ['), (2, "{}]}")], "at int, value string")
+        rows.unionByName(ends).repartition(1).sortWithinPartitions("at").select("value").write.text(path)
+
+    return rendered.at_rest(spark, d, "envelope", write)
 
 
 KEPT = "l_linenumber <> 5 AND l_discount >= 0.005 AND l_tax >= 0.005 AND l_extendedprice/100 BETWEEN 20 AND 800"
@@ -62,12 +81,13 @@ KEPT = "l_linenumber <> 5 AND l_discount >= 0.005 AND l_tax >= 0.005 AND l_exten
 
 @query("a1_feeder_lots_json", f"""SELECT CAST(l_shipdate AS DATE) AS auction_date, CASE l_returnflag WHEN 'A' THEN 'Steers' WHEN 'N' THEN 'Heifers' ELSE 'Bulls' END AS class,
  CASE WHEN l_linenumber <> 3 THEN CAST(l_quantity*20 AS INTEGER) END AS weight_break_low, CASE WHEN l_linenumber <> 3 THEN CAST(l_quantity*20 AS INTEGER) + 49 END AS weight_break_high,
- l_quantity*20 AS avg_weight, l_linenumber AS head_count, {q('l_extendedprice/100 - 1')} AS price_low, {q('l_extendedprice/100')} AS price_avg, CAST(l_suppkey AS INTEGER) AS receipts
+ l_quantity*20 AS avg_weight, l_quantity*20 - 5 AS avg_weight_min, l_quantity*20 + 5 AS avg_weight_max, l_linenumber AS head_count,
+ {q('l_extendedprice/100 - 1')} AS price_low, {q('l_extendedprice/100 + 1')} AS price_high, {q('l_extendedprice/100')} AS price_avg, CAST(l_suppkey AS INTEGER) AS receipts
  FROM lineitem WHERE {KEPT} AND l_linenumber % 4 <> 0""")
 def _(spark, d):
-    out = lots_json.feeder_lots(lots_json.raw_rows(payloads(spark, d)), VINTAGE)
-    keep = out.select("auction_date", "class", "weight_break_low", "weight_break_high", "avg_weight", "head_count", "price_low", "price_avg", "receipts")
-    return rounded(keep, "price_low", "price_avg")
+    """All rows from one file, which is read by as many tasks as its size asks for."""
+    out = lots_json.feeder_lots(lots_json.read_split_rows(spark, one_envelope(spark, d)), VINTAGE)
+    return rounded(out.drop("commodity", "frame", "muscle_grade", "vintage"), "price_low", "price_high", "price_avg")
 
 
 @query("a2_slaughter_lots_json", f"""SELECT CAST(l_shipdate AS DATE) AS auction_date, CASE l_returnflag WHEN 'A' THEN 'Cows' ELSE 'Dairy Cows' END AS class,
@@ -125,12 +145,10 @@ def endorsement_lines(spark, d):
             shown = F.lit("")
         fields.append(F.coalesce(shown, F.lit("")))
     edition = F.when(F.col("liability_amount") % 2 == 0, "2026-04-27").otherwise("2025-04-27")
-    # Written first, as raw files would be, so that parsing starts from text at rest.
-    lines = p.select(
+    return rendered.texts(spark, d, "endorsements", lambda: p.repartition(rendered.PARTS).select(
         F.concat(F.lit("lrp_"), F.col("reinsurance_year").cast("string"), F.lit("_"), edition, F.lit(".txt")).alias("file_name"),
         F.concat_ws("|", *fields).alias("value"),
-    )
-    return materialize(lines, "lines")
+    ))
 
 
 @query("a4_endorsement_lines", f"""WITH {POLICIES} SELECT reinsurance_year, CAST(NULL AS SMALLINT) AS commodity_year, state_abbr, coalesce(county_name, '') AS county_name, type_code, effective_date,
@@ -237,10 +255,40 @@ def report_texts(spark, d):
         F.lit(" Feeder Bulls Medium and Large 1"),
         F.lit("  97   500   500   100.00   100.00"),
     ]
-    return table(spark, d, "lineitem").select(
+    return rendered.texts(spark, d, "reports", lambda: table(spark, d, "lineitem").repartition(rendered.PARTS).select(
         F.concat(F.lit("CV_LS750"), F.date_format(day, "yyyyMMdd"), F.lit(".TXT")).alias("file_name"),
         F.concat_ws("\r\n", *lines).alias("value"),
-    )
+    ))
+
+
+def long_reports(spark, d):
+    """A folder with one long report per line number, in which each lineitem row has two blocks."""
+
+    def write(path):
+        c = F.col
+        s = lambda x: x.cast("string")
+        weight = (c("l_quantity") * 10 + 100).cast("int")
+        cents = F.floor("l_extendedprice")
+        money = lambda x: F.concat(s(F.floor(x / 100)), F.lit("."), F.lpad(s(x % 100), 2, "0"))
+        block = F.concat_ws("\n", *[x if not isinstance(x, str) else F.lit(x) for x in (
+            " Feeder Steers Medium and Large 1-2", "", " Head   Wt Range   Avg Wt    Price Range   Avg Price",
+            F.concat(F.lit("  12   "), s(weight), F.lit("-"), s(weight + 45), F.lit("   "), s(weight + 20), F.lit("   "), money(cents), F.lit("-"), money(cents + 250), F.lit("   "), money(cents + 100), F.lit("  Calves  ")),
+            F.concat(F.lit("  13   "), s(weight), F.lit("   "), s(weight), F.lit("   "), money(cents), F.lit("   "), money(cents)),
+            "", "  99   500   500   100.00   100.00", "Feeder Holstein Heifers Large 3", "",
+            F.concat(F.lit(" 3 "), s(weight), F.lit(" "), s(weight), F.lit(".5 "), money(cents), F.lit(" "), money(cents)),
+            "demand was moderate", "  98   500   500   100.00   100.00",
+        )])
+        lineitem = table(spark, d, "lineitem")
+        numbers = lineitem.select("l_linenumber").distinct()
+        first = F.concat(F.lit("Feeder Cattle Weighted Average Report for 3/"), s(c("l_linenumber")), F.lit("/2001\nReceipts:  1,00"), s(c("l_linenumber")))
+        last = F.lit("Slaughter Cows:  Head\n Feeder Bulls Medium and Large 1\n  97   500   500   100.00   100.00")
+        rows = lineitem.repartition(rendered.PARTS).select("l_linenumber", F.lit(1).alias("at"), block.alias("value"))
+        for at, text in ((0, first), (2, last)):
+            rows = rows.unionByName(numbers.select("l_linenumber", F.lit(at).alias("at"), text.alias("value")))
+        dealt = rows.repartition("l_linenumber").sortWithinPartitions("l_linenumber", "at")
+        dealt.select("l_linenumber", "value").write.partitionBy("l_linenumber").text(path)
+
+    return rendered.at_rest(spark, d, "long_reports", write)
 
 
 REPORT_COMMON = """CASE WHEN l_linenumber % 3 = 0 AND year(l_shipdate) < 2000 THEN CAST(l_shipdate AS DATE) + INTERVAL 100 YEAR ELSE CAST(l_shipdate AS DATE) END"""
@@ -263,6 +311,25 @@ def _(spark, d):
     return out.groupBy("breed", "class").agg(F.count("*").alias("n"))
 
 
+LONG_REPORTS = """l AS (SELECT make_date(2001, 3, CAST(l_linenumber AS INTEGER)) AS auction_date, CAST(1000 + l_linenumber AS INTEGER) AS receipts, CAST(l_quantity*10 + 100 AS INTEGER) AS w, CAST(floor(l_extendedprice) AS BIGINT) AS c FROM lineitem),
+ lots AS (SELECT auction_date, receipts, 'Steers' AS class, 'Medium and Large' AS frame, '1-2' AS muscle_grade, 'Beef' AS breed, 12 AS head_count, w AS weight_break_low, w + 45 AS weight_break_high,
+  CAST(w + 20 AS DOUBLE) AS avg_weight, c/100 AS price_low, (c + 250)/100 AS price_high, (c + 100)/100 AS price_avg, 'Calves' AS annotation FROM l
+ UNION ALL SELECT auction_date, receipts, 'Steers', 'Medium and Large', '1-2', 'Beef', 13, w, w, CAST(w AS DOUBLE), c/100, c/100, c/100, '' FROM l
+ UNION ALL SELECT auction_date, receipts, 'Heifers', 'Large', '3', 'Holstein', 3, w, w, w + 0.5, c/100, c/100, c/100, '' FROM l)"""
+
+
+@query("a7_long_reports", f"WITH {LONG_REPORTS} SELECT * FROM lots")
+def _(spark, d):
+    """Few long files, headers carried across their splits."""
+    return read_long_reports(spark, long_reports(spark, d), VINTAGE).drop("file_name", "commodity", "avg_weight_min", "avg_weight_max", "vintage")
+
+
+@query("e6_header_carry_long", f"WITH {LONG_REPORTS} SELECT breed, class, frame, muscle_grade, count(*) AS n FROM lots GROUP BY ALL")
+def _(spark, d):
+    out = read_long_reports(spark, long_reports(spark, d), VINTAGE)
+    return out.groupBy("breed", "class", "frame", "muscle_grade").agg(F.count("*").alias("n"))
+
+
 # ---- coercion ------------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,60 @@ def read_raw_rows(spark: SparkSession, path: str) -> DataFrame:
     return found.select(F.inline(F.when(F.col("results").isNotNull(), F.col("results")).when(bare, own)))
 
 
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+# A string, or a flat JSON object: no braces inside but those in strings. Possessive, so that no text makes
+# it try again.
+_TOKEN = _STRING + r'|\{[^{}"]*+(?:' + _STRING + r'[^{}"]*+)*+\}'
+# Most pieces hold one object and nothing before it.
+_PLAIN = r"^\s*\{[^{}]*$"
+_BEGINS = r"^\s*\{\s*" + _STRING + r"\s*:"
+# What parts the records of a list. It may be followed by white space.
+_BORDER = "},"
+
+
+def pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The files under ``path`` cut after every record, whatever their size: the text reader
+    splits a file by bytes and makes each cut whole. ``file``, ``block`` and ``place`` give the order."""
+    found = spark.read.option("lineSep", _BORDER).text(path)
+    return found.select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+
+
+def mended(cut: DataFrame) -> DataFrame:
+    """Pieces that were cut inside a string joined again, as column ``value``.
+
+    A piece with an even number of quotes that begins with a brace and a key is whole: one
+    that begins inside a string and ends inside another has a field name where the colon
+    would be, and no field name begins with a colon. All others, the ends of files among them, are
+    put in order, and those between an odd number of quotes and the next are one. They are few
+    unless text fields are full of borders, and then sorted by file, not held.
+    """
+    plain = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"\\.", "")).otherwise(F.col("value"))
+    counted = cut.withColumn("odd", (F.length(plain) - F.length(F.replace(plain, F.lit('"')))) % 2)
+    whole = (F.col("odd") == 0) & F.col("value").rlike(_BEGINS)
+    order = Window.partitionBy("file").orderBy("block", "place")
+    inside = F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    ordered = counted.filter(~whole).withColumn("begins", (inside == 0).cast("int"))
+    joined = ordered.withColumn("number", F.sum("begins").over(order)).groupBy("file", "number").agg(
+        F.sort_array(F.collect_list(F.struct("block", "place", "value"))).alias("parts")
+    )
+    return counted.filter(whole).select("value").unionByName(joined.select(F.array_join(F.col("parts.value"), _BORDER).alias("value")))
+
+
+def read_split_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of every payload file under ``path``, a file being read by as many tasks as its
+    size asks for: one envelope may hold all rows. A file with a blank between brace and comma, which
+    no common writer sets, is one piece. Rows are flat objects, in ``results`` or in a bare
+    list; other objects of an envelope have none of the row fields and give no rows."""
+    ended = F.concat("value", F.lit("}"))
+    objects = F.filter(F.regexp_extract_all(ended, F.lit(_TOKEN), F.lit(0)), lambda t: t.startswith("{"))
+    texts = F.when(F.col("value").rlike(_PLAIN), F.array(ended)).otherwise(objects)
+    rows = mended(pieces(spark, path)).select(F.explode(texts).alias("text")).select(F.from_json("text", ROW).alias("row"))
+    return rows.select("row.*").filter(F.coalesce(*RAW_FIELDS).isNotNull())
+
+
 def _kept(raw: DataFrame, commodity: str, classes: tuple[str, ...]) -> DataFrame:
     return raw.filter(
         (F.col("commodity") == commodity) & (F.col("price_unit") == C.PER_CWT) & F.col("class").isin(*classes)

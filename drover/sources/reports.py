@@ -50,6 +50,33 @@ def _range_edge(token: Column, last: bool) -> Column:
     return F.element_at(F.split(token, "-"), -1 if last else 1).cast("double")
 
 
+def lot_columns(rows: DataFrame, vintage: Column | str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed lots of data lines ``_line`` with the columns that their report and header give."""
+    rows = rows.withColumn("_f", F.split(F.ltrim("_line"), r"\s+", 5))
+    cell = lambda i: F.get("_f", i - 1)
+    tail = lambda i: F.regexp_extract(cell(5), r"^(\d+\.\d+)\s*(.*)$", i)
+    nothing = F.lit(None).cast("double")
+    return rows.select(
+        *keep,
+        "auction_date",
+        F.lit(FEEDER).alias("commodity"),
+        "class", "frame", "muscle_grade",
+        _range_edge(cell(2), False).cast("int").alias("weight_break_low"),
+        _range_edge(cell(2), True).cast("int").alias("weight_break_high"),
+        cell(3).cast("double").alias("avg_weight"),
+        nothing.alias("avg_weight_min"),
+        nothing.alias("avg_weight_max"),
+        cell(1).cast("int").alias("head_count"),
+        _range_edge(cell(4), False).alias("price_low"),
+        _range_edge(cell(4), True).alias("price_high"),
+        tail(1).cast("double").alias("price_avg"),
+        "receipts",
+        F.lit(vintage).cast("date").alias("vintage"),
+        "breed",
+        F.trim(tail(2)).alias("annotation"),
+    )
+
+
 def parse_reports(
     reports: DataFrame, vintage: Column | str, text: str = "value", file_name: str | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -88,29 +115,7 @@ def parse_reports(
     live = F.when(F.col("_stop") == 0, F.col("_lines")).otherwise(
         F.slice("_lines", 1, F.greatest(F.col("_stop").cast("int") - 1, F.lit(0)))
     )
-    rows = staged.withColumn("_line", F.explode(live)).withColumn("_f", F.split(F.ltrim("_line"), r"\s+", 5))
-    cell = lambda i: F.get("_f", i - 1)
-    tail = lambda i: F.regexp_extract(cell(5), r"^(\d+\.\d+)\s*(.*)$", i)
-    nothing = F.lit(None).cast("double")
-    return rows.select(
-        *keep,
-        "auction_date",
-        F.lit(FEEDER).alias("commodity"),
-        "class", "frame", "muscle_grade",
-        _range_edge(cell(2), False).cast("int").alias("weight_break_low"),
-        _range_edge(cell(2), True).cast("int").alias("weight_break_high"),
-        cell(3).cast("double").alias("avg_weight"),
-        nothing.alias("avg_weight_min"),
-        nothing.alias("avg_weight_max"),
-        cell(1).cast("int").alias("head_count"),
-        _range_edge(cell(4), False).alias("price_low"),
-        _range_edge(cell(4), True).alias("price_high"),
-        tail(1).cast("double").alias("price_avg"),
-        "receipts",
-        F.lit(vintage).cast("date").alias("vintage"),
-        "breed",
-        F.trim(tail(2)).alias("annotation"),
-    )
+    return lot_columns(staged.withColumn("_line", F.explode(live)), vintage, keep)
 
 
 def read_reports(spark: SparkSession, path: str, vintage: Column | str) -> DataFrame:

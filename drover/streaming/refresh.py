@@ -1,4 +1,4 @@
-"""Structured Streaming jobs: gated ingestion, bounded revisions, weekly windows."""
+"""Structured Streaming jobs: gated ingestion, bounded revisions."""
 
 from __future__ import annotations
 
@@ -139,39 +139,3 @@ def revise(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def weekly_totals(events: DataFrame, keys: tuple[str, ...], ts: str = "ts", value: str = "value", delay: str | None = "14 days") -> DataFrame:
-    """Monday weeks per key: count, sum, min, max. The same code serves a stream and a
-    table; ``delay`` is the watermark of the stream."""
-    timed = events.withColumn(ts, F.col(ts).cast("timestamp"))
-    if delay is not None:
-        timed = timed.withWatermark(ts, delay)
-    return timed.groupBy(F.window(ts, "7 days", startTime="4 days"), *keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(value).alias("total"),
-        F.min(value).alias("low"),
-        F.max(value).alias("high"),
-    ).select(F.col("window.start").cast("date").alias("week"), *keys, "n", "total", "low", "high")
-
-
-def run_updates(totals: DataFrame, key: tuple[str, ...], out: str, checkpoint: str) -> StreamingQuery:
-    """Write the changed windows of each batch, tagged with the batch id. In update mode
-    no window is held back by the watermark; :func:`read_updates` keeps the newest."""
-
-    def land(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch").parquet(out)
-
-    return (
-        totals.writeStream.outputMode("update").foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def read_updates(spark: SparkSession, out: str, key: tuple[str, ...]) -> DataFrame:
-    """Current value of every window: the row of its last batch."""
-    return latest_vintage_wins(spark.read.parquet(out), key, vintage="batch").drop("batch")

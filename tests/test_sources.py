@@ -1,4 +1,5 @@
 import json
+import random
 import zipfile
 from datetime import date
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from drover.operators import quality as Q
 from drover.plans import insurance as insurance_plan
 from drover.plans import weekly as weekly_plan
-from drover.sources import endorsements, index_json, lots_json, reports, sheets, tables
+from drover.sources import endorsements, index_json, long_reports, lots_json, reports, sheets, tables
 
 SLAUGHTER = dict(
     commodity="Slaughter Cattle", price_unit="Per Cwt", **{"class": "Cows"}, quality_grade_name="Boner 80-85%", dressing="Average",
@@ -269,3 +270,75 @@ def test_vintages_are_independent(spark, tmp_path):
     assert Q.failures(Q.manifest_gate(tables.read_manifest(spark, root))).isEmpty()
     tables.point_latest(spark, root, "t", "2026-01-01")
     assert tables.read_latest(spark, root, "t").count() == 3
+
+
+# ---- large files read by several tasks -----------------------------------------------
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Splits of a few hundred bytes, so that small files are read by many tasks."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    yield lambda size: [spark.conf.set(n, str(v)) for n, v in zip(names, (size, 0), strict=True)]
+    for n, v in zip(names, before, strict=True):
+        spark.conf.set(n, v)
+
+
+ODD_TEXTS = ["a", "},", 'x},{"y', "\\", '\\"},', "{}", "},},}", "é\n", "", '},"', '{"a":1},{', None, 5, 1.5]
+
+
+@pytest.mark.parametrize("size", [400, 3000, 1 << 27])
+def test_one_envelope_is_read_by_several_tasks(spark, tmp_path, small_splits, size):
+    rng = random.Random(size)
+    want = []
+    for i in range(6):
+        rows = [{f: rng.choice(ODD_TEXTS) for f in rng.sample(lots_json.RAW_FIELDS, rng.randint(1, 6))} for _ in range(rng.choice([0, 1, 40, 150]))]
+        want += rows
+        body = rows if i % 2 else {"stats": {"n": 1}, "a": [1, 2], "note": "x},{", "results": rows, "tail": {"z": "},"}}
+        marks = [(",", ":"), (", ", ": "), (" ,", " :")][i % 3]
+        (tmp_path / f"{i}.json").write_text(json.dumps(body, indent=[None, 2][i % 2], ensure_ascii=False, separators=marks), encoding="utf-8")
+    small_splits(size)
+    got = [tuple(r) for r in lots_json.read_split_rows(spark, str(tmp_path)).collect()]
+    shown = [tuple(None if r.get(f) is None else str(r[f]) for f in lots_json.RAW_FIELDS) for r in want if any(v is not None for v in r.values())]
+    assert sorted(got, key=repr) == sorted(shown, key=repr)
+    if size < 10_000:
+        assert lots_json.pieces(spark, str(tmp_path)).rdd.getNumPartitions() > 6
+
+
+def a_report(rng, n):
+    """Lines of all kinds in any order, so that every rule of a run is met."""
+    data = lambda: f"{rng.choice(['', '  '])}{rng.randint(1, 99)}   {rng.choice(['500', '500-545', '500.5'])}  512  {rng.choice(['101.50', '101.50-104.00'])}   103.25{rng.choice(['', '  ', '  Calves', ' Fleshy  Feeder '])}"
+    kinds = [
+        data, data, data, lambda: "", lambda: "   ", lambda: "demand was moderate", lambda: " 12 heads", lambda: " Head   Wt Range   Avg Wt    Price Range   Avg Price  x",
+        lambda: f"{rng.choice(['', '  '])}Feeder {rng.choice(['', 'Holstein '])}{rng.choice(['Steers', 'Heifers', 'Bulls'])} {rng.choice(['Large', 'Medium and Large'])} {rng.choice(['1', '1-2', '3'])} ",
+        lambda: " Feeder Steers Small 1", lambda: data() + "\x0b" + data(), lambda: "Receipts:  2,500   Last", lambda: "Feeder Cattle Weighted Average for 4/5/03",
+    ]
+    weights = [6, 6, 6, 2, 1, 2, 1, 3, 5, 1, 1, 0.3, 0.2]
+    lines = [k() for k in rng.choices(kinds, weights, k=n)]
+    if rng.random() < 0.7:
+        lines.insert(rng.randint(n // 2, n), rng.choice(["Slaughter Cows:  Head", "  Source: x", "# note"]))
+    return lines
+
+
+@pytest.mark.parametrize("size", [64, 700, 1 << 27])
+def test_long_reports_equal_the_row_wise_parser(spark, tmp_path, small_splits, size):
+    rng = random.Random(size)
+    for i, n in enumerate((0, 1, 3, 60, 200, 200)):
+        lines = a_report(rng, n)
+        (tmp_path / f"CV_LS7502001030{i + 1}.TXT").write_bytes(rng.choice(["\n", "\r\n"]).join(lines).encode())
+    # A title and receipts that go on in the next line, over one long run of data lines.
+    body = ["Feeder Cattle Weighted Average", "Report for 03/09/2001", "Receipts:", " 1,234", "Feeder Steers Large 1"]
+    (tmp_path / "CV_LS750x.TXT").write_text("\n".join([*body, *[f" {i} 500 500 100.00 100.00" for i in range(1, 90)], "x", " 9 500 500 100.00 100.00"]))
+    want = [tuple(r) for r in reports.read_reports(spark, str(tmp_path), "2001-01-01").collect()]
+    small_splits(size)
+    got = [tuple(r) for r in long_reports.read_long_reports(spark, str(tmp_path), "2001-01-01").collect()]
+    assert len(want) > 100 and sorted(got, key=repr) == sorted(want, key=repr)
+    if size < 10_000:
+        assert long_reports.lines(spark, str(tmp_path)).rdd.getNumPartitions() > 7
+
+
+def test_a_long_report_without_a_date_fails(spark, tmp_path):
+    (tmp_path / "x.TXT").write_text("Feeder Steers Large 1\n 1 500 500 100.00 100.00\n")
+    with pytest.raises(Exception, match="no sale date"):
+        long_reports.read_long_reports(spark, str(tmp_path), "2001-01-01").collect()
