@@ -13,7 +13,9 @@ from binding.tables import BIN, LOTS, POLICIES, cpi, CPI, lots, policies, table
 from drover import config as C
 from drover.functions.columns import integer, marker_to_null, number, parsed_date
 from drover.functions.bins import bin_floor
+from drover.operators import sorted_state as K
 from drover.operators import vintage as V
+from drover.operators.ranks import numbered
 from drover.session import fresh_path, materialize
 from drover.sources.long_reports import read_long_reports
 from drover.sources import endorsements, index_json, lots_json, reports, sheets, tables as T
@@ -406,6 +408,21 @@ def _(spark, d):
     return rounded(won.select(*C.LOT_KEY, "vintage", "l_orderkey", "l_linenumber", "price_low"), "price_low")
 
 
+@query("e3_sorted_vintages", f"WITH {LOTS}, {WINNER} SELECT {KEY}, vintage, l_orderkey, l_linenumber, {q('price_low')} AS price_low FROM win")
+def _(spark, d):
+    """The same from two vintages that lie bucketed and sorted by the key: a merge join with
+    neither exchange nor sort."""
+    order = ("vintage", *TIES)
+    both = lots(spark, d)
+    sides = []
+    for name in ("legacy", "live"):
+        rows = K.keyed(both.filter(F.col("source") == name), C.LOT_KEY, order)
+        path = rendered.at_rest(spark, d, f"{name}_lots", lambda p, r=rows: K.write_sorted(r, p, 8))
+        sides.append(K.read_sorted(spark, rows.schema, path, 8))
+    won = K.merged(*sides, order)
+    return rounded(won.select(*C.LOT_KEY, "vintage", "l_orderkey", "l_linenumber", "price_low"), "price_low")
+
+
 @query("e3_winning_vintage_rows", f"""WITH {LOTS}, m AS (SELECT *, max(vintage) OVER (PARTITION BY {KEY}) AS newest FROM lots) SELECT class, vintage, count(*) AS n FROM m WHERE vintage = newest GROUP BY 1, 2""")
 def _(spark, d):
     return V.winning_vintage_rows(lots(spark, d)).groupBy("class", "vintage").agg(F.count("*").alias("n"))
@@ -523,14 +540,18 @@ def _(spark, d):
 
 @query("f1_lots_in_order", f"""WITH {LOTS} SELECT {KEY}, CAST(row_number() OVER (PARTITION BY auction_date ORDER BY {', '.join(f'{c} NULLS LAST' for c in KEY.split(', '))}) AS INTEGER) AS place FROM lots""")
 def _(spark, d):
-    return places_in(V.in_publication_order(lots(spark, d).select(*C.LOT_ORDER), C.LOT_ORDER))
+    order = [F.asc_nulls_last(c) for c in C.LOT_ORDER]
+    placed = numbered(lots(spark, d).select(*C.LOT_ORDER), order, within=("auction_date",))
+    return placed.withColumn("place", F.col("place").cast("int"))
+
 
+LOT_ORDER_SQL = ", ".join(f"{c} NULLS LAST" for c in C.LOT_ORDER)
 
-def places_in(ordered):
-    """The place of each row within its sale date, as the published order has it."""
-    written = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered")
-    within = Window.partitionBy("auction_date").orderBy("_at")
-    return written.withColumn("place", F.row_number().over(within)).drop("_at")
+
+@query("f1_global_place", f"WITH {LOTS} SELECT {KEY}, row_number() OVER (ORDER BY {LOT_ORDER_SQL}) AS place FROM lots")
+def _(spark, d):
+    """The place of every lot in the whole published order."""
+    return numbered(lots(spark, d).select(*C.LOT_ORDER), [F.asc_nulls_last(c) for c in C.LOT_ORDER])
 
 
 @query("g4_new_dates", """SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE CAST(l_shipdate AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from binding import rendered
 from binding.registry import q, query, r, rounded
 from binding.tables import CORE_TYPES, HOME, POLICIES, policies
 from drover.config import YEAR_WINDOWS
@@ -12,6 +13,7 @@ from drover.functions.columns import county_id, safe_ratio
 from drover.functions.dates import year_windows_of
 from drover.operators import insurance as I
 from drover.operators import profile
+from drover.operators import sorted_state as K
 from drover.plans import insurance as plan
 from drover.session import materialize
 
@@ -132,6 +134,31 @@ def _(spark, d):
     return tidy(I.yearly_summary(cube(spark, d), None, "last_5"), "total_weight_cwt")
 
 
+def _vintages(spark, d):
+    """The endorsements as a first vintage and a second, which adds rows and revises some: those of
+    line 3 come with it, and those of line 5 had other values before."""
+    key = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    final = policies(spark, d, key)
+    wrong = final.withColumns({
+        "n_head": F.col("n_head") + 7, "coverage_price": F.col("coverage_price") * 2, "state_abbr": F.lit("S01"),
+        "reinsurance_year": F.col("reinsurance_year") + 1, "type_code": F.lit("810"),
+    })
+    line = F.col("l_linenumber")
+    first = K.keyed(final.filter(~line.isin(3, 5)).unionByName(wrong.filter(line == 5)), key)
+    second = K.keyed(final.filter(line.isin(3, 5)), key)
+    path = rendered.at_rest(spark, d, "policy_state", lambda p: K.write_sorted(first, p, 8))
+    return K.read_sorted(spark, first.schema, path, 8), second
+
+
+@query("d8_cube_by_deltas", f"WITH {POLICIES}, {yearly_sql('policies', 'last_5', None)}")
+def _(spark, d):
+    """The cube of the first vintage, revised by the second, gives the summary of the whole."""
+    state, second = _vintages(spark, d)
+    before = rendered.texts(spark, d, "policy_cube", lambda: I.policy_cube(state))
+    after = materialize(I.revised_cube(before, materialize(K.changes(state, second), "changes")), "cube")
+    return tidy(I.yearly_summary(after, None, "last_5"), "total_weight_cwt")
+
+
 @query("c5_year_spine", f"WITH {POLICIES}, {yearly_sql('policies', 'all', STATE)}")
 def _(spark, d):
     return tidy(I.yearly_summary(cube(spark, d), STATE, "all"), "total_weight_cwt")

@@ -14,6 +14,7 @@ from drover.functions.columns import scalar_max
 from drover.operators import basis as B
 from drover.operators import deflate, spikes, views
 from drover.operators import lots as L
+from drover.operators.ranks import numbered
 from drover.plans import weekly as plan
 
 # ---- SQL building blocks -------------------------------------------------------------
@@ -182,6 +183,13 @@ def _(spark, d):
     return rounded(spikes.with_local_median(real).select("auction_date", "sex", "weight_class", "local_median"), "local_median")
 
 
+@query("e1_local_median_halo", f"""WITH {LOTS}, {CPI}, {WEEKLY}, {DEFLATED}, {SCREENED} SELECT auction_date, sex, weight_class, {q('m')} AS local_median FROM med""")
+def _(spark, d):
+    """The same from blocks of 32 rows of a series with the half window on either side."""
+    real = deflate.deflate_strict(L.weekly_cells(lots(spark, d)), cpi(spark, d), BASE)
+    return rounded(spikes.with_local_median(real, block=32).select("auction_date", "sex", "weight_class", "local_median"), "local_median")
+
+
 CLEANED_SQL = f"""{FLAGSHIP} SELECT auction_date, sex, weight_class, head_count, n_pens,
  {q('CASE WHEN hit THEN m*(cpi_at_obs/cpi_base) ELSE price_nominal END')} AS price_nominal,
  {q('CASE WHEN hit THEN m ELSE price_real END')} AS price_real, {q('cpi_at_obs')} AS cpi_at_obs, hit AS spike_replaced,
@@ -279,10 +287,10 @@ def _(spark, d):
 @query("f1_basis_in_order", f"""WITH {BASIS} SELECT auction_date, class, weight_break_low, contract_month, CAST(row_number() OVER (PARTITION BY auction_date
  ORDER BY class NULLS LAST, weight_break_low NULLS LAST, contract_month NULLS LAST) AS INTEGER) AS place FROM basis""")
 def _(spark, d):
-    from binding.ingest import places_in
-
     b = plan.weekly_basis(lots(spark, d), settles(spark, d), CONTRACTS)
-    return places_in(B.basis_in_order(b.select("auction_date", "class", "weight_break_low", "contract_month")))
+    order = ("auction_date", "class", "weight_break_low", "contract_month")
+    placed = numbered(b.select(*order), [F.asc_nulls_last(c) for c in order], within=("auction_date",))
+    return placed.withColumn("place", F.col("place").cast("int"))
 
 
 # ---- price views ---------------------------------------------------------------------

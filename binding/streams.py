@@ -94,7 +94,7 @@ def _landed(batch, path):
     return max(1000, len(batch.sparkSession.read.schema(batch.schema).parquet(path).inputFiles()))
 
 
-@query("s2_bounded_revisions", f"""WITH {LOTS}, cur AS (SELECT * FROM lots WHERE auction_date < DATE '2001-06-01' AND source = 'legacy'), b AS (SELECT * FROM lots WHERE source = 'live'),
+@query("s2_bounded_revisions", f"""WITH {LOTS}, cur AS (SELECT * FROM lots WHERE source = 'legacy'), b AS (SELECT * FROM lots WHERE source = 'live'),
  m AS (SELECT max(auction_date) - 14 AS cut FROM cur), recent AS (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY {ORDER}) AS k FROM
  (SELECT cur.* FROM cur, m WHERE auction_date >= cut UNION ALL SELECT b.* FROM b, m WHERE auction_date >= cut))
  SELECT 'merged' AS part, {KEY}, l_orderkey, l_linenumber, {q('price_low')} AS price_low FROM cur, m WHERE auction_date < cut
@@ -106,7 +106,7 @@ def _(spark, d):
     feed that revises it."""
     both = lots(spark, d)
     out = fresh_path(spark, "revisions")
-    legacy = both.filter("source = 'legacy' AND auction_date < DATE'2001-06-01'")
+    legacy = both.filter("source = 'legacy'")
     again = legacy.withColumn("vintage", F.date_add("vintage", -7))
     for n, batch in enumerate((legacy, again, both.filter("source = 'live'"))):
         feed = R.file_stream(spark, f"{out}/in/*", both.schema, per_batch=_landed(batch, f"{out}/in/{n}"))

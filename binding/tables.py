@@ -98,9 +98,9 @@ SETTLES = """settles AS (SELECT date, contract_month, CASE WHEN day(date) % 7 <>
  (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS contract_month, avg(o_totalprice) AS p FROM orders GROUP BY 1, 2))"""
 
 
-def policies(spark: SparkSession, d: str) -> DataFrame:
-    """One endorsement per lineitem row; the supplier's nation is the state (0 is the
-    unattributed one), so lineitem joins one dimension."""
+def policies(spark: SparkSession, d: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One endorsement per lineitem row, with ``extra`` columns of it; the supplier's nation is the
+    state (0 is the unattributed one), so lineitem joins one dimension."""
     c = F.col
     li = table(spark, d, "lineitem")
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
@@ -137,6 +137,7 @@ def policies(spark: SparkSession, d: str) -> DataFrame:
         producer.alias("producer_premium_amount"),
         F.floor("l_extendedprice").alias("liability_amount"),
         F.when(paid, F.floor(c("l_extendedprice") * c("l_discount") * 0.5)).otherwise(F.lit(0).cast("long")).alias("indemnity_amount"),
+        *extra,
     )
 
 

@@ -120,6 +120,9 @@ def slice_sizes(policies: DataFrame, slices: dict[str, tuple[str | None, str, bo
 # ---- summaries -----------------------------------------------------------------------
 
 
+CUBE_KEYS = ("core", YEAR, "state_abbr")
+
+
 def policy_cube(policies: DataFrame) -> DataFrame:
     """Sums and weighted-mean parts per (core flag, year, state)."""
     means = [c for out, src in MEANS.items() for c in parts(src, "n_head", ZERO_IF_MISSING, out)]
@@ -131,6 +134,20 @@ def policy_cube(policies: DataFrame) -> DataFrame:
     )
 
 
+def revised_cube(cube: DataFrame, changes: DataFrame, sign: str = "_sign") -> DataFrame:
+    """The cube of a table after ``changes``: rows that came with ``sign`` 1, and rows that they replaced
+    or that went with -1. Only the changes are read besides the cube.
+
+    Every column of a cube is a sum, so cells are added and taken off. Sums of doubles agree with
+    those of a full rebuild to the last digits; a cell whose last row goes, goes with it.
+    """
+    sums = [c for c in cube.columns if c not in CUBE_KEYS]
+    came, went = (policy_cube(changes.filter(F.col(sign) == s)) for s in (1, -1))
+    taken = went.select(*CUBE_KEYS, *[(-F.col(c)).alias(c) for c in sums])
+    after = cube.unionByName(came).unionByName(taken).groupBy(*CUBE_KEYS).agg(*[F.sum(c).alias(c) for c in sums])
+    return after.filter("rows > 0")
+
+
 def _roll_up(cells: DataFrame, *keys: str | Column) -> DataFrame:
     merged = [c for out in MEANS for c in merge_parts(out)]
     sums = ("rows", *COUNTS, "total_weight_cwt")

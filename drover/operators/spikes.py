@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from drover.config import SpikeRule
+from drover.operators.ranks import in_blocks
 
 SERIES = ("sex", "weight_class")
 
@@ -16,19 +17,23 @@ def with_local_median(
     series: tuple[str, ...] = SERIES,
     value: str = "price_real",
     day: str = "auction_date",
+    block: int | None = None,
 ) -> DataFrame:
     """Adds ``local_median``: centred median over neighbouring rows of the series, null
     with too few values.
 
     The input is already one row per date and series, so a series is at most one row
     per calendar day however many lots lie below it. Several markets widen the
-    parallelism through ``series``.
+    parallelism through ``series``. Where a series is longer than that, ``block`` deals it to
+    blocks of so many rows, which overlap by the half window.
     """
-    w = Window.partitionBy(*series).orderBy(day).rowsBetween(-rule.half_window, rule.half_window)
-    return weekly.withColumn(
-        "local_median",
-        F.when(F.count(value).over(w) >= rule.min_values, F.percentile(value, F.lit(0.5)).over(w)),
-    )
+    around = lambda over: over.rowsBetween(-rule.half_window, rule.half_window)
+    median = lambda w: F.when(F.count(value).over(w) >= rule.min_values, F.percentile(value, F.lit(0.5)).over(w))
+    if block is None:
+        return weekly.withColumn("local_median", median(around(Window.partitionBy(*series).orderBy(day))))
+    dealt = in_blocks(weekly, series, [*map(F.asc, series), F.asc(day)], block, rule.half_window)
+    found = dealt.withColumn("local_median", median(around(Window.partitionBy(*series, "_block").orderBy("_place"))))
+    return found.filter("_own").select(*weekly.columns, "local_median")
 
 
 def replace_spikes(

@@ -6,13 +6,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a result depends on (time zone) or that keep plans adaptive.
+# Settings a result depends on (time zone), or that keep plans adaptive and sorted tables sorted.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A bucketed table that is sorted, and has one file per bucket, is read as sorted.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 

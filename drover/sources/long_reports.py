@@ -1,11 +1,11 @@
 """Report files of any length to lots: a segmented scan over lines.
 
 The row-wise parser holds a report in one value. Here the text reader splits a file by bytes, and
-what a line needs from the lines before it is found in two steps: within a split by windows
-over its lines, and across splits by windows over one row per split, which carries the last
-header, the kind of the last line and whether the run of data lines has ended. The result
-equals that of :func:`drover.sources.reports.parse_reports` on the whole file, except that the
-date and the receipts may be broken over two lines, not more.
+what a line needs from the lines before it is found in two steps: within a split by running
+windows over its lines, sorted once, and across splits by windows over one row per split, which
+carries the last header, the kinds of the first and last line and whether the run of data lines
+has ended. The result equals that of :func:`drover.sources.reports.parse_reports` on the whole
+file, except that the date and the receipts may be broken over two lines, not more.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from drover.session import materialize
 from drover.sources import reports as R
 
 #: Kinds of lines.
@@ -21,6 +22,8 @@ HEAD, DATA, BLANK, TITLE, OTHER = "head", "data", "blank", "title", "other"
 # stand between a header and its data, and nothing may stand between data lines.
 _MAY_FOLLOW = ((HEAD, BLANK), (HEAD, TITLE), (HEAD, DATA), (BLANK, BLANK), (BLANK, TITLE), (BLANK, DATA), (TITLE, DATA), (DATA, DATA))
 _TITLE_LINE = r"^\s*Head[^\S\n]+Wt Range[^\S\n]+Avg Wt[^\S\n]+Price Range[^\S\n]+Avg Price"
+# Texts without which the patterns for title, date, receipts and end cannot match a line.
+_TITLE_MARK, _DATE_MARK, _RECEIPT_MARK, _HEAD_MARK = "Avg Price", "Feeder Cattle Weighted Average", "Receipts:", "Feeder"
 _SPLIT = ["file", "block"]
 _PLACE = ["place", "part"]
 
@@ -36,29 +39,74 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _kind(line: Column) -> Column:
+    marked = lambda mark, pattern: F.contains(line, F.lit(mark)) & line.rlike(pattern)
     return (
-        F.when(line.rlike(R.DATA_LINE), F.lit(DATA)).when(F.trim(F.regexp_replace(line, r"\s", "")) == "", F.lit(BLANK))
-        .when(line.rlike(R.HEADER), F.lit(HEAD)).when(line.rlike(_TITLE_LINE), F.lit(TITLE)).otherwise(F.lit(OTHER))
+        F.when(line.rlike(R.DATA_LINE), F.lit(DATA)).when(line.rlike(r"^\s*$"), F.lit(BLANK))
+        .when(marked(_HEAD_MARK, R.HEADER), F.lit(HEAD)).when(marked(_TITLE_MARK, _TITLE_LINE), F.lit(TITLE)).otherwise(F.lit(OTHER))
     )
 
 
-def _first(value: Column, order: Column) -> Column:
-    return F.min_by(value, F.when(value.isNotNull(), order))
+def _may_follow(before: Column, kind: Column) -> Column:
+    return F.concat_ws(">", before, kind).isin(*[f"{a}>{b}" for a, b in _MAY_FOLLOW])
 
 
-def _facts(numbered: DataFrame) -> DataFrame:
-    """Per file: date in the prose, receipts, and the place where the feeder part ends."""
-    pair = F.concat_ws("\n", "line", "next")
-    at = F.struct("block", *_PLACE)
-    starts = lambda pattern: F.regexp_instr(pair, F.lit(pattern)).between(1, F.length("line") + 1)
-    dated = numbered.select(
-        "file", "file_name", at.alias("at"),
-        F.when(starts(R.SALE_DATE), pair).alias("date_text"), F.when(starts(R.RECEIPTS), pair).alias("receipt_text"),
-        F.col("line").rlike(R.END_OF_FEEDERS).alias("ends"),
+def scanned(spark: SparkSession, path: str) -> DataFrame:
+    """What each split tells by itself, one sort and one pass: of the lines those that may be live
+    data, may hold a fact of the report, or stand at an end of the split."""
+    within = Window.partitionBy(*_SPLIT).orderBy(*_PLACE)
+    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+    told = lines(spark, path).withColumn("kind", _kind(F.col("line")))
+    is_head = F.col("kind") == HEAD
+    at = F.struct(*_PLACE)
+    # A line that may not follow the one before ends the run; the first line of a split is judged later.
+    ends_run = ~is_head & ~_may_follow(F.col("before"), F.col("kind")) & F.col("before").isNotNull()
+    told = told.withColumn("before", F.lag("kind").over(within)).withColumns({
+        "next": F.lead("line").over(within), "header": F.last(F.when(is_head, F.col("line")), ignorenulls=True).over(so_far),
+        "begun": F.max(F.when(is_head, at)).over(so_far), "ended": F.max(F.when(ends_run, at)).over(so_far),
+    })
+    broken = F.col("ended").isNotNull() & (F.col("begun").isNull() | (F.col("ended") > F.col("begun")))
+    has = lambda mark: F.contains("line", F.lit(mark))
+    facts = has(_DATE_MARK) | has(_RECEIPT_MARK) | ((has(":") | has("#")) & F.col("line").rlike(R.END_OF_FEEDERS))
+    told = told.withColumns({"broken": broken, "fact": facts, "first": F.col("before").isNull(), "last": F.col("next").isNull()})
+    live = (F.col("kind") == DATA) & ~F.col("broken")
+    return told.filter(live | F.col("fact") | F.col("first") | F.col("last")).drop("before", "begun", "ended")
+
+
+def _across(told: DataFrame) -> DataFrame:
+    """One row per split: the header that holds where it begins, whether the run after that has ended
+    by then or ends with its first line, and the first line of the split after it."""
+    ends = told.filter("first OR last").groupBy(*_SPLIT).agg(
+        F.max(F.when(F.col("first"), F.col("kind"))).alias("first_kind"), F.max(F.when(F.col("last"), F.col("kind"))).alias("last_kind"),
+        F.max(F.when(F.col("first"), F.col("line"))).alias("first_line"), F.max(F.when(F.col("last"), F.col("header"))).alias("own_header"),
+        F.bool_or(F.when(F.col("last"), F.col("broken"))).alias("tail"),
     )
-    per_file = dated.groupBy("file", "file_name").agg(
-        _first(F.col("date_text"), F.col("at")).alias("date_text"), _first(F.col("receipt_text"), F.col("at")).alias("receipt_text"),
-        F.min(F.when(F.col("ends"), F.col("at"))).alias("end"),
+    over = Window.partitionBy("file").orderBy("block")
+    earlier, so_far = (over.rowsBetween(Window.unboundedPreceding, n) for n in (-1, 0))
+    has_header = F.col("own_header").isNotNull()
+    border = (F.col("first_kind") != HEAD) & ~_may_follow(F.coalesce("kind_in", F.lit(OTHER)), F.col("first_kind"))
+    ends = ends.withColumns({
+        "kind_in": F.lag("last_kind").over(over), "line_out": F.lead("first_line").over(over),
+        "header_in": F.last("own_header", ignorenulls=True).over(earlier), "chain": F.count_if(has_header).over(so_far),
+    }).withColumn("border", border)
+    # A chain is a split with a header and those after it without any: its run, once ended, stays so.
+    ended = F.max(F.when(has_header, F.col("tail")).otherwise(F.col("tail") | F.col("border")))
+    at_end = ended.over(Window.partitionBy("file", "chain").orderBy("block").rowsBetween(Window.unboundedPreceding, 0))
+    ends = ends.withColumn("at_end", at_end).withColumn("ended_in", F.coalesce(F.lag("at_end").over(over), F.lit(False)))
+    return ends.select(*_SPLIT, "header_in", "line_out", (F.col("ended_in") | F.col("border")).alias("ended_in"))
+
+
+def _facts(told: DataFrame) -> DataFrame:
+    """Per file: date in the prose or in the name, receipts, and the place where the feeder part ends."""
+    pair = F.concat_ws("\n", "line", F.coalesce("next", "line_out"))
+    at = F.struct("block", *_PLACE)
+    has = lambda mark: F.contains("line", F.lit(mark))
+    starts = lambda mark, pattern: F.when(has(mark) & F.regexp_instr(pair, F.lit(pattern)).between(1, F.length("line") + 1), pair)
+    first = lambda name: F.min_by(name, F.when(F.col(name).isNotNull(), F.col("at")))
+    per_file = told.select(
+        "file", "file_name", at.alias("at"), starts(_DATE_MARK, R.SALE_DATE).alias("date_text"),
+        starts(_RECEIPT_MARK, R.RECEIPTS).alias("receipt_text"), F.col("line").rlike(R.END_OF_FEEDERS).alias("ends"),
+    ).groupBy("file", "file_name").agg(
+        first("date_text").alias("date_text"), first("receipt_text").alias("receipt_text"), F.min(F.when(F.col("ends"), F.col("at"))).alias("end"),
     )
     undated = F.raise_error(F.lit("report has no sale date")).cast("date")
     return per_file.select(
@@ -69,43 +117,13 @@ def _facts(numbered: DataFrame) -> DataFrame:
 
 def live_lines(spark: SparkSession, path: str) -> DataFrame:
     """Data lines that stand in the run after a header, with ``header``, date and receipts."""
-    within = Window.partitionBy(*_SPLIT).orderBy(*_PLACE)
-    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
-    told = lines(spark, path).withColumn("kind", _kind(F.col("line")))
-    is_head = F.col("kind") == HEAD
-    told = told.withColumns({
-        "before": F.lag("kind").over(within), "next": F.lead("line").over(within),
-        "group": F.count_if(is_head).over(so_far), "header": F.last(F.when(is_head, F.col("line")), ignorenulls=True).over(so_far),
-    })
-
-    # Across splits: the kind of the line before and the text of the line after.
-    ends = told.groupBy(*_SPLIT).agg(
-        F.max_by("kind", F.struct(*_PLACE)).alias("last_kind"), F.min_by("line", F.struct(*_PLACE)).alias("first_line"),
-        F.max_by("header", F.struct(*_PLACE)).alias("last_header"),
-    )
-    over = Window.partitionBy("file").orderBy("block")
-    earlier = over.rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(
-        *_SPLIT, F.lag("last_kind").over(over).alias("kind_in"), F.lead("first_line").over(over).alias("line_out"),
-        F.last("last_header", ignorenulls=True).over(earlier).alias("header_in"), F.col("last_header").isNotNull().alias("has_header"),
-    )
-    told = told.join(ends, _SPLIT).withColumns({
-        "before": F.coalesce("before", "kind_in"), "next": F.coalesce("next", "line_out"), "header": F.coalesce("header", "header_in"),
-    })
-    allowed = F.concat_ws(">", "before", "kind").isin(*[f"{a}>{b}" for a, b in _MAY_FOLLOW])
-    broken = ~is_head & ~allowed
-    told = told.withColumn("broken", F.max(broken).over(Window.partitionBy(*_SPLIT, "group").orderBy(*_PLACE).rowsBetween(Window.unboundedPreceding, 0)))
-
-    # A run that was broken before the split begins stays broken until the next header.
-    tails = told.groupBy(*_SPLIT).agg(F.max_by("broken", F.struct(*_PLACE)).alias("tail"), F.max("group").alias("heads"))
-    chain = F.count_if(F.col("heads") > 0).over(over.rowsBetween(Window.unboundedPreceding, 0))
-    tails = tails.withColumn("chain", chain).withColumn("chain_in", F.coalesce(F.lag("chain").over(over), F.lit(0)))
-    # The splits of a chain: the one with its header, and those after it without any.
-    carried = F.max("tail").over(Window.partitionBy("file", "chain").orderBy("block").rowsBetween(Window.unboundedPreceding, 0))
-    tails = tails.withColumn("open", carried).select(*_SPLIT, F.coalesce(F.lag("open").over(over), F.lit(False)).alias("broken_in"))
-
-    data = told.filter((F.col("kind") == DATA) & F.col("header").isNotNull() & ~F.col("broken")).join(tails, _SPLIT)
-    data = data.filter((F.col("group") > 0) | ~F.col("broken_in")).join(_facts(told), "file")
+    told = materialize(scanned(spark, path), "scanned")
+    across = materialize(_across(told), "across")  # one row per split
+    # Every file has a first line, so every file has a row of facts.
+    facts = materialize(_facts(told.filter("fact OR first").join(across, _SPLIT)), "facts")
+    data = told.filter((F.col("kind") == DATA) & ~F.col("broken")).join(across, _SPLIT)
+    data = data.filter(F.col("header").isNotNull() | ~F.col("ended_in")).withColumn("header", F.coalesce("header", "header_in"))
+    data = data.filter(F.col("header").isNotNull()).join(facts, "file")
     return data.filter(F.col("end").isNull() | (F.struct("block", *_PLACE) < F.col("end")))
 
 

@@ -111,24 +111,28 @@ def revise(
     stream: DataFrame, state: str, late: str, key: tuple[str, ...], day: str, depth_days: int, checkpoint: str,
     vintage: str = "vintage", ties: tuple[str, ...] = (),
 ) -> StreamingQuery:
-    """:func:`bounded_upsert` as a stream. The state is partitioned by month, and a batch reads
-    and rewrites only the months that may change; late rows land under ``late`` by batch.
-    The first batch is the state. A replayed batch finds its own rows and changes nothing."""
+    """:func:`bounded_upsert` as a stream. The state is partitioned by month. A batch reads and
+    rewrites the months that may change, and reads of the older ones those that it has rows of;
+    late rows land under ``late`` by batch. The first batch is the state, and its empty folder
+    under ``late`` says that it is whole: without that it is written again. A replayed
+    batch finds its own rows and changes nothing."""
 
     def land(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         month = F.trunc(F.col(day), "month")
-        current = tables.read_optional(spark, state)
-        if current is None:
-            batch.withColumn(MONTH, month).write.partitionBy(MONTH).parquet(state)
+        begun = tables.read_optional(spark, late) is not None
+        if not begun:
+            batch.withColumn(MONTH, month).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(MONTH).parquet(state)
+            batch.limit(0).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
             return
+        current = spark.read.parquet(state)
         cutoff = _cutoff(current, day, depth_days)
         first = F.trunc(F.lit(cutoff), "month")
         touched = current.filter(F.col(MONTH).isNull() | (F.col(MONTH) >= first)).drop(MONTH)
         merged, _ = bounded_upsert(touched, batch, key, day, depth_days, vintage, ties)
-        missed = late_rows(current.drop(MONTH), batch, cutoff, day, vintage)
-        missed.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(late)
+        old_months = [r[0] for r in batch.filter(F.col(day) < F.lit(cutoff)).select(month).distinct().collect()]  # calendar months
+        known = current.filter(F.col(MONTH).isin(old_months)).drop(MONTH)
+        late_rows(known, batch, cutoff, day, vintage).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
         # Written aside first: a table cannot be read and overwritten in one job.
         aside = materialize(merged.withColumn(MONTH, month), "revised")
         aside.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(state)

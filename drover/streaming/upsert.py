@@ -7,7 +7,6 @@ side has neither exchange nor sort. Each task of the join holds one bucket and w
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,57 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from drover.operators import quality
-from drover.operators.vintage import latest_vintage_wins
+from drover.operators.sorted_state import BUCKETS, KEY, keyed, merged, read_sorted, write_sorted
 from drover.sources import tables
 
-#: Holds the key columns as one text that is never null, in every vintage.
-KEY = "state_key"
-BUCKETS = 64
-# Bucketed files in one piece per bucket are read as sorted.
-_SORTED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
-
-
-def keyed(df: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
-    """One row per key with :data:`KEY`: the largest ``order``, then the largest row. Null keys are keys."""
-    one = latest_vintage_wins(df, key, order[0], order[1:]) if order else latest_vintage_wins(
-        df.withColumn("_one", F.lit(0)), key, "_one").drop("_one")
-    return one.withColumn(KEY, F.to_json(F.struct(*key)))
-
-
-class Buckets:
-    """A bucketed vintage under a catalog name of its own, which ends with the block. The files stay:
-    what makes them buckets is their names, so a later session declares the table again."""
-
-    def __init__(self, spark: SparkSession, schema, path: str, buckets: int):
-        self.spark, self.path, self.name = spark, path, f"drover_state_{uuid.uuid4().hex}"
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        self.ddl = (
-            f"CREATE TABLE {self.name} ({columns}) USING parquet CLUSTERED BY ({KEY}) SORTED BY ({KEY}) "
-            f"INTO {buckets} BUCKETS LOCATION '{path}'"
-        )
-
-    def __enter__(self) -> str:
-        self.spark.sql(self.ddl)
-        return self.name
-
-    def __exit__(self, *_) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-
-
-def merged(state: DataFrame, batch: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
-    """State and batch, one row per key. A row of the batch replaces the state's unless that is
-    larger by ``order``."""
-    columns = [c for c in state.columns if c != KEY]
-    new = batch.select(F.struct(*columns).alias("_new"), F.col(KEY).alias("_key"))
-    old = state.select(F.struct(*columns).alias("_old"), KEY)
-    both = old.join(new, F.col(KEY) == F.col("_key"), "full_outer")
-    rank = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in order])
-    stays = F.col("_key").isNull()
-    if order:
-        stays = stays | F.coalesce(rank("_old") > rank("_new"), F.lit(False)) & F.col(KEY).isNotNull()
-    return both.select(F.when(stays, F.col("_old")).otherwise(F.col("_new")).alias("_row"), F.coalesce(KEY, "_key").alias(KEY)).select("_row.*", KEY)
-
-
 def _base(spark: SparkSession, root: str, dataset: str, vintage: str) -> str | None:
     """The published vintage before this one; a replayed batch does not start from its own."""
     said = tables.read_optional(spark, f"{root}/_published")
@@ -96,17 +47,8 @@ def upsert_vintage(
         raise ValueError("vintage is the name of the published vintage")
     new = keyed(batch.drop("vintage"), key, order)
     base = _base(spark, root, dataset, vintage)
-    before = spark.conf.get(_SORTED, "false")
-    spark.conf.set(_SORTED, "true")
-    try:
-        with Buckets(spark, new.schema, _path(root, dataset, vintage), buckets) as target:
-            if base is None:
-                new.repartition(buckets, KEY).write.insertInto(target, overwrite=True)
-            else:
-                with Buckets(spark, new.schema, _path(root, dataset, base), buckets) as state:
-                    merged(spark.table(state), new, order).write.insertInto(target, overwrite=True)
-    finally:
-        spark.conf.set(_SORTED, before)
+    state = None if base is None else read_sorted(spark, new.schema, _path(root, dataset, base), buckets)
+    write_sorted(new if state is None else merged(state, new, order), _path(root, dataset, vintage), buckets, dealt=state is not None)
     written = spark.read.parquet(f"{root}/{dataset}").filter(F.col("vintage") == F.lit(vintage).cast("date"))
     tables.record_manifest(written.drop(KEY), root, dataset, vintage)
     tables.point_latest(spark, root, dataset, vintage)

@@ -3,6 +3,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from drover.operators import quality as Q
+from drover.operators import sorted_state as K
 from drover.sources import tables as T
 from drover.streaming import refresh as R
 from drover.streaming import upsert as U
@@ -125,13 +126,9 @@ def test_an_older_row_does_not_replace_a_newer_one(spark, tmp_path):
 def test_the_state_is_read_where_it_lies(spark, tmp_path):
     root = str(tmp_path)
     publish(spark, root, "2024-01-01", [(i, "p", 1.0, None) for i in range(100)])
-    batch = U.keyed(spark.createDataFrame([(7, "p", 9.0, None)], STATE), ("a", "b"), ())
-    spark.conf.set(U._SORTED, "true")
-    try:
-        with U.Buckets(spark, batch.schema, f"{root}/t/vintage=2024-01-01", 4) as name:
-            plan = U.merged(spark.table(name), batch)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set(U._SORTED, "false")
+    batch = K.keyed(spark.createDataFrame([(7, "p", 9.0, None)], STATE), ("a", "b"))
+    state = K.read_sorted(spark, batch.schema, f"{root}/t/vintage=2024-01-01", 4)
+    plan = K.merged(state, batch)._jdf.queryExecution().executedPlan().toString()
     join = plan[plan.index("SortMergeJoin"):]
     assert "FullOuter" in join and "Bucketed: true" in plan
     left = join[: join.index("FileScan")]
