@@ -125,6 +125,20 @@ def _(spark, d):
     return rounded(out.drop("revision_count"), "cpi_u")
 
 
+@query("a3_latest_index_file", f"""WITH {CPI} SELECT period, {q('cpi_u + CASE WHEN month(period) % 2 = 0 THEN 0 ELSE 1 END')} AS cpi_u, DATE '2002-01-07' AS vintage FROM cpi""")
+def _(spark, d):
+    """The newest of two files by name, one list with the bodies of all years."""
+
+    def build():
+        bodies = F.array_join(F.collect_list(F.expr("substring(value, 2, length(value) - 2)")), ",")
+        newest = index_payloads(spark, d).agg(F.concat(F.lit("["), bodies, F.lit("]")).alias("value"))
+        older = newest.select(F.lit("cpi_raw_2001-12.json").alias("file_name"), F.replace("value", F.lit('"period":"M0'), F.lit('"period":"M1')).alias("value"))
+        return newest.select(F.lit("cpi_raw_2002-01.json").alias("file_name"), "value").unionByName(older)
+
+    points = index_json.read_latest_points(spark, rendered.named_files(spark, d, "index_files", build))
+    return rounded(index_json.index_table(points, VINTAGE).drop("revision_count"), "cpi_u")
+
+
 # ---- endorsement lines ---------------------------------------------------------------
 
 
@@ -176,7 +190,8 @@ def _(spark, d):
 @query("a5_endorsement_corpus", f"""WITH {POLICIES} SELECT reinsurance_year, DATE '2026-04-27' AS vintage, count(*) AS n, CAST(sum(liability_amount) AS BIGINT) AS liability FROM policies
  WHERE liability_amount % 2 = 0 AND commodity_code = '0801' AND plan_code = '81' GROUP BY 1""")
 def _(spark, d):
-    return endorsements.corpus(endorsement_lines(spark, d), "2026-04-27").groupBy(
+    path = rendered.named_files(spark, d, "endorsement_files", lambda: endorsement_lines(spark, d))
+    return endorsements.read_corpus(spark, path, "2026-04-27").groupBy(
         F.col("file_year").alias("reinsurance_year"), "vintage"
     ).agg(F.count("*").alias("n"), F.sum("liability_amount").alias("liability"))
 

@@ -34,6 +34,24 @@ def texts(spark: SparkSession, d: str, kind: str, build: Callable[[], DataFrame]
     return spark.read.parquet(path)
 
 
+def named_files(spark: SparkSession, d: str, kind: str, build: Callable[[], DataFrame]) -> str:
+    """A folder with one text file per ``file_name`` of the frame's rows, under that name."""
+
+    def write(path: str) -> None:
+        build().select("file_name", "value").repartition("file_name").write.partitionBy("file_name").text(f"{path}/_parts")
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        for folder in fs.listStatus(hadoop(f"{path}/_parts")):
+            if not folder.isDirectory():
+                continue
+            parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            if len(parts) != 1:
+                raise RuntimeError(f"{folder.getPath()}: expected one part, found {len(parts)}")
+            fs.rename(parts[0], hadoop(f"{path}/{folder.getPath().getName().partition('=')[2]}"))
+
+    return at_rest(spark, d, kind, write)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all rendered files of this driver."""
     while _made:

@@ -23,7 +23,7 @@ from drover.functions.bins import coverage_bin, coverage_label
 from drover.functions.columns import county_id, positive_ratio, safe_ratio, sum0
 from drover.functions.dates import year_window_start, year_windows_of
 from drover.functions.weighted import ZERO_IF_MISSING, from_parts, merge_parts, parts
-from drover.operators.quantiles import counts_and_percentile
+from drover.operators.quantiles import count_cells, counts_and_percentile, percentile_of_cells
 
 YEAR = "reinsurance_year"
 # Output names of the summaries and the columns behind them.
@@ -333,10 +333,11 @@ def glance_text(metrics: DataFrame) -> DataFrame:
 
 def with_advantage(policies: DataFrame) -> DataFrame:
     """Payout minus producer premium per unit of weight; rows without weight are dropped."""
-    return policies.filter(F.col("total_weight_cwt") > 0).withColumn(
-        "advantage_per_cwt",
-        (F.col("indemnity_amount") - F.col("producer_premium_amount")) / F.col("total_weight_cwt"),
-    )
+    return policies.filter(F.col("total_weight_cwt") > 0).withColumn("advantage_per_cwt", advantage())
+
+
+def advantage() -> Column:
+    return (F.col("indemnity_amount") - F.col("producer_premium_amount")) / F.col("total_weight_cwt")
 
 
 def _backtest_parts() -> list[Column]:
@@ -395,31 +396,41 @@ def by_coverage(policies: DataFrame, state: str | None = None, window: str = "al
     return _with_medians(_coverage_rows(backtest_subset(policies, state, window)), ("coverage_level_pct",)).select(*COVERAGE_COLUMNS)
 
 
-def _with_medians(rows: DataFrame, keys: tuple[str, ...], base: tuple[str, ...] | None = None, fan=None) -> DataFrame:
+def _with_medians(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Merged back-test statistics and the exact median per group."""
     cells, median = counts_and_percentile(
-        rows, keys, "advantage_per_cwt", 0.5, "median_advantage_per_cwt", _backtest_parts(), base, fan
+        rows, keys, "advantage_per_cwt", 0.5, "median_advantage_per_cwt", _backtest_parts()
     )
-    stats = _merge_backtest(fan(cells) if fan else cells, keys)
-    return stats.join(median, list(keys), "left")
+    return _merge_backtest(cells, keys).join(median, list(keys), "left")
 
 
 def by_coverage_everywhere(policies: DataFrame) -> DataFrame:
     """Back-test statistics for every (window, state or nation, coverage bin).
 
-    Counts, means and deviations are first reduced to (year, state, bin) cells; windows
-    and areas multiply only those cells, and so do the bucket counts behind the medians.
-    Rows meet the (at most eight) slices they belong to only in the last step of the
-    median, where all but those near the wanted rank drop out before the shuffle.
+    Counts, means and deviations are first reduced to (year, state, bin) cells, which also tell the
+    bounds of the windows; windows and areas multiply only those cells, and so do the bucket
+    counts behind the medians. A second scan keeps the rows near a wanted rank, and only these
+    meet the (at most eight) slices they belong to.
     """
     core = policies.filter(is_core())
-    first, last = year_bounds(core)
-    windows = F.explode(year_windows_of(YEAR, first, last, YEAR_WINDOWS))
     keys = ("window", "area", "coverage_level_pct")
-    rows = _coverage_rows(core).filter(F.col(YEAR).isNotNull())
-    base = (YEAR, "state_abbr", "coverage_level_pct")
+    base = ("_valid", YEAR, "state_abbr", "coverage_level_pct")
+    bin_ = coverage_bin("coverage_level_pct")
+    valid = F.coalesce((F.col("total_weight_cwt") > 0) & bin_.isNotNull() & F.col(YEAR).isNotNull(), F.lit(False))
+    # Rows that do not count stay for the bounds of the windows, one cell a year.
+    rows = core.withColumn("_valid", valid).withColumns({
+        "advantage_per_cwt": F.when(F.col("_valid"), advantage()), "coverage_level_pct": F.when(F.col("_valid"), bin_),
+        "state_abbr": F.when(F.col("_valid"), F.col("state_abbr")),
+    })
+    name, value = "median_advantage_per_cwt", "advantage_per_cwt"
+    counted = count_cells(rows, base, value, name, _backtest_parts())
+    first, last = year_bounds(counted)
+    windows = F.explode(year_windows_of(YEAR, first, last, YEAR_WINDOWS))
     fan = lambda df: df.withColumn("window", windows).withColumn("area", F.explode(_areas()))
-    return _with_medians(rows, keys, base, fan).select("window", "area", *COVERAGE_COLUMNS)
+    cells = counted.filter("_valid")
+    median = percentile_of_cells(cells, rows.filter("_valid"), keys, value, 0.5, name, base, fan)
+    stats = _merge_backtest(fan(cells), keys).join(median, list(keys), "left")
+    return stats.select("window", "area", *COVERAGE_COLUMNS)
 
 
 def by_year(policies: DataFrame, state: str | None = None, window: str = "all") -> DataFrame:

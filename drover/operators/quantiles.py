@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,20 +62,39 @@ def counts_and_percentile(
        at each rank. A window sees at most ``near`` rows, or one value.
 
     ``fan`` maps rows keyed by ``base`` to the groups they belong to, when groups overlap.
-    In step 1 it multiplies the counts, not the rows. Keys must not be null. The counting
+    In step 1 it multiplies the counts, not the rows, and later only rows near a rank of their groups. Keys must not be null. The counting
     jobs run when this is called, not when the result is used.
     """
-    base = base or keys
-    fan = fan or (lambda d: d)
+    counted = count_cells(df, base or keys, value, name, parts)
+    return counted, percentile_of_cells(counted, df, keys, value, p, name, base, fan, near)
+
+
+def count_cells(df: DataFrame, base: tuple[str, ...], value: str, name: str, parts: list[Column] | None = None) -> DataFrame:
+    """Counts, least and greatest value and the mergeable aggregates ``parts`` per (base, magnitude
+    bucket): the first scan of :func:`counts_and_percentile`."""
     v = F.col("_v")
-    present = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
-    valued = df.withColumn("_v", present)
-    counted = valued.groupBy(*base, F.when(v.isNotNull(), magnitude(v)).alias("_b")).agg(
+    counted = _valued(df, value).groupBy(*base, F.when(v.isNotNull(), magnitude(v)).alias("_b")).agg(
         F.count(v).alias("_c"), F.min(v).alias("_min"), F.max(v).alias("_max"), *(parts or [])
     )
-    counted = materialize(counted, f"{name}-counts")
-    rows = valued.select(*base, "_v").filter(v.isNotNull())
-    by_bucket = fan(counted.filter(F.col("_b").isNotNull())).groupBy(*keys, "_b").agg(
+    return materialize(counted, f"{name}-counts")
+
+
+def _valued(df: DataFrame, value: str) -> DataFrame:
+    number = F.col(value).cast("double")
+    return df.withColumn("_v", F.when(~F.isnan(number), number))
+
+
+def percentile_of_cells(
+    counted: DataFrame, df: DataFrame, keys: tuple[str, ...], value: str, p: float, name: str,
+    base: tuple[str, ...] | None = None, fan: Callable[[DataFrame], DataFrame] | None = None, near: int = NEAR,
+) -> DataFrame:
+    """Percentiles from the cells of :func:`count_cells` and one more scan; see
+    :func:`counts_and_percentile`."""
+    base = base or keys
+    v = F.col("_v")
+    rows = _valued(df, value).select(*base, "_v").filter(v.isNotNull())
+    spread = fan or (lambda d: d)
+    by_bucket = spread(counted.filter(F.col("_b").isNotNull())).groupBy(*keys, "_b").agg(
         F.sum("_c").alias("_c"), F.min("_min").alias("_min"), F.max("_max").alias("_max")
     )
     along = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
@@ -95,7 +115,17 @@ def counts_and_percentile(
         )
 
     def inside(targets: DataFrame) -> DataFrame:
-        return fan(rows).join(targets, list(keys)).filter(v.between(F.col("_lo"), F.col("_hi")))
+        """Rows in the ranges of their groups. Where groups overlap, rows outside of all the ranges of
+        their base drop out before they are multiplied."""
+        near_rows = rows
+        if fan is not None:
+            cells = counted.select(*base).distinct()
+            hull = fan(cells).join(targets, list(keys)).groupBy(*[F.col(b).alias(f"_{b}") for b in base]).agg(
+                F.min("_lo").alias("_least"), F.max("_hi").alias("_most")
+            )
+            same = reduce(lambda x, b: x & F.col(b).eqNullSafe(F.col(f"_{b}")), base, v.between(F.col("_least"), F.col("_most")))
+            near_rows = rows.join(materialize(hull, f"{name}-hull"), same).select(*base, "_v")
+        return spread(near_rows).join(targets, list(keys)).filter(v.between(F.col("_lo"), F.col("_hi")))
 
     # Written, so that the planner knows the size of the per-group ranks and broadcasts them only if small.
     targets = materialize(holding(ranked), f"{name}-rank")
@@ -116,7 +146,6 @@ def counts_and_percentile(
         F.min(F.when(F.col("_rank") == first, v)).alias("_left"),
         F.min(F.when(F.col("_rank") == second, v)).alias("_right"),
     )
-    percentiles = found.select(
+    return found.select(
         *keys, (F.col("_left") + (F.col("_right") - F.col("_left")) * (rank - first)).alias(name)
     )
-    return counted, percentiles
