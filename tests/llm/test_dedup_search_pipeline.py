@@ -294,3 +294,31 @@ def test_words_with_equal_sums_stay_apart():
     other = word.translate(str.maketrans("ab", "ba"))
     hashes = shingles.word_hashes(f"{word} {other} {word}")
     assert hashes[0] != hashes[1] and hashes[0] == hashes[2]
+
+
+def test_top_k_floors_hold_back_what_cannot_win(spark, docs, monkeypatch):
+    docs([])
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    monkeypatch.setattr(topk, "SAMPLE", 500)
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(1000, 24)) * np.geomspace(0.05, 3, 24)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    q = np.floor(64 * vectors)
+    got = {}
+    for r in topk.top_k(df, "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for i in range(0, 1000, 50):
+        scores = (q @ q[i]).astype(int)
+        order = [j for j in sorted(range(1000), key=lambda j: (-scores[j], j)) if j != i][:5]
+        assert sorted(got[i]) == [(n + 1, j, scores[j]) for n, j in enumerate(order)]
+    ids = np.arange(1000)
+    floor = topk.kth_best(ids[:20], q[:20].T, ids[:500], q[:500].T, 5)
+    passed = sum(len(x[1]) for a in range(0, 1000, 50) for x in topk.search(ids[:20], q[:20].T, ids[a : a + 50], q[a : a + 50].T, 5, floor))
+    assert 20 * 5 <= passed < 20 * 5 * 4  # and not 5 for each query and block
+
+
+def test_top_k_refuses_what_doubles_cannot_hold(spark, docs):
+    docs([])
+    df = spark.createDataFrame([(1, [1e9, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="too large"):
+        topk.top_k(df, "vec_id", "embedding", F.col("vec_id") == 1)
