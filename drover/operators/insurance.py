@@ -408,9 +408,8 @@ def by_coverage_everywhere(policies: DataFrame) -> DataFrame:
     """Back-test statistics for every (window, state or nation, coverage bin).
 
     Counts, means and deviations are first reduced to (year, state, bin) cells, which also tell the
-    bounds of the windows; windows and areas multiply only those cells, and so do the bucket
-    counts behind the medians. A second scan keeps the rows near a wanted rank, and only these
-    meet the (at most eight) slices they belong to.
+    bounds of the windows; windows and areas multiply only those cells, and the values near a
+    median that a second scan has counted. Rows never meet the slices they belong to.
     """
     core = policies.filter(is_core())
     keys = ("window", "area", "coverage_level_pct")

@@ -47,6 +47,11 @@ _TOKEN = _STRING + r'|\{[^{}"]*+(?:' + _STRING + r'[^{}"]*+)*+\}'
 # Most pieces hold one object and nothing before it.
 _PLAIN = r"^\s*\{[^{}]*$"
 _BEGINS = r"^\s*\{\s*" + _STRING + r"\s*:"
+# An even number of quotes, those after a backslash not counted.
+_NO_QUOTE = r'[^"\\]*+(?:\\.[^"\\]*+)*+'
+_EVEN = "^" + _NO_QUOTE + '(?:"' + _NO_QUOTE + '"' + _NO_QUOTE + ")*+$"
+# Both at once, and neither brace nor backslash: one pass settles what most pieces are.
+_PLAIN_WHOLE = r'^\s*\{\s*"[^"\\{}]*+"\s*:[^"\\{}]*+(?:"[^"\\{}]*+"[^"\\{}]*+)*+$'
 # What parts the records of a list. It may be followed by white space.
 _BORDER = "},"
 
@@ -70,9 +75,10 @@ def mended(cut: DataFrame) -> DataFrame:
     put in order, and those between an odd number of quotes and the next are one. They are few
     unless text fields are full of borders, and then sorted by file, not held.
     """
-    plain = F.when(F.contains("value", F.lit("\\")), F.regexp_replace("value", r"\\.", "")).otherwise(F.col("value"))
-    counted = cut.withColumn("odd", (F.length(plain) - F.length(F.replace(plain, F.lit('"')))) % 2)
-    whole = (F.col("odd") == 0) & F.col("value").rlike(_BEGINS)
+    value = F.col("value")
+    plain = value.rlike(_PLAIN_WHOLE)
+    counted = cut.withColumn("odd", F.when(plain | value.rlike(_EVEN), 0).otherwise(1))
+    whole = plain | ((F.col("odd") == 0) & value.rlike(_BEGINS))
     order = Window.partitionBy("file").orderBy("block", "place")
     inside = F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
     ordered = counted.filter(~whole).withColumn("begins", (inside == 0).cast("int"))
@@ -90,8 +96,10 @@ def read_split_rows(spark: SparkSession, path: str) -> DataFrame:
     ended = F.concat("value", F.lit("}"))
     objects = F.filter(F.regexp_extract_all(ended, F.lit(_TOKEN), F.lit(0)), lambda t: t.startswith("{"))
     texts = F.when(F.col("value").rlike(_PLAIN), F.array(ended)).otherwise(objects)
-    rows = mended(pieces(spark, path)).select(F.explode(texts).alias("text")).select(F.from_json("text", ROW).alias("row"))
-    return rows.select("row.*").filter(F.coalesce(*RAW_FIELDS).isNotNull())
+    found = mended(pieces(spark, path)).select(F.explode(texts).alias("text"))
+    # From a generator, below which no filter is pushed: an object is parsed once, not once for every condition.
+    rows = found.select(F.inline(F.array(F.from_json("text", ROW))))
+    return rows.filter(F.coalesce(*RAW_FIELDS).isNotNull())
 
 
 def _kept(raw: DataFrame, commodity: str, classes: tuple[str, ...]) -> DataFrame:

@@ -41,7 +41,7 @@ def test_random_groups(spark, seed):
     rng = random.Random(seed)
     groups = {f"g{i}": [round(rng.lognormvariate(3, 2), rng.randint(0, 3)) for _ in range(rng.randint(1, 1500))] for i in range(6)}
     signs = {k: [x * rng.choice([-1, 1]) for x in v] if i % 2 else v for i, (k, v) in enumerate(groups.items())}
-    check(spark, signs, rng.choice([0.5, 0.3, 0.9]), near=rng.choice([1, 50, 100_000]))
+    check(spark, signs, rng.choice([0.5, 0.3, 0.9]), near=rng.choice([1, 50, 100_000]), slack=rng.choice([0.0, 0.001, 0.02]), small=rng.choice([0, 500]))
 
 
 def test_overlapping_groups(spark):
@@ -61,3 +61,28 @@ def test_extreme_magnitudes(spark):
 def test_nulls_are_ignored(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), ("b", None)], "k string, x double")
     assert [tuple(r) for r in exact_percentile(df, ("k",), "x", 0.5, "m").collect()] == [("a", 2.0)]
+
+
+@pytest.mark.parametrize("shape", ["one bucket", "outliers", "ties", "steps"])
+def test_two_scans_for_any_distribution(spark, monkeypatch, shape):
+    """The rows are read to count them and once more, however they lie."""
+    rng = random.Random(shape)
+    n = 20_000
+    values = {
+        "one bucket": [100 + rng.random() for _ in range(n)], "outliers": [rng.random() for _ in range(n)] + [1e300, -1e300] * 5,
+        "ties": [float(rng.choice([1, 1, 1, 2, 3])) for _ in range(n)], "steps": [1 + i * 1e-12 for i in range(n // 2)] + [5 + i * 1e-12 for i in range(n // 2)],
+    }[shape]
+    from drover.operators import quantiles
+
+    scans = []
+    plain = quantiles._valued
+    monkeypatch.setattr(quantiles, "_valued", lambda df, value: scans.append(1) or plain(df, value))
+    check(spark, {"hot": values, "few": values[:3]}, 0.5)
+    assert len(scans) == 2
+
+
+def test_a_bracket_that_misses_gives_way_to_the_whole_range(spark):
+    rng = random.Random(5)
+    groups = {k: [rng.gauss(0, 9) for _ in range(4000)] for k in ("a", "b")}
+    check(spark, groups, 0.5, slack=0.0, small=0)
+    check(spark, groups, 0.37, slack=0.0, small=0, near=20)
