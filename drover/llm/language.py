@@ -22,6 +22,8 @@ ORDERS = (2, 3)
 #: Texts that a language gives to the training at most, on average: rows are taken by a
 #: hash of their key below cap / count, so the sample is the same in every run.
 TRAIN_CAP = 5_000
+#: Languages beyond which training fails: the matrix that is broadcast has BUCKETS floats for each.
+MOST_LANGS = 1_024
 #: Additive smoothing of counts.
 ALPHA = 0.5
 #: Characters hashed at a time; a longer text is scored in overlapping pieces and summed.
@@ -106,9 +108,11 @@ class Model:
 def train(rows: DataFrame, cap: int = TRAIN_CAP) -> Model:
     """Fit on (id, text, lang). Rows with a null text or lang are left out. ``cap`` bounds the
     expected number of texts per language. The driver receives at most one number per
-    (language, bucket)."""
+    (language, bucket); more than MOST_LANGS languages are refused."""
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MOST_LANGS + 1).collect()}  # one row per language
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} values in the language column")
     if not sizes:
         return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros(0))
     share = F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, cap / n)))])

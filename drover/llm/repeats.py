@@ -435,6 +435,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     # Bucketed by block: the two steps that bring findings back to the texts move only the findings.
     cut.write.bucketBy(buckets, "block").sortBy("block").option("path", fresh_path(spark, "blocks")).option("compression", "zstd").saveAsTable(name)
     blocks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files stay, and the frame has read what it needs of the catalog
     runs = blocks.mapInArrow(_runs(length, bits), RUN)
     told = runs.groupBy("shard").applyInArrow(_told, "block long, shard long, keys binary")
     sent = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_expanded(length, bits), SENT)

@@ -254,3 +254,28 @@ def test_unclosed_tags_stay_linear(page):
     began = time.process_time()
     html.main_text(page)
     assert time.process_time() - began < 5
+
+
+def test_language_refuses_a_column_that_holds_no_languages(docs, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGS", 5)
+    rows = docs([(i, "some words", f"l{i}") for i in range(6)])
+    with pytest.raises(ValueError, match="language column"):
+        language.train(rows.select(F.col("doc_id").alias("id"), "text", "lang"))
+
+
+def test_language_scores_against_unhashed_counts(docs):
+    """A plain classifier over n-grams as text agrees wherever it is sure."""
+    import math
+    from collections import Counter
+
+    rows = sentences(5, 200)
+    model = language.train(docs(rows[:150]).select(F.col("doc_id").alias("id"), "text", "lang"))
+    grams = lambda t: [g for n in language.ORDERS for s in [" " + " ".join(t.split()) + " "] for g in (s[i : i + n] for i in range(len(s) - n + 1))]
+    counts = {k: Counter(g for _, t, lang in rows[:150] if lang == k for g in grams(t)) for k in WORDS}
+    prior = Counter(lang for _, _, lang in rows[:150])
+    buckets = language.BUCKETS
+    for _, text, _ in rows[150:]:
+        want = {k: math.log(prior[k] / 150) + sum(math.log((counts[k][g] + language.ALPHA) / (sum(counts[k].values()) + language.ALPHA * buckets)) for g in grams(text)) for k in WORDS}
+        got = dict(zip(model.langs, model.scores(text), strict=True))
+        assert max(want, key=want.get) == max(got, key=got.get)
+        assert all(abs(want[k] - got[k]) < 0.05 * abs(want[k]) for k in WORDS)
