@@ -427,7 +427,7 @@ def by_coverage_everywhere(policies: DataFrame) -> DataFrame:
     windows = F.explode(year_windows_of(YEAR, first, last, YEAR_WINDOWS))
     fan = lambda df: df.withColumn("window", windows).withColumn("area", F.explode(_areas()))
     cells = counted.filter("_valid")
-    median = percentile_of_cells(cells, rows.filter("_valid"), keys, value, 0.5, name, base, fan)
+    median = percentile_of_cells(cells, rows, keys, value, 0.5, name, base, fan)
     stats = _merge_backtest(fan(cells), keys).join(median, list(keys), "left")
     return stats.select("window", "area", *COVERAGE_COLUMNS)
 
