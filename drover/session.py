@@ -13,8 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Sketches of this many groups are built by hash before a task turns to sorting (some 30 KB each at most).
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     # A bucketed table that is sorted, and has one file per bucket, is read as sorted.
     "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
