@@ -278,8 +278,13 @@ def report_texts(spark, d):
     ))
 
 
+#: Lineitem rows that share the reports of all line numbers; about a quarter of them is in the longest report.
+REPORT_ROWS = 4_000_000
+
+
 def long_reports(spark, d):
-    """A folder with one long report per line number, in which each lineitem row has two blocks."""
+    """A folder with long reports, one or, in large tables, several per line number, in which each lineitem
+    row has two blocks. A task writes one report at a time."""
 
     def write(path):
         c = F.col
@@ -295,15 +300,19 @@ def long_reports(spark, d):
             F.concat(F.lit(" 3 "), s(weight), F.lit(" "), s(weight), F.lit(".5 "), money(cents), F.lit(" "), money(cents)),
             "demand was moderate", "  98   500   500   100.00   100.00",
         )])
-        lineitem = table(spark, d, "lineitem")
-        numbers = lineitem.select("l_linenumber").distinct()
+        report = ["l_linenumber", "report"]
+        lineitem = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+        n = 1 + lineitem.count() // REPORT_ROWS
+        numbers = lineitem.select("l_linenumber").distinct().withColumn("report", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
         first = F.concat(F.lit("Feeder Cattle Weighted Average Report for 3/"), s(c("l_linenumber")), F.lit("/2001\nReceipts:  1,00"), s(c("l_linenumber")))
         last = F.lit("Slaughter Cows:  Head\n Feeder Bulls Medium and Large 1\n  97   500   500   100.00   100.00")
-        rows = lineitem.repartition(rendered.PARTS).select("l_linenumber", F.lit(1).alias("at"), block.alias("value"))
-        for at, text in ((0, first), (2, last)):
-            rows = rows.unionByName(numbers.select("l_linenumber", F.lit(at).alias("at"), text.alias("value")))
-        dealt = rows.repartition("l_linenumber").sortWithinPartitions("l_linenumber", "at")
-        dealt.select("l_linenumber", "value").write.partitionBy("l_linenumber").text(path)
+        rows = lineitem.withColumns({"report": F.pmod(F.xxhash64("l_orderkey"), F.lit(n)).cast("int"), "at": F.lit(1)}).drop("l_orderkey")
+        for at in (0, 2):
+            rows = rows.unionByName(numbers.withColumn("at", F.lit(at)), allowMissingColumns=True)
+        # Dealt by report and sorted before the text is made of the rows, which are much shorter.
+        dealt = rows.repartition(max(rendered.PARTS, 7 * n), *report).sortWithinPartitions(*report, "at")
+        text = F.when(c("at") == 0, first).when(c("at") == 2, last).otherwise(block)
+        dealt.select(*report, text.alias("value")).write.partitionBy(*report).text(path)
 
     return rendered.at_rest(spark, d, "long_reports", write)
 

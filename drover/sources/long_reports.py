@@ -1,8 +1,8 @@
 """Report files of any length to lots: a segmented scan over lines.
 
 The row-wise parser holds a report in one value. Here the text reader splits a file by bytes, and
-what a line needs from the lines before it is found in two steps: within a split by running
-windows over its lines, sorted once, and across splits by windows over one row per split, which
+what a line needs from the lines before it is found in two steps: within a split by one pass over
+Arrow batches in the order of the reader, and across splits by windows over one row per split, which
 carries the last header, the kinds of the first and last line and whether the run of data lines
 has ended. The result equals that of :func:`drover.sources.reports.parse_reports` on the whole
 file, except that the date and the receipts may be broken over two lines, not more.
@@ -10,6 +10,11 @@ file, except that the date and the receipts may be broken over two lines, not mo
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +22,7 @@ from drover.session import materialize
 from drover.sources import reports as R
 
 #: Kinds of lines.
-HEAD, DATA, BLANK, TITLE, OTHER = "head", "data", "blank", "title", "other"
+KINDS = HEAD, DATA, BLANK, TITLE, OTHER = "head", "data", "blank", "title", "other"
 # What may follow what, so that a data line counts: blank lines and one title line may
 # stand between a header and its data, and nothing may stand between data lines.
 _MAY_FOLLOW = ((HEAD, BLANK), (HEAD, TITLE), (HEAD, DATA), (BLANK, BLANK), (BLANK, TITLE), (BLANK, DATA), (TITLE, DATA), (DATA, DATA))
@@ -39,10 +44,12 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _kind(line: Column) -> Column:
+    """Place in :data:`KINDS`."""
     marked = lambda mark, pattern: F.contains(line, F.lit(mark)) & line.rlike(pattern)
+    code = lambda kind: F.lit(KINDS.index(kind))
     return (
-        F.when(line.rlike(R.DATA_LINE), F.lit(DATA)).when(line.rlike(r"^\s*$"), F.lit(BLANK))
-        .when(marked(_HEAD_MARK, R.HEADER), F.lit(HEAD)).when(marked(_TITLE_MARK, _TITLE_LINE), F.lit(TITLE)).otherwise(F.lit(OTHER))
+        F.when(line.rlike(R.DATA_LINE), code(DATA)).when(line.rlike(r"^\s*$"), code(BLANK))
+        .when(marked(_HEAD_MARK, R.HEADER), code(HEAD)).when(marked(_TITLE_MARK, _TITLE_LINE), code(TITLE)).otherwise(code(OTHER))
     )
 
 
@@ -50,26 +57,72 @@ def _may_follow(before: Column, kind: Column) -> Column:
     return F.concat_ws(">", before, kind).isin(*[f"{a}>{b}" for a, b in _MAY_FOLLOW])
 
 
+# What :func:`scanned` gives, column by column.
+_SCANNED = (
+    "file string, file_name string, block bigint, place bigint, part int, line string, kind string, fact boolean, "
+    "header string, broken boolean, first boolean, next string, last boolean"
+)
+
+
+def _scan() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The Arrow step of :func:`scanned`: a function inside, which travels to the executors by value. It
+    holds one batch, and of the lines before it the last one with its header."""
+    kinds = KINDS
+    may_follow = np.array([[(a, b) in _MAY_FOLLOW for b in kinds] for a in kinds])
+    names = [c.split()[0] for c in _SCANNED.split(", ")]
+    plain = lambda column: column.to_numpy(zero_copy_only=False)
+
+    def kept(table, last):
+        """Of the first rows, as many as ``last`` tells about, those that stay. The line after is asked
+        for only where a fact may go on in it."""
+        n = len(last)
+        rows = table[:n]
+        code, fact, first, broken = (rows[c].to_numpy() for c in ("code", "fact", "first", "broken"))
+        rows = rows.append_column("kind", pa.array(kinds).take(pa.array(code))).append_column("last", pa.array(last))
+        rows = rows.append_column("next", table["line"].take(pa.array(np.arange(1, n + 1), mask=last | ~fact)))
+        stays = ((code == 1) & ~broken) | fact | first | last
+        return rows.select(names).filter(pa.array(stays)).combine_chunks().to_batches()
+
+    def scan(batches):
+        held, header, was_broken = None, None, False
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            file, line = batch.column("file"), batch.column("line")
+            code, block = plain(batch.column("code")), plain(batch.column("block"))
+            same = np.empty(len(code), bool)
+            same[0] = held is not None and held["file"][0] == file[0] and held["block"][0].as_py() == block[0]
+            same[1:] = (block[1:] == block[:-1]) & plain(pc.equal(file[1:], file[:-1]))
+            before = np.append(held["code"][0].as_py() if same[0] else 0, code[:-1])
+            # Places of the last start of a split (-1: in an earlier batch), header, and line that ended a run. A line that
+            # may not follow the one before ends the run; the first line of a split is judged later.
+            at, is_head = np.arange(len(code)), code == 0
+            latest = lambda flags: np.maximum.accumulate(np.where(flags, at, -1))  # noqa: B023, E731
+            start, head, end = latest(~same), latest(is_head), latest(~is_head & same & ~may_follow[before, code])
+            own, goes_on = head >= np.maximum(start, 0), start < 0
+            broken = np.where(own, end > head, (end >= np.maximum(start, 0)) | (goes_on & was_broken))
+            known = pa.concat_arrays([line, pa.array([header], pa.string())])
+            headers = known.take(pa.array(np.where(own, head, len(code)), mask=~own & ~goes_on))
+            table = pa.Table.from_batches([batch])
+            for name, column in (("header", headers), ("broken", pa.array(broken)), ("first", pa.array(~same))):
+                table = table.append_column(name, column)
+            table = table if held is None else pa.concat_tables([held, table])
+            if table.num_rows > 1:
+                yield from kept(table, table["first"].to_numpy()[1:])
+            held, header, was_broken = table[-1:], headers[-1].as_py(), bool(broken[-1])
+        if held is not None:
+            yield from kept(held, np.array([True]))
+
+    return scan
+
+
 def scanned(spark: SparkSession, path: str) -> DataFrame:
-    """What each split tells by itself, one sort and one pass: of the lines those that may be live
-    data, may hold a fact of the report, or stand at an end of the split."""
-    within = Window.partitionBy(*_SPLIT).orderBy(*_PLACE)
-    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
-    told = lines(spark, path).withColumn("kind", _kind(F.col("line")))
-    is_head = F.col("kind") == HEAD
-    at = F.struct(*_PLACE)
-    # A line that may not follow the one before ends the run; the first line of a split is judged later.
-    ends_run = ~is_head & ~_may_follow(F.col("before"), F.col("kind")) & F.col("before").isNotNull()
-    told = told.withColumn("before", F.lag("kind").over(within)).withColumns({
-        "next": F.lead("line").over(within), "header": F.last(F.when(is_head, F.col("line")), ignorenulls=True).over(so_far),
-        "begun": F.max(F.when(is_head, at)).over(so_far), "ended": F.max(F.when(ends_run, at)).over(so_far),
-    })
-    broken = F.col("ended").isNotNull() & (F.col("begun").isNull() | (F.col("ended") > F.col("begun")))
+    """What each split tells by itself, in the order in which it is read, without a shuffle or a sort:
+    of the lines those that may be live data, may hold a fact of the report, or stand at an end of the split."""
     has = lambda mark: F.contains("line", F.lit(mark))
     facts = has(_DATE_MARK) | has(_RECEIPT_MARK) | ((has(":") | has("#")) & F.col("line").rlike(R.END_OF_FEEDERS))
-    told = told.withColumns({"broken": broken, "fact": facts, "first": F.col("before").isNull(), "last": F.col("next").isNull()})
-    live = (F.col("kind") == DATA) & ~F.col("broken")
-    return told.filter(live | F.col("fact") | F.col("first") | F.col("last")).drop("before", "begun", "ended")
+    told = lines(spark, path).select("file", "file_name", "block", "place", "part", "line", _kind(F.col("line")).alias("code"), facts.alias("fact"))
+    return told.mapInArrow(_scan(), _SCANNED)
 
 
 def _across(told: DataFrame) -> DataFrame:

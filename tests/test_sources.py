@@ -342,3 +342,20 @@ def test_a_long_report_without_a_date_fails(spark, tmp_path):
     (tmp_path / "x.TXT").write_text("Feeder Steers Large 1\n 1 500 500 100.00 100.00\n")
     with pytest.raises(Exception, match="no sale date"):
         long_reports.read_long_reports(spark, str(tmp_path), "2001-01-01").collect()
+
+
+def test_long_reports_are_scanned_in_order_without_a_shuffle(spark, tmp_path):
+    """All lines of a file went through one sort before; batches of seven lines carry header and run."""
+    rng = random.Random(5)
+    for i in range(3):
+        (tmp_path / f"CV_LS7502001030{i + 1}.TXT").write_text("\n".join(a_report(rng, 150)))
+    plan = long_reports.scanned(spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    want = sorted((tuple(r) for r in reports.read_reports(spark, str(tmp_path), "2001-01-01").collect()), key=repr)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    for size in ("1", "7"):
+        spark.conf.set(name, size)
+        got = [tuple(r) for r in long_reports.read_long_reports(spark, str(tmp_path), "2001-01-01").collect()]
+        assert sorted(got, key=repr) == want
+    spark.conf.set(name, before)
