@@ -62,7 +62,7 @@ def payloads(spark, d):
     feeder, slaughter = _entries()
     as_list = F.concat(F.lit("["), F.to_json(feeder), F.lit(","), F.to_json(slaughter), F.lit("]"))
     value = F.when(F.col("l_orderkey") % 2 == 0, F.concat(F.lit('{"results":'), as_list, F.lit("}"))).otherwise(as_list)
-    return rendered.texts(spark, d, "payloads", lambda: table(spark, d, "lineitem").repartition(rendered.PARTS).select(value.alias("value")))
+    return rendered.texts(spark, d, "payloads", lambda: rendered.dealt(spark, d, "lineitem").select(value.alias("value")))
 
 
 def one_envelope(spark, d):
@@ -145,7 +145,7 @@ def _(spark, d):
 def endorsement_lines(spark, d):
     """Pipe-delimited lines with padding, empty and malformed values, under file names of
     two vintages."""
-    p = policies(spark, d)
+    p = policies(spark, d, lineitem=rendered.dealt(spark, d, "lineitem"))
     have = set(p.columns)
     fields = []
     for _, name, kind in endorsements.COLUMNS:
@@ -161,16 +161,17 @@ def endorsement_lines(spark, d):
             shown = F.lit("")
         fields.append(F.coalesce(shown, F.lit("")))
     edition = F.when(F.col("liability_amount") % 2 == 0, "2026-04-27").otherwise("2025-04-27")
-    return rendered.texts(spark, d, "endorsements", lambda: p.repartition(rendered.PARTS).select(
+    return p.select(
         F.concat(F.lit("lrp_"), F.col("reinsurance_year").cast("string"), F.lit("_"), edition, F.lit(".txt")).alias("file_name"),
         F.concat_ws("|", *fields).alias("value"),
-    ))
+    )
 
 
 @query("a4_endorsement_lines", f"""WITH {POLICIES} SELECT reinsurance_year, CAST(NULL AS SMALLINT) AS commodity_year, state_abbr, coalesce(county_name, '') AS county_name, type_code, effective_date,
  CASE WHEN length_weeks <> 13 THEN end_date END AS end_date, length_weeks, {q('coverage_level_pct')} AS coverage_level_pct, n_head, {q('total_weight_cwt')} AS total_weight_cwt, indemnity_amount FROM policies""")
 def _(spark, d):
-    out = endorsements.parse_lines(endorsement_lines(spark, d)).select(
+    lines = rendered.texts(spark, d, "endorsements", lambda: endorsement_lines(spark, d))
+    out = endorsements.parse_lines(lines).select(
         "reinsurance_year", "commodity_year", "state_abbr", "county_name", "type_code", "effective_date",
         "end_date", "length_weeks", "coverage_level_pct", "n_head", "total_weight_cwt", "indemnity_amount",
     )
@@ -180,8 +181,7 @@ def _(spark, d):
 @query("a4_endorsement_files", f"""WITH {POLICIES} SELECT reinsurance_year, type_code, count(*) AS n, count(end_date) FILTER (length_weeks <> 13) AS n_end, CAST(sum(n_head) AS BIGINT) AS n_head, CAST(sum(indemnity_amount) AS BIGINT) AS indemnity
  FROM policies GROUP BY 1, 2""")
 def _(spark, d):
-    path = f"{_root(spark)}/lines"
-    endorsement_lines(spark, d).select("value").write.text(path)
+    path = rendered.at_rest(spark, d, "endorsement_text", lambda p: endorsement_lines(spark, d).select("value").write.text(p))
     return endorsements.read_text(spark, path).groupBy("reinsurance_year", "type_code").agg(
         F.count("*").alias("n"), F.count("end_date").alias("n_end"), F.sum("n_head").alias("n_head"), F.sum("indemnity_amount").alias("indemnity")
     )
@@ -190,7 +190,7 @@ def _(spark, d):
 @query("a5_endorsement_corpus", f"""WITH {POLICIES} SELECT reinsurance_year, DATE '2026-04-27' AS vintage, count(*) AS n, CAST(sum(liability_amount) AS BIGINT) AS liability FROM policies
  WHERE liability_amount % 2 = 0 AND commodity_code = '0801' AND plan_code = '81' GROUP BY 1""")
 def _(spark, d):
-    path = rendered.named_files(spark, d, "endorsement_files", lambda: endorsement_lines(spark, d))
+    path = rendered.split_named_files(spark, d, "endorsement_files", lambda: endorsement_lines(spark, d))
     return endorsements.read_corpus(spark, path, "2026-04-27").groupBy(
         F.col("file_year").alias("reinsurance_year"), "vintage"
     ).agg(F.count("*").alias("n"), F.sum("liability_amount").alias("liability"))
@@ -272,7 +272,7 @@ def report_texts(spark, d):
         F.lit(" Feeder Bulls Medium and Large 1"),
         F.lit("  97   500   500   100.00   100.00"),
     ]
-    return rendered.texts(spark, d, "reports", lambda: table(spark, d, "lineitem").repartition(rendered.PARTS).select(
+    return rendered.texts(spark, d, "reports", lambda: rendered.dealt(spark, d, "lineitem").select(
         F.concat(F.lit("CV_LS750"), F.date_format(day, "yyyyMMdd"), F.lit(".TXT")).alias("file_name"),
         F.concat_ws("\r\n", *lines).alias("value"),
     ))

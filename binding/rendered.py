@@ -11,10 +11,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from binding.tables import table
 from drover.session import shared_dir
 
-#: Parts that the rows are dealt to before they are rendered.
+#: Parts that the rows of a small table are dealt to before they are rendered: its file may be one row group.
 PARTS = 32
+#: Bytes from which the reader's own splits of a table are tasks enough, so that no row is moved.
+LARGE = 128 << 20
 _made: dict[tuple[str, str, str], str] = {}
 
 
@@ -28,9 +31,20 @@ def at_rest(spark: SparkSession, d: str, kind: str, write: Callable[[str], None]
     return _made[key]
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
+def dealt(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table of the driver, in parts enough to render it."""
+    rows = table(spark, d, name)
+    return rows if size_of(spark, f"{d}/{name}.parquet") >= LARGE else rows.repartition(PARTS)
+
+
 def texts(spark: SparkSession, d: str, kind: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A rendered frame as a table at rest."""
-    path = at_rest(spark, d, kind, lambda p: build().write.parquet(p))
+    path = at_rest(spark, d, kind, lambda p: build().write.option("compression", "zstd").parquet(p))
     return spark.read.parquet(path)
 
 
@@ -52,6 +66,32 @@ def named_files(spark: SparkSession, d: str, kind: str, build: Callable[[], Data
     return at_rest(spark, d, kind, write)
 
 
+def split_named_files(spark: SparkSession, d: str, kind: str, build: Callable[[], DataFrame]) -> str:
+    """A folder with text files named by ``file_name``, one for each task that has rows of it, in
+    folders ``part=0`` and on. Every task writes its own rows: none are moved or sorted."""
+
+    def write(path: str) -> None:
+        writers = "spark.sql.maxConcurrentOutputFileWriters"
+        before = spark.conf.get(writers)
+        spark.conf.set(writers, "100")
+        try:
+            build().select("file_name", "value").write.partitionBy("file_name").text(f"{path}/_parts")
+        finally:
+            spark.conf.set(writers, before)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        for folder in fs.listStatus(hadoop(f"{path}/_parts")):
+            if not folder.isDirectory():
+                continue
+            parts = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            for i, part in enumerate(parts):
+                fs.mkdirs(hadoop(f"{path}/part={i}"))
+                if not fs.rename(part, hadoop(f"{path}/part={i}/{folder.getPath().getName().partition('=')[2]}")):
+                    raise RuntimeError(f"{part}: not renamed")
+
+    return at_rest(spark, d, kind, write)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete all rendered files of this driver."""
     while _made:

@@ -98,11 +98,11 @@ SETTLES = """settles AS (SELECT date, contract_month, CASE WHEN day(date) % 7 <>
  (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS contract_month, avg(o_totalprice) AS p FROM orders GROUP BY 1, 2))"""
 
 
-def policies(spark: SparkSession, d: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """One endorsement per lineitem row, with ``extra`` columns of it; the supplier's nation is the
+def policies(spark: SparkSession, d: str, extra: tuple[str, ...] = (), lineitem: DataFrame | None = None) -> DataFrame:
+    """One endorsement per row of ``lineitem`` (the table), with ``extra`` columns of it; the supplier's nation is the
     state (0 is the unattributed one), so lineitem joins one dimension."""
     c = F.col
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem") if lineitem is None else lineitem
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     weeks = F.array(*[F.lit(w) for w in (13, 17, 21, 26, 30, 34, 39, 43, 47, 52)])
     price = 20 + c("l_extendedprice") / 150
