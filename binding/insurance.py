@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from binding import rendered
 from binding.registry import q, query, r, rounded
-from binding.tables import CORE_TYPES, HOME, POLICIES, policies
+from binding.tables import CORE_TYPES, HOME, POLICIES, policies, table
 from drover.config import YEAR_WINDOWS
 from drover.functions import bins
 from drover.functions.columns import county_id, safe_ratio
@@ -144,10 +144,11 @@ def _vintages(spark, d):
         "reinsurance_year": F.col("reinsurance_year") + 1, "type_code": F.lit("810"),
     })
     line = F.col("l_linenumber")
-    first = K.keyed(final.filter(~line.isin(3, 5)).unionByName(wrong.filter(line == 5)), key)
-    second = K.keyed(final.filter(line.isin(3, 5)), key)
-    path = rendered.at_rest(spark, d, "policy_state", lambda p: K.write_sorted(first, p, 8))
-    return K.read_sorted(spark, first.schema, path, 8), second
+    buckets = K.buckets_for(table(spark, d, "lineitem").count())
+    first = K.keyed(final.filter(~line.isin(3, 5)).unionByName(wrong.filter(line == 5)), key, buckets=buckets)
+    second = K.keyed(final.filter(line.isin(3, 5)), key, buckets=buckets)
+    path = rendered.at_rest(spark, d, "policy_state", lambda p: K.write_sorted(first, p, buckets, dealt=True))
+    return K.read_sorted(spark, first.schema, path, buckets), second
 
 
 @query("d8_cube_by_deltas", f"WITH {POLICIES}, {yearly_sql('policies', 'last_5', None)}")

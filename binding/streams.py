@@ -11,6 +11,7 @@ from binding.registry import q, query, rounded
 from binding.tables import LOTS, lots, table
 from drover.config import LOT_KEY
 from drover.operators import quality as Q
+from drover.operators.sorted_state import buckets_for
 from drover.session import fresh_path
 from drover.sources import tables as T
 from drover.streaming import refresh as R
@@ -70,7 +71,7 @@ def _(spark, d):
     for n, batch in enumerate(feeds):
         feed = R.file_stream(spark, f"{out}/in/*", events.schema, per_batch=_landed(batch, f"{out}/in/{n}"))
         U.gated_upsert(
-            feed, gate, f"{out}/root", "events", ("event_id",), f"{out}/checkpoint", lambda b: f"2024-02-0{b + 1}", buckets=8
+            feed, gate, f"{out}/root", "events", ("event_id",), f"{out}/checkpoint", lambda b: f"2024-02-0{b + 1}", buckets=buckets_for(events.count())
         ).awaitTermination()
     latest = T.read_latest(spark, f"{out}/root", "events")
     first = spark.read.parquet(f"{out}/root/events").filter("vintage = DATE'2024-02-01'")

@@ -13,10 +13,23 @@ from drover.operators.vintage import latest_vintage_wins
 #: Holds the key columns as one text that is never null.
 KEY = "state_key"
 BUCKETS = 64
+#: Rows that a bucket may hold, unless its table is smaller than a few of them.
+BUCKET_ROWS = 500_000
 
 
-def keyed(df: DataFrame, key: tuple[str, ...], order: tuple[str, ...] = ()) -> DataFrame:
-    """One row per key with :data:`KEY`: the largest ``order``, then the largest row. Null keys are keys."""
+def buckets_for(rows: int, least: int = 8) -> int:
+    """Buckets of a table of so many rows, so that the task that reads or writes one stays small."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
+def keyed(df: DataFrame, key: tuple[str, ...], order: tuple[str, ...] = (), buckets: int | None = None) -> DataFrame:
+    """One row per key with :data:`KEY`: the largest ``order``, then the largest row. Null keys are keys.
+    With ``buckets`` the rows are dealt once, to those of :func:`write_sorted`: for keys that hardly repeat,
+    as nothing is reduced before."""
+    if buckets:
+        rows = df.withColumns({KEY: F.to_json(F.struct(*key)), "_one": F.lit(0)}).repartition(buckets, KEY)
+        first, ties = (order[0], order[1:]) if order else ("_one", ())
+        return latest_vintage_wins(rows, (KEY,), first, ties).select(*df.columns, KEY)
     if order:
         one = latest_vintage_wins(df, key, order[0], order[1:])
     else:
@@ -50,7 +63,7 @@ class Buckets:
 
 def write_sorted(rows: DataFrame, path: str, buckets: int = BUCKETS, dealt: bool = False) -> None:
     """Write keyed rows as a bucketed, sorted table. ``dealt`` says that they come from a join on
-    :data:`KEY` over as many buckets, so that each task holds one of them already."""
+    :data:`KEY` over as many buckets, or from :func:`keyed` with them, so that each task holds one already."""
     with Buckets(rows.sparkSession, rows.schema, path, buckets) as target:
         (rows if dealt else rows.repartition(buckets, KEY)).write.insertInto(target, overwrite=True)
 

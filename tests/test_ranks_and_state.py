@@ -78,6 +78,20 @@ def test_merge_of_sorted_vintages(spark, tmp_path):
     assert "Exchange" not in plan and "Sort [" not in plan and "SortMergeJoin" in plan
 
 
+def test_rows_are_dealt_once_to_buckets_that_follow_their_number(spark, tmp_path):
+    key, order = ("a", "b"), ("seen", "x")
+    assert K.buckets_for(10) == 8 and K.buckets_for(400 * K.BUCKET_ROWS) == 400
+    df = lots(spark, 4, date(2024, 1, 1))
+    rows = K.keyed(df, key, order, buckets=5)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    K.write_sorted(rows, f"{tmp_path}/t", 5, dealt=True)
+    back = K.read_sorted(spark, rows.schema, f"{tmp_path}/t", 5)
+    want = K.keyed(df, key, order).select(*back.columns)
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    plan = K.merged(back, rows, order)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and len(list(tmp_path.glob("t/part-*"))) == 5
+
+
 def test_changes_are_what_came_and_what_went(spark):
     key, order = ("a", "b"), ("seen",)
     d = date(2024, 1, 1)
