@@ -65,15 +65,26 @@ def payloads(spark, d):
     return rendered.texts(spark, d, "payloads", lambda: rendered.dealt(spark, d, "lineitem").select(value.alias("value")))
 
 
-def one_envelope(spark, d):
-    """A folder with one file, whose one envelope holds the feeder entries of all rows. An empty
-    object closes the list."""
+#: Lineitem rows in an envelope.
+ENVELOPE_ROWS = 4_000_000
+
+
+def envelopes(spark, d):
+    """A folder with files of one envelope each, which hold the feeder entries of all rows: one file, or in
+    large tables several. A task writes one file at a time, and an empty object closes its list."""
 
     def write(path):
         feeder, _ = _entries()
-        rows = table(spark, d, "lineitem").repartition(rendered.PARTS).select(F.lit(1).alias("at"), F.concat(F.to_json(feeder), F.lit(",")).alias("value"))
-        ends = spark.createDataFrame([(0, '{"stats": {"returned": 1}, "results": ['), (2, "{}]}")], "at int, value string")
-        rows.unionByName(ends).repartition(1).sortWithinPartitions("at").select("value").write.text(path)
+        lineitem = table(spark, d, "lineitem")
+        n = 1 + lineitem.count() // ENVELOPE_ROWS
+        part = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(n)).cast("int")
+        ends = spark.range(n).select(F.col("id").cast("int").alias("file"), F.explode(F.array(F.lit(0), F.lit(2))).alias("at"))
+        rows = lineitem.withColumns({"file": part, "at": F.lit(1)}).unionByName(ends, allowMissingColumns=True)
+        # Dealt by file and sorted before the text is made of the rows, which are much shorter.
+        dealt = rows.repartition(n, "file").sortWithinPartitions("file", "at")
+        text = F.when(F.col("at") == 0, '{"stats": {"returned": 1}, "results": [').when(F.col("at") == 2, "{}]}").otherwise(
+            F.concat(F.to_json(feeder), F.lit(",")))
+        dealt.select("file", text.alias("value")).write.partitionBy("file").text(path)
 
     return rendered.at_rest(spark, d, "envelope", write)
 
@@ -87,8 +98,8 @@ KEPT = "l_linenumber <> 5 AND l_discount >= 0.005 AND l_tax >= 0.005 AND l_exten
  {q('l_extendedprice/100 - 1')} AS price_low, {q('l_extendedprice/100 + 1')} AS price_high, {q('l_extendedprice/100')} AS price_avg, CAST(l_suppkey AS INTEGER) AS receipts
  FROM lineitem WHERE {KEPT} AND l_linenumber % 4 <> 0""")
 def _(spark, d):
-    """All rows from one file, which is read by as many tasks as its size asks for."""
-    out = lots_json.feeder_lots(lots_json.read_split_rows(spark, one_envelope(spark, d)), VINTAGE)
+    """All rows from one file, or several long ones, each read by as many tasks as its size asks for."""
+    out = lots_json.feeder_lots(lots_json.read_split_rows(spark, envelopes(spark, d)), VINTAGE)
     return rounded(out.drop("commodity", "frame", "muscle_grade", "vintage"), "price_low", "price_high", "price_avg")
 
 
@@ -437,12 +448,13 @@ def _(spark, d):
     """The same from two vintages that lie bucketed and sorted by the key: a merge join with
     neither exchange nor sort."""
     order = ("vintage", *TIES)
+    buckets = K.buckets_for(table(spark, d, "lineitem").count())
     both = lots(spark, d)
     sides = []
     for name in ("legacy", "live"):
         rows = K.keyed(both.filter(F.col("source") == name), C.LOT_KEY, order)
-        path = rendered.at_rest(spark, d, f"{name}_lots", lambda p, r=rows: K.write_sorted(r, p, 8))
-        sides.append(K.read_sorted(spark, rows.schema, path, 8))
+        path = rendered.at_rest(spark, d, f"{name}_lots", lambda p, r=rows: K.write_sorted(r, p, buckets))
+        sides.append(K.read_sorted(spark, rows.schema, path, buckets))
     won = K.merged(*sides, order)
     return rounded(won.select(*C.LOT_KEY, "vintage", "l_orderkey", "l_linenumber", "price_low"), "price_low")
 

@@ -1,9 +1,12 @@
 """Raw files of large tables: rendered by the tasks that read the rows."""
 
+import json
+
 import pytest
 
 import __spark_entry__ as entry
-from binding import rendered
+from binding import ingest, rendered
+from binding.tables import table as table_of
 from check import connect, table
 from drover.session import release
 
@@ -38,3 +41,19 @@ def test_named_files_are_written_by_several_tasks(spark, tmp_path, large):
     found = spark.read.text(path).selectExpr("value", "_metadata.file_name AS name", "_metadata.file_path AS file")
     assert found.select("file").distinct().count() == 8
     assert sorted((int(r.value), r.name) for r in found.collect()) == [(i, f"f{i % 2}.txt") for i in range(4000)]
+
+
+def test_envelopes_of_a_large_table_are_several(spark, large, monkeypatch):
+    """One task wrote one file of any length before."""
+    monkeypatch.setattr(ingest, "ENVELOPE_ROWS", 1000)
+    files = spark.read.text(ingest.envelopes(spark, SF), wholetext=True).collect()
+    n = table_of(spark, SF, "lineitem").count()
+    assert len(files) == 1 + n // 1000 > 3
+    assert sum(len(json.loads(f.value)["results"]) - 1 for f in files) == n
+    test_results_of_a_large_table(spark, None, "a1_feeder_lots_json")
+
+
+def test_long_reports_of_a_large_table_are_several(spark, large, monkeypatch):
+    monkeypatch.setattr(ingest, "REPORT_ROWS", 1000)
+    assert len(spark.read.text(ingest.long_reports(spark, SF)).inputFiles()) > 40
+    test_results_of_a_large_table(spark, None, "e6_header_carry_long")
