@@ -137,13 +137,13 @@ LOT_ISSUES = f"""WITH {FEED}
 
 @query("k5_raw_lot_issues", LOT_ISSUES)
 def _(spark, d):
-    return Q.raw_lot_issues(lots_json.raw_rows(payloads(spark, d))).select("rule_id", "n_bad", "n_total")
+    return Q.raw_lot_issues(lots_json.raw_rows(payloads(spark, d), fields=Q.LOT_ISSUE_FIELDS)).select("rule_id", "n_bad", "n_total")
 
 
 @query("k5_lot_value_gate", f"""WITH i AS ({LOT_ISSUES}) SELECT 'lot_values' AS rule_id, CASE WHEN sum(n_bad)/max(n_total) > 0.001 THEN 'fail' ELSE 'warn' END AS severity,
  CAST(sum(n_bad) AS BIGINT) AS n_bad, max(n_total) AS n_total FROM i""")
 def _(spark, d):
-    return Q.lot_value_gate(lots_json.raw_rows(payloads(spark, d))).drop("sample")
+    return Q.lot_value_gate(lots_json.raw_rows(payloads(spark, d), fields=Q.LOT_ISSUE_FIELDS)).drop("sample")
 
 
 @query("k6_lot_continuity", f"""WITH {LOTS}, n AS (SELECT DISTINCT auction_date AS day FROM lots WHERE year(auction_date) <> 1996),

@@ -107,7 +107,8 @@ def _(spark, d):
  'Boner 80-85%' AS quality_grade_name, 'Average' AS dressing, l_linenumber AS head_count, {q('l_extendedprice/100 + 1')} AS price_high, {q('l_extendedprice/100')} AS price_avg
  FROM lineitem WHERE {KEPT} AND l_returnflag IN ('A','N')""")
 def _(spark, d):
-    out = lots_json.slaughter_lots(lots_json.raw_rows(payloads(spark, d)), VINTAGE)
+    fields = (*lots_json.KEPT_BY, "quality_grade_name", "dressing", "head_count", "avg_price_max")
+    out = lots_json.slaughter_lots(lots_json.raw_rows(payloads(spark, d), fields=fields), VINTAGE)
     return rounded(out.select("auction_date", "class", "quality_grade_name", "dressing", "head_count", "price_high", "price_avg"), "price_high", "price_avg")
 
 

@@ -189,26 +189,32 @@ def check_years(df: DataFrame, raw_years: DataFrame, this_year: int, first: int
 # ---- lots ----------------------------------------------------------------------------
 
 
+#: Fields of raw lot rows that :func:`raw_lot_issues` looks at.
+LOT_ISSUE_FIELDS = (
+    "commodity", "price_unit", "avg_price", "avg_price_min", "avg_price_max", "head_count", "weight_break_low", "weight_break_high",
+)
+
+
 def raw_lot_issues(raw: DataFrame) -> DataFrame:
     """Issue counts on raw lot rows (text columns). A row can add several issues."""
+    names = ("avg_price", "avg_price_min", "avg_price_max", "head_count")
+    scope = (F.col("commodity") == C.FEEDER) & (F.col("price_unit") == C.PER_CWT)
+    # Staged, so that a text is made a number once and not in every rule.
+    staged = raw.filter(scope).withColumns({f"_{name}_shown": marker_to_null(name) for name in names})
+    staged = staged.withColumns({f"_{name}": number(f"_{name}_shown") for name in names}).withColumn(
+        "_span", F.floor(number("weight_break_high")) - F.floor(number("weight_break_low"))
+    )
+    not_numeric = lambda name: Rule(f"{name}_not_numeric", F.col(f"_{name}_shown").isNotNull() & F.col(f"_{name}").isNull(), sample=F.col(name))
     rules = []
-    for name in ("avg_price", "avg_price_min", "avg_price_max"):
-        shown = marker_to_null(name)
-        value = number(shown)
-        rules += [
-            Rule(f"{name}_not_numeric", shown.isNotNull() & value.isNull(), sample=F.col(name)),
-            Rule(f"{name}_bounds", ~value.between(C.PRICE_MIN, C.PRICE_MAX), sample=F.col(name)),
-        ]
-    shown = marker_to_null("head_count")
-    heads = number(shown)
-    span = F.floor(number("weight_break_high")) - F.floor(number("weight_break_low"))
+    for name in names[:3]:
+        rules += [not_numeric(name), Rule(f"{name}_bounds", ~F.col(f"_{name}").between(C.PRICE_MIN, C.PRICE_MAX), sample=F.col(name))]
+    span = F.col("_span")
     rules += [
-        Rule("head_count_not_numeric", shown.isNotNull() & heads.isNull(), sample=F.col("head_count")),
-        Rule("head_count_negative", heads < 0, sample=F.col("head_count")),
+        not_numeric("head_count"),
+        Rule("head_count_negative", F.col("_head_count") < 0, sample=F.col("head_count")),
         Rule("weight_span", ~((span > 0) & (span <= C.MAX_WEIGHT_SPAN)), sample=span),
     ]
-    scope = (F.col("commodity") == C.FEEDER) & (F.col("price_unit") == C.PER_CWT)
-    return run_rules(raw.filter(scope), [Rule(r.rule_id, r.bad, severity=WARN, sample=r.sample) for r in rules])
+    return run_rules(staged, [Rule(r.rule_id, r.bad, severity=WARN, sample=r.sample) for r in rules])
 
 
 def lot_value_gate(raw: DataFrame, tolerance: float = C.MAX_BAD_ROW_SHARE) -> DataFrame:

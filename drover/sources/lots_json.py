@@ -21,12 +21,14 @@ ROWS = T.ArrayType(ROW)
 ENVELOPE = T.StructType([T.StructField("results", ROWS)])
 
 
-def raw_rows(payloads: DataFrame, body: str = "value") -> DataFrame:
-    """Rows of each payload text, which is an envelope with ``results`` or a bare list."""
+def raw_rows(payloads: DataFrame, body: str = "value", fields: tuple[str, ...] = RAW_FIELDS) -> DataFrame:
+    """Rows of each payload text, which is an envelope with ``results`` or a bare list. ``fields`` names the
+    columns wanted: a number read as text is dear, and the planner does not see through the list."""
+    asked = T.ArrayType(T.StructType([f for f in ROW if f.name in fields]))
     text = F.col(body)
     is_list = F.ltrim(text).startswith("[")
-    rows = F.when(is_list, F.from_json(text, ROWS)).otherwise(F.from_json(text, ENVELOPE)["results"])
-    return payloads.select(F.inline(rows))
+    envelope = F.from_json(text, T.StructType([T.StructField("results", asked)]))
+    return payloads.select(F.inline(F.when(is_list, F.from_json(text, asked)).otherwise(envelope["results"])))
 
 
 def read_raw_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -135,9 +137,17 @@ def feeder_lots(raw: DataFrame, vintage: Column | str) -> DataFrame:
     )
 
 
+#: Fields of a raw row that decide whether it is kept.
+KEPT_BY = ("commodity", "price_unit", "class", "report_date", "avg_price")
+
+
 def slaughter_lots(raw: DataFrame, vintage: Column | str) -> DataFrame:
-    """Typed slaughter lots: no weight bin, but quality grade and dressing."""
+    """Typed slaughter lots: no weight bin, but quality grade and dressing. Columns whose raw field was not
+    asked for are left out; those of :data:`KEPT_BY` are needed."""
+    weights = ("avg_weight", "avg_weight_min", "avg_weight_max")
+    tail = ("head_count", "avg_price_min", "avg_price_max", "avg_price", "receipts")
+    *typed, seen = _prices_and_tail(vintage)
+    by_field = [*((f, F.col(f)) for f in ("quality_grade_name", "dressing", "lot_desc")), *zip(weights, _weights(), strict=True), *zip(tail, typed, strict=True)]
     return _kept(raw, C.SLAUGHTER, C.SLAUGHTER_CLASSES).select(
-        "auction_date", "commodity", "class", "quality_grade_name", "dressing", "lot_desc",
-        *_weights(), *_prices_and_tail(vintage),
+        "auction_date", "commodity", "class", *[column for field, column in by_field if field in raw.columns], seen,
     )

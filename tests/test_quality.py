@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from drover import config as C
 from drover.operators import profile as P
 from drover.operators import quality as Q
 from drover.operators import vintage as V
@@ -205,3 +206,10 @@ def test_profiles(spark):
     assert (probe.n_records, probe.n_dated, probe.covered, probe.gap_days, probe.gap_weeks, probe.at_row_cap) == (5, 4, False, 14, 2, False)
     dip = P.volume_dip(days.withColumnRenamed("day", "auction_date"), 2019, (2020, 2023)).first()
     assert (dip.n_year, dip.adjacent_min, dip.adjacent_max) == (1, 0, 1)
+
+
+def test_lot_issues_need_only_their_fields(spark):
+    """Rows came with all fields, each read as text and made a number in every rule before."""
+    raw = spark.createDataFrame([(C.FEEDER, C.PER_CWT, "x", "900", "N/A", "-1", "500", "450")], ", ".join(f"{f} string" for f in Q.LOT_ISSUE_FIELDS))
+    got = {r.rule_id: r.n_bad for r in Q.raw_lot_issues(raw).collect()}
+    assert {k for k, n in got.items() if n} == {"avg_price_not_numeric", "avg_price_min_bounds", "head_count_negative", "weight_span"}

@@ -359,3 +359,15 @@ def test_long_reports_are_scanned_in_order_without_a_shuffle(spark, tmp_path):
         got = [tuple(r) for r in long_reports.read_long_reports(spark, str(tmp_path), "2001-01-01").collect()]
         assert sorted(got, key=repr) == want
     spark.conf.set(name, before)
+
+
+def test_only_the_fields_asked_for_are_parsed(spark):
+    rows = [dict.fromkeys(lots_json.RAW_FIELDS, 1) | {"commodity": "Slaughter Cattle", "price_unit": "Per Cwt", "class": "Cows", "report_date": "01/02/2001", "avg_price": "90"}]
+    df = spark.createDataFrame([(json.dumps(rows),), (json.dumps({"results": rows}),)], "value string")
+    fields = (*lots_json.KEPT_BY, "head_count", "lot_desc")
+    raw = lots_json.raw_rows(df, fields=fields)
+    assert set(raw.columns) == set(fields)
+    whole = lots_json.slaughter_lots(lots_json.raw_rows(df), "2001-01-01")
+    got = lots_json.slaughter_lots(raw, "2001-01-01")
+    assert got.columns == ["auction_date", "commodity", "class", "lot_desc", "head_count", "price_avg", "vintage"]
+    assert got.collect() == whole.select(got.columns).collect() and got.count() == len(df.collect())
