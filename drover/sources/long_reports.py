@@ -57,6 +57,9 @@ def _may_follow(before: Column, kind: Column) -> Column:
     return F.concat_ws(">", before, kind).isin(*[f"{a}>{b}" for a, b in _MAY_FOLLOW])
 
 
+#: Text that a task reads at least, where it is cut smaller: splits one after the other, each by itself. Else
+#: every tiny split would leave a file.
+TASK_BYTES = 32 << 20
 # What :func:`scanned` gives, column by column.
 _SCANNED = (
     "file string, file_name string, block bigint, place bigint, part int, line string, kind string, fact boolean, "
@@ -122,7 +125,8 @@ def scanned(spark: SparkSession, path: str) -> DataFrame:
     has = lambda mark: F.contains("line", F.lit(mark))
     facts = has(_DATE_MARK) | has(_RECEIPT_MARK) | ((has(":") | has("#")) & F.col("line").rlike(R.END_OF_FEEDERS))
     told = lines(spark, path).select("file", "file_name", "block", "place", "part", "line", _kind(F.col("line")).alias("code"), facts.alias("fact"))
-    return told.mapInArrow(_scan(), _SCANNED)
+    size = int(str(spark.read.text(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return told.mapInArrow(_scan(), _SCANNED).coalesce(max(32, size // TASK_BYTES))
 
 
 def _across(told: DataFrame) -> DataFrame:
