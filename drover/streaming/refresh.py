@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from drover.operators import quality
 from drover.operators.vintage import latest_vintage_wins
@@ -79,14 +79,56 @@ def _cutoff(current: DataFrame, day: str, depth_days: int) -> date | None:
     return None if newest is None else newest - timedelta(days=depth_days)
 
 
+MARKS = ("_mark", "_mark_back")
+#: Tells nested values apart to the last digit; xxhash64 passes over the nulls inside them.
+EXACT = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _marks(kinds: StructType) -> dict[str, Column]:
+    """128 bits that stand for a whole row: hashes of its columns in both orders, nulls included."""
+    parts = []
+    for f in kinds:
+        c = F.col(f.name).cast(f.dataType)
+        nested = isinstance(f.dataType, (ArrayType, MapType, StructType))
+        parts += [F.isnull(c), F.to_json(F.struct(c), EXACT) if nested else c]
+    return dict(zip(MARKS, (F.xxhash64(*parts), F.xxhash64(*reversed(parts)))))
+
+
 def late_rows(current: DataFrame, batch: DataFrame, cutoff: date, day: str, vintage: str = "vintage") -> DataFrame:
     """Rows of the batch older than the cutoff that are not known. Known means equal in every
-    column but the vintage, nulls included, so that a republished old row is not late."""
+    column but the vintage, nulls included, so that a republished old row is not late.
+
+    Only the marks of the rows are shuffled, by a job of its own. Where all old rows of the batch
+    are known, or none is, that says it all; else the known marks or the late ones, whichever are
+    fewer, are written and pick the rows."""
     old = F.coalesce(F.col(day) < F.lit(cutoff), F.lit(False))
     columns = [c for c in current.columns if c != vintage]
-    known = current.filter(old).select(*[F.col(c).alias(f"_{c}") for c in columns])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns])
-    return batch.filter(old).join(known, same, "left_anti")
+    mine = batch.filter(old)
+    both = current.filter(old).select(*columns).withColumn("_known", F.lit(True)).unionByName(mine.select(*columns).withColumn("_known", F.lit(False)))
+    marks = _marks(both.drop("_known").schema)
+    seen = both.select("_known", *[c.alias(m) for m, c in marks.items()]).groupBy(*MARKS).agg(
+        F.bool_or("_known").alias("_known"), F.bool_and("_known").alias("_absent")
+    ).filter(~F.col("_absent")).select(*MARKS, "_known").persist()
+    try:
+        sizes = {r["_known"]: r["n"] for r in seen.groupBy("_known").agg(F.count(F.lit(1)).alias("n")).collect()}
+        n_known, n_late = sizes.get(True, 0), sizes.get(False, 0)
+        if not n_known or not n_late:
+            return mine if n_late else mine.limit(0)
+        fewer_known = n_known < n_late
+        chosen = materialize(seen.filter(F.col("_known") == fewer_known).select(*MARKS), "marks")
+    finally:
+        seen.unpersist()
+    return mine.withColumns(marks).join(chosen, list(MARKS), "left_anti" if fewer_known else "left_semi").select(*batch.columns)
+
+
+def _revised(
+    current: DataFrame, batch: DataFrame, cutoff: date | None, key: tuple[str, ...], day: str, vintage: str, ties: tuple[str, ...],
+) -> DataFrame:
+    if cutoff is None:
+        return latest_vintage_wins(batch, key, vintage, ties)
+    old = F.coalesce(F.col(day) < F.lit(cutoff), F.lit(False))
+    recent = latest_vintage_wins(current.filter(~old).unionByName(batch.filter(~old)), key, vintage, ties)
+    return current.filter(old).unionByName(recent)
 
 
 def bounded_upsert(
@@ -97,11 +139,8 @@ def bounded_upsert(
     known rows of the same key; older known rows pass through as they are. Older rows that
     are not known are late: a batch that has some should fail its gate, not lose them."""
     cutoff = _cutoff(current, day, depth_days)
-    if cutoff is None:
-        return latest_vintage_wins(batch, key, vintage, ties), batch.limit(0)
-    old = F.coalesce(F.col(day) < F.lit(cutoff), F.lit(False))
-    recent = latest_vintage_wins(current.filter(~old).unionByName(batch.filter(~old)), key, vintage, ties)
-    return current.filter(old).unionByName(recent), late_rows(current, batch, cutoff, day, vintage)
+    late = batch.limit(0) if cutoff is None else late_rows(current, batch, cutoff, day, vintage)
+    return _revised(current, batch, cutoff, key, day, vintage, ties), late
 
 
 MONTH = "_month"
@@ -129,7 +168,7 @@ def revise(
         cutoff = _cutoff(current, day, depth_days)
         first = F.trunc(F.lit(cutoff), "month")
         touched = current.filter(F.col(MONTH).isNull() | (F.col(MONTH) >= first)).drop(MONTH)
-        merged, _ = bounded_upsert(touched, batch, key, day, depth_days, vintage, ties)
+        merged = _revised(touched, batch, cutoff, key, day, vintage, ties)
         old_months = [r[0] for r in batch.filter(F.col(day) < F.lit(cutoff)).select(month).distinct().collect()]  # calendar months
         known = current.filter(F.col(MONTH).isin(old_months)).drop(MONTH)
         late_rows(known, batch, cutoff, day, vintage).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")

@@ -53,6 +53,42 @@ def test_old_lots_that_share_a_key_pass_through(spark):
     assert rows_of(merged, "k", "head") == [(1, 3), (1, 4), (2, 8), (3, 1)] and late.count() == 0
 
 
+def test_only_marks_move_to_find_late_rows(spark):
+    """A long history comes again with three changes: whole rows of neither side are shuffled."""
+    history = spark.range(20_000).select(
+        F.col("id").cast("int").alias("k"), F.expr("date_add(DATE'2024-01-01', CAST(id % 50 AS INT))").alias("day"), F.lit(None).cast("int").alias("head"),
+        F.rand(1).alias("price"), F.lit(D(2024, 1, 4)).alias("vintage"),
+    )
+    again = history.withColumn("vintage", F.lit(D(2024, 3, 9)))
+    for changed, n_late in ((F.col("k") < 3, 3), (F.col("k") >= 3, 19_997), (F.lit(False), 0), (F.lit(True), 20_000)):
+        batch = again.withColumn("head", F.when(changed, 9).otherwise(F.col("head")))
+        was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+        try:
+            late = R.late_rows(history, batch, D(2024, 3, 1), "day")
+            assert late.columns == batch.columns and (late.count(), late.filter("head = 9").count()) == (n_late, n_late)
+            assert "Exchange hashpartitioning" not in late._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_late_rows_differ_in_any_place(spark):
+    kinds = "day date, a int, b int, s string, t string, x double, at timestamp, l array<int>, vintage date"
+    day, at = D(2024, 1, 3), datetime(2024, 1, 3, 1, 2, 3, 4)
+    row = (day, None, 5, "ab", "c", 0.0, at, [None, 1], D(2024, 1, 4))
+    put = lambda **new: tuple(new.get(n, v) for n, v in zip("day a b s t x at l vintage".split(), row))
+    late = [put(a=5, b=None), put(s="a", t="bc"), put(at=at.replace(microsecond=5)), put(l=[1, None]), put(l=None), put(l=[]), put(x=None), put(x=float("nan")), put(s=None)]
+    same = [put(vintage=D(2024, 3, 9)), put(x=-0.0)]
+    current = spark.createDataFrame([row, row], kinds)
+    seen = lambda df: sorted(map(repr, df.collect()))
+    for batch in (late + late + same, late[:1] + same, same, late, [put(day=None, a=7), put(day=D(2024, 3, 6), a=7)]):
+        got = R.late_rows(current, spark.createDataFrame(batch, kinds), D(2024, 2, 1), "day")
+        assert seen(got) == seen(spark.createDataFrame([r for r in batch if r in late], kinds))
+    wide = spark.createDataFrame([put(a=None)], kinds.replace("b int", "b long"))  # the same value in a wider type is known
+    assert R.late_rows(current, wide, D(2024, 2, 1), "day").count() == 0
+    assert R.late_rows(current.limit(0), current, D(2024, 2, 1), "day").count() == 2
+
+
 def test_revising_stream(spark, tmp_path):
     src, state, late, ck = (str(tmp_path / n) for n in ("in", "state", "late", "ck"))
 
