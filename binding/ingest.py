@@ -18,7 +18,7 @@ from drover.operators import vintage as V
 from drover.operators.ranks import numbered
 from drover.session import fresh_path, materialize
 from drover.sources.long_reports import read_long_reports
-from drover.sources import endorsements, index_json, lots_json, reports, sheets, tables as T
+from drover.sources import endorsements, index_json, lots_json, reports, sheets, tables as T, volumes
 
 VINTAGE = "2002-01-07"
 
@@ -296,7 +296,7 @@ REPORT_ROWS = 4_000_000
 
 def long_reports(spark, d):
     """A folder with long reports, one or, in large tables, several per line number, in which each lineitem
-    row has two blocks. A task writes one report at a time."""
+    row has two blocks. A task writes one report at a time, in compressed volumes."""
 
     def write(path):
         c = F.col
@@ -324,7 +324,7 @@ def long_reports(spark, d):
         # Dealt by report and sorted before the text is made of the rows, which are much shorter.
         dealt = rows.repartition(max(rendered.PARTS, 7 * n), *report).sortWithinPartitions(*report, "at")
         text = F.when(c("at") == 0, first).when(c("at") == 2, last).otherwise(block)
-        dealt.select(*report, text.alias("value")).write.partitionBy(*report).text(path)
+        volumes.write(dealt.select(*report, text.alias("value")), report, path)
 
     return rendered.at_rest(spark, d, "long_reports", write)
 
@@ -359,12 +359,12 @@ LONG_REPORTS = """l AS (SELECT make_date(2001, 3, CAST(l_linenumber AS INTEGER))
 @query("a7_long_reports", f"WITH {LONG_REPORTS} SELECT * FROM lots")
 def _(spark, d):
     """Few long files, headers carried across their splits."""
-    return read_long_reports(spark, long_reports(spark, d), VINTAGE).drop("file_name", "commodity", "avg_weight_min", "avg_weight_max", "vintage")
+    return read_long_reports(spark, long_reports(spark, d), VINTAGE, volumes.NUMBERED).drop("file_name", "commodity", "avg_weight_min", "avg_weight_max", "vintage")
 
 
 @query("e6_header_carry_long", f"WITH {LONG_REPORTS} SELECT breed, class, frame, muscle_grade, count(*) AS n FROM lots GROUP BY ALL")
 def _(spark, d):
-    out = read_long_reports(spark, long_reports(spark, d), VINTAGE)
+    out = read_long_reports(spark, long_reports(spark, d), VINTAGE, volumes.NUMBERED)
     return out.groupBy("breed", "class", "frame", "muscle_grade").agg(F.count("*").alias("n"))
 
 

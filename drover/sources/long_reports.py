@@ -4,7 +4,8 @@ The row-wise parser holds a report in one value. Here the text reader splits a f
 what a line needs from the lines before it is found in two steps: within a split by one pass over
 Arrow batches in the order of the reader, and across splits by windows over one row per split, which
 carries the last header, the kinds of the first and last line and whether the run of data lines
-has ended. The result equals that of :func:`drover.sources.reports.parse_reports` on the whole
+has ended. A file may also come in volumes (:mod:`drover.sources.volumes`), whose splits follow one
+another. The result equals that of :func:`drover.sources.reports.parse_reports` on the whole
 file, except that the date and the receipts may be broken over two lines, not more.
 """
 
@@ -14,12 +15,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from drover.session import materialize
 from drover.sources import reports as R
+from drover.sources import volumes as V
 
 #: Kinds of lines.
 KINDS = HEAD, DATA, BLANK, TITLE, OTHER = "head", "data", "blank", "title", "other"
@@ -29,18 +30,30 @@ _MAY_FOLLOW = ((HEAD, BLANK), (HEAD, TITLE), (HEAD, DATA), (BLANK, BLANK), (BLAN
 _TITLE_LINE = r"^\s*Head[^\S\n]+Wt Range[^\S\n]+Avg Wt[^\S\n]+Price Range[^\S\n]+Avg Price"
 # Texts without which the patterns for title, date, receipts and end cannot match a line.
 _TITLE_MARK, _DATE_MARK, _RECEIPT_MARK, _HEAD_MARK = "Avg Price", "Feeder Cattle Weighted Average", "Receipts:", "Feeder"
-_SPLIT = ["file", "block"]
+_SPLIT = ["source", "block"]
+_ORDER = ["volume", "block"]
 _PLACE = ["place", "part"]
 
 
+def _source() -> Column:
+    """A number for a file or a volume, as its path is too long to go with every line."""
+    return F.xxhash64("_metadata.file_path").alias("source")
+
+
+def files(spark: SparkSession, path: str, volumes: str | None = None) -> DataFrame:
+    """One row per file or volume: its number, the file it belongs to, and its place in that."""
+    listed = spark.read.format("binaryFile").load(path)  # of a file not asked for its content, nothing is read
+    at, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    return listed.select(_source(), V.whole(at, volumes).alias("file"), V.whole(name, volumes).alias("file_name"), V.number(name, volumes).alias("volume"))
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line with its file, the split it was read in, and its place there."""
+    """Every line with the number of its file, the split it was read in, and its place there."""
     found = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), "value",
+        _source(), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), "value",
     )
     parts = F.when(F.col("value").rlike(R.LINE_BREAK), F.split("value", R.LINE_BREAK)).otherwise(F.array("value"))
-    return found.select("file", "file_name", "block", "place", F.posexplode(parts).alias("part", "line"))
+    return found.select("source", "block", "place", F.posexplode(parts).alias("part", "line"))
 
 
 def _kind(line: Column) -> Column:
@@ -62,7 +75,7 @@ def _may_follow(before: Column, kind: Column) -> Column:
 TASK_BYTES = 32 << 20
 # What :func:`scanned` gives, column by column.
 _SCANNED = (
-    "file string, file_name string, block bigint, place bigint, part int, line string, kind string, fact boolean, "
+    "source bigint, block bigint, place bigint, part int, line string, kind string, fact boolean, "
     "header string, broken boolean, first boolean, next string, last boolean"
 )
 
@@ -91,11 +104,10 @@ def _scan() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            file, line = batch.column("file"), batch.column("line")
-            code, block = plain(batch.column("code")), plain(batch.column("block"))
+            line, code, source, block = batch.column("line"), *(plain(batch.column(c)) for c in ("code", "source", "block"))
             same = np.empty(len(code), bool)
-            same[0] = held is not None and held["file"][0] == file[0] and held["block"][0].as_py() == block[0]
-            same[1:] = (block[1:] == block[:-1]) & plain(pc.equal(file[1:], file[:-1]))
+            same[0] = held is not None and held["source"][0].as_py() == source[0] and held["block"][0].as_py() == block[0]
+            same[1:] = (block[1:] == block[:-1]) & (source[1:] == source[:-1])
             before = np.append(held["code"][0].as_py() if same[0] else 0, code[:-1])
             # Places of the last start of a split (-1: in an earlier batch), header, and line that ended a run. A line that
             # may not follow the one before ends the run; the first line of a split is judged later.
@@ -124,20 +136,20 @@ def scanned(spark: SparkSession, path: str) -> DataFrame:
     of the lines those that may be live data, may hold a fact of the report, or stand at an end of the split."""
     has = lambda mark: F.contains("line", F.lit(mark))
     facts = has(_DATE_MARK) | has(_RECEIPT_MARK) | ((has(":") | has("#")) & F.col("line").rlike(R.END_OF_FEEDERS))
-    told = lines(spark, path).select("file", "file_name", "block", "place", "part", "line", _kind(F.col("line")).alias("code"), facts.alias("fact"))
+    told = lines(spark, path).select("source", "block", "place", "part", "line", _kind(F.col("line")).alias("code"), facts.alias("fact"))
     size = int(str(spark.read.text(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return told.mapInArrow(_scan(), _SCANNED).coalesce(max(32, size // TASK_BYTES))
 
 
-def _across(told: DataFrame) -> DataFrame:
-    """One row per split: the header that holds where it begins, whether the run after that has ended
-    by then or ends with its first line, and the first line of the split after it."""
+def _across(told: DataFrame, found: DataFrame) -> DataFrame:
+    """One row per split: its file and place there, the header that holds where it begins, whether the run after that has
+    ended by then or ends with its first line, and the first line of the split after it."""
     ends = told.filter("first OR last").groupBy(*_SPLIT).agg(
         F.max(F.when(F.col("first"), F.col("kind"))).alias("first_kind"), F.max(F.when(F.col("last"), F.col("kind"))).alias("last_kind"),
         F.max(F.when(F.col("first"), F.col("line"))).alias("first_line"), F.max(F.when(F.col("last"), F.col("header"))).alias("own_header"),
         F.bool_or(F.when(F.col("last"), F.col("broken"))).alias("tail"),
-    )
-    over = Window.partitionBy("file").orderBy("block")
+    ).join(found, "source")
+    over = Window.partitionBy("file").orderBy(*_ORDER)
     earlier, so_far = (over.rowsBetween(Window.unboundedPreceding, n) for n in (-1, 0))
     has_header = F.col("own_header").isNotNull()
     border = (F.col("first_kind") != HEAD) & ~_may_follow(F.coalesce("kind_in", F.lit(OTHER)), F.col("first_kind"))
@@ -147,15 +159,15 @@ def _across(told: DataFrame) -> DataFrame:
     }).withColumn("border", border)
     # A chain is a split with a header and those after it without any: its run, once ended, stays so.
     ended = F.max(F.when(has_header, F.col("tail")).otherwise(F.col("tail") | F.col("border")))
-    at_end = ended.over(Window.partitionBy("file", "chain").orderBy("block").rowsBetween(Window.unboundedPreceding, 0))
+    at_end = ended.over(Window.partitionBy("file", "chain").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0))
     ends = ends.withColumn("at_end", at_end).withColumn("ended_in", F.coalesce(F.lag("at_end").over(over), F.lit(False)))
-    return ends.select(*_SPLIT, "header_in", "line_out", (F.col("ended_in") | F.col("border")).alias("ended_in"))
+    return ends.select(*_SPLIT, "file", "file_name", "volume", "header_in", "line_out", (F.col("ended_in") | F.col("border")).alias("ended_in"))
 
 
 def _facts(told: DataFrame) -> DataFrame:
     """Per file: date in the prose or in the name, receipts, and the place where the feeder part ends."""
     pair = F.concat_ws("\n", "line", F.coalesce("next", "line_out"))
-    at = F.struct("block", *_PLACE)
+    at = F.struct(*_ORDER, *_PLACE)
     has = lambda mark: F.contains("line", F.lit(mark))
     starts = lambda mark, pattern: F.when(has(mark) & F.regexp_instr(pair, F.lit(pattern)).between(1, F.length("line") + 1), pair)
     first = lambda name: F.min_by(name, F.when(F.col(name).isNotNull(), F.col("at")))
@@ -172,23 +184,24 @@ def _facts(told: DataFrame) -> DataFrame:
     )
 
 
-def live_lines(spark: SparkSession, path: str) -> DataFrame:
+def live_lines(spark: SparkSession, path: str, volumes: str | None = None) -> DataFrame:
     """Data lines that stand in the run after a header, with ``header``, date and receipts."""
     told = materialize(scanned(spark, path), "scanned")
-    across = materialize(_across(told), "across")  # one row per split
+    across = materialize(_across(told, files(spark, path, volumes)), "across")  # one row per split
     # Every file has a first line, so every file has a row of facts.
     facts = materialize(_facts(told.filter("fact OR first").join(across, _SPLIT)), "facts")
     data = told.filter((F.col("kind") == DATA) & ~F.col("broken")).join(across, _SPLIT)
     data = data.filter(F.col("header").isNotNull() | ~F.col("ended_in")).withColumn("header", F.coalesce("header", "header_in"))
     data = data.filter(F.col("header").isNotNull()).join(facts, "file")
-    return data.filter(F.col("end").isNull() | (F.struct("block", *_PLACE) < F.col("end")))
+    return data.filter(F.col("end").isNull() | (F.struct(*_ORDER, *_PLACE) < F.col("end")))
 
 
-def read_long_reports(spark: SparkSession, path: str, vintage: Column | str) -> DataFrame:
+def read_long_reports(spark: SparkSession, path: str, vintage: Column | str, volumes: str | None = None) -> DataFrame:
     """Lots of all report files under ``path``; a file is one report, read by as many tasks as
-    its size asks for. A report with no date at all fails the job."""
+    its size asks for. ``volumes`` is the pattern of the numbers of volumes, where a report may come in
+    several. A report with no date at all fails the job."""
     head = lambda i: F.regexp_extract("header", R.HEADER, i)
-    rows = live_lines(spark, path).select(
+    rows = live_lines(spark, path, volumes).select(
         "file_name", "auction_date", "receipts", head(2).alias("class"), head(3).alias("frame"), head(4).alias("muscle_grade"),
         F.when(head(1) != "", "Holstein").otherwise("Beef").alias("breed"), F.col("line").alias("_line"),
     )

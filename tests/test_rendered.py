@@ -9,6 +9,7 @@ from binding import ingest, rendered
 from binding.tables import table as table_of
 from check import connect, table
 from drover.session import release
+from drover.sources import volumes
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,3 +58,15 @@ def test_long_reports_of_a_large_table_are_several(spark, large, monkeypatch):
     monkeypatch.setattr(ingest, "REPORT_ROWS", 1000)
     assert len(spark.read.text(ingest.long_reports(spark, SF)).inputFiles()) > 40
     test_results_of_a_large_table(spark, None, "e6_header_carry_long")
+
+
+def test_long_reports_at_rest_are_compressed_volumes(spark, large, monkeypatch):
+    """The text lay there uncompressed before, as one file can only be split so."""
+    monkeypatch.setattr(volumes, "ROWS", 300)
+    path = ingest.long_reports(spark, SF)
+    found = spark.read.text(path)
+    text = found.selectExpr("sum(octet_length(value) + 1)").first()[0]
+    assert rendered.size_of(spark, path) * 3 < text
+    assert len(found.inputFiles()) > 2 * table_of(spark, SF, "lineitem").select("l_linenumber").distinct().count()
+    for name in ("a7_long_reports", "e6_header_carry_long"):
+        test_results_of_a_large_table(spark, None, name)

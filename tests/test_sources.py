@@ -1,3 +1,4 @@
+import gzip
 import json
 import random
 import zipfile
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from drover.operators import quality as Q
 from drover.plans import insurance as insurance_plan
 from drover.plans import weekly as weekly_plan
-from drover.sources import endorsements, index_json, long_reports, lots_json, reports, sheets, tables
+from drover.sources import endorsements, index_json, long_reports, lots_json, reports, sheets, tables, volumes
 
 SLAUGHTER = dict(
     commodity="Slaughter Cattle", price_unit="Per Cwt", **{"class": "Cows"}, quality_grade_name="Boner 80-85%", dressing="Average",
@@ -338,6 +339,31 @@ def test_long_reports_equal_the_row_wise_parser(spark, tmp_path, small_splits, s
         assert long_reports.lines(spark, str(tmp_path)).rdd.getNumPartitions() > 7
 
 
+def in_volumes(rng, folder, name, text, extension):
+    """One text cut at line ends into compressed volumes, numbered past 999."""
+    lines = [f"{line}\n" for line in text.split("\n")[:-1]]
+    ends = sorted({0, len(lines), *(rng.randint(0, len(lines)) for _ in range(9))})
+    for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+        (folder / f"{name}.c{996 + i}.{extension}.gz").write_bytes(gzip.compress("".join(lines[a:b]).encode()))
+
+
+@pytest.mark.parametrize("size", [64, 1 << 27])
+def test_long_reports_in_volumes_equal_the_row_wise_parser(spark, tmp_path, small_splits, size):
+    """A compressed file could not be split before, and a file in parts was taken for several reports."""
+    rng = random.Random(size)
+    for folder in ("whole", "cut"):
+        (tmp_path / folder).mkdir()
+    for i, n in enumerate((1, 3, 60, 200, 200, 200)):
+        text = "\n".join(a_report(rng, n)) + "\n"
+        name = f"CV_LS7502001030{i + 1}"
+        (tmp_path / "whole" / name).write_text(text)
+        in_volumes(rng, tmp_path / "cut", name, text, "TXT")
+    want = [tuple(r) for r in reports.read_reports(spark, str(tmp_path / "whole"), "2001-01-01").collect()]
+    small_splits(size)
+    got = [tuple(r) for r in long_reports.read_long_reports(spark, str(tmp_path / "cut"), "2001-01-01", volumes.NUMBERED).collect()]
+    assert len(want) > 50 and sorted(got, key=repr) == sorted(want, key=repr)
+
+
 def test_a_long_report_without_a_date_fails(spark, tmp_path):
     (tmp_path / "x.TXT").write_text("Feeder Steers Large 1\n 1 500 500 100.00 100.00\n")
     with pytest.raises(Exception, match="no sale date"):
