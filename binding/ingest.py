@@ -71,7 +71,7 @@ ENVELOPE_ROWS = 4_000_000
 
 def envelopes(spark, d):
     """A folder with files of one envelope each, which hold the feeder entries of all rows: one file, or in
-    large tables several. A task writes one file at a time, and an empty object closes its list."""
+    large tables several. A task writes one file at a time, in compressed volumes, and an empty object closes its list."""
 
     def write(path):
         feeder, _ = _entries()
@@ -84,7 +84,7 @@ def envelopes(spark, d):
         dealt = rows.repartition(n, "file").sortWithinPartitions("file", "at")
         text = F.when(F.col("at") == 0, '{"stats": {"returned": 1}, "results": [').when(F.col("at") == 2, "{}]}").otherwise(
             F.concat(F.to_json(feeder), F.lit(",")))
-        dealt.select("file", text.alias("value")).write.partitionBy("file").text(path)
+        volumes.write(dealt.select("file", text.alias("value")), ["file"], path)
 
     return rendered.at_rest(spark, d, "envelope", write)
 
@@ -99,7 +99,7 @@ KEPT = "l_linenumber <> 5 AND l_discount >= 0.005 AND l_tax >= 0.005 AND l_exten
  FROM lineitem WHERE {KEPT} AND l_linenumber % 4 <> 0""")
 def _(spark, d):
     """All rows from one file, or several long ones, each read by as many tasks as its size asks for."""
-    out = lots_json.feeder_lots(lots_json.read_split_rows(spark, envelopes(spark, d)), VINTAGE)
+    out = lots_json.feeder_lots(lots_json.read_split_rows(spark, envelopes(spark, d), volumes.NUMBERED), VINTAGE)
     return rounded(out.drop("commodity", "frame", "muscle_grade", "vintage"), "price_low", "price_high", "price_avg")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from drover import config as C
 from drover.functions.columns import integer, number, parsed_date
+from drover.sources import volumes as V
 
 # Field names of a raw report row.
 RAW_FIELDS = (
@@ -68,7 +69,7 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def mended(cut: DataFrame) -> DataFrame:
+def mended(cut: DataFrame, volumes: str | None = None) -> DataFrame:
     """Pieces that were cut inside a string joined again, as column ``value``.
 
     A piece with an even number of quotes that begins with a brace and a key is whole: one
@@ -76,29 +77,39 @@ def mended(cut: DataFrame) -> DataFrame:
     would be, and no field name begins with a colon. All others, the ends of files among them, are
     put in order, and those between an odd number of quotes and the next are one. They are few
     unless text fields are full of borders, and then sorted by file, not held.
+
+    Where files come in ``volumes``, what ends with a line may be the end of a volume and is put in order too:
+    no border stands between that and the piece after it, and both are one.
     """
     value = F.col("value")
     plain = value.rlike(_PLAIN_WHOLE)
     counted = cut.withColumn("odd", F.when(plain | value.rlike(_EVEN), 0).otherwise(1))
     whole = plain | ((F.col("odd") == 0) & value.rlike(_BEGINS))
-    order = Window.partitionBy("file").orderBy("block", "place")
+    if volumes is not None:
+        whole = whole & ~value.endswith("\n")
+    place = ["volume", "block", "place"]
+    order = Window.partitionBy("file").orderBy(*place)
     inside = F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
-    ordered = counted.filter(~whole).withColumn("begins", (inside == 0).cast("int"))
-    joined = ordered.withColumn("number", F.sum("begins").over(order)).groupBy("file", "number").agg(
-        F.sort_array(F.collect_list(F.struct("block", "place", "value"))).alias("parts")
+    goes_on = F.coalesce(F.lag("volume").over(order) != F.col("volume"), F.lit(False))
+    placed = counted.filter(~whole).withColumns({"file": V.whole(F.col("file"), volumes), "volume": V.number(F.col("file"), volumes)})
+    ordered = placed.withColumns({"goes_on": goes_on, "begins": ((inside == 0) & ~goes_on).cast("int")})
+    after = F.when((F.col("begins") == 1) | F.col("goes_on"), value).otherwise(F.concat(F.lit(_BORDER), value))
+    joined = ordered.withColumns({"value": after, "number": F.sum("begins").over(order)}).groupBy("file", "number").agg(
+        F.sort_array(F.collect_list(F.struct(*place, "value"))).alias("parts")
     )
-    return counted.filter(whole).select("value").unionByName(joined.select(F.array_join(F.col("parts.value"), _BORDER).alias("value")))
+    return counted.filter(whole).select("value").unionByName(joined.select(F.array_join(F.col("parts.value"), "").alias("value")))
 
 
-def read_split_rows(spark: SparkSession, path: str) -> DataFrame:
+def read_split_rows(spark: SparkSession, path: str, volumes: str | None = None) -> DataFrame:
     """Rows of every payload file under ``path``, a file being read by as many tasks as its
-    size asks for: one envelope may hold all rows. A file with a blank between brace and comma, which
+    size asks for: one envelope may hold all rows. ``volumes`` is the pattern of the numbers of volumes, where a file
+    may come in several. A file with a blank between brace and comma, which
     no common writer sets, is one piece. Rows are flat objects, in ``results`` or in a bare
     list; other objects of an envelope have none of the row fields and give no rows."""
     ended = F.concat("value", F.lit("}"))
     objects = F.filter(F.regexp_extract_all(ended, F.lit(_TOKEN), F.lit(0)), lambda t: t.startswith("{"))
     texts = F.when(F.col("value").rlike(_PLAIN), F.array(ended)).otherwise(objects)
-    found = mended(pieces(spark, path)).select(F.explode(texts).alias("text"))
+    found = mended(pieces(spark, path), volumes).select(F.explode(texts).alias("text"))
     # From a generator, below which no filter is pushed: an object is parsed once, not once for every condition.
     rows = found.select(F.inline(F.array(F.from_json("text", ROW))))
     return rows.filter(F.coalesce(*RAW_FIELDS).isNotNull())

@@ -70,3 +70,14 @@ def test_long_reports_at_rest_are_compressed_volumes(spark, large, monkeypatch):
     assert len(found.inputFiles()) > 2 * table_of(spark, SF, "lineitem").select("l_linenumber").distinct().count()
     for name in ("a7_long_reports", "e6_header_carry_long"):
         test_results_of_a_large_table(spark, None, name)
+
+
+def test_envelopes_at_rest_are_compressed_volumes(spark, large, monkeypatch):
+    """The text lay there uncompressed before, as one file can only be split so."""
+    monkeypatch.setattr(volumes, "ROWS", 1000)
+    path = ingest.envelopes(spark, SF)
+    found = spark.read.text(path)
+    text = found.selectExpr("sum(octet_length(value) + 1)").first()[0]
+    assert rendered.size_of(spark, path) * 3 < text
+    assert len(found.inputFiles()) == 1 + (table_of(spark, SF, "lineitem").count() + 1) // 1000 > 3
+    test_results_of_a_large_table(spark, None, "a1_feeder_lots_json")

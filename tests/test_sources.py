@@ -307,6 +307,38 @@ def test_one_envelope_is_read_by_several_tasks(spark, tmp_path, small_splits, si
         assert lots_json.pieces(spark, str(tmp_path)).rdd.getNumPartitions() > 6
 
 
+def in_volumes(rng, folder, name, text, extension):
+    """One text cut at line ends into compressed volumes, numbered past 999."""
+    lines = [f"{line}\n" for line in text.split("\n")[:-1]]
+    ends = sorted({0, len(lines), *(rng.randint(0, len(lines)) for _ in range(9))})
+    for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
+        (folder / f"{name}.c{996 + i}.{extension}.gz").write_bytes(gzip.compress("".join(lines[a:b]).encode()))
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("size", [400, 1 << 27])
+def test_one_envelope_in_volumes_is_read_by_several_tasks(spark, tmp_path, small_splits, size, indent):
+    """A compressed file could not be split before, and a record cut by the end of a file was lost."""
+    rng = random.Random(size)
+    want = []
+    for i in range(4):
+        rows = [{f: rng.choice(ODD_TEXTS) for f in rng.sample(lots_json.RAW_FIELDS, rng.randint(1, 6))} for _ in range(rng.choice([1, 40, 150]))]
+        want += rows
+        if indent:
+            body = rows if i % 2 else {"note": "x},{", "results": rows, "tail": {"z": "},"}}
+            text = json.dumps(body, indent=indent, ensure_ascii=False)
+        else:  # a line ends after every record, or within it
+            shown = [json.dumps(r, ensure_ascii=False, separators=(",", ":")) for r in rows]
+            text = '{"note":"x},{","results":[' + rng.choice([",\n".join(shown), ",".join("{\n" + t[1:] for t in shown)]) + ']}'
+        in_volumes(rng, tmp_path, f"{i}", text + "\n", "json")
+    small_splits(size)
+    got = [tuple(r) for r in lots_json.read_split_rows(spark, str(tmp_path), volumes.NUMBERED).collect()]
+    shown = [tuple(None if r.get(f) is None else str(r[f]) for f in lots_json.RAW_FIELDS) for r in want if any(v is not None for v in r.values())]
+    assert sorted(got, key=repr) == sorted(shown, key=repr)
+    if size < 10_000:
+        assert lots_json.pieces(spark, str(tmp_path)).rdd.getNumPartitions() > 4
+
+
 def a_report(rng, n):
     """Lines of all kinds in any order, so that every rule of a run is met."""
     data = lambda: f"{rng.choice(['', '  '])}{rng.randint(1, 99)}   {rng.choice(['500', '500-545', '500.5'])}  512  {rng.choice(['101.50', '101.50-104.00'])}   103.25{rng.choice(['', '  ', '  Calves', ' Fleshy  Feeder '])}"
@@ -339,14 +371,6 @@ def test_long_reports_equal_the_row_wise_parser(spark, tmp_path, small_splits, s
         assert long_reports.lines(spark, str(tmp_path)).rdd.getNumPartitions() > 7
 
 
-def in_volumes(rng, folder, name, text, extension):
-    """One text cut at line ends into compressed volumes, numbered past 999."""
-    lines = [f"{line}\n" for line in text.split("\n")[:-1]]
-    ends = sorted({0, len(lines), *(rng.randint(0, len(lines)) for _ in range(9))})
-    for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)):
-        (folder / f"{name}.c{996 + i}.{extension}.gz").write_bytes(gzip.compress("".join(lines[a:b]).encode()))
-
-
 @pytest.mark.parametrize("size", [64, 1 << 27])
 def test_long_reports_in_volumes_equal_the_row_wise_parser(spark, tmp_path, small_splits, size):
     """A compressed file could not be split before, and a file in parts was taken for several reports."""
