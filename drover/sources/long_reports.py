@@ -11,10 +11,12 @@ file, except that the date and the receipts may be broken over two lines, not mo
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,11 +30,12 @@ KINDS = HEAD, DATA, BLANK, TITLE, OTHER = "head", "data", "blank", "title", "oth
 # stand between a header and its data, and nothing may stand between data lines.
 _MAY_FOLLOW = ((HEAD, BLANK), (HEAD, TITLE), (HEAD, DATA), (BLANK, BLANK), (BLANK, TITLE), (BLANK, DATA), (TITLE, DATA), (DATA, DATA))
 _TITLE_LINE = r"^\s*Head[^\S\n]+Wt Range[^\S\n]+Avg Wt[^\S\n]+Price Range[^\S\n]+Avg Price"
-# Texts without which the patterns for title, date, receipts and end cannot match a line.
-_TITLE_MARK, _DATE_MARK, _RECEIPT_MARK, _HEAD_MARK = "Avg Price", "Feeder Cattle Weighted Average", "Receipts:", "Feeder"
+# Texts without which the patterns for date and receipts cannot match a line.
+_DATE_MARK, _RECEIPT_MARK = "Feeder Cattle Weighted Average", "Receipts:"
+# The characters of R.LINE_BREAK.
+_LINE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\u0085\u2028\u2029"
 _SPLIT = ["source", "block"]
-_ORDER = ["volume", "block"]
-_PLACE = ["place", "part"]
+_PLACE = ["volume", "block", "place"]
 
 
 def _source() -> Column:
@@ -48,22 +51,8 @@ def files(spark: SparkSession, path: str, volumes: str | None = None) -> DataFra
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line with the number of its file, the split it was read in, and its place there."""
-    found = spark.read.text(path).select(
-        _source(), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"), "value",
-    )
-    parts = F.when(F.col("value").rlike(R.LINE_BREAK), F.split("value", R.LINE_BREAK)).otherwise(F.array("value"))
-    return found.select("source", "block", "place", F.posexplode(parts).alias("part", "line"))
-
-
-def _kind(line: Column) -> Column:
-    """Place in :data:`KINDS`."""
-    marked = lambda mark, pattern: F.contains(line, F.lit(mark)) & line.rlike(pattern)
-    code = lambda kind: F.lit(KINDS.index(kind))
-    return (
-        F.when(line.rlike(R.DATA_LINE), code(DATA)).when(line.rlike(r"^\s*$"), code(BLANK))
-        .when(marked(_HEAD_MARK, R.HEADER), code(HEAD)).when(marked(_TITLE_MARK, _TITLE_LINE), code(TITLE)).otherwise(code(OTHER))
-    )
+    """Every line with the number of its file and the split it was read in."""
+    return spark.read.text(path).select(_source(), F.col("_metadata.file_block_start").alias("block"), "value")
 
 
 def _may_follow(before: Column, kind: Column) -> Column:
@@ -75,7 +64,7 @@ def _may_follow(before: Column, kind: Column) -> Column:
 TASK_BYTES = 32 << 20
 # What :func:`scanned` gives, column by column.
 _SCANNED = (
-    "source bigint, block bigint, place bigint, part int, line string, kind string, fact boolean, "
+    "source bigint, block bigint, place bigint, line string, kind string, fact boolean, "
     "header string, broken boolean, first boolean, next string, last boolean"
 )
 
@@ -83,10 +72,34 @@ _SCANNED = (
 def _scan() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The Arrow step of :func:`scanned`: a function inside, which travels to the executors by value. It
     holds one batch, and of the lines before it the last one with its header."""
-    kinds = KINDS
+    kinds, marks, end_line = KINDS, (_DATE_MARK, _RECEIPT_MARK), R.END_OF_FEEDERS
+    data_line, blank_line, header_line, title_line = R.DATA_LINE, r"^\s*$", R.HEADER, _TITLE_LINE
     may_follow = np.array([[(a, b) in _MAY_FOLLOW for b in kinds] for a in kinds])
     names = [c.split()[0] for c in _SCANNED.split(", ")]
     plain = lambda column: column.to_numpy(zero_copy_only=False)
+    # Bytes are matched, whatever their encoding: the patterns are in ASCII but for the breaks.
+    has = lambda line, pattern: plain(pc.match_substring_regex(line.view(pa.binary()), pattern))
+    breaks = "|".join("".join(f"\\x{b:02x}" for b in c.encode()) for c in _LINE_BREAKS)
+
+    def parted(value, *others):
+        """The lines of the reader cut at the other line breaks, too, each with its ``others``."""
+        broken = has(value, breaks)
+        if not broken.any():
+            return value, *others
+        parts = [re.split(breaks.encode(), v) for v in value.view(pa.binary()).filter(pa.array(broken)).to_pylist()]
+        counts = np.ones(len(value), np.int64)
+        counts[broken] = [len(p) for p in parts]
+        rows = np.repeat(np.arange(len(value)), counts)
+        line = pc.replace_with_mask(value.view(pa.binary()).take(pa.array(rows)), pa.array(broken[rows]), pa.array([x for p in parts for x in p], pa.binary()))
+        return line.view(pa.string()), *(x[rows] for x in others)
+
+    def coded(line):
+        """Place in ``kinds`` of every line."""
+        code = np.select([has(line, data_line), has(line, blank_line)], [kinds.index("data"), kinds.index("blank")], -1)
+        rest = code < 0
+        left = line.filter(pa.array(rest))
+        code[rest] = np.select([has(left, header_line), has(left, title_line)], [kinds.index("head"), kinds.index("title")], kinds.index("other"))
+        return code
 
     def kept(table, last):
         """Of the first rows, as many as ``last`` tells about, those that stay. The line after is asked
@@ -100,11 +113,14 @@ def _scan() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         return rows.select(names).filter(pa.array(stays)).combine_chunks().to_batches()
 
     def scan(batches):
-        held, header, was_broken = None, None, False
+        held, header, was_broken, seen = None, None, False, 0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            line, code, source, block = batch.column("line"), *(plain(batch.column(c)) for c in ("code", "source", "block"))
+            line, source, block = parted(batch.column("value"), *(plain(batch.column(c)) for c in ("source", "block")))
+            code, fact = coded(line), has(line, end_line)
+            for mark in marks:
+                fact = fact | plain(pc.match_substring(line.view(pa.binary()), mark))
             same = np.empty(len(code), bool)
             same[0] = held is not None and held["source"][0].as_py() == source[0] and held["block"][0].as_py() == block[0]
             same[1:] = (block[1:] == block[:-1]) & (source[1:] == source[:-1])
@@ -118,9 +134,11 @@ def _scan() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
             broken = np.where(own, end > head, (end >= np.maximum(start, 0)) | (goes_on & was_broken))
             known = pa.concat_arrays([line, pa.array([header], pa.string())])
             headers = known.take(pa.array(np.where(own, head, len(code)), mask=~own & ~goes_on))
-            table = pa.Table.from_batches([batch])
-            for name, column in (("header", headers), ("broken", pa.array(broken)), ("first", pa.array(~same))):
-                table = table.append_column(name, column)
+            place = seen + at
+            seen += len(at)
+            table = pa.table({
+                "source": source, "block": block, "place": place, "line": line, "code": code, "fact": fact, "header": headers, "broken": broken, "first": ~same,
+            })
             table = table if held is None else pa.concat_tables([held, table])
             if table.num_rows > 1:
                 yield from kept(table, table["first"].to_numpy()[1:])
@@ -134,11 +152,8 @@ def _scan() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
 def scanned(spark: SparkSession, path: str) -> DataFrame:
     """What each split tells by itself, in the order in which it is read, without a shuffle or a sort:
     of the lines those that may be live data, may hold a fact of the report, or stand at an end of the split."""
-    has = lambda mark: F.contains("line", F.lit(mark))
-    facts = has(_DATE_MARK) | has(_RECEIPT_MARK) | ((has(":") | has("#")) & F.col("line").rlike(R.END_OF_FEEDERS))
-    told = lines(spark, path).select("source", "block", "place", "part", "line", _kind(F.col("line")).alias("code"), facts.alias("fact"))
     size = int(str(spark.read.text(path)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return told.mapInArrow(_scan(), _SCANNED).coalesce(max(32, size // TASK_BYTES))
+    return lines(spark, path).mapInArrow(_scan(), _SCANNED).coalesce(max(32, size // TASK_BYTES))
 
 
 def _across(told: DataFrame, found: DataFrame) -> DataFrame:
@@ -149,7 +164,7 @@ def _across(told: DataFrame, found: DataFrame) -> DataFrame:
         F.max(F.when(F.col("first"), F.col("line"))).alias("first_line"), F.max(F.when(F.col("last"), F.col("header"))).alias("own_header"),
         F.bool_or(F.when(F.col("last"), F.col("broken"))).alias("tail"),
     ).join(found, "source")
-    over = Window.partitionBy("file").orderBy(*_ORDER)
+    over = Window.partitionBy("file").orderBy("volume", "block")
     earlier, so_far = (over.rowsBetween(Window.unboundedPreceding, n) for n in (-1, 0))
     has_header = F.col("own_header").isNotNull()
     border = (F.col("first_kind") != HEAD) & ~_may_follow(F.coalesce("kind_in", F.lit(OTHER)), F.col("first_kind"))
@@ -159,7 +174,7 @@ def _across(told: DataFrame, found: DataFrame) -> DataFrame:
     }).withColumn("border", border)
     # A chain is a split with a header and those after it without any: its run, once ended, stays so.
     ended = F.max(F.when(has_header, F.col("tail")).otherwise(F.col("tail") | F.col("border")))
-    at_end = ended.over(Window.partitionBy("file", "chain").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0))
+    at_end = ended.over(Window.partitionBy("file", "chain").orderBy("volume", "block").rowsBetween(Window.unboundedPreceding, 0))
     ends = ends.withColumn("at_end", at_end).withColumn("ended_in", F.coalesce(F.lag("at_end").over(over), F.lit(False)))
     return ends.select(*_SPLIT, "file", "file_name", "volume", "header_in", "line_out", (F.col("ended_in") | F.col("border")).alias("ended_in"))
 
@@ -167,7 +182,7 @@ def _across(told: DataFrame, found: DataFrame) -> DataFrame:
 def _facts(told: DataFrame) -> DataFrame:
     """Per file: date in the prose or in the name, receipts, and the place where the feeder part ends."""
     pair = F.concat_ws("\n", "line", F.coalesce("next", "line_out"))
-    at = F.struct(*_ORDER, *_PLACE)
+    at = F.struct(*_PLACE)
     has = lambda mark: F.contains("line", F.lit(mark))
     starts = lambda mark, pattern: F.when(has(mark) & F.regexp_instr(pair, F.lit(pattern)).between(1, F.length("line") + 1), pair)
     first = lambda name: F.min_by(name, F.when(F.col(name).isNotNull(), F.col("at")))
@@ -193,15 +208,17 @@ def live_lines(spark: SparkSession, path: str, volumes: str | None = None) -> Da
     data = told.filter((F.col("kind") == DATA) & ~F.col("broken")).join(across, _SPLIT)
     data = data.filter(F.col("header").isNotNull() | ~F.col("ended_in")).withColumn("header", F.coalesce("header", "header_in"))
     data = data.filter(F.col("header").isNotNull()).join(facts, "file")
-    return data.filter(F.col("end").isNull() | (F.struct(*_ORDER, *_PLACE) < F.col("end")))
+    return data.filter(F.col("end").isNull() | (F.struct(*_PLACE) < F.col("end")))
 
 
 def read_long_reports(spark: SparkSession, path: str, vintage: Column | str, volumes: str | None = None) -> DataFrame:
     """Lots of all report files under ``path``; a file is one report, read by as many tasks as
     its size asks for. ``volumes`` is the pattern of the numbers of volumes, where a report may come in
     several. A report with no date at all fails the job."""
-    head = lambda i: F.regexp_extract("header", R.HEADER, i)
-    rows = live_lines(spark, path, volumes).select(
+    # One pass over a header, whose line has no bar, gives its four parts.
+    told = live_lines(spark, path, volumes).withColumn("_head", F.split(F.regexp_replace("header", R.HEADER, "$1|$2|$3|$4"), r"\|"))
+    head = lambda i: F.get("_head", F.lit(i - 1))
+    rows = told.select(
         "file_name", "auction_date", "receipts", head(2).alias("class"), head(3).alias("frame"), head(4).alias("muscle_grade"),
         F.when(head(1) != "", "Holstein").otherwise("Beef").alias("breed"), F.col("line").alias("_line"),
     )
