@@ -39,8 +39,8 @@ _PLACE = ["volume", "block", "place"]
 
 
 def _source() -> Column:
-    """A number for a file or a volume, as its path is too long to go with every line."""
-    return F.xxhash64("_metadata.file_path").alias("source")
+    """A number for the file or volume being read, as its path is too long to go with every line."""
+    return F.xxhash64(F.input_file_name()).alias("source")
 
 
 def files(spark: SparkSession, path: str, volumes: str | None = None) -> DataFrame:
@@ -52,7 +52,7 @@ def files(spark: SparkSession, path: str, volumes: str | None = None) -> DataFra
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """Every line with the number of its file and the split it was read in."""
-    return spark.read.text(path).select(_source(), F.col("_metadata.file_block_start").alias("block"), "value")
+    return spark.read.text(path).select(_source(), F.input_file_block_start().alias("block"), "value")
 
 
 def _may_follow(before: Column, kind: Column) -> Column:

@@ -64,7 +64,7 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
     splits a file by bytes and makes each cut whole. ``file``, ``block`` and ``place`` give the order."""
     found = spark.read.option("lineSep", _BORDER).text(path)
     return found.select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        "value", F.input_file_name().alias("file"), F.input_file_block_start().alias("block"),
         F.monotonically_increasing_id().alias("place"),
     )
 
@@ -82,22 +82,24 @@ def mended(cut: DataFrame, volumes: str | None = None) -> DataFrame:
     no border stands between that and the piece after it, and both are one.
     """
     value = F.col("value")
-    plain = value.rlike(_PLAIN_WHOLE)
-    counted = cut.withColumn("odd", F.when(plain | value.rlike(_EVEN), 0).otherwise(1))
-    whole = plain | ((F.col("odd") == 0) & value.rlike(_BEGINS))
+    plain, even = value.rlike(_PLAIN_WHOLE), value.rlike(_EVEN)
+    whole = plain | (even & value.rlike(_BEGINS))
     if volumes is not None:
         whole = whole & ~value.endswith("\n")
     place = ["volume", "block", "place"]
     order = Window.partitionBy("file").orderBy(*place)
     inside = F.coalesce(F.sum("odd").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
     goes_on = F.coalesce(F.lag("volume").over(order) != F.col("volume"), F.lit(False))
-    placed = counted.filter(~whole).withColumns({"file": V.whole(F.col("file"), volumes), "volume": V.number(F.col("file"), volumes)})
+    # Patterns are matched once a piece, and after the filter again on the few that are left.
+    placed = cut.filter(~whole).withColumns({
+        "file": V.whole(F.col("file"), volumes), "volume": V.number(F.col("file"), volumes), "odd": F.when(plain | even, 0).otherwise(1),
+    })
     ordered = placed.withColumns({"goes_on": goes_on, "begins": ((inside == 0) & ~goes_on).cast("int")})
     after = F.when((F.col("begins") == 1) | F.col("goes_on"), value).otherwise(F.concat(F.lit(_BORDER), value))
     joined = ordered.withColumns({"value": after, "number": F.sum("begins").over(order)}).groupBy("file", "number").agg(
         F.sort_array(F.collect_list(F.struct(*place, "value"))).alias("parts")
     )
-    return counted.filter(whole).select("value").unionByName(joined.select(F.array_join(F.col("parts.value"), "").alias("value")))
+    return cut.filter(whole).select("value").unionByName(joined.select(F.array_join(F.col("parts.value"), "").alias("value")))
 
 
 def read_split_rows(spark: SparkSession, path: str, volumes: str | None = None) -> DataFrame:
